@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,7 +47,24 @@ def stage(df: DataFrame) -> DataFrame:
     Used where one result feeds several branches. The checkpoint keeps the
     partitioning and order of the rows, so later windows need no new shuffle.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+    shared_dir_once(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_table(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder.
+
+    Columnar and with known size: readers prune columns, and small tables join
+    by broadcast without a shuffle of the other side.
+    """
+    path = f"{shared_dir_once(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shared_dir_once(spark: SparkSession) -> str:
+    """As `shared_dir`, and remembered as the session's checkpoint folder."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(spark))
+    return context.getCheckpointDir()
