@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import medians
 from ..functions import scalars as S
+from ..session import stage_table
 
 CELL = [*C.SERIES, "timestamp"]
 SHOWN_VALUES = 5
@@ -44,18 +47,24 @@ def resolve_conflicts(rows: DataFrame, audit: bool = True,
 
     Up to two values, the median is (min + max) / 2 and needs no sort. Only the
     cells with more go back to their rows; the few cells above `hot_rows` rows
-    take the bracketed median, so no cell is ever held in one buffer.
+    take the bracketed median, so no cell is ever held in one buffer. `rows`
+    feeds several branches and should be staged.
     """
-    cells = _cells(rows)
-    many = cells.filter(F.greatest(*[F.col(f"n_{c}") for c in C.SENSORS]) > 2).select(*CELL, "n_rows")
-    crowded = many.filter(F.col("n_rows") <= hot_rows)
-    # At most all rows / hot_rows keys.
-    hot = many.filter(F.col("n_rows") > hot_rows)
-    exact = medians.group_medians(rows.join(crowded.drop("n_rows"), CELL, "left_semi"), CELL, C.SENSORS)
-    exact = exact.unionByName(medians.hot_group_medians(
-        rows.join(F.broadcast(hot.drop("n_rows")), CELL, "left_semi"), CELL, C.SENSORS))
-    exact = exact.select(*CELL, *[F.col(c).alias(f"med_{c}") for c in C.SENSORS])
-    joined = cells.join(exact, CELL, "left")
+    cells = stage_table(_cells(rows))
+    many = F.greatest(*[F.col(f"n_{c}") for c in C.SENSORS]) > 2
+    # At most all rows / hot_rows keys are hot, so their keys may be broadcast.
+    parts = [
+        (cells.filter(many & (F.col("n_rows") <= hot_rows)).select(*CELL), medians.group_medians),
+        (F.broadcast(cells.filter(many & (F.col("n_rows") > hot_rows)).select(*CELL)), medians.hot_group_medians),
+    ]
+    found = [exact(rows.join(keys, CELL, "left_semi"), CELL, C.SENSORS)
+             for keys, exact in parts if not keys.isEmpty()]
+    named = [m.select(*CELL, *[F.col(c).alias(f"med_{c}") for c in C.SENSORS]) for m in found]
+    joined = cells
+    if named:
+        joined = joined.join(reduce(DataFrame.unionByName, named), CELL, "left")
+    else:
+        joined = joined.withColumns({f"med_{c}": F.lit(None).cast("double") for c in C.SENSORS})
     out = joined.select(
         *CELL,
         *[F.when(F.col(f"n_{c}") <= 2, (F.col(f"lo_{c}") + F.col(f"hi_{c}")) / 2.0)
@@ -66,7 +75,10 @@ def resolve_conflicts(rows: DataFrame, audit: bool = True,
         (F.col("n_rows") > 1).cast("int").alias("is_duplicate_corrected"),
         "n_rows",
     )
-    return out if not audit else out.join(conflict_audit(rows, out), CELL, "left")
+    if not audit:
+        return out
+    out = stage_table(out)
+    return out.join(conflict_audit(rows, out), CELL, "left")
 
 
 def conflict_audit(rows: DataFrame, cells: DataFrame) -> DataFrame:

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import scalars as S
 from ..operators import cleaning, conflicts, failure_repair, hourly, imputation, outliers
-from ..session import stage
+from ..session import stage, stage_table
 
 SILVER_COLUMNS = [*C.SERIES, "timestamp", *C.SENSORS, "failure", *C.AUDIT_DEFAULTS]
 
 
 def resolved_rows(bronze: DataFrame, audit: bool = True) -> DataFrame:
     typed = cleaning.drop_undated(cleaning.type_bronze(bronze))
-    return conflicts.resolve_conflicts(conflicts.drop_exact_copies(typed), audit=audit)
+    return conflicts.resolve_conflicts(stage_table(conflicts.drop_exact_copies(typed)), audit=audit)
 
 
 def repaired_rows(bronze: DataFrame, audit: bool = True) -> DataFrame:
