@@ -6,7 +6,7 @@ import importlib
 
 from .base import ORACLES, QUERIES
 
-for _part in ("etl",):
+for _part in ("etl", "modeling"):
     importlib.import_module(f"{__name__}.{_part}")
 
 

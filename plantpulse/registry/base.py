@@ -188,7 +188,7 @@ def chain(*needed: str, extra: list[tuple[str, str]] = ()) -> str:
             wanted.add(step)
             todo += _NEEDS[step]
     parts = [(n, t) for n, t in _STEPS if n in wanted] + list(extra)
-    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({t})" if "(" not in n else f"{n} ({t})" for n, t in parts) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(f"{n} {t}" if "(" in n else f"{n} AS ({t})" for n, t in parts) + "\n"
 
 
 def check(needed: list[str], select: str, doubles: list[str] = (), extra: list[tuple[str, str]] = ()) -> str:
