@@ -6,7 +6,7 @@ import importlib
 
 from .base import ORACLES, QUERIES
 
-for _part in ("etl", "modeling"):
+for _part in ("etl", "modeling", "serving"):
     importlib.import_module(f"{__name__}.{_part}")
 
 

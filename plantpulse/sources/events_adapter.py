@@ -15,7 +15,11 @@ from ..functions import scalars as S
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def events_of(raw: DataFrame) -> DataFrame:
+    """Typed events of a batch or a stream of raw rows."""
     return raw.select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
@@ -106,7 +110,11 @@ def sensor_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored readings in the shape of the predictions table."""
-    e = events(spark, sf_dir)
+    return predictions_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def predictions_of(raw: DataFrame) -> DataFrame:
+    e = events_of(raw)
     k = F.col("k")
     noise = F.col("event_type") == "error"
     score = F.when(noise & (k >= 30), F.lit(1.0)).when(noise, 0.5 + 0.01 * k).otherwise(k / 100.0)
