@@ -1,8 +1,10 @@
 """Ordered windows over keys of any size.
 
 A machine may hold a large share of all rows, so no window is partitioned by a
-machine alone. Time is cut into slices of SLICE_HOURS and windows run per
-(key, slice). What a window must see beyond its slice is brought to it:
+machine alone. Time is cut into slices and windows run per (key, slice). On an
+hourly lattice a slice holds SLICE_HOURS rows; elsewhere `pick_width` narrows
+the slices until the fullest one holds at most SLICE_ROWS rows. What a window
+must see beyond its slice is brought to it:
 
 * `grid_halo` copies the few rows next to a slice edge of an hourly lattice;
 * `row_halo` does the same by row count when rows are not on one lattice;
@@ -18,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_HOURS = 1024
+SLICE_SECONDS = 3600 * SLICE_HOURS
+SLICE_ROWS = 2_000_000
 SLICE = "slice_id"
 HOME = "home_slice"
 
@@ -26,18 +30,33 @@ def hour_index(ts: Column) -> Column:
     return F.floor(F.unix_seconds(ts) / 3600)
 
 
-def slice_of(ts: Column, slice_hours: int = SLICE_HOURS) -> Column:
-    return F.floor(F.unix_seconds(ts) / (3600 * slice_hours))
+def slice_of(ts: Column, seconds: int = SLICE_SECONDS) -> Column:
+    return F.floor(F.unix_seconds(ts) / seconds)
 
 
-def grid_halo(df: DataFrame, before: int, after: int, ts: str = "timestamp",
-              slice_hours: int = SLICE_HOURS) -> DataFrame:
+def pick_width(df: DataFrame, keys: Sequence[str], ts: str = "timestamp",
+               limit: int | None = None) -> int:
+    """Slice width in seconds that keeps every (key, slice) within `limit` rows.
+
+    Each try is a partial aggregate over the key and time columns. One second is
+    the finest cut: a series holds few rows per instant.
+    """
+    limit, seconds = limit or SLICE_ROWS, SLICE_SECONDS
+    while True:
+        fullest = (df.groupBy(*keys, slice_of(F.col(ts), seconds).alias(SLICE)).agg(F.count("*").alias("n"))
+                   .agg(F.max("n")).first()[0] or 0)
+        if fullest <= limit or seconds == 1:
+            return seconds
+        seconds = max(1, seconds * limit // (2 * fullest))
+
+
+def grid_halo(df: DataFrame, before: int, after: int, ts: str = "timestamp") -> DataFrame:
     """Copy rows of an hourly lattice to the slices whose windows reach them."""
-    home = slice_of(F.col(ts), slice_hours)
-    offset = hour_index(F.col(ts)) - home * slice_hours
+    home = slice_of(F.col(ts))
+    offset = hour_index(F.col(ts)) - home * SLICE_HOURS
     targets = F.array_compact(F.array(
         home,
-        F.when(offset >= slice_hours - before, home + 1),
+        F.when(offset >= SLICE_HOURS - before, home + 1),
         F.when(offset < after, home - 1),
     ))
     return df.withColumn(HOME, home).withColumn(SLICE, F.explode(targets))
@@ -48,7 +67,7 @@ def home_rows(df: DataFrame) -> DataFrame:
 
 
 def row_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int,
-             ts: str = "timestamp", slice_hours: int = SLICE_HOURS) -> DataFrame:
+             ts: str = "timestamp", seconds: int = SLICE_SECONDS) -> DataFrame:
     """Copy to each slice the `before` rows that precede it, wherever they lie.
 
     A row that is r-th from the end of its slice is needed by a later slice when
@@ -56,7 +75,7 @@ def row_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: i
     the directory is non-empty, so at most `before` later slices need a row.
     """
     keys = list(keys)
-    base = df.withColumn(SLICE, slice_of(F.col(ts), slice_hours)).withColumn(HOME, F.col(SLICE))
+    base = df.withColumn(SLICE, slice_of(F.col(ts), seconds)).withColumn(HOME, F.col(SLICE))
     ahead = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(1, before)
     directory = (base.groupBy(*keys, SLICE).agg(F.count("*").alias("n"))
                  .withColumn("later", F.collect_list(F.struct(SLICE, "n")).over(ahead))

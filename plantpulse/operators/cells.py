@@ -29,6 +29,11 @@ SIDE_FACTOR = (1.0 - 1e-9) / math.sqrt(DIMENSIONS)
 # of that many cells makes them equal or adjacent blocks.
 BLOCK_CELLS = math.ceil(math.sqrt(DIMENSIONS))
 BLOCK_DIMENSIONS = 3
+# Cells up to this many distinct points are compared point by point; larger ones
+# are cut SPLIT-fold per dimension and step, down to 1e-7 of a cell.
+LEAF_POINTS = 512
+SPLIT = 4
+MAX_DEPTH = 12
 
 
 def unique_points(scaled: DataFrame) -> DataFrame:
@@ -173,27 +178,62 @@ def cell_pairs(cells: DataFrame, eps: float) -> DataFrame:
     return swapped.select("s.a", "s.b", "near")
 
 
+def part_name(eps: float, depth: int) -> Column:
+    """Name of the part of its cell a point lies in, SPLIT**depth per dimension."""
+    if depth == 0:
+        return F.lit("")
+    side = eps * SIDE_FACTOR / SPLIT ** depth
+    return F.concat_ws("_", *[F.floor(F.col(z) / side).cast("string") for z in Z])
+
+
+def parts(points: DataFrame, keys: list[str], eps: float, depth: int, value: Column | None = None) -> DataFrame:
+    """Box, size and value of every part of the cells at one depth."""
+    extra = [] if value is None else [value.alias("value")]
+    return points.groupBy(*keys, part_name(eps, depth - 1).alias("parent"), part_name(eps, depth).alias("part")).agg(
+        F.count("*").alias("n_points"), *box_columns(), *extra)
+
+
 def point_hits(points: DataFrame, pairs: DataFrame, cells: DataFrame, targets: DataFrame,
-               eps: float) -> DataFrame:
+               eps: float, combine=F.sum) -> DataFrame:
     """Look from single points into the cells paired with their own.
 
     `cells` and `targets` carry a `value`. For each point of cell a and pair
     (a, b): when the box of b lies within eps as a whole, one row with the value
-    of b; when it is out of reach, none; otherwise one row with the value of
-    every target point of b within eps. To be aggregated per point.
+    of b; when it is out of reach, none. Otherwise a small cell is compared
+    point by point, and a cell of many points is cut into parts that are tested
+    the same way, so a crowded cell never meets a point as a list of rows.
     """
     limit = eps * eps
     looking = (points.alias("p").join(pairs.alias("b"), F.col("p.cell") == F.col("b.a"))
                .select(*[F.col(f"p.{c}") for c in ["pid", *Z]],
                        F.col("p.cell").alias("from_cell"), F.col("b.b").alias("cell")))
-    seen = (looking.alias("p").join(cells.alias("b"), F.col("p.cell") == F.col("b.cell"))
-            .select("p.*", "b.value", point_box_gap("p", "b").alias("gap"),
-                    point_box_reach("p", "b").alias("reach"))
-            .filter(F.col("gap") <= limit))
-    out = ["pid", "from_cell", F.col("cell").alias("to_cell")]
-    whole = seen.filter(F.col("reach") <= limit).select(*out, "value")
-    edge = seen.filter(F.col("reach") > limit).drop("value")
-    single = (edge.alias("p").join(targets.alias("b"), F.col("p.cell") == F.col("b.cell"))
-              .filter(point_gap("p", "b") <= limit)
-              .select("p.*", "b.value").select(*out, "value"))
-    return whole.unionByName(single)
+    out = ["pid", "from_cell", F.col("cell").alias("to_cell"), "value"]
+
+    def test(near: DataFrame) -> DataFrame:
+        kept = near.select("p.*", "b.value", "b.n_points", F.col("b.part").alias("part"),
+                           point_box_gap("p", "b").alias("gap"), point_box_reach("p", "b").alias("reach"))
+        return kept.filter(F.col("gap") <= limit)
+
+    seen = test(looking.alias("p").join(cells.withColumn("part", F.lit("")).alias("b"),
+                                        F.col("p.cell") == F.col("b.cell")))
+    crowded = (cells.agg(F.max("n_points")).first()[0] or 0) > LEAF_POINTS
+    found = []
+    for depth in range(MAX_DEPTH + 1):
+        found.append(seen.filter(F.col("reach") <= limit).select(*out))
+        edge = seen.filter(F.col("reach") > limit).drop("value", "gap", "reach")
+        last = not crowded or depth == MAX_DEPTH
+        small = edge if last else edge.filter(F.col("n_points") <= LEAF_POINTS)
+        named = targets.withColumn("part", part_name(eps, depth))
+        found.append(small.alias("p").join(
+            named.alias("b"), (F.col("p.cell") == F.col("b.cell")) & (F.col("p.part") == F.col("b.part")))
+            .filter(point_gap("p", "b") <= limit).select("p.*", "b.value").select(*out))
+        if last:
+            break
+        big = stage_table(edge.filter(F.col("n_points") > LEAF_POINTS).withColumnRenamed("part", "parent").drop("n_points"))
+        if big.isEmpty():
+            break
+        deeper = parts(targets, ["cell"], eps, depth + 1, combine("value"))
+        seen = test(big.alias("p").join(
+            deeper.alias("b"), (F.col("p.cell") == F.col("b.cell")) & (F.col("p.parent") == F.col("b.parent")))
+            ).drop("parent")
+    return reduce(DataFrame.unionByName, found)

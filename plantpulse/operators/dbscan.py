@@ -42,7 +42,7 @@ def core_flags(points: DataFrame, cells: DataFrame, pairs: DataFrame, eps: float
 
 def _core_cells(core: DataFrame) -> DataFrame:
     return core.groupBy("cell").agg(
-        F.first(KEY).alias(KEY), F.min(POSITION).alias("first_row"),
+        F.first(KEY).alias(KEY), F.min(POSITION).alias("first_row"), F.count("*").alias("n_points"),
         *box_columns())
 
 
@@ -68,7 +68,7 @@ def core_clusters(core: DataFrame, pairs: DataFrame, eps: float) -> DataFrame:
     # Mixed pairs matter only between classes the near pairs left apart.
     apart = _named(once.filter("NOT near"), names).filter("class_a <> class_b").select("a", "b")
     one = F.lit(1).alias("value")
-    hits = point_hits(core, apart, boxes.select("*", one), core.select("*", one), eps)
+    hits = point_hits(core, apart, boxes.select("*", one), core.select("*", one), eps, F.max)
     touching = _named(hits.select("from_cell", "to_cell").distinct(), names, "from_cell", "to_cell")
     second = connected_components(first.select(F.col("component").alias("node")).distinct(), _links(touching))
     clusters = (names.withColumnRenamed("component", "node").join(second, "node")
@@ -88,8 +88,8 @@ def border_labels(points: DataFrame, clusters: DataFrame, pairs: DataFrame, eps:
             .join(pairs.filter("near"), "a").join(named, "b").select("pid", "cluster"))
     targets = points.filter("is_core").join(
         clusters.select("cell", F.col("cluster").alias("value")), "cell")
-    mixed = point_hits(border, pairs.filter("NOT near"), clusters.withColumn("value", F.col("cluster")),
-                       targets, eps).select("pid", F.col("value").alias("cluster"))
+    mixed = point_hits(border, pairs.filter("NOT near"), clusters.withColumn("value", F.col("cluster")), targets,
+                       eps, F.max).select("pid", F.col("value").alias("cluster"))
     return own.unionByName(near).unionByName(mixed).groupBy("pid").agg(
         F.min("cluster").alias("border_cluster"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalars as S
-from ..functions.slices import SLICE, carry_in, slice_of
+from ..functions.slices import SLICE, carry_in, pick_width, slice_of
 
 MEASURES = ["temperature", "rpm", "vibration", "pressure"]
 
@@ -31,6 +31,12 @@ def _per_instant(interventions: DataFrame) -> DataFrame:
         F.min_by("failure_type", "row_id").alias("first_type"))
 
 
+def _width(sensors: DataFrame, instants: DataFrame) -> int:
+    both = sensors.select("machine_id", "timestamp").unionByName(
+        instants.select("machine_id", F.col("at").alias("timestamp")))
+    return pick_width(both, ["machine_id"])
+
+
 def attach_interventions(sensors: DataFrame, interventions: DataFrame,
                          tolerance_hours: float = C.ASOF_TOLERANCE_HOURS) -> DataFrame:
     """Add `hours_since_last_intervention` and `near_type` to sensor rows.
@@ -42,13 +48,13 @@ def attach_interventions(sensors: DataFrame, interventions: DataFrame,
     within the tolerance; at equal distance the earlier one wins.
     """
     keys = ["machine_id"]
-    left = sensors.withColumn(SLICE, slice_of(F.col("timestamp")))
     right = _per_instant(interventions)
+    seconds = _width(sensors, right)
+    left = sensors.withColumn(SLICE, slice_of(F.col("timestamp"), seconds))
     tolerance = F.expr(f"INTERVAL {int(tolerance_hours * 3600)} SECONDS")
-    nearby = right.select(*right.columns, F.explode(F.array_distinct(F.array(
-        slice_of(F.col("at")), slice_of(F.col("at") - tolerance),
-        slice_of(F.col("at") + tolerance)))).alias(SLICE))
-    per_slice = right.groupBy(*keys, slice_of(F.col("at")).alias(SLICE)).agg(F.max("at").alias("carried"))
+    first, last = (slice_of(t, seconds) for t in (F.col("at") - tolerance, F.col("at") + tolerance))
+    nearby = right.select(*right.columns, F.explode(F.sequence(first, last)).alias(SLICE))
+    per_slice = right.groupBy(*keys, slice_of(F.col("at"), seconds).alias(SLICE)).agg(F.max("at").alias("carried"))
     wanted = left.select(*keys, SLICE).distinct()
     carried = carry_in(per_slice, wanted, keys, "carried").filter("carried IS NOT NULL")
     events = nearby.unionByName(
@@ -82,10 +88,11 @@ def hours_to_next(sensors: DataFrame, interventions: DataFrame) -> DataFrame:
     """
     keys = ["machine_id"]
     right = interventions.select("machine_id", F.col("timestamp").alias("at")).distinct()
-    left = sensors.withColumn(SLICE, -slice_of(F.col("timestamp")))
-    per_slice = right.groupBy(*keys, (-slice_of(F.col("at"))).alias(SLICE)).agg(F.min("at").alias("carried"))
+    seconds = _width(sensors, right)
+    left = sensors.withColumn(SLICE, -slice_of(F.col("timestamp"), seconds))
+    per_slice = right.groupBy(*keys, (-slice_of(F.col("at"), seconds)).alias(SLICE)).agg(F.min("at").alias("carried"))
     carried = carry_in(per_slice, left.select(*keys, SLICE).distinct(), keys, "carried")
-    events = (right.withColumn(SLICE, -slice_of(F.col("at")))
+    events = (right.withColumn(SLICE, -slice_of(F.col("at"), seconds))
               .unionByName(carried.filter("carried IS NOT NULL").withColumnRenamed("carried", "at")))
     merged = (left.withColumn("is_row", F.lit(1))
               .unionByName(events.withColumn("is_row", F.lit(0)), allowMissingColumns=True)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalars as S
-from .cells import (BOX, Z, block_dimensions, cell_table, point_box_gap, point_box_reach,
-                    point_gap, spread_blocks, with_cell)
+from ..session import stage_table
+from .cells import (BOX, LEAF_POINTS, MAX_DEPTH, Z, block_dimensions, cell_table, part_name, parts, point_box_gap,
+                    point_box_reach, point_gap, spread_blocks, with_cell)
 from .scaling import KEY, POSITION, standardise
 
 READING = ["machine_id", "target_cycle", *C.SENSORS]
@@ -90,24 +91,49 @@ def score(readings: DataFrame, scaler: DataFrame, reference: DataFrame, eps: flo
 
 
 def _nearest(unique: DataFrame, reference: DataFrame, eps: float) -> DataFrame:
+    """Nearest reference point within eps of each distinct reading.
+
+    Boxes give a bound: no box is opened whose gap exceeds the smallest reach
+    seen for the reading. Crowded cells are cut into parts and tested again.
+    """
     limit = eps * eps
-    points = with_cell(reference.select(KEY, *Z, "weight", POSITION, "cluster_label"), eps)
-    cells = cell_table(points)
+    asked = stage_table(unique.withColumn("rid", F.monotonically_increasing_id()))
+    points = stage_table(with_cell(reference.select(KEY, *Z, "weight", POSITION, "cluster_label"), eps))
+    cells = stage_table(cell_table(points))
     dims = block_dimensions(cells)
     names = [f"block_{i}" for i in dims]
-    boxes = spread_blocks(cells.select(KEY, "cell", *names, *BOX), dims)
-    same = reduce(lambda x, y: x & y, [F.col(f"p.{c}") == F.col(f"b.{c}") for c in [KEY, *names]])
-    candidates = (unique.alias("p").join(boxes.alias("b"), same)
-                  .select(*[F.col(f"p.{c}") for c in [KEY, *Z]], F.col("b.cell").alias("cell"),
-                          point_box_gap("p", "b").alias("gap"), point_box_reach("p", "b").alias("reach"))
-                  .filter(F.col("gap") <= limit))
-    best = F.min("reach").over(Window.partitionBy(KEY, *Z))
-    opened = candidates.withColumn("best", best).filter(F.col("gap") <= F.col("best"))
-    met = (opened.alias("p").join(
-        points.select(KEY, "cell", *Z, POSITION, "cluster_label").alias("q"),
-        (F.col(f"p.{KEY}") == F.col(f"q.{KEY}")) & (F.col("p.cell") == F.col("q.cell")))
-        .select(*[F.col(f"p.{c}") for c in [KEY, *Z]], point_gap("p", "q").alias("g"),
-                F.col(f"q.{POSITION}").alias(POSITION), F.col("q.cluster_label").alias("label"))
-        .filter(F.col("g") <= limit))
-    return met.groupBy(KEY, *Z).agg(
+    boxes = spread_blocks(cells.select(KEY, "cell", "n_points", F.lit("").alias("part"), *names, *BOX), dims)
+
+    def test(near: DataFrame) -> DataFrame:
+        """Rows whose box may hold the nearest point of their reading."""
+        kept = near.select(
+            *[F.col(f"p.{c}") for c in ["rid", KEY, *Z]], F.col("b.cell").alias("cell"), "b.part", "b.n_points",
+            point_box_gap("p", "b").alias("gap"), point_box_reach("p", "b").alias("reach"))
+        bound = F.min("reach").over(Window.partitionBy("rid"))
+        return (kept.filter(F.col("gap") <= limit).withColumn("bound", bound)
+                .filter(F.col("gap") <= F.col("bound")).drop("gap", "reach", "bound"))
+
+    def same(columns: list[str]):
+        return reduce(lambda x, y: x & y, [F.col(f"p.{c}") == F.col(f"b.{c}") for c in columns])
+
+    opened = test(asked.alias("p").join(boxes.alias("b"), same([KEY, *names])))
+    crowded = (cells.agg(F.max("n_points")).first()[0] or 0) > LEAF_POINTS
+    found = []
+    for depth in range(MAX_DEPTH + 1):
+        last = not crowded or depth == MAX_DEPTH
+        small = opened if last else opened.filter(F.col("n_points") <= LEAF_POINTS)
+        named = points.withColumn("part", part_name(eps, depth))
+        found.append(small.alias("p").join(named.alias("b"), same([KEY, "cell", "part"]))
+                     .select("p.rid", point_gap("p", "b").alias("g"), f"b.{POSITION}",
+                             F.col("b.cluster_label").alias("label")))
+        if last:
+            break
+        big = stage_table(opened.filter(F.col("n_points") > LEAF_POINTS).withColumnRenamed("part", "parent"))
+        if big.isEmpty():
+            break
+        opened = test(big.alias("p").join(parts(points, [KEY, "cell"], eps, depth + 1).alias("b"),
+                                          same([KEY, "cell", "parent"])))
+    met = reduce(DataFrame.unionByName, found).filter(F.col("g") <= limit)
+    nearest = met.groupBy("rid").agg(
         F.min("g").alias("near_gap"), F.min_by("label", F.struct("g", POSITION)).alias("near_label"))
+    return asked.join(nearest, "rid").select(KEY, *Z, "near_gap", "near_label")

@@ -12,7 +12,7 @@ from ..operators import (cleaning, conflicts, failure_repair, features, hourly,
                          validation)
 from ..plans import gold as gold_plan
 from ..plans import silver as silver_plan
-from ..session import shared_dir_once
+from ..session import shared_dir_once, stage_table
 from ..sources import bronze_csv, events_adapter, layers, serving
 from .base import check, each, query
 
@@ -434,7 +434,8 @@ _GOLD_DOUBLES = [*C.SENSORS, *_ROLL_COLS, "load_proxy", "energy_per_cycle", "hou
 
 
 def _gold(spark, d):
-    return gold_plan.gold(silver_plan.silver(events_adapter.bronze(spark, d), audit=False), events_adapter.interventions(spark, d))
+    silver = stage_table(silver_plan.silver(events_adapter.bronze(spark, d), audit=False))
+    return gold_plan.gold(silver, events_adapter.interventions(spark, d))
 
 
 @query("gold_end_to_end", check(["silver", "interv"], _GOLD_SQL, _GOLD_DOUBLES, _GOLD_STEPS))

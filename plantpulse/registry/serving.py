@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalars as S
+from ..functions.slices import SLICE, pick_width, slice_of
 from ..plans import metrics
 from ..plans import monitoring as M
 from ..sources import events_adapter, layers, serving
@@ -108,14 +110,14 @@ simple("L01_time_order", ["sens"], """SELECT machine_id, "timestamp", row_number
 
 def _ordered(spark, d):
     """Rank in time order per machine, counted over slices."""
-    from pyspark.sql import Window
-    from ..functions.slices import SLICE, slice_of
-    rows = _sens(spark, d).withColumn(SLICE, slice_of(F.col("timestamp"), 24))
-    before = Window.partitionBy("machine_id").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy("machine_id", SLICE).agg(F.count("*").alias("n"))
-    offsets = sizes.select("machine_id", SLICE, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
-    local = F.row_number().over(Window.partitionBy("machine_id", SLICE).orderBy("timestamp", "target_cycle"))
-    return (rows.withColumn("local", local).join(offsets, ["machine_id", SLICE])
+    keys = ["machine_id"]
+    sensors = _sens(spark, d)
+    rows = sensors.withColumn(SLICE, slice_of(F.col("timestamp"), pick_width(sensors, keys)))
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*keys, SLICE).agg(F.count("*").alias("n"))
+    offsets = sizes.select(*keys, SLICE, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    local = F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy("timestamp", "target_cycle"))
+    return (rows.withColumn("local", local).join(offsets, [*keys, SLICE])
             .select("machine_id", "timestamp", (F.col("earlier") + F.col("local")).alias("nth")))
 
 
@@ -254,7 +256,6 @@ def _replayed(spark, d, per_batch):
 @query("ST01_replay_by_time", check(["sens"], "SELECT count(DISTINCT hour) AS ticks, count(*) AS n, true AS in_order FROM ticked", extra=[_TICKED]))
 def _(spark, d):
     """All ticks come through in order, 50 per batch."""
-    from pyspark.sql import Window
     out = _replayed(spark, d, 50)
     per_batch = out.groupBy("batch").agg(F.min("tick").alias("lo"), F.max("tick").alias("hi"))
     follows = F.col("lo") > F.lag("hi", 1, -1).over(Window.orderBy("batch"))

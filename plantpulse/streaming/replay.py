@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.slices import SLICE, slice_of
+from ..session import stage_table
 
 TICK = "tick"
 
@@ -27,15 +28,20 @@ def ticks_by_time(df: DataFrame) -> DataFrame:
 
 
 def ticks_by_rows(df: DataFrame, rows: int) -> DataFrame:
-    """Cut the rows, in (time, machine) order, into ticks of fixed size."""
-    sliced = df.withColumn(SLICE, slice_of(F.col("timestamp"), 1))
+    """Cut the rows, in (time, machine) order, into ticks of fixed size.
+
+    Range partitions hold equal shares of the order whatever the skew. They are
+    staged, so their numbers stay fixed while sizes add up to row numbers.
+    """
     order = ["timestamp", "machine_id", "target_cycle", *[c for c in ("row_id",) if c in df.columns]]
-    local = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
-    sizes = sliced.groupBy(SLICE).agg(F.count("*").alias("n"))
-    earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(SLICE, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    return (sliced.withColumn("nth", local).join(offsets, SLICE)
-            .withColumn(TICK, F.floor((F.col("offset") + F.col("nth") - 1) / rows)).drop(SLICE, "nth", "offset"))
+    ranged = stage_table(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition.
+    offsets = ranged.groupBy("part").agg(F.count("*").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    nth = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    return (ranged.withColumn("nth", nth).join(offsets, "part")
+            .withColumn(TICK, F.floor((F.col("offset") + F.col("nth") - 1) / rows)).drop("part", "nth", "offset"))
 
 
 def last_ticks(df: DataFrame, n: int) -> DataFrame:

@@ -133,3 +133,38 @@ def test_flat_feature_scales_by_one(spark):
     df = spark.createDataFrame([("a", *[7.3] * 8), ("a", *[7.3] * 8)], [KEY, *C.FEATURES])
     row = scaling.fit_scaler(df).first()
     assert all(row[f"scale_{c}"] == 1.0 for c in C.FEATURES)
+
+
+def crowd(seed, n=500):
+    """Two crowded clouds of a few cells each, closer than eps here and there."""
+    rng = np.random.default_rng(seed)
+    x = np.zeros((n, 8))
+    x[:, :3] = rng.uniform(0, 0.9, (n, 3))
+    x[n // 2:, 0] += 1.6
+    return np.concatenate([x, rng.uniform(-1, 3.5, (60, 8)) * [1, 1, 1, 0, 0, 0, 0, .4]])
+
+
+@pytest.mark.parametrize("eps", [0.75, 0.95])
+def test_crowded_cells_are_cut_into_parts(spark, monkeypatch, eps):
+    monkeypatch.setattr(cells, "LEAF_POINTS", 4)
+    monkeypatch.setattr(scoring, "LEAF_POINTS", 4)
+    x = crowd(11)
+    scaled = frame(spark, {"m": x})
+    points = dbscan.cluster_points(scaled, eps, 10)
+    got = dbscan.label_rows(scaled, points).orderBy("n").toPandas()
+    core, labels = brute_force(x, eps, 10)
+    assert got["is_core"].tolist() == core.tolist()
+    assert got["cluster_label"].tolist() == labels.tolist()
+    rng = np.random.default_rng(12)
+    q = rng.uniform(-1, 3.5, (80, 8)) * [1, 1, 1, .1, 0, 0, 0, .3]
+    asked = cells.with_cell(frame(spark, {"m": q}), eps)
+    near = scoring._nearest(asked, dbscan.reference_points(points), eps).toPandas()
+    have = {tuple(np.round(r[cells.Z].astype(float), 9)): (r["near_gap"], r["near_label"]) for _, r in near.iterrows()}
+    keep = labels != -1
+    for row in q:
+        d = ((x[keep] - row) ** 2).sum(1)
+        hit = have.get(tuple(np.round(row, 9)))
+        if d.min() <= eps * eps:
+            assert hit == (pytest.approx(d.min()), labels[keep][d.argmin()])
+        else:
+            assert hit is None
