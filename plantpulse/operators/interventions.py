@@ -63,7 +63,8 @@ def attach_interventions(sensors: DataFrame, interventions: DataFrame,
               .unionByName(events.withColumn("is_row", F.lit(0)), allowMissingColumns=True)
               .withColumn("instant", F.coalesce("timestamp", "at")))
     event = F.when(F.col("is_row") == 0, F.struct("at", "last_type", "first_type"))
-    back = Window.partitionBy(*keys, SLICE).orderBy("instant", "is_row")
+    # A carried instant has no type; its copy within the tolerance comes after it.
+    back = Window.partitionBy(*keys, SLICE).orderBy("instant", "is_row", F.col("last_type").asc_nulls_first())
     ahead = Window.partitionBy(*keys, SLICE).orderBy(F.col("instant").desc(), "is_row")
     seen = (merged.withColumn("prev", F.last(event, ignorenulls=True).over(back))
             .withColumn("next", F.last(event, ignorenulls=True).over(ahead))
