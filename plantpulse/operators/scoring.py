@@ -105,13 +105,14 @@ def _nearest(unique: DataFrame, reference: DataFrame, eps: float) -> DataFrame:
     boxes = spread_blocks(cells.select(KEY, "cell", "n_points", F.lit("").alias("part"), *names, *BOX), dims)
 
     def test(near: DataFrame) -> DataFrame:
-        """Rows whose box may hold the nearest point of their reading."""
-        kept = near.select(
-            *[F.col(f"p.{c}") for c in ["rid", KEY, *Z]], F.col("b.cell").alias("cell"), "b.part", "b.n_points",
-            point_box_gap("p", "b").alias("gap"), point_box_reach("p", "b").alias("reach"))
+        """Rows whose box may hold the nearest point of their reading. Only ids
+        travel to the bound; the few rows left fetch their coordinates again."""
+        kept = near.select("p.rid", F.col("b.cell").alias("cell"), "b.part", "b.n_points",
+                           point_box_gap("p", "b").alias("gap"), point_box_reach("p", "b").alias("reach"))
         bound = F.min("reach").over(Window.partitionBy("rid"))
-        return (kept.filter(F.col("gap") <= limit).withColumn("bound", bound)
+        left = (kept.filter(F.col("gap") <= limit).withColumn("bound", bound)
                 .filter(F.col("gap") <= F.col("bound")).drop("gap", "reach", "bound"))
+        return left.join(asked.select("rid", KEY, *Z), "rid")
 
     def same(columns: list[str]):
         return reduce(lambda x, y: x & y, [F.col(f"p.{c}") == F.col(f"b.{c}") for c in columns])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -60,22 +61,32 @@ def _until(name: str, steps: list[tuple[str, str]]) -> list[tuple[str, str]]:
 
 
 _CACHE: dict[tuple, training.Model] = {}
+_SENSORS: dict[tuple, DataFrame] = {}
+
+
+def stored_sensors(spark, d) -> DataFrame:
+    """The sensor rows as a stored table, as in service. As a bare projection,
+    every pushed filter would parse the JSON of `events` again."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SENSORS:
+        _SENSORS[key] = stage_table(events_adapter.sensor_data(spark, d))
+    return _SENSORS[key]
 
 
 def model(spark, d, models="machines", eps=C.EPS) -> training.Model:
     """Trained once per session and data set; its tables are staged files."""
     key = (spark.sparkContext.applicationId, d, models, eps)
     if key not in _CACHE:
-        _CACHE[key] = training.train(events_adapter.sensor_data(spark, d), eps=eps, models=models)
+        _CACHE[key] = training.train(stored_sensors(spark, d), eps=eps, models=models)
     return _CACHE[key]
 
 
 def _scaled(spark, d, models="machines"):
-    return training.scaled_rows(events_adapter.sensor_data(spark, d), models=models)[0]
+    return training.scaled_rows(stored_sensors(spark, d), models=models)[0]
 
 
 def _matrix_with_ids(spark, d):
-    return scaling.model_matrix(events_adapter.sensor_data(spark, d))
+    return scaling.model_matrix(stored_sensors(spark, d))
 
 
 @query("P17_cycle_ratio", check(["sens"], """SELECT row_id, coalesce(cycle_duration / nullif(target_cycle, 0), 1e0) AS training_ratio,
@@ -185,7 +196,7 @@ _SCORED = ("scored", f"""SELECT row_id, CASE WHEN g <= {_LIMIT} THEN label ELSE
 
 
 def _readings(spark, d):
-    rows = events_adapter.sensor_data(spark, d)
+    rows = stored_sensors(spark, d)
     good, _ = scoring.valid_readings(scoring.to_readings(rows, extra=["row_id", "timestamp"]))
     return good
 

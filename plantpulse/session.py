@@ -16,6 +16,8 @@ def build_session(app: str = "plantpulse", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Hash instead of sort once every partition of a side is known to be small.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -57,7 +59,7 @@ def stage_table(df: DataFrame) -> DataFrame:
     Columnar and with known size: readers prune columns, and small tables join
     by broadcast without a shuffle of the other side.
     """
-    path = f"{shared_dir_once(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    path = f"{staged_root(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -68,3 +70,13 @@ def shared_dir_once(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return context.getCheckpointDir()
+
+
+def staged_root(spark: SparkSession) -> str:
+    return f"{shared_dir_once(spark)}/staged-{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the tables this application staged, once its results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

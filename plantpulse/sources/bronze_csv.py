@@ -40,9 +40,15 @@ def _fields(line: Column) -> Column:
 
 
 def file_headers(lines: DataFrame, required: list[str]) -> DataFrame:
-    """One row per file: first line, its column names and the missing ones."""
-    first = lines.groupBy("file").agg(F.min("row_id").alias("header_row"),
-                                      F.min_by("value", "row_id").alias("header"))
+    """One row per file: first line, its column names and the missing ones.
+
+    The first line lies in the file's first block. Its number is found by a
+    hash aggregate over longs, then its text by a join on that number.
+    """
+    heads = lines.filter(F.col("row_id") < (1 << 33))
+    first = heads.groupBy("file").agg(F.min("row_id").alias("row_id"))
+    first = heads.join(first, ["file", "row_id"]).select(
+        "file", F.col("row_id").alias("header_row"), F.col("value").alias("header"))
     names = F.array_compact(F.transform(_fields(F.col("header")), F.trim))
     needed = F.array(*[F.lit(c) for c in required])
     return (first.withColumn("names", names)

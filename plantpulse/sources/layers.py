@@ -39,9 +39,14 @@ def latest_version(spark: SparkSession, root: str, layer: str) -> str | None:
 
 def read_latest(spark: SparkSession, root: str, layer: str) -> DataFrame | None:
     version = latest_version(spark, root, layer)
-    if version is None:
+    return None if version is None else read_version(spark, root, layer, version)
+
+
+def read_version(spark: SparkSession, root: str, layer: str, version: str) -> DataFrame | None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{layer}/{VERSION}={version}")
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return None
-    return spark.read.parquet(f"{root}/{layer}/{VERSION}={version}")
+    return spark.read.parquet(folder.toString())
 
 
 def replay_source(spark: SparkSession, root: str, fallback: DataFrame | None = None,

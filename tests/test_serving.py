@@ -113,3 +113,23 @@ def test_plans_avoid_nested_loops(spark, sf):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() == 2
+
+
+def test_batch_job_from_files_to_scores(spark, sf, tmp_path):
+    from plantpulse.plans import batch
+    from plantpulse.streaming import live
+    bronze, root = str(tmp_path / "bronze"), str(tmp_path / "lake")
+    assert batch.ingest(spark, str(tmp_path), root, "v0") is None
+    bronze_csv.write_sensors(events_adapter.bronze(spark, sf), f"{bronze}/a")
+    bronze_csv.write_interventions(events_adapter.bronze_interventions(spark, sf), f"{bronze}/b")
+    assert batch.ingest(spark, bronze, root, "20260101T000000Z") == "20260101T000000Z"
+    gold = layers.read_latest(spark, root, "gold")
+    assert gold.count() == serving.read_table(spark, f"{root}/serving", "sensor_data").count() > 1000
+    assert serving.read_table(spark, f"{root}/serving", "feature_snapshot").count() == 2
+    batch.retrain(spark, root, "20260101T010000Z")
+    assert layers.registry_status(spark, f"{root}/models").first()["n_machines"] == 2
+    live.score_batch(spark, gold, 0, f"{root}/models", f"{root}/live")
+    scored = serving.read_table(spark, f"{root}/live", "predictions")
+    assert scored.count() == gold.count()
+    # Trained on the same rows: noise in training is noise in scoring.
+    assert scored.filter("anomaly_score = 0 AND anomaly").count() == 0
