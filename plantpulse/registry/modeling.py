@@ -304,9 +304,16 @@ def _(spark, d):
 
 # Supervised models --------------------------------------------------------
 
+_LABELLED_GOLD: dict[tuple, DataFrame] = {}
+
+
 def _labelled_gold(spark, d):
-    log = events_adapter.interventions(spark, d)
-    return stage_table(supervised.label_remaining_hours(_gold(spark, d), log))
+    """Gold rows with remaining hours, stored once for the three models."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _LABELLED_GOLD:
+        log = events_adapter.interventions(spark, d)
+        _LABELLED_GOLD[key] = stage_table(supervised.label_remaining_hours(_gold(spark, d), log))
+    return _LABELLED_GOLD[key]
 
 
 @query("ML01_failure_classifier")

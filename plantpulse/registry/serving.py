@@ -255,8 +255,8 @@ def _replayed(spark, d, per_batch):
 
 @query("ST01_replay_by_time", check(["sens"], "SELECT count(DISTINCT hour) AS ticks, count(*) AS n, true AS in_order FROM ticked", extra=[_TICKED]))
 def _(spark, d):
-    """All ticks come through in order, 50 per batch."""
-    out = _replayed(spark, d, 50)
+    """All ticks come through in order, 200 per batch."""
+    out = _replayed(spark, d, 200)
     per_batch = out.groupBy("batch").agg(F.min("tick").alias("lo"), F.max("tick").alias("hi"))
     follows = F.col("lo") > F.lag("hi", 1, -1).over(Window.orderBy("batch"))
     order = per_batch.withColumn("ok", follows).agg(F.every("ok").alias("in_order"))
