@@ -1,4 +1,11 @@
-"""The corpus pipeline: stages over `documents`, each written as Parquet and read again."""
+"""The corpus pipeline: stages over `documents`, each written as Parquet and read again.
+
+    STAGES          name and function of each stage, in order
+    run(spark, dir) the result of the last stage over the documents of `dir`
+
+A stage takes (spark, docs, sf_dir). All but the last return the columns of documents.
+Rows that a stage drops are gone for all later ones. An empty table passes through.
+"""
 
 from __future__ import annotations
 
@@ -7,25 +14,41 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plantpulse.llm import exact_dedup, packing
+from plantpulse.llm import exact_dedup, packing, partenum, pii, quality
 from plantpulse.llm.queries import VOCABULARY
 from plantpulse.llm.tables import table
 from plantpulse.session import staged_root
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labels of `sf_dir`, does not reject."""
+    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def one_of_equals(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest id."""
     return exact_dedup.keep_one(docs)
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and their place in sequences."""
+def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies, the row with the smallest id."""
+    return partenum.keep_one(docs)
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with pseudonyms for personal data; lengths stay."""
+    return pii.pseudonymised(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their place in sequences."""
     return packing.packed_documents(docs, public_tokenizers.path(VOCABULARY))
 
 
-STAGES = [("exact_dedup", exact), ("best_fit_packing", pack)]
+STAGES = [("quality_classifier", good_documents), ("exact_dedup", one_of_equals), ("jaccard_join", one_of_similar),
+          ("pii", pseudonyms), ("best_fit_packing", sequences)]
 
-#: The first stage is a trained classifier; SQL cannot express it.
+#: SQL cannot express the classifier, the pseudonyms and the packing.
 ORACLE_SQL = None
 
 

@@ -1,0 +1,49 @@
+"""Connected components of a graph of links, by large-star and small-star rounds.
+
+Each round hooks every node's larger neighbours, then its smaller ones, to its smallest
+neighbour; the number of rounds grows with the logarithm of the longest chain. Minima are
+partial aggregates and joins are plain equi-joins, so a node with very many links is split
+like any skewed key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from plantpulse.session import stage_table
+
+
+def _hook(edges: DataFrame, larger: bool) -> DataFrame:
+    """One star step over links (u, v) with u > v."""
+    if larger:
+        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    else:
+        both = edges
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    joined = both.join(least, "u")
+    if larger:
+        out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    else:
+        out = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
+               .union(least.select("u", F.col("m").alias("v"))))
+    return out.where("u > v").distinct()
+
+
+def components(links: DataFrame) -> DataFrame:
+    """node and component (its smallest node) of every node of `links`, columns a and b (long).
+
+    Links of a node with itself are ignored; repeated links count once; no links give no rows.
+    """
+    edges = stage_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                        .where("u > v").distinct())
+    while True:
+        after = stage_table(_hook(_hook(edges, larger=True), larger=False))
+        # Every node hangs on a root that hangs on none: the graph is a set of stars.
+        deep = after.join(after.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
+        several = after.groupBy("u").agg(F.count("v").alias("n")).where("n > 1").limit(1).count()
+        edges = after
+        if not deep and not several:
+            break
+    stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return stars.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
