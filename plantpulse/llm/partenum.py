@@ -290,3 +290,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of `docs` with one document of each component, its smallest id; columns as they were."""
     dropped = near_groups(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped_id")).distinct()
     return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_dropped_id"), "left_anti")
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT w.doc_id, count(s) AS n_shingles FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s AS a JOIN s AS b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n_shingles + y.n_shingles - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS component FROM n UNION SELECT e.b, r.component FROM r JOIN e ON e.a = r.doc_id WHERE r.component < e.b)
+SELECT n.doc_id, n_shingles, min(component) AS component_id FROM n JOIN r USING (doc_id) GROUP BY ALL
+"""

@@ -65,4 +65,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op3_jaccard_join": partenum.ORACLE_SQL, "op5_substring_dedup": window_dedup.ORACLE_SQL,
+            "op9_exact_dedup": exact_dedup.ORACLE_SQL}

@@ -183,3 +183,16 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, with_text: bool = False
 def intervals(mask: np.ndarray) -> list[dict[str, int]]:
     edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
     return [{"begin": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2], strict=True)]
+
+
+ORACLE_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+n AS (SELECT doc_id, w, len(w) AS n_words FROM w),
+win AS (SELECT doc_id, unnest(range(1, n_words - 11)) AS i, w FROM n WHERE n_words >= 13),
+h AS (SELECT doc_id, i, hash(list_slice(w, i, i + 12)) AS k, list_slice(w, i, i + 12) AS s FROM win),
+m AS (SELECT s, min(doc_id) AS first FROM h GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+hit AS (SELECT DISTINCT h.doc_id, h.i + o AS p FROM h JOIN m USING (s), (SELECT unnest(range(13)) AS o) WHERE h.doc_id > m.first),
+word AS (SELECT doc_id, unnest(range(1, n_words + 1)) AS p, unnest(w) AS x FROM n),
+kept AS (SELECT word.doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS c FROM word ANTI JOIN hit USING (doc_id, p) GROUP BY word.doc_id)
+SELECT n.doc_id, n_words, n_words - coalesce(c, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM n LEFT JOIN kept USING (doc_id)
+"""
