@@ -125,8 +125,12 @@ class Automata:
             seq = self.code[parts[name]][:SAMPLE_SYMBOLS]
             seq = seq[seq < self.width - 1]
             table = suffix_automaton(seq.tolist(), self.width)
-            root = np.maximum(table[0], 0)
-            self.tables.append(np.where(table >= 0, table * self.width, ~(root * self.width)[None, :]).ravel().astype(np.int32))
+            # A symbol that the sample lacks is a phrase of its own: a last state that reads nothing.
+            root = np.where(table[0] >= 0, table[0], len(table)) * self.width
+            ends = np.broadcast_to(~root, (len(table) + 1, self.width)).astype(np.int32)
+            ends[:-1][table >= 0] = table[table >= 0] * self.width
+            ends[0] = root
+            self.tables.append(ends.ravel())
             self.bits.append(np.log2(max(2, len(seq))))
 
     def entropies(self, folded: np.ndarray, at: np.ndarray) -> np.ndarray:

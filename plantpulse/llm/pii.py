@@ -44,9 +44,10 @@ NUMBER = re.compile(
     r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?!\w|\.\d)"
     r"|(?P<card>\d(?:[ -]?\d){12,18})(?![\w-])")
+NUMBER_START = re.compile(r"[+0-9]")
 IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 ACCESS = re.compile(r"(?<!\w)(?:AKIA|ASIA)([A-Z0-9]{16})(?!\w)")
-SECRET = re.compile(r"(?i:(?<![A-Za-z])(?P<name>password|passwd|secret|api[_-]?key|token)(?P<mark>\s*[=:]\s*[\"']?))(?P<value>[A-Za-z0-9_+/.-]{6,})")
+SECRET = re.compile(r"(?i:(?<![A-Za-z])(?P<name>password|passwd|secret|api[_-]?key|token)(?P<mark>\s*[=:]\s*[\"']?))(?P<value>[A-Za-z0-9_+/.-]{5,}[A-Za-z0-9_+/])")
 
 
 class Permutation:
@@ -112,11 +113,16 @@ def spell(text: str, alphabets: list[str], key: bytes, kind: str,
             return "".join(out)
 
 
-def by_class(text: str) -> list[str]:
-    """The alphabet of each character: digits, small or capital letters; none for others."""
-    if all(c in HEX for c in text):
-        return [HEX] * len(text)
-    return [next((a for a in (DIGITS, LOWER, UPPER) if c in a), "") for c in text]
+def is_hex(text: str) -> bool:
+    return len(text) >= 16 and all(c in HEX for c in text)
+
+
+def spell_by_class(text: str, key: bytes, kind: str) -> str:
+    """Hexadecimal stays so; otherwise digits, small and capital letters keep their places."""
+    if is_hex(text):
+        return spell(text, [HEX] * len(text), key, kind + "-hex")
+    alphabets = [next((a for a in (DIGITS, LOWER, UPPER) if c in a), "") for c in text]
+    return spell(text, alphabets, key, kind, lambda out: not is_hex(out))
 
 
 def luhn(digits: str) -> int:
@@ -235,23 +241,27 @@ def replaced(text: str, key: bytes = DEFAULT_KEY) -> tuple[str, list[tuple[str,
 
     if "@" in text:
         for m in EMAIL.finditer(text):
-            note("email", m.start(1), m.end(1), spell(m[1], by_class(m[1]), key, "email"))
+            note("email", m.start(1), m.end(1), spell_by_class(m[1], key, "email"))
     if "AKIA" in text or "ASIA" in text:
         for m in ACCESS.finditer(text):
             note("access_key", m.start(1), m.end(1), spell(m[1], [DIGITS + UPPER] * 16, key, "access"))
     for m in SECRET.finditer(text) if "=" in text or ":" in text else ():
-        note("secret", *m.span("value"), spell(m["value"], by_class(m["value"]), key, "secret"))
+        # After a colon ordinary words may follow; a secret there has a digit.
+        if "=" in m["mark"] or any(c.isdigit() for c in m["value"]):
+            note("secret", *m.span("value"), spell_by_class(m["value"], key, "secret"))
     for m in IBAN.finditer(text):
         inside = m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_")
         if not inside and (fresh := iban(m.group(), key)):
             note("iban", *m.span(), fresh)
     at = 0
-    while m := NUMBER.search(text, at):
-        got = number(m, key)
+    while begin := NUMBER_START.search(text, at):
+        m = NUMBER.match(text, begin.start())
+        got = number(m, key) if m else None
         if got:
             note(got[0], *m.span(), got[1])
-        at = m.end()
-        while not got and at < len(text) and text[at].isdigit():
+        # Past the match, or past this run of digits.
+        at = m.end() if m else begin.end()
+        while not got and at < len(text) and text[at - 1] in DIGITS and text[at] in DIGITS:
             at += 1
     if not found:
         return text, []
