@@ -50,7 +50,7 @@ SHINGLE, SHARE, WHOLE = 5, 3, 4
 #: Sizes of band i start at RATIO ** i; a band has at least LEAST_PARTS partitions.
 RATIO, LEAST_PARTS = 4, 64
 #: Bytes of text of a group; signatures of a bucket, and the least number of buckets.
-GROUP_BYTES, BUCKET_SIGNATURES, LEAST_BUCKETS = 8_000_000, 1_000_000, 64
+GROUP_BYTES, BUCKET_SIGNATURES, LEAST_BUCKETS = 4_000_000, 1_000_000, 64
 WORD_BYTES = 6
 
 
