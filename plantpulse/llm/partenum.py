@@ -16,10 +16,13 @@ Which signatures lead to candidates is settled by exact counts:
    has, with their number.
 2. A set with fewer repeated signatures than must agree has no link. Of the others, ordered by
    rarity, the first (differences + 1) signatures suffice: two linked sets meet in one of them.
-3. Equal sets fall into one class. The sets of a signature are compared with its smallest
-   one first; components of these links are built, and only sets of one signature that are
-   still in different components are compared with each other. No link between different
-   sets is lost, and a large group of near copies costs one comparison per member.
+3. Equal sets fall into one class. In a few rounds every set is compared with one set of
+   another component that shares a signature with it, and components are joined by the
+   links found, so a large group of near copies costs a few comparisons per member. Then
+   all pairs of sets that share a signature and are still in different components are
+   compared, except those whose lone partitions rule it out: a partition that only one set
+   has in this form differs from that of every other set, so more lone partitions of the
+   two than shingles may differ leave no link. No link between different sets is lost.
 
 Sets travel as sorted 64-bit hashes, so counts and comparisons are exact up to a chance
 agreement of hashes (about 10^-13 for a pair of long texts).
@@ -51,6 +54,8 @@ SHINGLE, SHARE, WHOLE = 5, 3, 4
 RATIO, LEAST_PARTS = 4, 64
 #: Bytes of text of a group; signatures of a bucket, and the least number of buckets.
 GROUP_BYTES, BUCKET_SIGNATURES, LEAST_BUCKETS = 4_000_000, 1_000_000, 64
+#: 64-bit words that mark lone partitions (by their number, folded); rounds of single comparisons.
+LONE_WORDS, ROUNDS = 8, 4
 WORD_BYTES = 6
 
 
@@ -88,7 +93,8 @@ def parts_of(band: np.ndarray) -> np.ndarray:
 
 
 def signatures(hashes: np.ndarray, at: np.ndarray):
-    """Signatures of all sets: for each (set, band) entry its set, its largest difference and where its signatures begin."""
+    """Signatures of all sets with their partition (-1: none). For each (set, band) entry its set, band, largest
+    difference and where its signatures begin."""
     size = np.diff(at)
     band = bands(size)
     largest = size * WHOLE // SHARE
@@ -108,17 +114,19 @@ def signatures(hashes: np.ndarray, at: np.ndarray):
     fresh[1:] = (entry[1:] != entry[:-1]) | (part[1:] != part[:-1])
     begin = np.flatnonzero(fresh)
     if not len(begin):
-        return owner, differ, np.zeros(len(owner) + 1, np.int64), np.zeros(0, np.uint64)
+        return owner, level, differ, np.zeros(len(owner) + 1, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     content = np.add.reduceat(mix(value), begin)
     of = entry[begin]
     found = mix(content + mix(level[of].astype(np.uint64) + np.uint64(1)))
     where = np.searchsorted(of, np.arange(len(owner) + 1))
+    place = part[begin].astype(np.int64)
     # Sets without a spare partition share one signature of their band.
     poor = np.flatnonzero(np.diff(where) <= differ)
     if len(poor):
         found = np.insert(found, where[poor + 1], mix(level[poor].astype(np.uint64) + np.uint64(1 << 40)))
+        place = np.insert(place, where[poor + 1], -1)
         where = where + np.concatenate([[0], np.cumsum(np.diff(where) <= differ)])
-    return owner, differ, where, found
+    return owner, level, differ, where, found, place
 
 
 def send(texts: DataFrame, bits: int) -> DataFrame:
@@ -129,7 +137,7 @@ def send(texts: DataFrame, bits: int) -> DataFrame:
         group = table.column("bucket")[0].as_py()
         ids, data, at = unpacked_texts(table)
         hashes, where = shingle_sets(data, at)
-        _, _, _, found = signatures(hashes, where)
+        found = signatures(hashes, where)[4]
         value, count = np.unique(found, return_counts=True)
         cut = np.searchsorted(value >> shift, np.arange((1 << bits) + 1, dtype=np.uint64))
         rows = [(k, group, value[a:b].tobytes(), value[a:b][many].tobytes(), (count[a:b][many]).astype("<i8").tobytes())
@@ -174,7 +182,9 @@ def answer(sent: DataFrame) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(run, "bucket int, values binary, totals binary")
 
 
-SETS = "doc_id long, n long, d1 long, d2 long, prefix array<long>, hashes binary"
+CHOSEN = pa.struct([("band", pa.int32()), ("lone", pa.list_(pa.int64())), ("signatures", pa.list_(pa.int64()))])
+SETS = ("doc_id long, n long, d1 long, d2 long, chosen array<struct<band:int,lone:array<long>,signatures:array<long>>>, "
+        "hashes binary")
 
 
 def choose(texts: DataFrame, answers: DataFrame) -> DataFrame:
@@ -183,7 +193,7 @@ def choose(texts: DataFrame, answers: DataFrame) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, data, at = unpacked_texts(left)
         hashes, where = shingle_sets(data, at)
-        owner, differ, begin, found = signatures(hashes, where)
+        owner, level, differ, begin, found, place = signatures(hashes, where)
         value = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(v, "<u8") for v in right.column("values").to_pylist())])
         total = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(v, "<i8") for v in right.column("totals").to_pylist())])
         order = np.argsort(value)
@@ -193,22 +203,27 @@ def choose(texts: DataFrame, answers: DataFrame) -> DataFrame:
         repeated = np.concatenate([[0], np.cumsum(number > 1)])
         repeated = repeated[begin[1:]] - repeated[begin[:-1]]
         single = np.diff(begin) - repeated
-        prefix: list[list[int] | None] = [None] * len(ids)
+        chosen: list[list[dict] | None] = [None] * len(ids)
         for e in np.flatnonzero((repeated > 0) & (single <= differ)).tolist():
             a, b = begin[e], begin[e + 1]
             rank = np.lexsort((found[a:b], number[a:b]))[single[e]:differ[e] + 1]
+            lone = place[a:b][(number[a:b] == 1) & (place[a:b] >= 0)] % (64 * LONE_WORDS)
+            marks = np.zeros(64 * LONE_WORDS, np.uint8)
+            marks[lone] = 1
             own = int(owner[e])
-            prefix[own] = (prefix[own] or []) + found[a:b][rank].view(np.int64).tolist()
+            chosen[own] = [*(chosen[own] or []), {
+                "band": int(level[e]), "lone": np.packbits(marks, bitorder="little").view("<i8").tolist(),
+                "signatures": found[a:b][rank].view(np.int64).tolist()}]
         size = np.diff(where)
         digest = []
         for values in (hashes, mix(hashes ^ np.uint64(0x5851F42D4C957F2D))):
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
             digest.append(mix(sums[where[1:]] - sums[where[:-1]]).view(np.int64))
-        sets = [hashes[where[k]:where[k + 1]].tobytes() if p else None for k, p in enumerate(prefix)]
+        sets = [hashes[where[k]:where[k + 1]].tobytes() if c else None for k, c in enumerate(chosen)]
         return pa.Table.from_arrays(
             [pa.array(ids), pa.array(size), pa.array(digest[0]), pa.array(digest[1]),
-             pa.array(prefix, pa.list_(pa.int64())), pa.array(sets, pa.binary())],
-            ["doc_id", "n", "d1", "d2", "prefix", "hashes"])
+             pa.array(chosen, pa.list_(CHOSEN)), pa.array(sets, pa.binary())],
+            ["doc_id", "n", "d1", "d2", "chosen", "hashes"])
 
     return texts.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(run, SETS)
 
@@ -235,6 +250,38 @@ def near_size(n: Column, m: Column) -> Column:
     return (n * WHOLE >= m * SHARE) & (m * WHOLE >= n * SHARE)
 
 
+def may_link(a: str, b: str) -> Column:
+    """Whether sizes and lone partitions of two rows leave room for a link."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    lone = [F.bit_count(F.get(f"{a}.lone", F.lit(k)).bitwiseOR(F.get(f"{b}.lone", F.lit(k)))) for k in range(LONE_WORDS)]
+    return near_size(n, m) & (sum(lone[1:], lone[0]) * (WHOLE + SHARE) <= (n + m) * (WHOLE - SHARE))
+
+
+def placed(entry: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Entries with the component of their set."""
+    if found is None:
+        return entry.withColumn("component", F.col("doc_id"))
+    return (entry.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+            .withColumn("component", F.coalesce("component", "doc_id")))
+
+
+def open_entries(entry: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Entries, with components, of the signatures whose sets are in several components."""
+    now = placed(entry, found)
+    apart = now.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return now.join(apart.where("low < high").select("signature", "low"), "signature")
+
+
+def one_each(opened: DataFrame, turn: int) -> DataFrame:
+    """For every set beside the lowest component of a signature, one set of that component."""
+    order = F.struct(F.xxhash64("doc_id", F.lit(turn)), F.col("doc_id")) if turn else F.struct(F.lit(0), F.col("doc_id"))
+    inside = (opened.where("component = low").groupBy("signature")
+              .agg(F.min(order).alias("first")).select("signature", F.col("first.doc_id").alias("a")))
+    beside = opened.where("component > low").select("signature", F.col("doc_id").alias("b"))
+    return beside.join(inside, "signature").groupBy("b").agg(
+        F.min(F.struct(F.xxhash64("a", F.lit(turn)) if turn else F.lit(0), F.col("a"))).alias("s")).select(F.col("s.a").alias("a"), "b")
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; components of links with a Jaccard similarity of 3/4 or more."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -249,37 +296,37 @@ def near_groups(docs: DataFrame) -> DataFrame:
     classes = classes.where("copies > 1").drop("copies")
     known = rows.select("doc_id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left")
     member = stage_table(known.select("doc_id", "n", F.coalesce("class", "doc_id").alias("class")))
-    sets = stage_table(rows.where(F.col("prefix").isNotNull())
+    sets = stage_table(rows.where(F.col("chosen").isNotNull())
                        .join(member.where("doc_id <> class").select("doc_id").distinct(), "doc_id", "left_anti")
-                       .select("doc_id", "n", "prefix", "hashes"))
-
-    entry = stage_table(sets.select("doc_id", "n", F.explode("prefix").alias("signature")))
-    hubs = entry.groupBy("signature").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    hubs = stage_table(hubs)
-    star = (entry.join(hubs, "signature").where("doc_id <> hub")
-            .select(F.col("hub").alias("a"), F.col("doc_id").alias("b"), F.col("n").alias("m")).distinct())
-    sizes = sets.select(F.col("doc_id").alias("a"), "n")
-    star = stage_table(star.join(sizes, "a").where(near_size(F.col("n"), F.col("m"))).select("a", "b"))
-    links = stage_table(linked(star, sets))
-    found = stage_table(components(links))
-
-    # Sets of one signature that are still apart are compared with each other.
-    placed = (entry.join(hubs.where("members > 2").select("signature"), "signature", "left_semi")
-              .join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-              .select("signature", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")))
-    placed = stage_table(placed)
-    apart = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_ = stage_table(placed.join(apart.select("signature"), "signature", "left_semi"))
-    left = open_.select("signature", F.col("doc_id").alias("a"), "n", F.col("component").alias("p"))
-    right = open_.select("signature", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("component").alias("q"))
-    cross = (left.join(right, "signature").where((F.col("p") < F.col("q")) & near_size(F.col("n"), F.col("m")))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    more = stage_table(linked(stage_table(cross), sets))
+                       .select("doc_id", "n", "chosen", "hashes"))
+    bands = sets.select("doc_id", "n", F.explode("chosen").alias("c")).select("doc_id", "n", "c.*")
+    entry = bands.select("doc_id", "band", F.explode("signatures").alias("signature"))
+    several = entry.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("signature")
+    entry = stage_table(entry.join(several, "signature"))
+
+    links, found = None, None
+    for turn in range(ROUNDS):
+        fresh = stage_table(linked(one_each(stage_table(open_entries(entry, found)), turn), sets))
+        if not fresh.limit(1).count():
+            break
+        links = fresh if links is None else links.union(fresh)
+        found = stage_table(components(links))
+
+    # All pairs that are still apart, but for those that are ruled out.
+    marked = open_entries(entry, found).join(bands.select("doc_id", "band", "n", "lone"), ["doc_id", "band"])
+    marked = stage_table(marked.select("signature", "doc_id", "component", "n", "lone"))
+    pair = marked.alias("x").join(marked.alias("y"), (F.col("x.signature") == F.col("y.signature"))
+                                  & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
+    pair = pair.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+    more = stage_table(linked(stage_table(pair), sets))
     if more.limit(1).count():
-        found = components(links.union(more))
+        found = components(more if links is None else links.union(more))
 
-    out = member.join(found.withColumnRenamed("node", "class"), "class", "left")
+    out = member
+    if found is not None:
+        out = out.join(found.withColumnRenamed("node", "class"), "class", "left")
+    else:
+        out = out.withColumn("component", F.col("class"))
     real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     component = F.coalesce("component", "class")
     return out.select(real.alias("doc_id"), F.col("n").alias("n_shingles"),

@@ -346,7 +346,7 @@ def test_signatures_meet_for_all_similar_sets():
             continue
         values = np.concatenate([base, other])
         at = np.array([0, len(base), len(values)])
-        owner, differ, begin, found = partenum.signatures(values, at)
+        owner, _, differ, begin, found, _ = partenum.signatures(values, at)
         chosen = [set(), set()]
         for e, own in enumerate(owner.tolist()):
             ranked = sorted(found[begin[e]:begin[e + 1]].tolist(), key=lambda s: (s * 2654435761) % 1000003)
