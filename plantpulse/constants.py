@@ -64,6 +64,9 @@ MISSING_TOKENS = [
     "nan", "null",
 ]
 
+# Decimal and exponent forms; suffixes, hexadecimal and separators are garbage.
+NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
 # Failure codes and labels.
 FAILURE_CODES = [0, 1, 2]
 FAILURE_TYPES = ["Breakage", "Overheat"]

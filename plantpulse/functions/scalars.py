@@ -23,9 +23,9 @@ def parse_time(col: Column) -> Column:
 
 
 def parse_number(col: Column) -> Column:
-    """Double, null for garbage and for NaN."""
-    value = F.trim(col).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    """Double, null for anything that is not a plain decimal or exponent form."""
+    text = F.trim(col)
+    return F.when(text.rlike(C.NUMBER_PATTERN), text.try_cast("double"))
 
 
 def valid_failure(col: Column) -> Column:

@@ -81,8 +81,8 @@ def resolve_conflicts(rows: DataFrame, audit: bool = True,
     return out.join(conflict_audit(rows, out), CELL, "left")
 
 
-def conflict_audit(rows: DataFrame, cells: DataFrame) -> DataFrame:
-    """Audit text of every conflict: first values, count, median, verdict.
+def shown_values(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Conflicts with `shown`, their first rows in row order.
 
     At most five rows per cell reach the list: the ranked filter is applied
     before the shuffle as well as after it.
@@ -92,7 +92,12 @@ def conflict_audit(rows: DataFrame, cells: DataFrame) -> DataFrame:
              .filter(F.col("nth") <= SHOWN_VALUES)
              .groupBy(*CELL)
              .agg(F.sort_array(F.collect_list(F.struct("nth", *C.SENSORS, "failure"))).alias("shown")))
-    conflicts = cells.filter("n_rows > 1").join(shown, CELL)
+    return cells.filter("n_rows > 1").join(shown, CELL)
+
+
+def conflict_audit(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Audit text of every conflict: first values, count, median, verdict."""
+    conflicts = shown_values(rows, cells)
     more = F.when(F.col("n_rows") > SHOWN_VALUES, F.concat(
         F.lit(", ... +"), (F.col("n_rows") - SHOWN_VALUES).cast("string"), F.lit(" more"))).otherwise("")
 

@@ -102,8 +102,8 @@ def impute(rows: DataFrame) -> DataFrame:
             F.when(gone[c] & got[c], F.lit("NAN_CORRECTED"))
             .when(gone[c], F.lit("UNCERTAIN_NAN_CORRECTION")) for c in C.SENSORS])),
         "nan_correction_details": F.concat_ws("; ", *[
-            F.when(gone[c] & got[c], F.format_string(f"{c}: NaN -> %.4f", F.col(f"fill_{c}")))
-            .when(gone[c], F.lit(f"{c}: NaN not corrected; no valid non-outlier neighbors"))
+            F.when(gone[c] & got[c], F.format_string(f"{c} filled with %.4f", F.col(f"fill_{c}")))
+            .when(gone[c], F.lit(f"{c} stays empty: no usable neighbour"))
             for c in C.SENSORS]),
     }).withColumns({c: F.coalesce(F.col(c), F.col(f"fill_{c}")) for c in C.SENSORS}
                    ).drop(*[f"fill_{c}" for c in C.SENSORS])

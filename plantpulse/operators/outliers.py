@@ -36,9 +36,9 @@ def flag_outliers(rows: DataFrame, sigma: float = C.OUTLIER_SIGMA) -> DataFrame:
             for c in C.SENSORS}
     text = F.concat_ws("", *[
         F.when(hits[c], F.concat(
-            F.lit(f"[OUTLIER DETECTED] {c}="), S.fixed(F.col(c), 4), F.lit("; bornes=["),
-            S.fixed(F.col(f"low_{c}"), 2), F.lit("; "), S.fixed(F.col(f"high_{c}"), 2),
-            F.lit("] | "))) for c in C.SENSORS])
+            F.lit(f"{c} "), S.fixed(F.col(c), 4), F.lit(" lies outside "),
+            S.fixed(F.col(f"low_{c}"), 2), F.lit(" to "), S.fixed(F.col(f"high_{c}"), 2),
+            F.lit("; "))) for c in C.SENSORS])
     return (joined.withColumn("outlier_names", S.names_where(hits))
             .withColumn("is_outlier", (F.size("outlier_names") > 0).cast("int"))
             .withColumn("correction_details", text)
@@ -60,7 +60,7 @@ def correct_outliers(rows: DataFrame, radius: int = C.NEIGHBOUR_RADIUS) -> DataF
         f"new_{c}": F.when(F.array_contains("outlier_names", c), m) for c, m in medians.items()}))
     fixed = {c: F.col(f"new_{c}").isNotNull() for c in C.SENSORS}
     notes = F.concat_ws("", F.col("correction_details"), *[
-        F.when(fixed[c], F.concat(F.lit(f"{c}: "), S.fixed(F.col(c), 4), F.lit(" -> "),
+        F.when(fixed[c], F.concat(F.lit(f"{c} "), S.fixed(F.col(c), 4), F.lit(" replaced by "),
                                   S.fixed(F.col(f"new_{c}"), 4), F.lit("; "))) for c in C.SENSORS])
     return (seen.withColumn("correction_details", S.strip_right(notes, "; "))
             .withColumn("outlier_fixed", F.greatest(*[fixed[c] for c in C.SENSORS]))

@@ -42,11 +42,14 @@ def model_matrix(df: DataFrame) -> DataFrame:
 
 
 def row_position(machine, ts, cycle):
-    """Sortable row number for (machine, time, cycle); decimal keeps aggregates hashed."""
-    micros = F.unix_micros(ts).cast("decimal(20,0)") + F.lit(10 ** 17).cast("decimal(20,0)")
-    whole = (machine.cast("decimal(38,0)") * F.lit(10 ** 18).cast("decimal(19,0)")).cast("decimal(32,0)")
-    return ((whole + micros).cast("decimal(33,0)") * F.lit(100000).cast("decimal(6,0)")
-            + cycle.cast("decimal(5,0)")).cast("decimal(38,0)")
+    """Sortable row number for (machine, time, cycle), any ints; decimal keeps aggregates hashed.
+
+    Ten digits each for machine and cycle, eighteen for the time.
+    """
+    micros = F.unix_micros(ts).cast("decimal(18,0)") + F.lit(10 ** 17).cast("decimal(18,0)")
+    whole = (machine.cast("decimal(10,0)") * F.lit(10 ** 18).cast("decimal(19,0)")).cast("decimal(28,0)")
+    moved = ((whole + micros).cast("decimal(28,0)") * F.lit(10 ** 10).cast("decimal(11,0)")).cast("decimal(38,0)")
+    return (moved + cycle.cast("decimal(10,0)")).cast("decimal(38,0)")
 
 
 def model_rows(matrix: DataFrame, min_samples: int = C.MIN_SAMPLES) -> DataFrame:
@@ -76,8 +79,11 @@ def fit_scaler(rows: DataFrame, keys: list[str] = (KEY,)) -> DataFrame:
 
 def standardise(rows: DataFrame, scaler: DataFrame, key: str = KEY) -> DataFrame:
     """Add z_<feature>. The scaler has one row per model; a large model's rows
-    are split by the adaptive skew join when the scaler is not broadcast."""
+    are split by the adaptive skew join when the scaler is not broadcast. A row
+    whose model has no scaler is an error: it must not vanish."""
     parts = [f"{p}_{c}" for c in C.FEATURES for p in ("mean", "scale")]
-    joined = rows.join(scaler.select(key, *parts), key)
+    fitted = scaler.select(key, *parts, F.lit(True).alias("fitted"))
+    joined = rows.join(fitted, key, "left").withColumn(key, F.when(F.col("fitted"), F.col(key)).otherwise(
+        F.raise_error(F.concat(F.lit("no model for "), F.coalesce(F.col(key), F.lit("null")))).cast("string"))).drop("fitted")
     return joined.withColumns({
         f"z_{c}": (F.col(c) - F.col(f"mean_{c}")) / F.col(f"scale_{c}") for c in C.FEATURES}).drop(*parts)

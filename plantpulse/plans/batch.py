@@ -16,16 +16,19 @@ from . import training
 def ingest(spark: SparkSession, bronze: str, root: str, version: str | None = None) -> str | None:
     """Read bronze, write one version of silver and gold, refresh serving.
 
+    Files that cannot be used are listed, with a reason, in a layer of their own.
     Each layer is written before the next step reads it back, so a lost executor
     never recomputes past the last layer. Returns the version, or None when there
     was nothing to write.
     """
     use_utc(spark)
     version = version or layers.new_version(spark)
-    silver = silver_plan.silver(bronze_csv.read_sensors(spark, bronze))
+    files = bronze_csv.inspect_files(spark, bronze)
+    layers.write_layer(bronze_csv.rejected_files(spark, bronze, files), root, "rejected_files", version)
+    silver = silver_plan.silver(bronze_csv.read_sensors(spark, bronze, files))
     if not layers.write_layer(silver, root, "silver", version):
         return None
-    log = interventions.clean_interventions(bronze_csv.read_interventions(spark, bronze))
+    log = interventions.clean_interventions(bronze_csv.read_interventions(spark, bronze, files))
     layers.write_layer(log, root, "interventions", version)
     silver = layers.read_version(spark, root, "silver", version)
     log = layers.read_version(spark, root, "interventions", version) or log.limit(0)

@@ -49,10 +49,15 @@ def increments(samples: DataFrame, labels: list[str]) -> DataFrame:
 
 
 def increase(samples: DataFrame, labels: list[str], at: str, seconds: int) -> DataFrame:
-    """Rise of each series over the `seconds` before `at`."""
+    """Rise over the `seconds` before `at`, summed by `labels`.
+
+    Steps are taken per series, that is per full set of labels: counters of two
+    replicas count, and restart, for themselves.
+    """
     end = F.lit(at).cast("timestamp")
     recent = samples.filter((F.col("ts") > end - F.expr(f"INTERVAL {seconds} SECONDS")) & (F.col("ts") <= end))
-    return increments(recent, labels).groupBy(*labels).agg(F.coalesce(F.sum("step"), F.lit(0.0)).alias("increase"))
+    series = [c for c in samples.columns if c not in ("ts", "value")]
+    return increments(recent, series).groupBy(*labels).agg(F.coalesce(F.sum("step"), F.lit(0.0)).alias("increase"))
 
 
 def rate(samples: DataFrame, labels: list[str], at: str, seconds: int) -> DataFrame:

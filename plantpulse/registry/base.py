@@ -164,7 +164,7 @@ _STEPS: list[tuple[str, str]] = [
              ELSE k / 1e2 END AS anomaly_score, event_type = 'error' AS alert,
         CASE WHEN event_type <> 'error' THEN 'nominal' WHEN k >= 30 OR 5e-1 + 1e-2 * k >= 9e-1 THEN 'critical'
              ELSE 'warning' END AS alert_level FROM ev"""),
-    ("reqs", """SELECT event_id AS request_id, ts, machine_id,
+    ("reqs", """SELECT event_id AS request_id, ts, machine_id, 'api-' || (event_id % 2) AS instance,
         CASE WHEN event_type = 'error' THEN 'error' WHEN k < 3 THEN 'unavailable' ELSE 'ok' END AS status,
         value / 50e0 AS latency FROM ev"""),
 ]

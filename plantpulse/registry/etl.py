@@ -73,15 +73,58 @@ def _(spark, d):
         F.sum(F.col("temperature").cast("double")).alias("temperature"))
 
 
-@query("S04_bad_files_isolated", check(["bronze"], f"SELECT {_K}, count(*) AS n FROM bronze WHERE machine_id > 1 GROUP BY ALL"))
-def _(spark, d):
-    """Machine 1's file lacks columns and is left out; the others proceed."""
+def _uneven_files(spark, d):
+    """Bronze files of every kind: machine 1 lacks columns, 2 has 70 columns in another
+    order, 3 an index column without a name, 4 breaks off, and one bears no known name."""
     folder = scratch(spark)
     bronze = events_adapter.bronze(spark, d)
-    bronze_csv.write_sensors(bronze.filter("machine_id > 1"), f"{folder}/good")
-    (bronze.filter("machine_id = 1").select("timestamp", "failure")
-     .write.option("header", True).csv(f"{folder}/machine_1_targetcycle30.csv"))
-    return bronze_csv.read_sensors(spark, folder).groupBy(*C.SERIES).agg(F.count("*").alias("n"))
+
+    def put(name, rows, **options):
+        rows.coalesce(1).write.options(header=True, **options).csv(f"{folder}/{name}")
+
+    bronze_csv.write_sensors(bronze.filter("machine_id > 4"), folder)
+    put("machine_1_targetcycle30.csv", bronze.filter("machine_id = 1").select("timestamp", "failure"))
+    put("machine_2_targetcycle60.csv", bronze.filter("machine_id = 2").select(
+        *[F.lit(str(i)).alias(f"more_{i}") for i in range(61)], *reversed(C.BUSINESS)))
+    third = bronze.filter("machine_id = 3").select(F.col("row_id").alias("index"), *C.BUSINESS)
+    lines = third.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in third.columns]).alias("value"))
+    header = spark.createDataFrame([("," + ",".join(C.BUSINESS),)], "value string")
+    header.unionByName(lines).coalesce(1).write.text(f"{folder}/Machine_3_TargetCycle10.csv")
+    put("machine_4_targetcycle30.csv", bronze.filter("machine_id = 4").select(*C.BUSINESS), compression="gzip")
+    _cut_files(spark, f"{folder}/machine_4_targetcycle30.csv")
+    put("notes.csv", bronze.select("timestamp").limit(1))
+    return folder
+
+
+def _cut_files(spark, folder):
+    """Leave the first half of each part file, as a broken transfer does."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    parts = spark.read.format("binaryFile").load(folder).select("path", "content").collect()
+    for part in parts:
+        path = hadoop.fs.Path(part["path"])
+        stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+        stream.write(bytes(part["content"][:len(part["content"]) // 2]))
+        stream.close()
+
+
+@query("S04_bad_files_isolated", check(["bronze"], f"""SELECT {_K}, count(*) AS n, count(rpm) AS with_rpm, sum(voltage) AS voltage,
+    count(DISTINCT stamp) AS stamps FROM bronze WHERE machine_id NOT IN (1, 4) GROUP BY ALL""", ["voltage"]))
+def _(spark, d):
+    """Files that lack columns or break off are left out; the others proceed, columns by name."""
+    rows = bronze_csv.read_sensors(spark, _uneven_files(spark, d))
+    return rows.groupBy(*C.SERIES).agg(
+        F.count("*").alias("n"), F.count("rpm").alias("with_rpm"), F.sum(F.col("voltage").cast("double")).alias("voltage"),
+        F.count_distinct("timestamp").alias("stamps"))
+
+
+@query("S04_rejected_files", check(["bronze"], """SELECT 'machine_1_targetcycle30.csv' AS name, 'missing columns' AS reason,
+    any_value(7) AS n_missing FROM bronze UNION ALL SELECT 'machine_4_targetcycle30.csv', 'unreadable', 0 FROM bronze
+    UNION ALL SELECT 'notes.csv', 'unknown name', 0 FROM bronze""".replace("FROM bronze", "FROM (SELECT 1 FROM bronze LIMIT 1)")))
+def _(spark, d):
+    """The files left out, with their reasons."""
+    rejected = bronze_csv.rejected_files(spark, _uneven_files(spark, d))
+    return rejected.select(F.regexp_extract("file", r"([^/=]+\.csv)/", 1).alias("name"), "reason",
+                           F.size("missing").alias("n_missing"))
 
 
 @query("S05_union_by_name", check(["bronze", "raw_int"], """SELECT machine_id, kind, count(*) AS n, count(rpm) AS with_rpm,
@@ -170,12 +213,18 @@ def _(spark, d):
 
 # Validation and typing ----------------------------------------------------
 
-@query("P01_schema_check", """SELECT * FROM (VALUES ('missing', 'consumption_kWh'), ('missing', 'cycle_duration'),
-    ('missing', 'failure'), ('missing', 'temperature_C'), ('missing', 'voltage'), ('extra', 'failure_type'),
-    ('extra', 'temperature')) t("check", "column") WHERE EXISTS (SELECT 1 FROM events)""")
+_LACKING = ", ".join(f"'{c}'" for c in C.BUSINESS if c not in ("timestamp", "failure"))
+
+
+@query("P01_schema_check", check(["bronze"], f"""SELECT machine_id, 'missing' AS "check", unnest([{_LACKING}]) AS "column"
+    FROM (SELECT DISTINCT machine_id FROM bronze WHERE machine_id = 1) UNION ALL SELECT machine_id, 'extra', 'more_' || i
+    FROM (SELECT DISTINCT machine_id FROM bronze WHERE machine_id = 2), range(61) t(i)"""))
 def _(spark, d):
-    """The intervention log held against the sensor schema."""
-    return validation.column_table(events_adapter.bronze_interventions(spark, d), ["row_id", "machine_id"])
+    """Missing and extra columns of every sensor file, from its header."""
+    files = bronze_csv.inspect_files(spark, _uneven_files(spark, d)).filter("kind = 'sensors'")
+    machine = bronze_csv.name_part(F.col("file"), bronze_csv.SENSOR_NAME, 1).alias("machine_id")
+    parts = [files.select(machine, F.lit(check).alias("check"), F.explode(check).alias("column")) for check in ("missing", "extra")]
+    return parts[0].unionByName(parts[1])
 
 
 def _report_sql():
@@ -236,6 +285,32 @@ def _(spark, d):
     return _typed(spark, d).select("row_id", *C.SENSORS, "failure", "bad_failure")
 
 
+# The same value in forms that are numbers and in forms that only look like one.
+_FORMS = ["{}d", "{}f", "0x1p3", "1_000", " {} ", "{}e1", "-.5", "5."]
+_FORM_SQL = "CASE event_id % 8 WHEN 4 THEN value WHEN 5 THEN value * 10 WHEN 6 THEN -5e-1 WHEN 7 THEN 5e0 END"
+
+
+def _number_texts(spark, d):
+    rows = spark.read.parquet(f"{d}/events.parquet")
+    value = F.col("value").cast("decimal(18,4)").cast("string")
+    forms = [F.format_string(f.replace("{}", "%s"), value) if "{}" in f else F.lit(f) for f in _FORMS]
+    text = F.get(F.array(*forms), (F.col("event_id") % 8).cast("int"))
+    return rows.select("event_id", text.alias("rpm"), F.col("event_id").cast("string").alias("timestamp"))
+
+
+@query("P08_number_forms", check(["ev"], f"SELECT event_id, {_FORM_SQL} AS number FROM events", ["number"]))
+def _(spark, d):
+    return _number_texts(spark, d).select("event_id", S.parse_number(F.col("rpm")).alias("number"))
+
+
+@query("P02_number_forms", check(["ev"], """SELECT event_id % 8 AS form, count(*) FILTER (event_id % 8 < 4) AS n FROM events GROUP BY ALL"""))
+def _(spark, d):
+    """Rows whose text is no number, by form."""
+    rows = _number_texts(spark, d).withColumn("form", F.col("event_id") % 8)
+    report = validation.content_report(rows, ["form"])
+    return report.filter("column = 'rpm' AND check = 'unparseable'").select("form", "n")
+
+
 @query("P10_quality_flags", check(["typed"], """SELECT row_id, coalesce(nullif(array_to_string(
     [CASE WHEN bad_failure = 1 THEN 'INVALID_FAILURE_VALUE' END, CASE WHEN row_id % 5 = 0 THEN 'SEEN' END], '|'), ''), 'OK')
     AS quality_flag FROM typed"""))
@@ -305,10 +380,24 @@ def _(spark, d):
             .groupBy(*C.SERIES, "failure", "dup").agg(F.count("*").alias("n")))
 
 
-@query("A05_conflict_audit")
+_MEASURES = [*C.SENSORS, "failure"]
+_AUDIT = " UNION ALL ".join(
+    f"""SELECT {_K}, ts, '{c}' AS measure, n_rows, {", ".join(f"max(CAST(v.{c} AS DOUBLE)) FILTER (nth = {i}) AS v{i}" for i in range(1, 6))},
+    max(CAST(cells.{c} AS DOUBLE)) AS outcome FROM cells JOIN (SELECT *, row_number() OVER (PARTITION BY {_K}, ts ORDER BY row_id) AS nth
+    FROM dedup) v USING ({_K}, ts) WHERE n_rows > 1 GROUP BY {_K}, ts, n_rows""" for c in _MEASURES)
+
+
+@query("A05_conflict_audit", check(["cells"], f'SELECT * EXCLUDE (ts), ts AS "timestamp" FROM ({_AUDIT})',
+                                   [f"v{i}" for i in range(1, 6)] + ["outcome"]))
 def _(spark, d):
+    """What the audit text of each conflict says, as columns."""
     rows = _dedup(spark, d)
-    return conflicts.conflict_audit(rows, conflicts.resolve_conflicts(rows, audit=False))
+    shown = conflicts.shown_values(rows, conflicts.resolve_conflicts(rows, audit=False))
+    measure = F.explode(F.array(*[F.struct(
+        F.lit(c).alias("measure"), F.col(f"shown.{c}").cast("array<double>").alias("v"),
+        F.col(c).cast("double").alias("outcome")) for c in _MEASURES])).alias("m")
+    return shown.select(*conflicts.CELL, F.col("n_rows").cast("long").alias("n_rows"), measure).select(
+        *conflicts.CELL, "n_rows", "m.measure", "m.outcome", *[F.get("m.v", F.lit(i)).alias(f"v{i + 1}") for i in range(5)])
 
 
 @query("J06_conflict_membership", check(["dedup"], f"""SELECT side, count(*) AS n FROM (SELECT CASE WHEN count(*) OVER
@@ -336,7 +425,7 @@ def _(spark, d):
     fixed AS is_failure_nan_corrected, CASE WHEN unsure THEN 1 ELSE 0 END AS unsure FROM repaired"""))
 def _(spark, d):
     rows = failure_repair.repair_failure(_hourly(spark, d))
-    unsure = F.coalesce(F.col("failure_rule") == "UNCERTAIN_FAILURE_CORRECTION", F.lit(False)).cast("int")
+    unsure = F.coalesce(F.col("failure_rule") == "undecided", F.lit(False)).cast("int")
     return rows.select(*C.SERIES, "timestamp", "failure", "is_failure_nan_corrected", unsure.alias("unsure"))
 
 

@@ -13,7 +13,7 @@ from ..plans import supervised, training
 from ..session import stage_table
 from ..sources import events_adapter, layers
 from .base import check, each, query
-from .etl import _gold, scratch
+from .etl import _GOLD_SQL, _GOLD_STEPS, _gold, scratch
 
 _F = ", ".join(C.FEATURES)
 _LIMIT = C.EPS ** 2
@@ -316,19 +316,34 @@ def _labelled_gold(spark, d):
     return _LABELLED_GOLD[key]
 
 
-@query("ML01_failure_classifier")
+_ML_GOLD = [*_GOLD_STEPS, ("gold", _GOLD_SQL), ("late", """SELECT g.*, (SELECT count(*) FROM interv i WHERE i.machine_id = g.machine_id
+    AND i.ts >= g.timestamp) > 0 AS known FROM (SELECT *, floor(epoch_us("timestamp") / 1e6) AS s,
+    min(floor(epoch_us("timestamp") / 1e6)) OVER (PARTITION BY machine_id) AS lo,
+    max(floor(epoch_us("timestamp") / 1e6)) OVER (PARTITION BY machine_id) AS hi FROM gold) g WHERE s > lo + 8e-1 * (hi - lo)""")]
+
+
+@query("ML01_failure_classifier", check(["silver", "interv"], """SELECT count(*) AS n_test, count(*) FILTER (failure > 0) AS n_failed,
+    true AS beats_majority FROM late""", extra=_ML_GOLD))
 def _(spark, d):
-    return supervised.failure_classifier(*supervised.split(_labelled_gold(spark, d)))
+    """Scores every test row, and no worse than always naming the commoner class."""
+    out = supervised.failure_classifier(*supervised.split(_labelled_gold(spark, d)))
+    share = F.greatest(F.col("n_failed"), F.col("n_test") - F.col("n_failed")) / F.col("n_test")
+    return out.select("n_test", "n_failed", (F.col("accuracy") >= share).alias("beats_majority"))
 
 
-@query("ML02_type_classifier")
+@query("ML02_type_classifier", check(["silver", "interv"], """SELECT sum(n) AS n_test, count(*) AS n_classes, true AS beats_majority
+    FROM (SELECT failure_type, count(*) AS n FROM late GROUP BY 1)""", extra=_ML_GOLD))
 def _(spark, d):
-    return supervised.type_classifier(*supervised.split(_labelled_gold(spark, d)))
+    out = supervised.type_classifier(*supervised.split(_labelled_gold(spark, d)))
+    return out.select("n_test", "n_classes", (F.col("accuracy") >= F.col("n_commonest") / F.col("n_test")).alias("beats_majority"))
 
 
-@query("ML03_remaining_hours_regressor")
+@query("ML03_remaining_hours_regressor", check(["silver", "interv"], "SELECT count(*) AS n_test, true AS bounded FROM late WHERE known",
+                                               extra=_ML_GOLD))
 def _(spark, d):
-    return supervised.remaining_hours_regressor(*supervised.split(_labelled_gold(spark, d)))
+    """Scores every test row with a next intervention; the error stays near that of the training mean."""
+    out = supervised.remaining_hours_regressor(*supervised.split(_labelled_gold(spark, d)))
+    return out.select("n_test", (F.col("mae") <= 1.25 * F.col("mae_of_mean")).alias("bounded"))
 
 
 @query("ML04_remaining_hours_label", check(["sens", "interv"], """SELECT s.row_id,

@@ -169,7 +169,7 @@ simple("J05_noisy_readings", ["sens", "pred"], """SELECT "timestamp" AS time, CA
 
 
 def _lead(spark, d):
-    anomalies = _pred(spark, d).filter("anomaly_score = 1").withColumnRenamed("recorded_at", "timestamp")
+    anomalies = _pred(spark, d).filter("anomaly").withColumnRenamed("recorded_at", "timestamp")
     return M.lead_time(anomalies, _int(spark, d))
 
 
@@ -178,7 +178,7 @@ simple("J10_lead_time", ["pred", "interv"], """SELECT measure, hits, total, CAST
          AND i.ts >= a.t AND i.ts <= a.t + INTERVAL 24 HOUR)) AS hits, count(*) AS total FROM ano a
        UNION ALL SELECT 'interventions preceded', count(*) FILTER (EXISTS (SELECT 1 FROM ano a WHERE a.machine_id = i.machine_id
          AND a.t <= i.ts AND a.t >= i.ts - INTERVAL 24 HOUR)), count(*) FROM ints i)""", _lead, ["share"],
-       [("ano", "SELECT DISTINCT machine_id, recorded_at AS t FROM pred WHERE anomaly_score = 1"),
+       [("ano", "SELECT DISTINCT machine_id, recorded_at AS t FROM pred WHERE anomaly"),
         ("ints", "SELECT DISTINCT machine_id, ts FROM interv")])
 
 # Set operations and scalars -----------------------------------------------
@@ -302,7 +302,8 @@ def _(spark, d):
         tried.append(batch_id)
         if len(tried) == 1:
             raise OSError("sink not reachable")
-        serving.append_batch(events_adapter.predictions_of(batch), root, "predictions", str(batch_id))
+        serving.append_batch(events_adapter.predictions_of(batch), root, "predictions", str(batch_id),
+                             serving.stream_name(batch.sparkSession))
 
     for _ in range(2):
         running = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/state")
@@ -327,7 +328,7 @@ def _(spark, d):
     early = F.col("timestamp") < F.lit("2024-01-16").cast("timestamp")
     for batch_id, (version, part) in enumerate((("v1", rows.filter(early)), ("v2", rows.filter(~early)))):
         layers.save_model(model(spark, d), f"{root}/models", version)
-        live.score_batch(spark, part, batch_id, f"{root}/models", f"{root}/serving")
+        live.score_batch(spark, part, batch_id, f"{root}/models", f"{root}/serving", stream="test")
     return (serving.read_table(spark, f"{root}/serving", "predictions")
             .groupBy("model_version").agg(F.count("*").alias("n")))
 
@@ -370,15 +371,16 @@ def _(spark, d):
 
 # Rates: hourly samples stand in for scrapes, so windows are hours, not minutes.
 AT = "2024-01-20 06:30:00"
-_SAMPLES = ("samples", """SELECT ts, label, CAST(sum(n) OVER (PARTITION BY label, date_trunc('day', ts) ORDER BY ts) AS DOUBLE) AS value
-    FROM (SELECT date_trunc('hour', ts)::TIMESTAMP AS ts, status AS label, count(*) AS n FROM reqs GROUP BY 1, 2)""")
-_BUCKETS = ("samples", f"""SELECT ts, label, CAST(sum(n) OVER (PARTITION BY label, date_trunc('day', ts) ORDER BY ts) AS DOUBLE) AS value
-    FROM (SELECT date_trunc('hour', ts)::TIMESTAMP AS ts, le AS label, count(*) FILTER (latency <= le) AS n FROM reqs, (VALUES {_LE}) t(le) GROUP BY 1, 2)""")
+_SAMPLE = """SELECT ts, instance, label, CAST(sum(n) OVER (PARTITION BY instance, label, date_trunc('day', ts) ORDER BY ts) AS DOUBLE) AS value
+    FROM (SELECT date_trunc('hour', {ts})::TIMESTAMP AS ts, {instance} AS instance, {label} AS label, count(*){n} AS n FROM {rows} GROUP BY 1, 2, 3)"""
+_SAMPLES = ("samples", _SAMPLE.format(ts="ts", instance="instance", label="status", n="", rows="reqs"))
+_BUCKETS = ("samples", _SAMPLE.format(ts="ts", instance="instance", label="le", n=" FILTER (latency <= le)",
+                                      rows=f"reqs, (VALUES {_LE}) t(le)"))
 
 
 def _rise(hours: int) -> tuple[str, str]:
     return ("rise", f"""SELECT label, coalesce(sum(CASE WHEN value >= p THEN value - p WHEN p IS NOT NULL THEN value END), 0) AS inc
-        FROM (SELECT *, lag(value) OVER (PARTITION BY label ORDER BY ts) AS p FROM samples
+        FROM (SELECT *, lag(value) OVER (PARTITION BY instance, label ORDER BY ts) AS p FROM samples
         WHERE ts > TIMESTAMP '{AT}' - INTERVAL {hours} HOUR AND ts <= TIMESTAMP '{AT}') GROUP BY label""")
 
 
@@ -391,6 +393,12 @@ simple("ST09_rate", ["reqs"], "SELECT label AS status, inc / 43200 AS rate FROM
 simple("ST10_increase", ["reqs"], "SELECT sum(inc) AS value FROM rise WHERE label <> 'ok'",
        lambda s, d: metrics.increase(_counters(s, d), ["status"], AT, 24 * 3600).filter("status <> 'ok'").agg(F.sum("increase").alias("value")),
        ["value"], [_SAMPLES, _rise(24)])
+for _what, _label, _rows in (("predictions", "machine_id", "pred"), ("alerts", "alert_level", "pred"),
+                            ("anomalies", "machine_id", "pred WHERE anomaly")):
+    simple(f"ST10_{_what}_increase", ["pred"], f"SELECT label AS {_label}, inc AS value FROM rise",
+           lambda s, d, w=_what, c=_label: metrics.increase(events_adapter.label_samples(s, d, w, c), [c], AT, 24 * 3600)
+           .withColumnRenamed("increase", "value"), ["value"],
+           [("samples", _SAMPLE.format(ts="recorded_at", instance="'api-' || (event_id % 2)", label=_label, n="", rows=_rows)), _rise(24)])
 simple("ST11_error_ratio", ["reqs"], """SELECT coalesce(sum(inc) FILTER (label = 'error'), 0) / 43200 / greatest(sum(inc) / 43200, 1e-9) AS value FROM rise""",
        lambda s, d: metrics.error_ratio(_counters(s, d), AT, 12 * 3600), ["value"], [_SAMPLES, _rise(12)])
 simple("ST12_latency_quantiles", ["reqs"], """SELECT q, CASE WHEN isinf(label) THEN low ELSE low + (label - low) * (q * total - below) / nullif(inc - below, 0) END AS value

@@ -1,18 +1,33 @@
-"""Bronze CSV files: sensors and interventions."""
+"""Bronze CSV files: sensors and interventions.
+
+Every file is looked at once for its first line, and the files that cannot be used
+are listed with a reason. The others are read by Spark's CSV source, one scan per
+header layout, so column order, extra columns and empty header cells may vary by file.
+"""
 
 from __future__ import annotations
 
+import csv
+import re
+import zlib
+from collections.abc import Iterator
+from functools import reduce
+
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..session import stage_table
 
 # Names of the bronze files; a folder of part files may bear the
-# name as well.
-SENSOR_NAME = r"(?i)machine_(\d+)_targetcycle(\d+)\.csv(?:/[^/]+)?$"
-INTERVENTION_NAME = r"(?i)intervention_data_machine(\d+)\.csv(?:/[^/]+)?$"
+# name as well. Numbers fit an int.
+SENSOR_NAME = r"(?i)machine_(\d{1,9})_targetcycle(\d{1,9})\.csv(?:/[^/]+)?$"
+INTERVENTION_NAME = r"(?i)intervention_data_machine(\d{1,9})\.csv(?:/[^/]+)?$"
 INTERVENTION_COLUMNS = ["timestamp", "failure_type", "temperature", "rpm", "vibration", "pressure"]
-MAX_COLUMNS = 64
+
+FOUND = "file string, kind string, header string, missing array<string>, extra array<string>, reason string"
 
 
 def name_part(path: Column, pattern: str, group: int) -> Column:
@@ -20,71 +35,134 @@ def name_part(path: Column, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(path, pattern, group), F.lit("")).cast("int")
 
 
-def _lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """Lines of the matching files with file and a line order.
-
-    Order is (block start, position in the task): rows of a block are read by
-    one task in order, so the number is stable under retries.
+def _globs(folder: str) -> list[str]:
+    """One level: archived copies in other folders are no input."""
+    return [f"{folder}/*.[cC][sS][vV]"]
+
+
+def column_names(header: str) -> list[str]:
+    """Names by position; empty and repeated cells get a name that nothing asks for."""
+    cells = [c.strip() for c in next(csv.reader([header.lstrip("﻿")]), [])]
+    return [c if c and c not in cells[:i] else f"_unnamed_{i}" for i, c in enumerate(cells)]
+
+
+def _whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whether compressed files end where their format says."""
+    for batch in batches:
+        out = []
+        for content in batch["content"]:
+            data, whole = bytes(content), True
+            try:
+                while data and whole:
+                    unpack = zlib.decompressobj(zlib.MAX_WBITS | 16)
+                    while data and not unpack.eof:
+                        unpack.decompress(data, 1 << 20)
+                        more = unpack.unconsumed_tail
+                        if not more and not unpack.eof:
+                            break
+                        data = more
+                    whole = unpack.eof
+                    data = unpack.unused_data
+            except zlib.error:
+                whole = False
+            out.append(whole)
+        yield pd.DataFrame({"file": batch["file"], "whole": out})
+
+
+def inspect_files(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per CSV file of the folder: kind, header, missing and extra columns, and the reason against it.
+
+    Reasons: `unknown name`, `empty`, `unreadable` (a compressed file that breaks off,
+    or one that gives no line), `missing columns`. Null: the file is used, whole.
+    """
+    try:
+        listed = spark.read.format("binaryFile").load(_globs(folder))
+        text = spark.read.option("ignoreCorruptFiles", True).text(_globs(folder))
+        # The index writes an empty authority as three slashes, the scan as one.
+        names = [re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):///", r"\1:/", n) for n in text.inputFiles()]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], FOUND)
+    path = F.col("_metadata.file_path").alias("file")
+    # Scans skip files without a byte; the index knows them.
+    files = spark.createDataFrame([(n,) for n in names], "file string").join(listed.select(path, "length"), "file", "left")
+    packed = listed.filter(F.col("path").rlike(r"(?i)\.gz$")).select(path, "content")
+    torn = packed.mapInPandas(_whole, "file string, whole boolean").filter("NOT whole").select("file", F.lit(True).alias("torn"))
+    # The first line lies in the first block; a block is read by one task in order.
+    lines = text.filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+    first = lines.select(path, F.monotonically_increasing_id().alias("nth"),
+                         "value").groupBy("file").agg(F.min_by("value", "nth").alias("header"))
+    found = files.join(first, "file", "left").join(torn, "file", "left")
+    kind = (F.when(F.col("file").rlike(INTERVENTION_NAME), "interventions")
+            .when(F.col("file").rlike(SENSOR_NAME), "sensors"))
+    rows = found.withColumn("kind", kind)
+    needs = {"sensors": C.BUSINESS, "interventions": INTERVENTION_COLUMNS}
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for r in batch.itertuples():
+                names = column_names(r.header) if isinstance(r.header, str) else []
+                needed = needs.get(r.kind, [])
+                missing = sorted(set(needed) - set(names))
+                extra = [c for c in names if c not in needed and not c.startswith("_unnamed_")]
+                reason = ("unknown name" if r.kind is None else "empty" if not r.length > 0 else
+                          "unreadable" if r.torn is True or not names else "missing columns" if missing else None)
+                out.append((r.file, r.kind, r.header, missing, extra, reason))
+            yield pd.DataFrame(out, columns=["file", "kind", "header", "missing", "extra", "reason"])
+
+    return stage_table(rows.select("file", "kind", "header", "torn", "length").mapInPandas(compare, FOUND))
+
+
+def _read(spark: SparkSession, files: DataFrame, kind: str, columns: list[str], multiline: bool) -> DataFrame:
+    """All rows of the usable files as text, with file and a stable row order.
+
+    One scan per layout. The paths of a scan are held by the driver, as every file
+    index is. The order is (block start, position in the task): a block is read by one
+    task in order, so numbers are stable under retries.
     """
+    good = files.filter(F.col("reason").isNull() & (F.col("kind") == kind))
+    layouts = good.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
     block = F.floor(F.col("_metadata.file_block_start") / 65536)
     order = F.shiftleft(block, 33) + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    lines = (spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", True)
-             .text(folder).select(F.col("_metadata.file_path").alias("file"), order.alias("row_id"), "value"))
-    return lines.filter(F.regexp_like("file", F.lit(pattern)) & (F.trim("value") != ""))
-
-
-def _fields(line: Column) -> Column:
-    schema = ", ".join(f"c{i} string" for i in range(MAX_COLUMNS))
-    parsed = F.from_csv(line, schema)
-    return F.array(*[parsed[f"c{i}"] for i in range(MAX_COLUMNS)])
-
-
-def file_headers(lines: DataFrame, required: list[str]) -> DataFrame:
-    """One row per file: first line, its column names and the missing ones.
-
-    The first line lies in the file's first block. Its number is found by a
-    hash aggregate over longs, then its text by a join on that number.
+    scans = []
+    for layout in layouts:
+        names = column_names(layout["header"])
+        schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+        rows = (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multiline)
+                .csv(layout["files"]))
+        scans.append(rows.select(F.col("_metadata.file_path").alias("file"), order.alias("row_id"),
+                                 *[F.col(f"`{c}`") for c in columns]))
+    if not scans:
+        return spark.createDataFrame([], "file string, row_id long, " + ", ".join(f"{c} string" for c in columns))
+    return reduce(DataFrame.unionByName, scans)
+
+
+def read_sensors(spark: SparkSession, folder: str, files: DataFrame | None = None, multiline: bool = False) -> DataFrame:
+    """All bronze sensor rows as text, with the keys from the file name.
+
+    `files` is the result of `inspect_files`, if it is known already; `multiline`
+    allows line breaks within quotes, at the cost of one task per file.
     """
-    heads = lines.filter(F.col("row_id") < (1 << 33))
-    first = heads.groupBy("file").agg(F.min("row_id").alias("row_id"))
-    first = heads.join(first, ["file", "row_id"]).select(
-        "file", F.col("row_id").alias("header_row"), F.col("value").alias("header"))
-    names = F.array_compact(F.transform(_fields(F.col("header")), F.trim))
-    needed = F.array(*[F.lit(c) for c in required])
-    return (first.withColumn("names", names)
-            .withColumn("missing", F.array_sort(F.array_except(needed, "names")))
-            .withColumn("extra", F.array_except("names", needed)))
-
-
-def _by_name(lines: DataFrame, headers: DataFrame, columns: list[str]) -> DataFrame:
-    """Pick columns by the header of each file: column order varies by file."""
-    good = headers.filter(F.size("missing") == 0).select("file", "header_row", "names")
-    body = lines.join(good, "file").filter(F.col("row_id") != F.col("header_row"))
-    fields = body.withColumn("fields", _fields(F.col("value")))
-    return fields.select("file", "row_id", *[
-        F.get("fields", (F.array_position("names", c) - 1).cast("int")).alias(c) for c in columns])
-
-
-def read_sensors(spark: SparkSession, folder: str) -> DataFrame:
-    """All bronze sensor rows as text, with the keys from the file name."""
-    lines = _lines(spark, folder, SENSOR_NAME)
-    rows = _by_name(lines, file_headers(lines, C.BUSINESS), C.BUSINESS)
-    return rows.withColumns({
+    files = inspect_files(spark, folder) if files is None else files
+    return _read(spark, files, "sensors", C.BUSINESS, multiline).withColumns({
         "machine_id": name_part(F.col("file"), SENSOR_NAME, 1),
         "target_cycle": name_part(F.col("file"), SENSOR_NAME, 2),
     }).drop("file")
 
 
-def read_interventions(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _lines(spark, folder, INTERVENTION_NAME)
-    rows = _by_name(lines, file_headers(lines, INTERVENTION_COLUMNS), INTERVENTION_COLUMNS)
+def read_interventions(spark: SparkSession, folder: str, files: DataFrame | None = None,
+                       multiline: bool = False) -> DataFrame:
+    files = inspect_files(spark, folder) if files is None else files
+    rows = _read(spark, files, "interventions", INTERVENTION_COLUMNS, multiline)
     return rows.withColumn("machine_id", name_part(F.col("file"), INTERVENTION_NAME, 1)).drop("file")
 
 
-def rejected_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Sensor files left out for missing columns; the others proceed."""
-    headers = file_headers(_lines(spark, folder, SENSOR_NAME), C.BUSINESS)
-    return headers.filter(F.size("missing") > 0).select("file", "missing")
+def rejected_files(spark: SparkSession, folder: str, files: DataFrame | None = None) -> DataFrame:
+    """Files left out, with the reason; the others proceed."""
+    files = inspect_files(spark, folder) if files is None else files
+    return files.filter(F.col("reason").isNotNull()).select("file", "reason", "missing")
 
 
 def write_sensors(df: DataFrame, folder: str) -> None:

@@ -130,7 +130,7 @@ def predictions_of(raw: DataFrame) -> DataFrame:
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scoring request per event: outcome and latency in seconds."""
     return events(spark, sf_dir).select(
-        F.col("event_id").alias("request_id"), "ts", "machine_id",
+        F.col("event_id").alias("request_id"), "ts", "machine_id", _instance(F.col("event_id")).alias("instance"),
         F.when(F.col("event_type") == "error", "error")
         .when(F.col("k") < 3, "unavailable").otherwise("ok").alias("status"),
         (F.col("value") / 50.0).alias("latency"),
@@ -138,20 +138,34 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly samples of request counters per status; each restarts every day."""
-    hourly = (request_log(spark, sf_dir)
-              .groupBy("status", F.date_trunc("hour", "ts").alias("ts"))
-              .agg(F.count("*").alias("n")))
-    day = (Window.partitionBy("status", F.date_trunc("day", "ts")).orderBy("ts"))
-    return hourly.select("ts", "status", F.sum("n").over(day).cast("double").alias("value"))
+    """Hourly samples of request counters per replica and status; each restarts every day."""
+    return _counted(request_log(spark, sf_dir), ["instance", "status"])
+
+
+def label_samples(spark: SparkSession, sf_dir: str, what: str, label: str) -> DataFrame:
+    """Hourly samples per replica of the counters `predictions`, `alerts` or `anomalies` by a label."""
+    rows = predictions(spark, sf_dir).withColumn("instance", _instance(F.col("event_id")))
+    rows = rows.filter("anomaly") if what == "anomalies" else rows
+    return _counted(rows.withColumnRenamed("recorded_at", "ts"), ["instance", label])
+
+
+def _instance(event_id):
+    """The replica that served an event."""
+    return F.concat(F.lit("api-"), (event_id % 2).cast("string"))
+
+
+def _counted(rows: DataFrame, series: list[str]) -> DataFrame:
+    hourly = rows.groupBy(*series, F.date_trunc("hour", "ts").alias("ts")).agg(F.count("*").alias("n"))
+    day = Window.partitionBy(*series, F.date_trunc("day", "ts")).orderBy("ts")
+    return hourly.select("ts", *series, F.sum("n").over(day).cast("double").alias("value"))
 
 
 def bucket_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly samples of the cumulative latency buckets; restart every day."""
     bounds = F.array(*[F.lit(b) for b in C.LATENCY_BOUNDS], F.lit(float("inf")))
     hourly = (request_log(spark, sf_dir)
-              .select("ts", "latency", F.explode(bounds).alias("le"))
-              .groupBy("le", F.date_trunc("hour", "ts").alias("ts"))
+              .select("ts", "instance", "latency", F.explode(bounds).alias("le"))
+              .groupBy("instance", "le", F.date_trunc("hour", "ts").alias("ts"))
               .agg(F.count_if(F.col("latency") <= F.col("le")).alias("n")))
-    day = Window.partitionBy("le", F.date_trunc("day", "ts")).orderBy("ts")
-    return hourly.select("ts", "le", F.sum("n").over(day).cast("double").alias("value"))
+    day = Window.partitionBy("instance", "le", F.date_trunc("day", "ts")).orderBy("ts")
+    return hourly.select("ts", "instance", "le", F.sum("n").over(day).cast("double").alias("value"))

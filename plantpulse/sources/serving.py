@@ -56,9 +56,20 @@ def prediction_rows(df: DataFrame, model_version: str) -> DataFrame:
             .select(*C.PREDICTION_TABLE))
 
 
-def append_batch(df: DataFrame, root: str, table: str, batch: str) -> None:
-    """Append one batch; repeating the same batch replaces it."""
-    df.write.mode("overwrite").parquet(f"{root}/{table}/batch={batch}")
+def append_batch(df: DataFrame, root: str, table: str, batch: str, stream: str = "job") -> None:
+    """Append one batch of a stream; repeating the same batch replaces it.
+
+    Batch ids start at 0 in every stream, so the stream is part of the key.
+    """
+    df.write.mode("overwrite").parquet(f"{root}/{table}/stream={stream}/batch={batch}")
+
+
+def stream_name(spark: SparkSession) -> str:
+    """Id of the stream whose batch runs; a stream keeps it over restarts from its checkpoint."""
+    name = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not name:
+        raise RuntimeError("not inside a batch of a stream; name the stream")
+    return name
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -13,24 +13,26 @@ from ..sources import layers, serving
 
 
 def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, models: str, out: str,
-                stamp=None, eps: float = C.EPS, threshold: float = C.ALERT_THRESHOLD) -> None:
+                stamp=None, eps: float = C.EPS, threshold: float = C.ALERT_THRESHOLD, stream: str | None = None) -> None:
     """Clamp, shape, validate and score one batch; store sensors and predictions.
 
     The newest model is looked up per batch, so a retrained one takes over at
-    the next batch. Outputs are keyed by batch id: a repeated batch replaces
-    itself. Rows that fail validation go to a quarantine table.
+    the next batch. Outputs are keyed by stream and batch id: a repeated batch
+    replaces itself. Rows that fail validation go to a quarantine table. Without
+    a model the batch fails, so it is not committed and comes again.
     """
-    records = scoring.sensor_records(batch, stamp)
-    serving.append_batch(records, out, "sensor_data", str(batch_id))
-    readings = scoring.to_readings(records, extra=["timestamp"])
-    good, bad = scoring.valid_readings(readings)
-    serving.append_batch(bad, out, "quarantine", str(batch_id))
     model = layers.load_model(spark, models)
     if model is None:
-        return
+        raise RuntimeError(f"no model under {models}; batch {batch_id} waits")
     version, scaler, reference = model
+    stream = stream or serving.stream_name(spark)
+    records = scoring.sensor_records(batch, stamp)
+    serving.append_batch(records, out, "sensor_data", str(batch_id), stream)
+    readings = scoring.to_readings(records, extra=["timestamp"])
+    good, bad = scoring.valid_readings(readings)
+    serving.append_batch(bad, out, "quarantine", str(batch_id), stream)
     scored = scoring.score(good, scaler, reference, eps, threshold).withColumnRenamed("timestamp", "recorded_at")
-    serving.append_batch(serving.prediction_rows(scored, version), out, "predictions", str(batch_id))
+    serving.append_batch(serving.prediction_rows(scored, version), out, "predictions", str(batch_id), stream)
 
 
 def live_scoring(stream: DataFrame, models: str, out: str, checkpoint: str,

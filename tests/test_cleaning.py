@@ -19,13 +19,13 @@ BRONZE = "machine_id int, target_cycle int, row_id long, " + ", ".join(f"{c} str
 
 # Values of the seven-row sample: a null, a bad date and a conflict.
 SAMPLE = [
-    ("2026-01-01 00:00:00", 17.95, 46.87, 1.18, 50.49, 37.10, 1467.69, 229.55, 0),
-    ("2026-01-01 01:00:00", 14.86, 41.61, 0.79, 46.65, 36.25, 1443.81, 231.08, 0),
-    ("2026-01-01 02:00:00", 14.90, 50.94, 1.20, 52.08, 31.74, 1578.17, None, None),
-    ("2026-01-01 03:00:00", 21.64, 68.71, 1.32, 44.56, 33.17, 1470.12, 230.13, 0),
-    ("not-a-date", 14.66, 56.12, 0.81, 52.57, 33.70, 1471.65, 230.87, 0),
-    ("2026-01-01 04:00:00", 250.0, 49.32, 1.38, 54.23, 37.79, 1521.57, 227.61, 0),
-    ("2026-01-01 04:00:00", 15.66, 50.0, 1.0, 50.0, 35.0, 1500.0, 230.0, 0),
+    ("2026-03-02 10:00:00", 20.5, 55.25, 0.9, 48.0, 33.0, 1490.0, 230.5, 0),
+    ("2026-03-02 11:00:00", 18.75, 52.5, 1.1, 47.5, 34.5, 1502.0, 229.0, 0),
+    ("2026-03-02 12:00:00", 19.0, 60.0, 1.05, 49.0, 35.5, 1511.0, None, None),
+    ("2026-03-02 13:00:00", 22.25, 58.75, 0.95, 50.5, 32.5, 1485.0, 231.5, 0),
+    ("someday", 17.0, 51.0, 1.0, 46.0, 36.0, 1495.0, 228.0, 0),
+    ("2026-03-02 14:00:00", 300.0, 57.0, 1.2, 51.0, 37.0, 1520.0, 227.0, 0),
+    ("2026-03-02 14:00:00", 16.5, 56.0, 1.0, 49.5, 36.5, 1500.0, 232.0, 0),
 ]
 
 
@@ -50,28 +50,28 @@ def silver_rows(spark, rows, **kw):
 
 def test_sample_end_to_end(spark):
     rows = silver_rows(spark, SAMPLE)
-    assert [r["timestamp"].hour for r in rows] == [0, 1, 2, 3, 4]
+    assert [r["timestamp"].hour for r in rows] == [10, 11, 12, 13, 14]
     conflict = rows[4]
-    assert conflict["consumption_kWh"] == pytest.approx(132.83)
+    assert conflict["consumption_kWh"] == pytest.approx(158.25)
     assert conflict["quality_flag"] == "TIMESTAMP_CONFLICT_RESOLVED"
-    assert "consumption_kWh: values=[250.0, 15.66] (n=2)" in conflict["duplicate_correction_details"]
+    assert "consumption_kWh: values=[300.0, 16.5] (n=2)" in conflict["duplicate_correction_details"]
     filled = rows[2]
     assert (filled["failure"], filled["is_failure_nan_corrected"]) == (0, 1)
-    assert filled["voltage"] == pytest.approx(229.84)
+    assert filled["voltage"] == pytest.approx(230.0)
     assert filled["quality_flag"] == "FAILURE_NAN_CORRECTED|NAN_CORRECTED"
     assert filled["nan_columns"] == "voltage"
-    assert filled["nan_correction_details"] == "voltage: NaN -> 229.8400"
-    assert "rule=same_before_after" in filled["failure_nan_correction_details"]
+    assert filled["nan_correction_details"] == "voltage filled with 230.0000"
+    assert "rule=neighbours_agree" in filled["failure_nan_correction_details"]
     assert not any(r["is_outlier"] for r in rows)
 
 
 def test_gold_of_sample(spark):
     silver = silver_plan.silver(bronze(spark, SAMPLE))
     log = spark.createDataFrame([
-        (0, 1, "2026-01-01 04:00:00", "Breakage", "59.5", "1622.1", "3.34", "50.94"),
-        (1, 1, "2026-01-02 15:00:00", "Overheat", "97.2", "1535.8", "1.58", "53.44"),
-        (2, 1, "bad-date", "Breakage", "1", "1", "1", "1"), (3, 1, "2026-01-03 11:00:00", "Unknown", "1", "1", "1", "1"),
-        (4, 1, "2026-01-03 12:00:00", " Breakage", "1", "1", "1", "1")],
+        (0, 1, "2026-03-02 14:00:00", "Breakage", "61.5", "1580.0", "2.75", "52.5"),
+        (1, 1, "2026-03-03 20:00:00", "Overheat", "91.0", "1541.0", "1.5", "51.25"),
+        (2, 1, "someday", "Breakage", "1", "1", "1", "1"), (3, 1, "2026-03-04 11:00:00", "Unknown", "1", "1", "1", "1"),
+        (4, 1, "2026-03-04 12:00:00", " Breakage", "1", "1", "1", "1")],
         "row_id long, machine_id int, timestamp string, failure_type string, temperature string, rpm string, "
         "vibration string, pressure string")
     clean = interventions.clean_interventions(log)

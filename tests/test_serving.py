@@ -1,15 +1,18 @@
 """Files, serving tables, streams and the query registry."""
 
+import gzip
 import pathlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from plantpulse.functions import scalars as S
 from plantpulse.operators import scoring
 from plantpulse.plans import metrics
 from plantpulse.sources import bronze_csv, events_adapter, layers, serving
-from plantpulse.streaming import windows
+from plantpulse.streaming import live, windows
 
 
 def test_csv_columns_are_taken_by_name(spark, tmp_path):
@@ -26,7 +29,74 @@ def test_csv_columns_are_taken_by_name(spark, tmp_path):
     assert [(r["consumption_kWh"], r["rpm"], r["timestamp"][:10]) for r in (rows[0], rows[2])] == [("1", "6", "2026-01-01")] * 2
     assert not rows[1]["vibration"]
     rejected = bronze_csv.rejected_files(spark, str(tmp_path)).collect()
-    assert [pathlib.Path(r["file"]).name for r in rejected] == ["machine_3_targetcycle10.csv"]
+    assert {pathlib.Path(r["file"]).name: r["reason"] for r in rejected} == {
+        "machine_3_targetcycle10.csv": "missing columns", "notes.csv": "unknown name", "machine_4_targetcycle10.csv": "empty"}
+
+
+def test_csv_of_every_layout(spark, tmp_path):
+    names = ["timestamp", "consumption_kWh", "temperature_C", "vibration", "pressure", "cycle_duration", "rpm", "voltage", "failure"]
+    row = "2026-01-01 00:00:00,1,2,3,4,5,6,7,0"
+    files = {
+        # an index column without a name, a name given twice, 70 columns, quotes, and a name with too many digits
+        "machine_1_targetcycle1.csv": "," + ",".join(names) + "\n0," + row + "\n1," + row,
+        "machine_2_targetcycle1.csv": ",".join([*names, "rpm"]) + "\n" + row + ",99",
+        "machine_3_targetcycle1.csv": ",".join([f"x{i}" for i in range(61)] + names) + "\n" + ",".join(["-"] * 61) + "," + row,
+        "machine_4_targetcycle1.csv": ",".join(f'"{n}"' for n in names) + "\n" + row.replace(",1,", ',"1",') + "\n\n",
+        "machine_12345678901_targetcycle1.csv": ",".join(names) + "\n" + row,
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_text(content)
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "machine_9_targetcycle1.csv").write_text(files["machine_2_targetcycle1.csv"])
+    packed = gzip.compress((",".join(names) + "\n" + (row + "\n") * 5000).encode())
+    for machine, content in ((5, packed), (6, packed[:len(packed) // 2]), (7, packed + packed), (8, b"no archive")):
+        (tmp_path / f"machine_{machine}_targetcycle1.csv").mkdir()
+        (tmp_path / f"machine_{machine}_targetcycle1.csv" / "part-0.csv.gz").write_bytes(content)
+    rows = bronze_csv.read_sensors(spark, str(tmp_path))
+    counts = {r["machine_id"]: r["count"] for r in rows.filter("rpm = '6' AND timestamp = '2026-01-01 00:00:00'").groupBy("machine_id").count().collect()}
+    assert counts == {1: 2, 2: 1, 3: 1, 4: 1, 5: 5000, 7: 10000}
+    reasons = {re.search("machine_([0-9]+)", r["file"])[1]: r["reason"] for r in bronze_csv.rejected_files(spark, str(tmp_path)).collect()}
+    assert reasons == {"6": "unreadable", "8": "unreadable", "12345678901": "unknown name"}
+    assert rows.select("machine_id", "row_id").distinct().count() == rows.count()
+    plan = rows._jdf.queryExecution().toString()
+    assert plan.split("Physical Plan")[1].count("Scan csv") == 5
+    assert bronze_csv.read_sensors(spark, str(tmp_path / "none")).count() == 0
+
+
+@pytest.mark.parametrize("text,value", [
+    ("1", 1.0), ("-1.5e3", -1500.0), (" 3 ", 3.0), (".5", 0.5), ("5.", 5.0), ("+2", 2.0), ("1d", None), ("1.5f", None),
+    ("0x1p3", None), ("1_000", None), ("", None), ("NaN", None), ("e5", None), ("1e", None)])
+def test_numbers(spark, text, value):
+    assert spark.createDataFrame([(text,)], "t string").select(S.parse_number(F.col("t"))).first()[0] == value
+
+
+def test_appends_of_two_streams_stay_apart(spark, tmp_path):
+    for stream, rows in (("a", 5), ("b", 3), ("a", 4)):
+        serving.append_batch(spark.range(rows), str(tmp_path), "t", "0", stream)
+    assert serving.read_table(spark, str(tmp_path), "t").count() == 4 + 3
+
+
+def test_batch_without_model_fails(spark, tmp_path):
+    with pytest.raises(RuntimeError, match="no model"):
+        live.score_batch(spark, spark.range(1), 0, str(tmp_path / "models"), str(tmp_path / "out"), stream="s")
+
+
+def test_reading_without_any_model_is_an_error(spark, sf):
+    from plantpulse.plans import training
+    rows = events_adapter.sensor_data(spark, sf)
+    model = training.train(rows, models="machines")
+    readings = scoring.to_readings(rows.limit(5), extra=["row_id"])
+    strange = readings.withColumn("machine_id", F.lit(9999))
+    with pytest.raises(Exception, match="no model for global"):
+        scoring.score(readings.union(strange), model.scaler, model.reference).collect()
+
+
+def test_rates_of_two_replicas(spark):
+    """Each replica counts for itself; one restarts."""
+    rows = [(t, i, "ok", v) for i, values in (("a", [0, 5, 10]), ("b", [100, 110, 3])) for t, v in enumerate(map(float, values))]
+    samples = spark.createDataFrame(rows, "t int, instance string, status string, value double").select(
+        F.timestamp_seconds("t").alias("ts"), "instance", "status", "value")
+    assert metrics.increase(samples, ["status"], "1970-01-01 00:01:00", 3600).first()["increase"] == 10 + 10 + 3
 
 
 @pytest.mark.parametrize("name,expected", [
