@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def build_session(app: str = "plantpulse", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -26,6 +30,24 @@ def build_session(app: str = "plantpulse", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they run.
+
+    Spark sends them a zip of its modules, once per application, as it does with
+    --py-files; the file itself stays with the driver.
+    """
+    context = spark.sparkContext
+    root = pathlib.Path(__file__).resolve().parent
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    target = pathlib.Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for module in sorted(root.rglob("*.py")):
+            archive.write(module, module.relative_to(root.parent))
+    context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """All event times are UTC; pin the session so casts agree."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -38,7 +60,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return tempfile.mkdtemp(prefix="plantpulse-")
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..session import stage_table
+from ..session import ship_package, stage_table
 
 # Names of the bronze files; a folder of part files may bear the
 # name as well. Numbers fit an int.
@@ -75,6 +75,7 @@ def inspect_files(spark: SparkSession, folder: str) -> DataFrame:
     Reasons: `unknown name`, `empty`, `unreadable` (a compressed file that breaks off,
     or one that gives no line), `missing columns`. Null: the file is used, whole.
     """
+    ship_package(spark)
     try:
         listed = spark.read.format("binaryFile").load(_globs(folder))
         text = spark.read.option("ignoreCorruptFiles", True).text(_globs(folder))
