@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plantpulse.llm.tables import for_python
 from plantpulse.session import stage_table
 
 #: Vectors to learn from, neighbours of the graph, rows of the sample per part, parts a query is sent to.
@@ -191,7 +192,7 @@ def best(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray
 
 def nearest(table: DataFrame, is_query, k: int = 20, probes: int = PROBES) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found of every query, by inner product."""
-    vectors = usable(table)
+    vectors = usable(for_python(table))
     router = fit(vectors)
     index = stage_table(routed(vectors, router, 1).select("vec_id", "v", F.col("parts")[0].alias("part")))
     asked = stage_table(routed(vectors.where(is_query), router, probes)

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse.llm.arrays import chunks, ragged, span_hashes, split_bytes, texts_of
+from plantpulse.llm.tables import for_python
 
 #: Bytes up to which a piece is encoded by scanning; pieces kept per worker.
 SHORT, KEPT = 64, 1_000_000
@@ -301,7 +302,7 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
             texts = [readable(raw).decode("utf-8") for raw in split_bytes(out, where)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return for_python(rows).select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,4 +324,4 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return for_python(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

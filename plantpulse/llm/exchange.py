@@ -14,6 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from plantpulse.llm.arrays import mix, split_bytes, texts_of
+from plantpulse.llm.tables import for_python
 
 #: The id that stands for a null one: larger than all others.
 NO_ID = np.iinfo(np.int64).max
@@ -57,7 +58,7 @@ def texts_by_group(docs: DataFrame, groups: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(group), batch.column("doc_id"), pa.array(texts, pa.binary())],
                                              ["bucket", "doc_id", "packed"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "bucket int, doc_id long, packed binary")
+    return for_python(docs).select("doc_id", "text").mapInArrow(run, "bucket int, doc_id long, packed binary")
 
 
 def unpacked_texts(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

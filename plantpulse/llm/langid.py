@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantpulse.llm.tables import for_python
+
 #: Rows and symbols of a language's sample, characters taken of a row, symbols of a block, distinct symbols.
 SAMPLE_ROWS, SAMPLE_SYMBOLS, PIECE, BLOCK, ALPHABET = 400, 60_000, 400, 1024, 62
 #: Characters that are handled at once.
@@ -221,6 +223,6 @@ def predicted(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
                     ["doc_id", "lang_pred", "score"])
                 begin = end
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = for_python(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double").select(
         "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")

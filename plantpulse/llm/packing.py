@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.llm.arrays import chunks, split_bytes, texts_of
 from plantpulse.llm.bpe import vocabulary
+from plantpulse.llm.tables import for_python
 from plantpulse.session import stage_table
 
 #: Pieces of a numbering block.
@@ -223,7 +224,7 @@ def cut(docs: DataFrame, path: str, size: int, closing_id: int, with_ids: bool =
                 columns.append(pa.array(spans, pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, NAMES[:len(columns)])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = for_python(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long"
                             + ", ids binary" * with_ids)
 
@@ -250,7 +251,7 @@ def pack(pieces: DataFrame, size: int) -> DataFrame:
                                              [*columns, "sequence_id", "offset"])
 
     schema = ", ".join(f"{c} {t}" for c, t in pieces.dtypes) + ", sequence_id long, offset long"
-    return numbered.select(*columns, (F.col("number") + F.col("before") - 1).alias("number")).mapInArrow(look_up, schema)
+    return for_python(numbered).select(*columns, (F.col("number") + F.col("before") - 1).alias("number")).mapInArrow(look_up, schema)
 
 
 def packed_documents(docs: DataFrame, path: str, size: int = 2048, closing_id: int = 0,

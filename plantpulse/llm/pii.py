@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantpulse.llm.tables import for_python
+
 #: Only for tests and the given tables; a real corpus gets its own secret.
 DEFAULT_KEY = b"replace this key"
 ROUNDS = 8
@@ -294,7 +296,7 @@ def pseudonyms(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
                  pa.array(found, spans)], ["doc_id", "text", "n_values", "found"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id long, text string, n_values long, found {FOUND}")
+    return for_python(rows).mapInArrow(run, f"doc_id long, text string, n_values long, found {FOUND}")
 
 
 def pseudonymised(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
@@ -308,4 +310,4 @@ def pseudonymised(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
             columns[place] = pa.array(texts, columns[place].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return for_python(docs).mapInArrow(run, docs.schema)

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse.llm.arrays import split_bytes, texts_of
+from plantpulse.llm.tables import for_python
 
 #: Rows per label for each of the two fits; bytes of a block; bytes of a dictionary; compression level.
 SAMPLE_ROWS, BLOCK_BYTES, DICTIONARY_BYTES, LEVEL = 3000, 4096, 112 << 10, 3
@@ -158,7 +159,7 @@ def _ratios(rows: DataFrame, model: Model, more: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column(extra), *(pa.array(c) for c in x.T)],
                                              ["doc_id", extra, "r0", "r1", "r2"])
 
-    return rows.mapInArrow(run, f"doc_id long, {more}, r0 double, r1 double, r2 double")
+    return for_python(rows).mapInArrow(run, f"doc_id long, {more}, r0 double, r1 double, r2 double")
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -170,7 +171,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.score(x))], ["doc_id", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double").select(
+    return for_python(rows).mapInArrow(run, "doc_id long, score double").select(
         "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -184,4 +185,4 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFram
             x = np.array([model.ratios(t) for t in split_bytes(*texts_of(batch.column("text")))]).reshape(-1, 3)
             yield batch.filter(pa.array(model.score(x) >= threshold))
 
-    return docs.mapInArrow(run, schema)
+    return for_python(docs).mapInArrow(run, schema)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.llm.arrays import chunks, mix, ragged, span_hashes, split_bytes, texts_of, window_hashes, words
 from plantpulse.llm.exchange import group_of, ids_of, pack_by, texts_by_group, unpack, unpacked_texts
-from plantpulse.llm.tables import power_of_two, text_bytes
+from plantpulse.llm.tables import for_python, power_of_two, text_bytes
 
 #: Words of a window; windows of a bucket, and the least number of buckets; bytes of text of a group.
 WIDTH, BUCKET_WINDOWS, LEAST_BUCKETS, GROUP_BYTES = 13, 2_000_000, 64, 8_000_000
@@ -89,7 +89,7 @@ def entries(docs: DataFrame, width: int, bits: int) -> DataFrame:
                 rows += [(k, True, *r) for k, *r in pack_by(bucket, owner[rest], hashes[rest], 8)]
             yield packed(rows)
 
-    return docs.select("doc_id", "text").mapInArrow(run, PACKED)
+    return for_python(docs).select("doc_id", "text").mapInArrow(run, PACKED)
 
 
 def packed(rows: list[tuple]) -> pa.RecordBatch:
