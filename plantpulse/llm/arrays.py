@@ -44,13 +44,13 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about `CHUNK_BYTES` of text, one row at least."""
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds about `size` bytes of text, one row at least."""
     for batch in batches:
         _, at = texts_of(batch.column(column))
         begin = 0
         while begin < batch.num_rows:
-            end = max(begin + 1, int(np.searchsorted(at, at[begin] + CHUNK_BYTES, side="right")) - 1)
+            end = max(begin + 1, int(np.searchsorted(at, at[begin] + (size or CHUNK_BYTES), side="right")) - 1)
             yield batch.slice(begin, end - begin)
             begin = end
 

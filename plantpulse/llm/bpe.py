@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from plantpulse.llm.arrays import chunks, ragged, span_hashes, split_bytes, texts_of
 from plantpulse.llm.tables import for_python
 
-#: Bytes up to which a piece is encoded by scanning; pieces kept per worker.
-SHORT, KEPT = 64, 1_000_000
+#: Bytes up to which a piece is encoded by scanning; pieces kept per worker before the older ones go.
+SHORT, KEPT = 64, 200_000
+#: Bytes of text encoded at once.
+ENCODED_BYTES = 2_000_000
 _NO_RANK = np.int32(2**31 - 1)
 
 # Characters that the pattern's \s takes.
@@ -79,6 +81,7 @@ class Vocabulary:
         self.pair_rank = np.arange(len(key), dtype=np.int32)[order]
         self.pair_new = np.array([new for _, new in self.merges.values()], np.int32)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         kind = np.full(0x110000, OTHER, np.uint8)
         for cp in range(0x110000):
             major = unicodedata.category(chr(cp))[0]
@@ -91,12 +94,18 @@ class Vocabulary:
 
     def look_up(self, texts: list[bytes]) -> list[bytes]:
         """Ids of distinct pieces, as little-endian unsigned 32-bit values."""
-        known = self.known
-        missing = [t for t in texts if t not in known]
+        if len(self.known) > KEPT:
+            # Two generations: what was used since the last turn stays.
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        missing = []
+        for t in texts:
+            if t not in known:
+                if t in older:
+                    known[t] = older[t]
+                else:
+                    missing.append(t)
         if missing:
-            if len(known) + len(missing) > KEPT:
-                known.clear()
-                missing = texts
             missing.sort(key=len)
             short = [t for t in missing if len(t) <= SHORT]
             for k in range(0, len(short), 8192):
@@ -283,7 +292,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=ENCODED_BYTES):
             ids, at = vocab.encode(*texts_of(batch.column("text")))
             values = split_bytes(ids.astype("<u4").view(np.uint8), at * 4)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.binary())], ["doc_id", "ids"])
@@ -310,7 +319,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=ENCODED_BYTES):
             ids, at = vocab.encode(*texts_of(batch.column("text")))
             out, where = vocab.decode(ids, at)
             sha = [hashlib.sha256(v).hexdigest() for v in split_bytes(ids.astype("<u4").view(np.uint8), at * 4)]

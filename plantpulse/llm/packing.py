@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantpulse.llm.arrays import chunks, split_bytes, texts_of
-from plantpulse.llm.bpe import vocabulary
+from plantpulse.llm.bpe import ENCODED_BYTES, vocabulary
 from plantpulse.llm.tables import for_python
 from plantpulse.session import stage_table
 
@@ -205,7 +205,7 @@ def cut(docs: DataFrame, path: str, size: int, closing_id: int, with_ids: bool =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=ENCODED_BYTES):
             ids, at = vocab.encode(*texts_of(batch.column("text")))
             closed = np.insert(ids.astype("<u4"), at[1:], closing_id)
             total = np.diff(at) + 1
