@@ -20,9 +20,11 @@ Which signatures lead to candidates is settled by exact counts:
    another component that shares a signature with it, and components are joined by the
    links found, so a large group of near copies costs a few comparisons per member. Then
    all pairs of sets that share a signature and are still in different components are
-   compared, except those whose lone partitions rule it out: a partition that only one set
-   has in this form differs from that of every other set, so more lone partitions of the
-   two than shingles may differ leave no link. No link between different sets is lost.
+   compared, except those ruled out by position: two linked sets differ in every partition
+   whose signature is rarer than the first they share, so they cannot meet first in a
+   signature that comes after more partitions of the two than shingles may differ; and by
+   short prints of all their signatures, of which no more may differ either. No link
+   between different sets is lost.
 
 Sets travel as sorted 64-bit hashes, so counts and comparisons are exact up to a chance
 agreement of hashes (about 10^-13 for a pair of long texts).
@@ -44,7 +46,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.llm.arrays import lower_ascii, mix, span_hashes, window_hashes, words
 from plantpulse.llm.components import components
-from plantpulse.llm.exchange import NO_ID, texts_by_group, unpacked_texts
+from plantpulse.llm.exchange import NO_ID, low_bits, texts_by_group, unpack, unpacked_texts
 from plantpulse.llm.tables import power_of_two, text_bytes
 from plantpulse.session import stage_table
 
@@ -54,8 +56,10 @@ SHINGLE, SHARE, WHOLE = 5, 3, 4
 RATIO, LEAST_PARTS = 4, 64
 #: Bytes of text of a group; signatures of a bucket, and the least number of buckets.
 GROUP_BYTES, BUCKET_SIGNATURES, LEAST_BUCKETS = 4_000_000, 1_000_000, 64
-#: 64-bit words that mark lone partitions (by their number, folded); rounds of single comparisons.
-LONE_WORDS, ROUNDS = 8, 4
+#: 64-bit words that mark partitions (by their number, folded); rounds of single comparisons.
+MARK_WORDS, ROUNDS = 8, 4
+#: 64-bit words of four-bit prints of the signatures (by partition number, folded).
+PRINT_WORDS = 16
 WORD_BYTES = 6
 
 
@@ -129,18 +133,25 @@ def signatures(hashes: np.ndarray, at: np.ndarray):
     return owner, level, differ, where, found, place
 
 
+def cut_short(found: np.ndarray, bits: int) -> np.ndarray:
+    """Signatures of as many bits as travel: 56 and those of the bucket number, 64 at most."""
+    return found >> np.uint64(64 - bits - low_bits(bits))
+
+
 def send(texts: DataFrame, bits: int) -> DataFrame:
-    """Distinct signatures of each group, packed by bucket; those of several sets of the group also with their number."""
-    shift = np.uint64(64 - bits)
+    """Distinct signatures of each group, packed by bucket (leading bits left out); those of several sets of the
+    group also with their number."""
+    low = np.uint64(low_bits(bits))
 
     def run(table: pa.Table) -> pa.Table:
         group = table.column("bucket")[0].as_py()
         ids, data, at = unpacked_texts(table)
         hashes, where = shingle_sets(data, at)
-        found = signatures(hashes, where)[4]
+        found = cut_short(signatures(hashes, where)[4], bits)
         value, count = np.unique(found, return_counts=True)
-        cut = np.searchsorted(value >> shift, np.arange((1 << bits) + 1, dtype=np.uint64))
-        rows = [(k, group, value[a:b].tobytes(), value[a:b][many].tobytes(), (count[a:b][many]).astype("<i8").tobytes())
+        cut = np.searchsorted(value >> low, np.arange((1 << bits) + 1, dtype=np.uint64))
+        raw = value.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+        rows = [(k, group, raw[a:b].tobytes(), value[a:b][many].tobytes(), (count[a:b][many]).astype("<i8").tobytes())
                 for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if b > a
                 for many in [count[a:b] > 1]]
         columns = list(zip(*rows, strict=True)) or [[]] * 5
@@ -152,15 +163,18 @@ def send(texts: DataFrame, bits: int) -> DataFrame:
         run, "bucket int, sender int, values binary, many binary, counts binary")
 
 
-def answer(sent: DataFrame) -> DataFrame:
+def answer(sent: DataFrame, bits: int) -> DataFrame:
     """To each group (`bucket`): its signatures that several sets have, and how many have them."""
+    low = np.uint64(low_bits(bits))
+    keep = (np.uint64(1) << low) - np.uint64(1)
 
     def run(table: pa.Table) -> pa.Table:
         senders = np.array(table.column("sender").to_pylist(), np.int32)
-        parts = [np.frombuffer(v, "<u8") for v in table.column("values").to_pylist()]
+        high = np.uint64(table.column("bucket")[0].as_py()) << low
+        parts = [unpack(b"", b"", v, 7)[1] for v in table.column("values").to_pylist()]
         many = np.concatenate([np.frombuffer(v, "<u8") for v in table.column("many").to_pylist()])
         extra = np.concatenate([np.frombuffer(v, "<i8") for v in table.column("counts").to_pylist()]) - 1
-        value = np.concatenate(parts)
+        value = (np.concatenate(parts) & keep) | high
         sender = np.repeat(senders, [len(p) for p in parts])
         order = np.argsort(value)
         value, sender = value[order], sender[order]
@@ -182,18 +196,30 @@ def answer(sent: DataFrame) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(run, "bucket int, values binary, totals binary")
 
 
-CHOSEN = pa.struct([("band", pa.int32()), ("lone", pa.list_(pa.int64())), ("signatures", pa.list_(pa.int64()))])
-SETS = ("doc_id long, n long, d1 long, d2 long, chosen array<struct<band:int,lone:array<long>,signatures:array<long>>>, "
-        "hashes binary")
+CHOSEN = pa.struct([("band", pa.int32()), ("lone", pa.list_(pa.int32())), ("signatures", pa.list_(pa.int64())),
+                    ("places", pa.list_(pa.int32())), ("prints", pa.list_(pa.int64()))])
+SETS = ("doc_id long, n long, d1 long, d2 long, "
+        "chosen array<struct<band:int,lone:array<int>,signatures:array<long>,places:array<int>,"
+        "prints:array<long>>>, hashes binary")
+
 
+def prints(place: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Four bits of each signature, combined where partition numbers fold together."""
+    slots = np.zeros(16 * PRINT_WORDS, np.uint8)
+    real = place >= 0
+    np.bitwise_xor.at(slots, place[real] % len(slots), (found[real] & np.uint64(15)).astype(np.uint8))
+    return (slots[::2] | slots[1::2] << 4).view("<i8")
 
-def choose(texts: DataFrame, answers: DataFrame) -> DataFrame:
-    """One row per text: size and digest of its set; where a link is possible, chosen signatures and the set."""
+
+def choose(texts: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
+    """One row per text: size and digest of its set; where a link is possible, the set and per band its chosen
+    signatures, rarest first, with their partitions, and the partitions that no other set shares."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, data, at = unpacked_texts(left)
         hashes, where = shingle_sets(data, at)
         owner, level, differ, begin, found, place = signatures(hashes, where)
+        found = cut_short(found, bits)
         value = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(v, "<u8") for v in right.column("values").to_pylist())])
         total = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(v, "<i8") for v in right.column("totals").to_pylist())])
         order = np.argsort(value)
@@ -206,14 +232,13 @@ def choose(texts: DataFrame, answers: DataFrame) -> DataFrame:
         chosen: list[list[dict] | None] = [None] * len(ids)
         for e in np.flatnonzero((repeated > 0) & (single <= differ)).tolist():
             a, b = begin[e], begin[e + 1]
-            rank = np.lexsort((found[a:b], number[a:b]))[single[e]:differ[e] + 1]
-            lone = place[a:b][(number[a:b] == 1) & (place[a:b] >= 0)] % (64 * LONE_WORDS)
-            marks = np.zeros(64 * LONE_WORDS, np.uint8)
-            marks[lone] = 1
+            rank = np.lexsort((found[a:b], number[a:b]))
+            lone, rank = rank[:single[e]], rank[single[e]:differ[e] + 1]
             own = int(owner[e])
             chosen[own] = [*(chosen[own] or []), {
-                "band": int(level[e]), "lone": np.packbits(marks, bitorder="little").view("<i8").tolist(),
-                "signatures": found[a:b][rank].view(np.int64).tolist()}]
+                "band": int(level[e]), "lone": (place[a:b][lone] % (64 * MARK_WORDS)).astype(np.int32),
+                "signatures": found[a:b][rank].view(np.int64), "places": place[a:b][rank].astype(np.int32),
+                "prints": prints(place[a:b], found[a:b])}]
         size = np.diff(where)
         digest = []
         for values in (hashes, mix(hashes ^ np.uint64(0x5851F42D4C957F2D))):
@@ -251,10 +276,50 @@ def near_size(n: Column, m: Column) -> Column:
 
 
 def may_link(a: str, b: str) -> Column:
-    """Whether sizes and lone partitions of two rows leave room for a link."""
+    """Whether sizes, the partitions before the shared signature, and the prints leave room for a link."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    lone = [F.bit_count(F.get(f"{a}.lone", F.lit(k)).bitwiseOR(F.get(f"{b}.lone", F.lit(k)))) for k in range(LONE_WORDS)]
-    return near_size(n, m) & (sum(lone[1:], lone[0]) * (WHOLE + SHARE) <= (n + m) * (WHOLE - SHARE))
+    marks = [F.bit_count(F.col(f"{a}.mark_{k}").bitwiseOR(F.col(f"{b}.mark_{k}"))) for k in range(MARK_WORDS)]
+    differ = [_differing(F.col(f"{a}.print_{k}").bitwiseXOR(F.col(f"{b}.print_{k}"))) for k in range(PRINT_WORDS)]
+    room = (n + m) * (WHOLE - SHARE)
+    return (near_size(n, m) & (sum(marks[1:], marks[0]) * (WHOLE + SHARE) <= room)
+            & (sum(differ[1:], differ[0]) * (WHOLE + SHARE) <= room))
+
+
+def _differing(x: Column) -> Column:
+    """How many groups of four bits are not zero."""
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+    return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+
+
+def marked(bands: DataFrame, opened: DataFrame) -> DataFrame:
+    """Open entries with the size of their set and marks of the partitions whose signatures come before."""
+    names = ["signature", "doc_id", "component", "n", *[f"mark_{k}" for k in range(MARK_WORDS)],
+             *[f"print_{k}" for k in range(PRINT_WORDS)]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                places = np.array([p % (64 * MARK_WORDS) if p >= 0 else -1 for p in r["places"]], np.int64)
+                wanted = set(r["open"])
+                keep = [k for k, sig in enumerate(r["signatures"]) if sig in wanted]
+                marks = np.zeros((len(places) + 1, 64 * MARK_WORDS), np.uint8)
+                later = np.flatnonzero(places >= 0)
+                marks[later + 1, places[later]] = 1
+                marks[0, [x for x in r["lone"] if x >= 0]] = 1
+                words = np.packbits(np.maximum.accumulate(marks)[keep], axis=1, bitorder="little").view("<i8")
+                count = len(keep)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r["signatures"][k] for k in keep], pa.int64()), *(
+                        pa.array(np.full(count, r[c], np.int64)) for c in ("doc_id", "component", "n")),
+                     *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(MARK_WORDS)),
+                     *(pa.array(np.full(count, x, np.int64)) for x in r["prints"])], names)
+
+    mine = opened.groupBy("doc_id", "band").agg(F.first("component").alias("component"),
+                                                F.collect_list("signature").alias("open"))
+    rows = bands.join(mine, ["doc_id", "band"]).select(
+        "doc_id", "n", "component", "lone", "signatures", "places", "prints", "open")
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def placed(entry: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -266,10 +331,19 @@ def placed(entry: DataFrame, found: DataFrame | None) -> DataFrame:
 
 
 def open_entries(entry: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Entries, with components, of the signatures whose sets are in several components."""
+    """Entries, with components, of the signatures whose sets are in several components.
+
+    Of signatures that the same sets have, the first in order stands for all: where two
+    sets meet first is never left out.
+    """
     now = placed(entry, found)
-    apart = now.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return now.join(apart.where("low < high").select("signature", "low"), "signature")
+    apart = now.groupBy("signature").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("who"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("who_else"))
+    # Signatures are ordered as unsigned numbers.
+    first = F.min_by(F.struct("signature", "low"), F.col("signature").bitwiseXOR(F.lit(-(1 << 63)))).alias("s")
+    once = apart.where("low < high").groupBy("members", "who", "who_else").agg(first).select("s.*")
+    return now.join(once, "signature")
 
 
 def one_each(opened: DataFrame, turn: int) -> DataFrame:
@@ -289,7 +363,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     groups = max(1, -(-size // GROUP_BYTES))
     bits = power_of_two(size / WORD_BYTES / BUCKET_SIGNATURES, LEAST_BUCKETS).bit_length() - 1
     texts = texts_by_group(docs, groups)
-    rows = stage_table(choose(texts, answer(send(texts, bits))))
+    rows = stage_table(choose(texts, answer(send(texts, bits), bits), bits))
 
     # Equal sets are one class, represented by its smallest id.
     classes = rows.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("class"), F.count(F.lit(1)).alias("copies"))
@@ -313,10 +387,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
         found = stage_table(components(links))
 
     # All pairs that are still apart, but for those that are ruled out.
-    marked = open_entries(entry, found).join(bands.select("doc_id", "band", "n", "lone"), ["doc_id", "band"])
-    marked = stage_table(marked.select("signature", "doc_id", "component", "n", "lone"))
-    pair = marked.alias("x").join(marked.alias("y"), (F.col("x.signature") == F.col("y.signature"))
-                                  & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
+    meet = stage_table(marked(bands, open_entries(entry, found)))
+    pair = meet.alias("x").join(meet.alias("y"), (F.col("x.signature") == F.col("y.signature"))
+                                & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
     pair = pair.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
     more = stage_table(linked(stage_table(pair), sets))
     if more.limit(1).count():

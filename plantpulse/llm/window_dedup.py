@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse.llm.arrays import chunks, mix, ragged, span_hashes, split_bytes, texts_of, window_hashes, words
-from plantpulse.llm.exchange import group_of, ids_of, pack_by, texts_by_group, unpack, unpacked_texts
+from plantpulse.llm.exchange import group_of, ids_of, low_bits, pack_by, texts_by_group, unpack, unpacked_texts
 from plantpulse.llm.tables import for_python, power_of_two, text_bytes
 
 #: Words of a window; windows of a bucket, and the least number of buckets; bytes of text of a group.
@@ -45,11 +45,6 @@ def bucket_count(size: int) -> int:
     return power_of_two(windows / max(BUCKET_WINDOWS, 16 * math.sqrt(windows)), LEAST_BUCKETS)
 
 
-def low_bits(bits: int) -> int:
-    """Bits of a hash below the bucket number; they fit in seven bytes."""
-    return min(56, 64 - bits)
-
-
 def all_windows(data: np.ndarray, at: np.ndarray, width: int, bits: int):
     """Spans of words, each text's first word, and hash, place and text of every window."""
     starts, ends, first = words(data, at)

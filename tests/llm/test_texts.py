@@ -12,7 +12,7 @@ from llm_cases import DATA, ODD
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from plantpulse.llm import bpe, components, exact_dedup, packing, partenum, window_dedup
+from plantpulse.llm import bpe, components, exact_dedup, exchange, packing, partenum, window_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -275,7 +275,7 @@ def test_window_dedup_bucket_bits():
     assert window_dedup.bucket_count(0) == 64
     assert window_dedup.bucket_count(10 ** 14) > window_dedup.bucket_count(10 ** 10)
     for bits in (1, 6, 8, 11, 20):
-        assert bits + window_dedup.low_bits(bits) <= 64 and window_dedup.low_bits(bits) <= 56
+        assert bits + exchange.low_bits(bits) <= 64 and exchange.low_bits(bits) <= 56
 
 
 # Jaccard join
