@@ -57,7 +57,7 @@ RATIO, LEAST_PARTS = 4, 64
 #: Bytes of text of a group; signatures of a bucket, and the least number of buckets.
 GROUP_BYTES, BUCKET_SIGNATURES, LEAST_BUCKETS = 4_000_000, 1_000_000, 64
 #: 64-bit words that mark partitions (by their number, folded); rounds of single comparisons.
-MARK_WORDS, ROUNDS = 8, 4
+MARK_WORDS, ROUNDS = 8, 2
 #: 64-bit words of four-bit prints of the signatures (by partition number, folded).
 PRINT_WORDS = 16
 WORD_BYTES = 6
@@ -254,7 +254,8 @@ def choose(texts: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
+    """The pairs (a, b, and any other columns) whose sets reach the similarity."""
+    names = pairs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,11 +264,11 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(WHOLE * common >= SHARE * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(names).filter(pa.array(keep, pa.bool_()))
 
     x = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
     y = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(x, "a").join(y, "b").select(*names, "x", "y").mapInArrow(run, pairs.schema)
 
 
 def near_size(n: Column, m: Column) -> Column:
@@ -322,38 +323,34 @@ def marked(bands: DataFrame, opened: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def placed(entry: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Entries with the component of their set."""
-    if found is None:
-        return entry.withColumn("component", F.col("doc_id"))
-    return (entry.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            .withColumn("component", F.coalesce("component", "doc_id")))
+def placed(entry: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Entries with the component that their set is known to belong to: at first its own."""
+    return entry.withColumn("component", F.col("doc_id")) if labels is None else entry.join(labels, "doc_id")
 
 
-def open_entries(entry: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Entries, with components, of the signatures whose sets are in several components.
+def one_each(now: DataFrame, turn: int) -> DataFrame:
+    """For every set beside the lowest component of a signature, one set of that component, with both components."""
+    hub = now.groupBy("signature").agg(F.min("component").alias("p"), F.max("component").alias("high"),
+                                       F.min_by("doc_id", "component").alias("a")).where("p < high").drop("high")
+    met = now.join(hub, "signature").where("component > p")
+    pick = F.max_by if turn % 2 else F.min_by
+    return met.groupBy(F.col("doc_id").alias("b"), F.col("component").alias("q")).agg(
+        pick("a", "a").alias("a"), pick("p", "a").alias("p"))
+
+
+def open_entries(now: DataFrame) -> DataFrame:
+    """Entries of the signatures whose sets are in several components.
 
     Of signatures that the same sets have, the first in order stands for all: where two
     sets meet first is never left out.
     """
-    now = placed(entry, found)
     apart = now.groupBy("signature").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"),
-        F.bit_xor(F.xxhash64("doc_id")).alias("who"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("who_else"))
-    # Signatures are ordered as unsigned numbers.
-    first = F.min_by(F.struct("signature", "low"), F.col("signature").bitwiseXOR(F.lit(-(1 << 63)))).alias("s")
-    once = apart.where("low < high").groupBy("members", "who", "who_else").agg(first).select("s.*")
-    return now.join(once, "signature")
-
-
-def one_each(opened: DataFrame, turn: int) -> DataFrame:
-    """For every set beside the lowest component of a signature, one set of that component."""
-    order = F.struct(F.xxhash64("doc_id", F.lit(turn)), F.col("doc_id")) if turn else F.struct(F.lit(0), F.col("doc_id"))
-    inside = (opened.where("component = low").groupBy("signature")
-              .agg(F.min(order).alias("first")).select("signature", F.col("first.doc_id").alias("a")))
-    beside = opened.where("component > low").select("signature", F.col("doc_id").alias("b"))
-    return beside.join(inside, "signature").groupBy("b").agg(
-        F.min(F.struct(F.xxhash64("a", F.lit(turn)) if turn else F.lit(0), F.col("a"))).alias("s")).select(F.col("s.a").alias("a"), "b")
+        F.bit_xor(F.xxhash64("doc_id")).alias("who"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("who_else"))
+    # Signatures are ordered as unsigned numbers; flipping the sign bit orders them as signed ones.
+    first = F.min(F.col("signature").bitwiseXOR(F.lit(-(1 << 63)))).bitwiseXOR(F.lit(-(1 << 63))).alias("signature")
+    once = apart.where("low < high").groupBy("members", "who", "who_else").agg(first)
+    return now.join(once.select("signature"), "signature", "left_semi")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -378,28 +375,25 @@ def near_groups(docs: DataFrame) -> DataFrame:
     several = entry.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("signature")
     entry = stage_table(entry.join(several, "signature"))
 
-    links, found = None, None
+    links, labels = None, None
     for turn in range(ROUNDS):
-        fresh = stage_table(linked(one_each(stage_table(open_entries(entry, found)), turn), sets))
-        if not fresh.limit(1).count():
-            break
-        links = fresh if links is None else links.union(fresh)
-        found = stage_table(components(links))
+        fresh = stage_table(linked(stage_table(one_each(placed(entry, labels), turn)), sets))
+        links = fresh.select("a", "b") if links is None else links.union(fresh.select("a", "b"))
+        # One step towards the components; what it leaves apart is compared below.
+        known = sets.select("doc_id", F.col("doc_id").alias("component")).distinct() if labels is None else labels
+        moved = fresh.groupBy(F.col("q").alias("component")).agg(F.min("p").alias("to"))
+        labels = stage_table(known.join(moved, "component", "left").select(
+            "doc_id", F.coalesce("to", "component").alias("component")))
 
     # All pairs that are still apart, but for those that are ruled out.
-    meet = stage_table(marked(bands, open_entries(entry, found)))
+    meet = stage_table(marked(bands, open_entries(placed(entry, labels))))
     pair = meet.alias("x").join(meet.alias("y"), (F.col("x.signature") == F.col("y.signature"))
                                 & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
     pair = pair.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
-    more = stage_table(linked(stage_table(pair), sets))
-    if more.limit(1).count():
-        found = components(more if links is None else links.union(more))
-
-    out = member
-    if found is not None:
-        out = out.join(found.withColumnRenamed("node", "class"), "class", "left")
-    else:
-        out = out.withColumn("component", F.col("class"))
+    more = linked(stage_table(pair), sets)
+    found = components(links.union(more.select("a", "b")))
+
+    out = member.join(found.withColumnRenamed("node", "class"), "class", "left")
     real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     component = F.coalesce("component", "class")
     return out.select(real.alias("doc_id"), F.col("n").alias("n_shingles"),
