@@ -23,7 +23,7 @@ Which signatures lead to candidates is settled by exact counts:
    compared, except those ruled out by position: two linked sets differ in every partition
    whose signature is rarer than the first they share, so they cannot meet first in a
    signature that comes after more partitions of the two than shingles may differ; and by
-   short prints of all their signatures, of which no more may differ either. No link
+   short prints of their shingles by hash slot, of which no more may differ either. No link
    between different sets is lost.
 
 Sets travel as sorted 64-bit hashes, so counts and comparisons are exact up to a chance
@@ -58,7 +58,7 @@ RATIO, LEAST_PARTS = 4, 64
 GROUP_BYTES, BUCKET_SIGNATURES, LEAST_BUCKETS = 4_000_000, 1_000_000, 64
 #: 64-bit words that mark partitions (by their number, folded); rounds of single comparisons.
 MARK_WORDS, ROUNDS = 8, 2
-#: 64-bit words of four-bit prints of the signatures (by partition number, folded).
+#: 64-bit words of four-bit prints of the shingles in each hash slot.
 PRINT_WORDS = 16
 WORD_BYTES = 6
 
@@ -197,17 +197,17 @@ def answer(sent: DataFrame, bits: int) -> DataFrame:
 
 
 CHOSEN = pa.struct([("band", pa.int32()), ("lone", pa.list_(pa.int32())), ("signatures", pa.list_(pa.int64())),
-                    ("places", pa.list_(pa.int32())), ("prints", pa.list_(pa.int64()))])
+                    ("places", pa.list_(pa.int32()))])
 SETS = ("doc_id long, n long, d1 long, d2 long, "
-        "chosen array<struct<band:int,lone:array<int>,signatures:array<long>,places:array<int>,"
-        "prints:array<long>>>, hashes binary")
+        "chosen array<struct<band:int,lone:array<int>,signatures:array<long>,places:array<int>>>, "
+        "prints array<long>, hashes binary")
 
 
-def prints(place: np.ndarray, found: np.ndarray) -> np.ndarray:
-    """Four bits of each signature, combined where partition numbers fold together."""
+def prints(hashes: np.ndarray) -> np.ndarray:
+    """Four bits of each shingle, combined per hash slot: sets that differ in d shingles differ in d slots at most."""
     slots = np.zeros(16 * PRINT_WORDS, np.uint8)
-    real = place >= 0
-    np.bitwise_xor.at(slots, place[real] % len(slots), (found[real] & np.uint64(15)).astype(np.uint8))
+    np.bitwise_xor.at(slots, ((hashes >> np.uint64(8)) % np.uint64(len(slots))).astype(np.int64),
+                      (hashes & np.uint64(15)).astype(np.uint8))
     return (slots[::2] | slots[1::2] << 4).view("<i8")
 
 
@@ -237,18 +237,18 @@ def choose(texts: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
             own = int(owner[e])
             chosen[own] = [*(chosen[own] or []), {
                 "band": int(level[e]), "lone": (place[a:b][lone] % (64 * MARK_WORDS)).astype(np.int32),
-                "signatures": found[a:b][rank].view(np.int64), "places": place[a:b][rank].astype(np.int32),
-                "prints": prints(place[a:b], found[a:b])}]
+                "signatures": found[a:b][rank].view(np.int64), "places": place[a:b][rank].astype(np.int32)}]
         size = np.diff(where)
         digest = []
         for values in (hashes, mix(hashes ^ np.uint64(0x5851F42D4C957F2D))):
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
             digest.append(mix(sums[where[1:]] - sums[where[:-1]]).view(np.int64))
         sets = [hashes[where[k]:where[k + 1]].tobytes() if c else None for k, c in enumerate(chosen)]
+        marks = [prints(hashes[where[k]:where[k + 1]]) if c else None for k, c in enumerate(chosen)]
         return pa.Table.from_arrays(
             [pa.array(ids), pa.array(size), pa.array(digest[0]), pa.array(digest[1]),
-             pa.array(chosen, pa.list_(CHOSEN)), pa.array(sets, pa.binary())],
-            ["doc_id", "n", "d1", "d2", "chosen", "hashes"])
+             pa.array(chosen, pa.list_(CHOSEN)), pa.array(marks, pa.list_(pa.int64())), pa.array(sets, pa.binary())],
+            ["doc_id", "n", "d1", "d2", "chosen", "prints", "hashes"])
 
     return texts.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(run, SETS)
 
@@ -369,8 +369,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     member = stage_table(known.select("doc_id", "n", F.coalesce("class", "doc_id").alias("class")))
     sets = stage_table(rows.where(F.col("chosen").isNotNull())
                        .join(member.where("doc_id <> class").select("doc_id").distinct(), "doc_id", "left_anti")
-                       .select("doc_id", "n", "chosen", "hashes"))
-    bands = sets.select("doc_id", "n", F.explode("chosen").alias("c")).select("doc_id", "n", "c.*")
+                       .select("doc_id", "n", "chosen", "prints", "hashes"))
+    bands = sets.select("doc_id", "n", "prints", F.explode("chosen").alias("c")).select("doc_id", "n", "prints", "c.*")
     entry = bands.select("doc_id", "band", F.explode("signatures").alias("signature"))
     several = entry.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("signature")
     entry = stage_table(entry.join(several, "signature"))
@@ -379,13 +379,16 @@ def near_groups(docs: DataFrame) -> DataFrame:
     for turn in range(ROUNDS):
         fresh = stage_table(linked(stage_table(one_each(placed(entry, labels), turn)), sets))
         links = fresh.select("a", "b") if links is None else links.union(fresh.select("a", "b"))
-        # One step towards the components; what it leaves apart is compared below.
+        # One step towards the components is enough for another round.
         known = sets.select("doc_id", F.col("doc_id").alias("component")).distinct() if labels is None else labels
         moved = fresh.groupBy(F.col("q").alias("component")).agg(F.min("p").alias("to"))
         labels = stage_table(known.join(moved, "component", "left").select(
             "doc_id", F.coalesce("to", "component").alias("component")))
 
     # All pairs that are still apart, but for those that are ruled out.
+    near = stage_table(components(links)).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "root")
+    labels = sets.select("doc_id").distinct().join(near, "doc_id", "left").select(
+        "doc_id", F.coalesce("root", "doc_id").alias("component"))
     meet = stage_table(marked(bands, open_entries(placed(entry, labels))))
     pair = meet.alias("x").join(meet.alias("y"), (F.col("x.signature") == F.col("y.signature"))
                                 & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
