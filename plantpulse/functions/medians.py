@@ -1,62 +1,70 @@
-"""Exact medians of groups whose size is not bounded."""
+"""Exact medians of groups of any size, by one method.
+
+Values collapse to counts, spread over tasks by value, so a repeated value costs one
+row per task. A group with many different values is narrowed in rounds: a sketch of its
+distinct values gives splits, counts per part are exact, and only the parts that hold
+the middle ranks stay. What is left of every group, `BRACKET_VALUES` values at most, is
+ordered by a window. No group is held in one buffer and no rank rests on the sketch.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups above this many rows leave the in-memory aggregate.
-HOT_GROUP_ROWS = 1_000_000
-SKETCH_ACCURACY = 10_000
-
+from ..session import stage_table
 
-def group_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Median per group; the buffer holds one group's distinct values."""
-    return rows.groupBy(*keys).agg(*[F.median(c).alias(c) for c in columns])
+#: Distinct values of a group that a window may order; parts of a round.
+BRACKET_VALUES = 100_000
+PARTS = 64
 
 
-def hot_group_medians(rows: DataFrame, keys: Sequence[str],
-                      columns: Sequence[str]) -> DataFrame:
-    """Exact median per group without bringing a group together.
-
-    A quantile sketch (bounded state, merged map-side) brackets the median.
-    Equal values collapse to counts, spread over tasks by value. Only the values
-    inside the bracket, a few parts in ten thousand, are then ordered; the ones
-    below it enter as a count. A bracket that missed raises instead of guessing.
-    """
+def exact_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                  bracket: int | None = None) -> DataFrame:
+    """Median of each column per group; nulls do not count, a group without values gives null."""
+    bracket = max(2 * PARTS, bracket or BRACKET_VALUES)
     keys = list(keys)
     group = [*keys, "measure"]
     cells = rows.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("v")) for c in columns
     ])).alias("m")).select(*keys, "m.*").filter("v IS NOT NULL")
-    slack = 4.0 / SKETCH_ACCURACY
-    bracket = cells.groupBy(*group).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("v", [0.5 - slack, 0.5 + slack], SKETCH_ACCURACY).alias("q"),
-    ).select(*group, "n", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
-    # One row per hot group and measure: at most all rows / HOT_GROUP_ROWS * columns.
-    counted = (cells.groupBy(*group, "v").agg(F.count("*").alias("w"))
-               .join(bracket, group)
-               .filter(F.col("v") <= F.col("high")))
-    below = counted.groupBy(*group).agg(
-        F.sum(F.when(F.col("v") < F.col("low"), F.col("w")).otherwise(0)).alias("below"))
+    counted = stage_table(cells.groupBy(*group, "v").agg(F.count("*").alias("w")))
+    state = stage_table(counted.groupBy(*group).agg(
+        F.sum("w").alias("n"), F.count("*").alias("n_values"), F.min("v").alias("low"), F.max("v").alias("high")
+    ).withColumn("below", F.lit(0).cast("bigint")))
+    while not state.filter(F.col("n_values") > bracket).isEmpty():
+        state = _narrowed(counted, state, group, bracket)
+    inside = counted.join(state, group).filter(F.col("v").between(F.col("low"), F.col("high")))
     running = Window.partitionBy(*group).orderBy("v")
-    ranked = (counted.filter(F.col("v") >= F.col("low"))
-              .join(below, group)
-              .withColumn("upto", F.col("below") + F.sum("w").over(running))
-              .withColumn("lo_rank", F.floor((F.col("n") + 1) / 2))
-              .withColumn("hi_rank", F.floor(F.col("n") / 2) + 1))
-    from_rank = F.col("upto") - F.col("w") + 1
-
-    def value_at(rank: str):
-        hit = (F.col(rank) >= from_rank) & (F.col(rank) <= F.col("upto"))
-        return F.max(F.when(hit, F.col("v")))
-
-    middle = ranked.groupBy(*group).agg(value_at("lo_rank").alias("a"), value_at("hi_rank").alias("b"))
-    exact = middle.select(*group, F.when(
-        F.col("a").isNotNull() & F.col("b").isNotNull(), (F.col("a") + F.col("b")) / 2.0
-    ).otherwise(F.raise_error(F.lit("median bracket missed")).cast("double")).alias("v"))
-    return exact.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("measure") == c, F.col("v"))).alias(c) for c in columns])
+    ranked = inside.withColumn("upto", F.col("below") + F.sum("w").over(running))
+    low, high = _middle_ranks()
+    middle = ranked.groupBy(*group).agg(*[F.min(F.when(F.col("upto") >= rank, F.col("v"))).alias(name)
+                                          for name, rank in (("a", low), ("b", high))])
+    return middle.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("measure") == c, (F.col("a") + F.col("b")) / 2.0)).alias(c) for c in columns])
+
+
+def _middle_ranks() -> tuple[Column, Column]:
+    return F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+
+
+def _narrowed(counted: DataFrame, state: DataFrame, group: list[str], bracket: int) -> DataFrame:
+    """The state with wide groups reduced to the parts that hold their middle ranks."""
+    wide = state.filter(F.col("n_values") > bracket)
+    inside = counted.join(wide, group).filter(F.col("v").between(F.col("low"), F.col("high")))
+    shares = F.array(*[F.lit(i / PARTS) for i in range(1, PARTS)])
+    splits = inside.groupBy(*group).agg(F.percentile_approx("v", shares, 100 * PARTS).alias("splits"))
+    part = F.size(F.filter("splits", lambda s: s < F.col("v")))
+    counts = inside.join(splits, group).groupBy(*group, "n", "below", part.alias("part")).agg(
+        F.sum("w").alias("w"), F.count("*").alias("n_values"), F.min("v").alias("low"), F.max("v").alias("high"))
+    running = Window.partitionBy(*group).orderBy("part")
+    spans = counts.withColumn("upto", F.col("below") + F.sum("w").over(running))
+    low, high = _middle_ranks()
+    holds = (F.col("upto") >= low) & (F.col("upto") - F.col("w") < high)
+    left = spans.filter(holds).groupBy(*group, "n").agg(
+        F.sum("n_values").alias("n_values"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.min(F.col("upto") - F.col("w")).alias("below"))
+    done = state.filter(F.col("n_values") <= bracket)
+    return stage_table(done.unionByName(left.select(*done.columns)))

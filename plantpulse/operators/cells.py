@@ -29,6 +29,10 @@ SIDE_FACTOR = (1.0 - 1e-9) / math.sqrt(DIMENSIONS)
 # of that many cells makes them equal or adjacent blocks.
 BLOCK_CELLS = math.ceil(math.sqrt(DIMENSIONS))
 BLOCK_DIMENSIONS = 3
+# A key of the block join meets at most the square of this many rows per group;
+# fuller keys are cut on both sides.
+GROUP_CELLS = 2000
+BLOCKS = [f"block_{i}" for i in range(DIMENSIONS)]
 # Cells up to this many distinct points are compared point by point; larger ones
 # are cut SPLIT-fold per dimension and step, down to 1e-7 of a cell.
 LEAF_POINTS = 512
@@ -155,22 +159,50 @@ def point_gap(p: str, q: str) -> Column:
     return _sum([g * g for g in gaps])
 
 
+def split_full_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with columns `cut_l` and `cut_r` that cut full keys of a join into a grid.
+
+    A key with n rows on a side has ceil(n / GROUP_CELLS) parts there; each row lies in
+    one part of its side and is copied to all parts of the other, so the same pairs
+    meet, in groups of bounded size. The table of parts has one row per key.
+    """
+    def parts_of(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.ceil(F.count("*") / GROUP_CELLS).alias(name))
+
+    parts = stage_table(parts_of(left, "n_l").join(parts_of(right, "n_r"), keys))
+
+    def cut(df: DataFrame, own: str, other: str, n_own: str, n_other: str) -> DataFrame:
+        row = F.xxhash64(*[c for c in df.columns if c not in keys])
+        return df.join(parts, keys).withColumns({
+            own: F.pmod(row, F.col(n_own)),
+            other: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n_other) - 1))}).drop("n_l", "n_r")
+
+    return (cut(left, "cut_l", "cut_r", "n_l", "n_r"), cut(right, "cut_r", "cut_l", "n_r", "n_l"),
+            [*keys, "cut_l", "cut_r"])
+
+
+def beside(a: str, b: str, dims: list[int]) -> Column:
+    """Blocks equal or adjacent in the dimensions that the join leaves out: a test of whole numbers first."""
+    return reduce(lambda x, y: x & y, [
+        F.abs(F.col(f"{a}.block_{i}") - F.col(f"{b}.block_{i}")) <= 1 for i in range(DIMENSIONS) if i not in dims])
+
+
 def cell_pairs(cells: DataFrame, eps: float) -> DataFrame:
     """Ordered pairs (a, b), a <> b, of cells that may hold points within eps.
 
     `near` says that all their points are within eps of each other.
     """
     dims = block_dimensions(cells)
-    names = [f"block_{i}" for i in dims]
-    slim = cells.select(KEY, "cell", *names, *BOX)
+    slim = cells.select(KEY, "cell", *BLOCKS, *BOX)
+    left, right, keys = split_full_keys(spread_blocks(slim, dims), slim, [KEY, *[f"block_{i}" for i in dims]])
     spark = cells.sparkSession
     # Few bytes but many comparisons: size the join by cores, not by bytes.
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    a, b = spread_blocks(slim.repartition(tasks), dims).alias("a"), slim.alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [KEY, *names]]
+    a, b = left.repartition(tasks, *keys).alias("a"), right.alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys]
     limit = eps * eps
-    found = (a.join(b, reduce(lambda x, y: x & y, same) & (F.col("a.cell") < F.col("b.cell")))
-             .filter(may_touch("a", "b", limit))
+    found = (a.join(b, reduce(lambda x, y: x & y, same) & (F.col("a.cell") < F.col("b.cell")) & beside("a", "b", dims)
+                    & may_touch("a", "b", limit))
              .select(F.col("a.cell").alias("a"), F.col("b.cell").alias("b"),
                      all_within("a", "b", limit).alias("near")))
     swapped = found.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))

@@ -1,70 +1,54 @@
-"""Connected components by random contraction (A10)."""
+"""Connected components by large-star and small-star rounds (A10).
+
+Each round hooks every node's larger neighbours, then its smaller ones, to its smallest
+neighbour; the number of rounds grows with the logarithm of the longest chain. Minima are
+partial aggregates and joins are plain equi-joins, so a node with very many links is split
+like any skewed key. There is one method for every size.
+"""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
 
-MAX_ROUNDS = 200
-# Links few enough to finish in one task (checked, 16 bytes each).
-SMALL_LINKS = 200_000
-
-
-def _finish(batches):
-    """Union-find over a bounded list of links; yields (old, new) moves."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
 
-    for batch in batches:
-        for a, b in zip(batch["a"].tolist(), batch["b"].tolist(), strict=True):
-            ra, rb = root(a), root(b)
-            parent[max(ra, rb)] = min(ra, rb)
-    nodes = list(parent)
-    yield pd.DataFrame({"old": nodes, "new": [root(x) for x in nodes]}, dtype="int64")
+def _hook(edges: DataFrame, larger: bool) -> DataFrame:
+    """One star step over links (u, v) with u > v."""
+    both = edges
+    if larger:
+        both = edges.select(F.explode(F.array(
+            F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    joined = both.join(least, "u")
+    if larger:
+        out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    else:
+        out = joined.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+                                              F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
+    return out.where("u > v").distinct()
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Add `component` to `nodes(node)` for undirected `edges(a, b)` of longs.
+def components(links: DataFrame) -> DataFrame:
+    """node and component (its smallest node) of every node of `links`, columns a and b (long).
 
-    Each round every class joins the neighbour of smallest hash if that is below
-    its own; hashes change per round. At least half of the classes with an edge
-    are expected to vanish per round, whatever the graph, so rounds grow with
-    the logarithm of the classes. Edges shrink to distinct class pairs, and the
-    moves of a round hold at most one row per class.
+    Links of a node with itself are ignored; repeated links count once; no links give no rows.
     """
-    labels = nodes.select("node", F.col("node").alias("component"))
-    links = edges.select(F.explode(F.array(
-        F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")
-    ).select("e.*").filter("a <> b")
-    for round_no in range(MAX_ROUNDS):
-        links = stage_table(links)
-        left = links.count()
-        if left == 0:
-            return stage_table(labels)
-        if left <= SMALL_LINKS:
-            moves = links.filter("a < b").coalesce(1).mapInPandas(_finish, "old long, new long")
-            return stage_table(_relabel(labels, moves, "component"))
-
-        def rank(c: str):
-            return F.struct(F.xxhash64(F.col(c), F.lit(round_no)), F.col(c))
+    edges = stage_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                        .where("u > v").distinct())
+    before = None
+    while True:
+        # Stars stay as they are: the links repeat once every node hangs on its root.
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == before:
+            break
+        before, edges = now, stage_table(_hook(_hook(edges, larger=True), larger=False))
+    stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
-        nearest = links.groupBy("a").agg(F.min_by("b", rank("b")).alias("to"))
-        moves = stage_table(nearest.filter(rank("to") < rank("a"))
-                            .select(F.col("a").alias("old"), F.col("to").alias("new")))
-        labels = _relabel(labels, moves, "component")
-        links = _relabel(_relabel(links, moves, "a"), moves, "b").filter("a <> b").distinct()
-    raise RuntimeError("components did not settle")
 
-
-def _relabel(df: DataFrame, moves: DataFrame, column: str) -> DataFrame:
-    renamed = moves.withColumnRenamed("old", column)
-    return (df.join(renamed, column, "left")
-            .withColumn(column, F.coalesce("new", column)).drop("new").select(*df.columns))
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Add `component` to `nodes(node)` for undirected `edges(a, b)` of longs."""
+    found = components(edges)
+    return stage_table(nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,30 +39,18 @@ def _cells(rows: DataFrame) -> DataFrame:
     )
 
 
-def resolve_conflicts(rows: DataFrame, audit: bool = True,
-                      hot_rows: int = medians.HOT_GROUP_ROWS) -> DataFrame:
+def resolve_conflicts(rows: DataFrame, audit: bool = True) -> DataFrame:
     """One row per (series, timestamp): sensor medians and a failure verdict.
 
     Up to two values, the median is (min + max) / 2 and needs no sort. Only the
-    cells with more go back to their rows; the few cells above `hot_rows` rows
-    take the bracketed median, so no cell is ever held in one buffer. `rows`
-    feeds several branches and should be staged.
+    cells with more go back to their rows for the exact median, which holds no
+    cell in one buffer. `rows` feeds several branches and should be staged.
     """
     cells = stage_table(_cells(rows))
     many = F.greatest(*[F.col(f"n_{c}") for c in C.SENSORS]) > 2
-    # At most all rows / hot_rows keys are hot, so their keys may be broadcast.
-    parts = [
-        (cells.filter(many & (F.col("n_rows") <= hot_rows)).select(*CELL), medians.group_medians),
-        (F.broadcast(cells.filter(many & (F.col("n_rows") > hot_rows)).select(*CELL)), medians.hot_group_medians),
-    ]
-    found = [exact(rows.join(keys, CELL, "left_semi"), CELL, C.SENSORS)
-             for keys, exact in parts if not keys.isEmpty()]
-    named = [m.select(*CELL, *[F.col(c).alias(f"med_{c}") for c in C.SENSORS]) for m in found]
-    joined = cells
-    if named:
-        joined = joined.join(reduce(DataFrame.unionByName, named), CELL, "left")
-    else:
-        joined = joined.withColumns({f"med_{c}": F.lit(None).cast("double") for c in C.SENSORS})
+    crowded = cells.filter(many).select(*CELL)
+    found = medians.exact_medians(rows.join(crowded, CELL, "left_semi"), CELL, C.SENSORS)
+    joined = cells.join(found.select(*CELL, *[F.col(c).alias(f"med_{c}") for c in C.SENSORS]), CELL, "left")
     out = joined.select(
         *CELL,
         *[F.when(F.col(f"n_{c}") <= 2, (F.col(f"lo_{c}") + F.col(f"hi_{c}")) / 2.0)

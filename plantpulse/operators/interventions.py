@@ -31,14 +31,14 @@ def _per_instant(interventions: DataFrame) -> DataFrame:
         F.min_by("failure_type", "row_id").alias("first_type"))
 
 
-def _width(sensors: DataFrame, instants: DataFrame) -> int:
-    both = sensors.select("machine_id", "timestamp").unionByName(
-        instants.select("machine_id", F.col("at").alias("timestamp")))
+def slice_width(sensors: DataFrame, interventions: DataFrame) -> int:
+    """Slice width in seconds that suits both sides."""
+    both = sensors.select("machine_id", "timestamp").unionByName(interventions.select("machine_id", "timestamp"))
     return pick_width(both, ["machine_id"])
 
 
 def attach_interventions(sensors: DataFrame, interventions: DataFrame,
-                         tolerance_hours: float = C.ASOF_TOLERANCE_HOURS) -> DataFrame:
+                         tolerance_hours: float = C.ASOF_TOLERANCE_HOURS, seconds: int | None = None) -> DataFrame:
     """Add `hours_since_last_intervention` and `near_type` to sensor rows.
 
     Both sides are cut into time slices per machine and merged by order, so no
@@ -49,7 +49,7 @@ def attach_interventions(sensors: DataFrame, interventions: DataFrame,
     """
     keys = ["machine_id"]
     right = _per_instant(interventions)
-    seconds = _width(sensors, right)
+    seconds = seconds or slice_width(sensors, interventions)
     left = sensors.withColumn(SLICE, slice_of(F.col("timestamp"), seconds))
     tolerance = F.expr(f"INTERVAL {int(tolerance_hours * 3600)} SECONDS")
     first, last = (slice_of(t, seconds) for t in (F.col("at") - tolerance, F.col("at") + tolerance))
@@ -89,7 +89,7 @@ def hours_to_next(sensors: DataFrame, interventions: DataFrame) -> DataFrame:
     """
     keys = ["machine_id"]
     right = interventions.select("machine_id", F.col("timestamp").alias("at")).distinct()
-    seconds = _width(sensors, right)
+    seconds = slice_width(sensors, interventions)
     left = sensors.withColumn(SLICE, -slice_of(F.col("timestamp"), seconds))
     per_slice = right.groupBy(*keys, (-slice_of(F.col("at"), seconds)).alias(SLICE)).agg(F.min("at").alias("carried"))
     carried = carry_in(per_slice, left.select(*keys, SLICE).distinct(), keys, "carried")

@@ -22,10 +22,8 @@ def with_cycle_ratio(df: DataFrame) -> DataFrame:
 
 def feature_medians(df: DataFrame) -> DataFrame:
     """One row: the exact median of every feature over all machines."""
-    if df.select("machine_id").count() <= medians.HOT_GROUP_ROWS:
-        return df.agg(*[F.median(c).alias(c) for c in C.FEATURES])
     keyed = df.select(F.lit(0).alias("all"), *C.FEATURES)
-    return medians.hot_group_medians(keyed, ["all"], C.FEATURES).drop("all")
+    return medians.exact_medians(keyed, ["all"], C.FEATURES).drop("all")
 
 
 def model_matrix(df: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import scalars as S
 from ..session import stage_table
-from .cells import (BOX, LEAF_POINTS, MAX_DEPTH, Z, block_dimensions, cell_table, part_name, parts, point_box_gap,
-                    point_box_reach, point_gap, spread_blocks, with_cell)
+from .cells import (BLOCKS, BOX, LEAF_POINTS, MAX_DEPTH, Z, beside, block_dimensions, cell_table, part_name, parts,
+                    point_box_gap, point_box_reach, point_gap, split_full_keys, spread_blocks, with_cell)
 from .scaling import KEY, POSITION, standardise
 
 READING = ["machine_id", "target_cycle", *C.SENSORS]
@@ -101,8 +101,8 @@ def _nearest(unique: DataFrame, reference: DataFrame, eps: float) -> DataFrame:
     points = stage_table(with_cell(reference.select(KEY, *Z, "weight", POSITION, "cluster_label"), eps))
     cells = stage_table(cell_table(points))
     dims = block_dimensions(cells)
-    names = [f"block_{i}" for i in dims]
-    boxes = spread_blocks(cells.select(KEY, "cell", "n_points", F.lit("").alias("part"), *names, *BOX), dims)
+    boxes = spread_blocks(cells.select(KEY, "cell", "n_points", F.lit("").alias("part"), *BLOCKS, *BOX), dims)
+    asking, boxes, keys = split_full_keys(asked, boxes, [KEY, *[f"block_{i}" for i in dims]])
 
     def test(near: DataFrame) -> DataFrame:
         """Rows whose box may hold the nearest point of their reading. Only ids
@@ -117,7 +117,7 @@ def _nearest(unique: DataFrame, reference: DataFrame, eps: float) -> DataFrame:
     def same(columns: list[str]):
         return reduce(lambda x, y: x & y, [F.col(f"p.{c}") == F.col(f"b.{c}") for c in columns])
 
-    opened = test(asked.alias("p").join(boxes.alias("b"), same([KEY, *names])))
+    opened = test(asking.alias("p").join(boxes.alias("b"), same(keys) & beside("p", "b", dims)))
     crowded = (cells.agg(F.max("n_points")).first()[0] or 0) > LEAF_POINTS
     found = []
     for depth in range(MAX_DEPTH + 1):

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from .. import constants as C
 from ..operators import interventions
-from ..session import drop_staged, use_utc
+from ..session import drop_staged, staged_mark, use_utc
 from ..sources import bronze_csv, layers, serving
 from . import gold as gold_plan
 from . import silver as silver_plan
@@ -22,6 +22,7 @@ def ingest(spark: SparkSession, bronze: str, root: str, version: str | None = No
     was nothing to write.
     """
     use_utc(spark)
+    mark = staged_mark()
     version = version or layers.new_version(spark)
     files = bronze_csv.inspect_files(spark, bronze)
     layers.write_layer(bronze_csv.rejected_files(spark, bronze, files), root, "rejected_files", version)
@@ -34,7 +35,7 @@ def ingest(spark: SparkSession, bronze: str, root: str, version: str | None = No
     log = layers.read_version(spark, root, "interventions", version) or log.limit(0)
     layers.write_layer(gold_plan.gold(silver, log), root, "gold", version)
     serving.refresh(silver, log, layers.read_version(spark, root, "gold", version), f"{root}/serving")
-    drop_staged(spark)
+    drop_staged(spark, mark)
     return version
 
 
@@ -42,11 +43,12 @@ def retrain(spark: SparkSession, root: str, version: str | None = None, eps: flo
             min_samples: int = C.MIN_SAMPLES) -> str:
     """Train on the newest gold layer and store the model."""
     use_utc(spark)
+    mark = staged_mark()
     source = layers.latest_version(spark, root, "gold")
     if source is None:
         raise FileNotFoundError(f"no gold layer under {root}")
     version = version or layers.new_version(spark)
     model = training.train(layers.read_version(spark, root, "gold", source), eps, min_samples)
     layers.save_model(model, f"{root}/models", version, f"gold/{source}")
-    drop_staged(spark)
+    drop_staged(spark, mark)
     return version

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..operators.features import derived_features, rolling_features
-from ..operators.interventions import attach_interventions
+from ..operators.interventions import attach_interventions, slice_width
 
 
 def gold(silver: DataFrame, interventions: DataFrame | None = None) -> DataFrame:
@@ -16,17 +16,21 @@ def gold(silver: DataFrame, interventions: DataFrame | None = None) -> DataFrame
     With a breakdown log, rows within an hour of an entry take its type.
     """
     df = derived_features(rolling_features(silver))
+    # Widths are chosen on the stored rows, not on the features computed from them.
     if interventions is None:
         return df.withColumn("hours_since_last_intervention", F.lit(C.NO_INTERVENTION_HOURS))
-    near = attach_interventions(df, interventions)
+    near = attach_interventions(df, interventions, seconds=slice_width(silver, interventions))
     return near.withColumn("failure_type", F.coalesce("near_type", "failure_type")).drop("near_type")
 
 
 def latest_per_machine(df: DataFrame, ts: str = "timestamp", tie: str = "target_cycle") -> DataFrame:
-    """Newest row per machine (W01). A partial aggregate keeps one candidate per
-    task and machine before the shuffle."""
-    newest = F.max_by(F.struct(*df.columns), F.struct(ts, tie)).alias("row")
-    return df.groupBy("machine_id").agg(newest).select("row.*")
+    """Newest row per machine (W01). A hash aggregate finds the newest instant; only
+    the rows at it, few per machine, are compared as a whole."""
+    last = df.groupBy("machine_id").agg(F.max(ts).alias("newest_ts"))
+    at_last = df.join(last, (df["machine_id"].eqNullSafe(last["machine_id"])) & df[ts].eqNullSafe(last["newest_ts"]),
+                      "left_semi")
+    newest = F.max_by(F.struct(*df.columns), F.struct(F.col(tie))).alias("row")
+    return at_last.groupBy("machine_id").agg(newest).select("row.*")
 
 
 def snapshot(gold_rows: DataFrame) -> DataFrame:

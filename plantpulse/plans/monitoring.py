@@ -172,8 +172,13 @@ def cycle_ratio_series(sensors: DataFrame, machines: list[int], start: str, end:
                     ratio.alias("value")))
 
 
-def noisy_readings(sensors: DataFrame, predictions: DataFrame, column: str) -> DataFrame:
-    """Sensor values at the instants scored as noise."""
+def noisy_readings(sensors: DataFrame, predictions: DataFrame, column: str, machines: list[int] | None = None,
+                   start: str | None = None, end: str | None = None) -> DataFrame:
+    """Sensor values at the instants scored as noise (J05), of some machines and a range if given."""
+    if machines is not None:
+        sensors, predictions = for_machines(sensors, machines), for_machines(predictions, machines)
+    if start is not None:
+        sensors, predictions = in_range(sensors, "timestamp", start, end), in_range(predictions, "recorded_at", start, end)
     noise = predictions.filter(F.col("cluster_label") == C.NOISE).select(
         "machine_id", F.col("recorded_at").alias("timestamp"))
     return sensors.join(noise, ["machine_id", "timestamp"]).select(

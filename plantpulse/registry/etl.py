@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions import medians
 from ..functions import scalars as S
 from ..operators import (cleaning, conflicts, failure_repair, features, hourly, interventions, outliers, scoring,
                          validation)
@@ -369,9 +370,8 @@ def _(spark, d):
 
 @query("A02_hot_medians", check(["dedup"], f"SELECT machine_id, {each('median({c}) AS {c}')} FROM dedup WHERE ts IS NOT NULL GROUP BY machine_id", D7))
 def _(spark, d):
-    """Exact medians of large groups: bracketed, never gathered."""
-    from ..functions.medians import hot_group_medians
-    return hot_group_medians(_dedup(spark, d), ["machine_id"], C.SENSORS)
+    """Exact medians of large groups: narrowed in rounds, never gathered."""
+    return medians.exact_medians(_dedup(spark, d), ["machine_id"], C.SENSORS, bracket=1)
 
 
 @query("A03_failure_verdict", check(["cells"], f"""SELECT {_K}, failure, dup, count(*) AS n FROM cells GROUP BY ALL"""))

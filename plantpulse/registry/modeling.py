@@ -9,9 +9,9 @@ from .. import constants as C
 from ..functions import scalars as S
 from ..operators import dbscan, scaling, scoring
 from ..operators.scaling import KEY
-from ..plans import supervised, training
+from ..plans import batch, supervised, training
 from ..session import stage_table
-from ..sources import events_adapter, layers
+from ..sources import bronze_csv, events_adapter, layers
 from .base import check, each, query
 from .etl import _GOLD_SQL, _GOLD_STEPS, _gold, scratch
 
@@ -64,10 +64,24 @@ _CACHE: dict[tuple, training.Model] = {}
 _SENSORS: dict[tuple, DataFrame] = {}
 
 
+def _state(spark, d) -> tuple:
+    """The session and the state of the given files: changed data is trained anew."""
+    files = spark.read.parquet(f"{d}/events.parquet").select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    seen = files.agg(F.count("*"), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()
+    return (spark.sparkContext.applicationId, d, *seen)
+
+
+def forget() -> None:
+    """Drop what is kept between queries, so that the next one starts cold."""
+    for kept in (_CACHE, _SENSORS, _LABELLED_GOLD):
+        kept.clear()
+
+
 def stored_sensors(spark, d) -> DataFrame:
     """The sensor rows as a stored table, as in service. As a bare projection,
     every pushed filter would parse the JSON of `events` again."""
-    key = (spark.sparkContext.applicationId, d)
+    key = _state(spark, d)
     if key not in _SENSORS:
         _SENSORS[key] = stage_table(events_adapter.sensor_data(spark, d))
     return _SENSORS[key]
@@ -75,7 +89,7 @@ def stored_sensors(spark, d) -> DataFrame:
 
 def model(spark, d, models="machines", eps=C.EPS) -> training.Model:
     """Trained once per session and data set; its tables are staged files."""
-    key = (spark.sparkContext.applicationId, d, models, eps)
+    key = (*_state(spark, d), models, eps)
     if key not in _CACHE:
         _CACHE[key] = training.train(stored_sensors(spark, d), eps=eps, models=models)
     return _CACHE[key]
@@ -302,6 +316,22 @@ def _(spark, d):
     return layers.registry_status(spark, root)
 
 
+@query("batch_end_to_end", check(["silver", "interv"], """SELECT machine_id, count(*) AS n,
+    count(*) FILTER (cluster_label = -1) AS n_anomalies FROM scored JOIN sens USING (row_id) GROUP BY 1""",
+    extra=[*_GOLD_STEPS, *_steps("machines"), _READ_STEP, _QZ, _REF, _HITS, _SCORED]))
+def _(spark, d):
+    """Bronze files to layers, serving tables and a model, and the newest gold rows scored with it."""
+    root = scratch(spark)
+    bronze_csv.write_sensors(events_adapter.bronze(spark, d), f"{root}/bronze")
+    bronze_csv.write_interventions(events_adapter.bronze_interventions(spark, d), f"{root}/bronze")
+    batch.ingest(spark, f"{root}/bronze", f"{root}/lake", "20260101T000000Z")
+    batch.retrain(spark, f"{root}/lake", "20260101T010000Z")
+    _, scaler, reference = layers.load_model(spark, f"{root}/lake/models")
+    good, _ = scoring.valid_readings(scoring.to_readings(layers.read_latest(spark, f"{root}/lake", "gold")))
+    return scoring.score(good, scaler, reference).groupBy("machine_id").agg(
+        F.count("*").alias("n"), F.count_if("anomaly").alias("n_anomalies"))
+
+
 # Supervised models --------------------------------------------------------
 
 _LABELLED_GOLD: dict[tuple, DataFrame] = {}
@@ -309,7 +339,7 @@ _LABELLED_GOLD: dict[tuple, DataFrame] = {}
 
 def _labelled_gold(spark, d):
     """Gold rows with remaining hours, stored once for the three models."""
-    key = (spark.sparkContext.applicationId, d)
+    key = _state(spark, d)
     if key not in _LABELLED_GOLD:
         log = events_adapter.interventions(spark, d)
         _LABELLED_GOLD[key] = stage_table(supervised.label_remaining_hours(_gold(spark, d), log))

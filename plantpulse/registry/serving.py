@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import scalars as S
 from ..functions.slices import SLICE, pick_width, slice_of
+from ..operators import scoring
 from ..plans import metrics
 from ..plans import monitoring as M
 from ..sources import events_adapter, layers, serving
 from ..streaming import live, replay, windows
 from .base import check, query
 from .etl import scratch
-from .modeling import _HITS, _QZ, _REF, _SCORED, _steps, model
+from .modeling import _HITS, _QZ, _READ_STEP, _REF, _SCORED, _steps, model
 
 # Fixed instants inside the data: "now" and a range for the dashboards.
 NOW = "2024-01-30 20:00:00"
@@ -168,6 +169,12 @@ simple("J05_noisy_readings", ["sens", "pred"], """SELECT "timestamp" AS time, CA
        lambda s, d: M.noisy_readings(_sens(s, d), _pred(s, d), "temperature_C"), ["value"])
 
 
+simple("J05_noisy_vibration_panel", ["sens", "pred"], f"""SELECT "timestamp" AS time, CAST(s.machine_id AS VARCHAR) || ' (anomalie)' AS metric,
+       vibration AS value FROM sens s JOIN pred p ON p.machine_id = s.machine_id AND p.recorded_at = s."timestamp" WHERE cluster_label = -1
+       AND s.{_IN} AND "timestamp" {_SPAN}""",
+       lambda s, d: M.noisy_readings(_sens(s, d), _pred(s, d), "vibration", MACHINES, FROM, TO), ["value"])
+
+
 def _lead(spark, d):
     anomalies = _pred(spark, d).filter("anomaly").withColumnRenamed("recorded_at", "timestamp")
     return M.lead_time(anomalies, _int(spark, d))
@@ -243,22 +250,21 @@ simple("F17_json_rows", ["pred"], """SELECT event_id, '{"machine_id":' || machin
 _REPLAY_COLS = ["row_id", *C.SENSOR_TABLE]
 
 
-def _replayed(spark, d, per_batch):
-    """Stage ticks, stream them, and store each batch under its number."""
+@query("ST01_replay_by_time", check(["sens"], "SELECT count(DISTINCT hour) AS ticks, count(*) AS n, true AS in_order FROM ticked", extra=[_TICKED]))
+def _(spark, d):
+    """All ticks come through in order, 100 per batch."""
     root = scratch(spark)
-    replay.stage_ticks(replay.ticks_by_time(_hourly_ticks(spark, d)).select(*_REPLAY_COLS, replay.TICK), f"{root}/ticks")
-    schema = spark.read.parquet(f"{root}/ticks").schema
-    stream = replay.replay_stream(spark, f"{root}/ticks", schema, per_batch)
-    windows.run_updates(stream, f"{root}/out", f"{root}/state")
-    return spark.read.parquet(f"{root}/out")
+    ticks = replay.ticks_by_time(_hourly_ticks(spark, d)).select(*_REPLAY_COLS, replay.TICK)
 
+    def drain():
+        stream = spark.readStream.schema(ticks.schema).parquet(f"{root}/ticks")
+        windows.run_batches(stream, f"{root}/out", f"{root}/state")
 
-@query("ST01_replay_by_time", check(["sens"], "SELECT count(DISTINCT hour) AS ticks, count(*) AS n, true AS in_order FROM ticked", extra=[_TICKED]))
-def _(spark, d):
-    """All ticks come through in order, 200 per batch."""
-    out = _replayed(spark, d, 200)
-    per_batch = out.groupBy("batch").agg(F.min("tick").alias("lo"), F.max("tick").alias("hi"))
-    follows = F.col("lo") > F.lag("hi", 1, -1).over(Window.orderBy("batch"))
+    replay.replay(ticks, f"{root}/ticks", drain, 100)
+    out = spark.read.parquet(f"{root}/out")
+    per_batch = out.groupBy("b").agg(F.min("tick").alias("lo"), F.max("tick").alias("hi"))
+    # One row per batch.
+    follows = F.col("lo") > F.lag("hi", 1, -1).over(Window.orderBy("b"))
     order = per_batch.withColumn("ok", follows).agg(F.every("ok").alias("in_order"))
     totals = out.agg(F.count_distinct("tick").alias("ticks"), F.count("*").alias("n"))
     return totals.withColumn("in_order", F.lit(order.first()[0]))
@@ -270,23 +276,35 @@ simple("ST02_replay_by_rows", ["sens"], """SELECT row_id, (row_number() OVER (OR
 
 @query("ST04_live_scoring", check(["sens"], """SELECT machine_id, "timestamp" AS recorded_at, cluster_label, anomaly_score, model_version FROM (
     SELECT s.*, 'v2' AS model_version, c.cluster_label, c.anomaly_score FROM scored c JOIN sens s USING (row_id))""", ["anomaly_score"],
-    [*_steps("machines"), ("reads", """SELECT *, cycle_duration / target_cycle AS cycle_ratio FROM sens WHERE target_cycle >= 1
-    AND consumption_kWh IS NOT NULL AND temperature_C IS NOT NULL AND cycle_duration IS NOT NULL"""), _QZ, _REF, _HITS, _SCORED]))
+    [*_steps("machines"), _READ_STEP, _QZ, _REF, _HITS, _SCORED]))
 def _(spark, d):
-    """Stream the sensor rows through clamp, validation, scoring and storage."""
+    """Stream the sensor rows, in six batches by time, through clamp, validation, scoring and storage."""
     root = scratch(spark)
-    ticks = replay.ticks_by_time(_sens(spark, d).withColumn("real", F.col("timestamp"))
-                                 .withColumn("timestamp", F.date_trunc("month", "timestamp")))
-    replay.stage_ticks(ticks.withColumn("timestamp", F.col("real")).select(*_REPLAY_COLS, replay.TICK), f"{root}/ticks")
-    schema = spark.read.parquet(f"{root}/ticks").schema
+    ticks = replay.ticks_by_time(_hourly_ticks(spark, d).withColumn("real", F.col("timestamp")))
+    ticks = ticks.drop("timestamp").join(_sens(spark, d).select("row_id", "timestamp"), "row_id").select(*_REPLAY_COLS, replay.TICK)
     for version in ("v1", "v2"):
         layers.save_model(model(spark, d), f"{root}/models", version)
-    stream = replay.replay_stream(spark, f"{root}/ticks", schema, 1)
-    live.live_scoring(stream, f"{root}/models", f"{root}/serving", f"{root}/state").awaitTermination()
+
+    def drain():
+        stream = spark.readStream.schema(ticks.schema).parquet(f"{root}/ticks")
+        live.live_scoring(stream, f"{root}/models", f"{root}/serving", f"{root}/state").awaitTermination()
+
+    last = ticks.agg(F.max(replay.TICK)).first()[0]
+    replay.replay(ticks, f"{root}/ticks", drain, last // 6 + 1)
     return serving.read_table(spark, f"{root}/serving", "predictions").select(
         "machine_id", "recorded_at", "cluster_label", "anomaly_score", "model_version")
 
 
+@query("ST05_warm_up_scored", check(["sens"], """SELECT row_id, cluster_label, anomaly_score FROM scored JOIN ticked USING (row_id)
+    WHERE back < 60""", ["anomaly_score"], [_TICKED, *_steps("machines"), _READ_STEP, _QZ, _REF, _HITS, _SCORED]))
+def _(spark, d):
+    """The ticks of the warm-up, scored as they are replayed."""
+    rows = replay.warm_up(_hourly_ticks(spark, d), F.lit(NOW).cast("timestamp"))
+    good, _ = scoring.valid_readings(scoring.to_readings(rows, extra=["row_id"]))
+    trained = model(spark, d)
+    return scoring.score(good, trained.scaler, trained.reference).select("row_id", "cluster_label", "anomaly_score")
+
+
 simple("ST05_warm_up", ["sens"], f"""SELECT row_id, TIMESTAMP '{NOW}' - CAST(back * 5 AS INTEGER) * INTERVAL 1 SECOND AS "timestamp" FROM ticked WHERE back < 60""",
        lambda s, d: replay.warm_up(_hourly_ticks(s, d), F.lit(NOW).cast("timestamp")).select("row_id", "timestamp"), extra=[_TICKED])
 
@@ -333,12 +351,20 @@ def _(spark, d):
             .groupBy("model_version").agg(F.count("*").alias("n")))
 
 
+def _unordered(spark, d, files=8):
+    """The events as a stream of files without any order, one file per batch."""
+    folder = f"{scratch(spark)}/in"
+    raw = events_raw(spark, d)
+    raw.repartition(files, "event_id").write.mode("append").parquet(folder)
+    return spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(folder), folder
+
+
 def _streamed_windows(spark, d, length, slide=None):
     root = scratch(spark)
-    stream = spark.readStream.schema(events_raw(spark, d).schema).parquet(f"{d}/events*.parquet")
-    result = windows.live_windows(events_adapter.predictions_of(stream), length, slide)
-    windows.run_updates(result, f"{root}/out", f"{root}/state")
-    return windows.current_state(spark.read.parquet(f"{root}/out"), ["window_start", "window_end"])
+    stream, _ = _unordered(spark, d)
+    rows = events_adapter.predictions_of(stream)
+    windows.run_batches(rows, f"{root}/out", f"{root}/state", lambda b: windows.window_parts(b, length, slide))
+    return windows.merged(spark.read.parquet(f"{root}/out"))
 
 
 _AGG = """count(*) AS n_points, count(*) FILTER (anomaly) AS n_anomalies,
@@ -361,12 +387,14 @@ def _(spark, d):
 
 @query("ST08_without_repeats", check(["pred"], "SELECT count(*) AS n FROM (SELECT DISTINCT machine_id, recorded_at FROM pred)"))
 def _(spark, d):
-    """Every row sent twice; repeats are dropped by machine and instant."""
+    """Every row sent again in a later batch; repeats are dropped by machine and instant."""
     root = scratch(spark)
-    stream = spark.readStream.schema(events_raw(spark, d).schema).parquet(f"{d}/events*.parquet")
-    twice = stream.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
-    windows.run_updates(windows.without_repeats(events_adapter.predictions_of(twice)), f"{root}/out", f"{root}/state")
-    return spark.read.parquet(f"{root}/out").agg(F.count("*").alias("n"))
+    stream, folder = _unordered(spark, d)
+    rows = events_adapter.predictions_of(stream).select("machine_id", "recorded_at")
+    windows.run_batches(rows, f"{root}/out", f"{root}/state")
+    events_raw(spark, d).repartition(3, "ts").write.mode("append").parquet(folder)
+    windows.run_batches(rows, f"{root}/out", f"{root}/state")
+    return windows.without_repeats(spark.read.parquet(f"{root}/out")).agg(F.count("*").alias("n"))
 
 
 # Rates: hourly samples stand in for scrapes, so windows are hours, not minutes.

@@ -10,6 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_STAGED: list[str] = []
 
 
 def build_session(app: str = "plantpulse", master: str | None = None, **conf: str) -> SparkSession:
@@ -23,6 +24,8 @@ def build_session(app: str = "plantpulse", master: str | None = None, **conf: st
         # Hash instead of sort once every partition of a side is known to be small.
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         "spark.ui.enabled": "false",
+        # Checkpoints go once nothing refers to them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -82,6 +85,7 @@ def stage_table(df: DataFrame) -> DataFrame:
     by broadcast without a shuffle of the other side.
     """
     path = f"{staged_root(df.sparkSession)}/{uuid.uuid4().hex}"
+    _STAGED.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -98,7 +102,14 @@ def staged_root(spark: SparkSession) -> str:
     return f"{shared_dir_once(spark)}/staged-{spark.sparkContext.applicationId}"
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete the tables this application staged, once its results are written."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def staged_mark() -> int:
+    """Where the list of staged tables stands; for `drop_staged`."""
+    return len(_STAGED)
+
+
+def drop_staged(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables staged since a mark, once the results made of them are written."""
+    for name in _STAGED[since:]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    del _STAGED[since:]

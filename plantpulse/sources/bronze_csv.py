@@ -170,11 +170,11 @@ def write_sensors(df: DataFrame, folder: str) -> None:
     """Bronze rows to CSV folders named like the files, one task per few files."""
     name = F.concat(F.lit("machine_"), F.col("machine_id").cast("string"), F.lit("_targetcycle"),
                     F.col("target_cycle").cast("string"), F.lit(".csv"))
-    (df.select(name.alias("file"), *C.BUSINESS).write.partitionBy("file")
+    (df.select(name.alias("file"), *C.BUSINESS).write.mode("append").partitionBy("file")
      .option("header", True).csv(folder))
 
 
 def write_interventions(df: DataFrame, folder: str) -> None:
     name = F.concat(F.lit("intervention_data_machine"), F.col("machine_id").cast("string"), F.lit(".csv"))
-    (df.select(name.alias("file"), *INTERVENTION_COLUMNS).write.partitionBy("file")
+    (df.select(name.alias("file"), *INTERVENTION_COLUMNS).write.mode("append").partitionBy("file")
      .option("header", True).csv(folder))

@@ -9,6 +9,7 @@ from .. import constants as C
 from ..operators.validation import require_columns
 from ..plans.gold import snapshot
 
+VERSION = "table_version"
 KEYS = ["machine_id", "target_cycle", "timestamp"]
 INTERVENTION_TABLE = ["machine_id", "timestamp", "failure_type", "temperature", "rpm", "vibration", "pressure"]
 
@@ -23,7 +24,25 @@ def check_keys(df: DataFrame, table: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Write a new version beside the old one; readers switch once it is complete.
+
+    A failed write leaves the old version in place. Older versions go afterwards,
+    but for the one before, which a running reader may still hold.
+    """
+    spark = df.sparkSession
+    done = _versions(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}/{VERSION}={(done[-1] if done else 0) + 1:012d}")
+    for old in done[:-1]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}={old:012d}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a table, oldest first, from the folder list alone."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    marks = hadoop.Path(f"{path}/{VERSION}=*/_SUCCESS")
+    found = marks.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(marks)
+    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found or [])
 
 
 def replace_jdbc(df: DataFrame, url: str, table: str, batch: int = 5000, **options: str) -> None:
@@ -73,4 +92,6 @@ def stream_name(spark: SparkSession) -> str:
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{table}")
+    """An appended table, or the newest complete version of a replaced one."""
+    done = _versions(spark, f"{root}/{table}")
+    return spark.read.parquet(f"{root}/{table}/{VERSION}={done[-1]:012d}" if done else f"{root}/{table}")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.slices import SLICE, slice_of
@@ -58,22 +60,18 @@ def warm_up(df: DataFrame, as_of, n: int = 60, stride_seconds: float = 5.0) -> D
     return last_ticks(df, n).withColumn("timestamp", as_of - back).drop("ticks_back")
 
 
-def stage_ticks(ticks: DataFrame, folder: str) -> None:
-    """One file per tick for a file stream that takes one file per batch."""
-    ticks.repartition(TICK).write.mode("overwrite").partitionBy(TICK).parquet(folder)
-    _date_in_order(ticks.sparkSession, folder)
-
-
-def _date_in_order(spark: SparkSession, folder: str) -> None:
-    """Date the files by tick, since a file stream takes the oldest first."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [s.getPath() for s in fs.globStatus(hadoop.Path(f"{folder}/{TICK}=*/*.parquet"))]
-    for path in found:
-        tick = int(path.getParent().getName().split("=")[1])
-        fs.setTimes(path, 1_000_000_000_000 + tick * 1000, -1)
+def replay(ticks: DataFrame, folder: str, drain: Callable[[], None], ticks_per_batch: int = 1) -> int:
+    """Append the ticks in order, `ticks_per_batch` at a time, and let the consumer drain each batch.
 
-
-def replay_stream(spark: SparkSession, folder: str, schema, ticks_per_batch: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", ticks_per_batch).parquet(folder))
+    Ticks are staged in order of their number, so a batch reads only its part of the
+    table; a tick may span many files and tasks. Returns the number of batches.
+    """
+    order = [TICK, *[c for c in ("machine_id", "timestamp", "row_id") if c in ticks.columns]]
+    staged = stage_table(ticks.repartitionByRange(*order).sortWithinPartitions(TICK))
+    last = staged.agg(F.max(TICK)).first()[0]
+    starts = range(0, -1 if last is None else last + 1, ticks_per_batch)
+    for start in starts:
+        part = staged.filter((F.col(TICK) >= start) & (F.col(TICK) < start + ticks_per_batch))
+        part.write.mode("append").parquet(folder)
+        drain()
+    return len(starts)

@@ -1,45 +1,59 @@
-"""Event-time windows and counters over a stream of predictions (ST08, A30)."""
+"""Event-time windows over a stream of predictions (ST08, A30).
+
+Every batch stores what it adds to each window, under its id: counts, sums and maxima.
+A window is the merge of its parts, so rows may come in any order and as late as they
+like, no state has to be kept for them, and a repeated batch replaces itself.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
 
-WATERMARK = "10 minutes"
+WINDOW = ["window_start", "window_end"]
 
 
-def live_windows(predictions: DataFrame, length: str, slide: str | None = None) -> DataFrame:
-    """Rows, noise share and top score per window; works on batch and stream."""
+def window_parts(predictions: DataFrame, length: str, slide: str | None = None) -> DataFrame:
+    """What a batch adds to each window."""
     window = F.window("recorded_at", length, slide) if slide else F.window("recorded_at", length)
-    frame = predictions.withWatermark("recorded_at", WATERMARK) if predictions.isStreaming else predictions
-    return (frame.groupBy(window.alias("w")).agg(
+    return (predictions.groupBy(window.alias("w")).agg(
         F.count("*").alias("n_points"),
         F.count_if(F.col("anomaly")).alias("n_anomalies"),
-        (F.count_if(F.col("cluster_label") == C.NOISE) / F.count("*")).alias("noise_rate"),
+        F.count_if(F.col("cluster_label") == C.NOISE).alias("n_noise"),
         F.max("anomaly_score").alias("max_score"))
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                "n_points", "n_anomalies", "noise_rate", "max_score"))
+                "n_points", "n_anomalies", "n_noise", "max_score"))
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    """Rows, noise share and top score per window from the parts of all batches."""
+    total = parts.groupBy(*WINDOW).agg(
+        F.sum("n_points").alias("n_points"), F.sum("n_anomalies").alias("n_anomalies"),
+        F.sum("n_noise").alias("n_noise"), F.max("max_score").alias("max_score"))
+    return total.select(*WINDOW, "n_points", "n_anomalies", (F.col("n_noise") / F.col("n_points")).alias("noise_rate"), "max_score")
 
 
-def without_repeats(predictions: DataFrame) -> DataFrame:
-    """Drop replayed rows of a machine and instant while the watermark holds."""
-    return (predictions.withWatermark("recorded_at", WATERMARK)
-            .dropDuplicatesWithinWatermark(["machine_id", "recorded_at"]))
+def live_windows(predictions: DataFrame, length: str, slide: str | None = None) -> DataFrame:
+    """The same for a table of predictions."""
+    return merged(window_parts(predictions, length, slide))
+
+
+def without_repeats(rows: DataFrame) -> DataFrame:
+    """One row per machine and instant of all batches; a repeat may come in any later batch."""
+    first = F.min_by(F.struct(*rows.columns), "b").alias("row")
+    return rows.groupBy("machine_id", "recorded_at").agg(first).select("row.*")
 
 
-def run_updates(result: DataFrame, table: str, checkpoint: str) -> None:
-    """Drain the stream; every batch stores the rows it changed."""
+def run_batches(stream: DataFrame, table: str, checkpoint: str,
+                make: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> None:
+    """Drain the stream; every batch stores what `make` gives for it, under its id."""
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{table}/b={batch_id}")
+        make(batch).write.mode("overwrite").parquet(f"{table}/b={batch_id}")
 
-    query = (result.writeStream.outputMode("update").foreachBatch(store)
+    query = (stream.writeStream.foreachBatch(store)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
-
-
-def current_state(updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Latest version of every updated row."""
-    newest = Window.partitionBy(*keys).orderBy(F.col("batch").desc())
-    return (updates.withColumn("nth", F.row_number().over(newest)).filter("nth = 1").drop("nth", "batch", "b"))

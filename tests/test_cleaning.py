@@ -80,7 +80,7 @@ def test_gold_of_sample(spark):
     assert [r["failure_type"] for r in rows] == ["none", "none", "none", "Breakage", "Breakage"]
     assert [r["hours_since_last_intervention"] for r in rows] == [9999.0] * 4 + [0.0]
     assert rows[0]["temperature_C_roll_std_10"] == 0 and rows[0]["temperature_C_delta"] == 0
-    assert rows[1]["temperature_C_roll_mean_10"] == pytest.approx((46.87 + 41.61) / 2)
+    assert rows[1]["temperature_C_roll_mean_10"] == pytest.approx((55.25 + 52.5) / 2)
 
 
 def test_grid_fills_hours(spark):
@@ -124,7 +124,7 @@ def test_outlier_at_two_sigma(spark):
     assert rows[9]["outlier_columns"] == "consumption_kWh"
     assert rows[9]["consumption_kWh"] == 15.0
     assert rows[9]["quality_flag"] == "OUTLIER_DETECTED|OUTLIER_CORRECTED"
-    assert "consumption_kWh: 500.0000 -> 15.0000" in rows[9]["correction_details"]
+    assert "consumption_kWh 500.0000 replaced by 15.0000" in rows[9]["correction_details"]
 
 
 def test_failed_rows_are_no_outliers(spark):
@@ -203,22 +203,25 @@ def test_imputation_equals_the_sequential_loop(spark, gap):
             assert [h for h in have if h is not None] == pytest.approx([w for w in want if w is not None])
 
 
-def test_hot_medians_are_exact(spark):
+@pytest.mark.parametrize("bracket", [1, None])
+def test_medians_are_exact(spark, bracket):
     rnd = random.Random(4)
     data = [(k, rnd.choice([rnd.gauss(0, 1), 3.5, None])) for k in (1, 2, 3) for _ in range(4000 + k)]
     df = spark.createDataFrame(data, "k int, v double").repartition(6)
-    got = {r["k"]: r["v"] for r in medians.hot_group_medians(df, ["k"], ["v"]).collect()}
+    got = {r["k"]: r["v"] for r in medians.exact_medians(df, ["k"], ["v"], bracket=bracket).collect()}
     for k in (1, 2, 3):
         assert got[k] == pytest.approx(statistics.median(v for q, v in data if q == k and v is not None))
 
 
-def test_hot_cells_give_the_same_result(spark):
+def test_narrowed_cells_give_the_same_result(spark, monkeypatch):
     rnd = random.Random(8)
     data = [(str(datetime(2026, 1, 1, h)), *[round(rnd.uniform(1, 9), 2) for _ in C.SENSORS], rnd.choice([0, 0, 1]))
             for h in range(4) for _ in range(60)]
     typed = cleaning.type_bronze(bronze(spark, data))
     a = conflicts.resolve_conflicts(typed, audit=False).orderBy("timestamp").collect()
-    b = conflicts.resolve_conflicts(typed, audit=False, hot_rows=10).orderBy("timestamp").collect()
+    monkeypatch.setattr(medians, "BRACKET_VALUES", 1)
+    monkeypatch.setattr(medians, "PARTS", 4)
+    b = conflicts.resolve_conflicts(typed, audit=False).orderBy("timestamp").collect()
     assert a == b
 
 

@@ -53,8 +53,9 @@ def frame(spark, sets):
     return df.withColumn("pos", F.col("n").cast("decimal(38,0)")).repartition(5)
 
 
-@pytest.mark.parametrize("eps", [0.6, 1.2, 2.5])
-def test_labels_match_brute_force(spark, eps):
+@pytest.mark.parametrize("eps,group", [(0.6, 2000), (1.2, 2000), (2.5, 2000), (1.2, 7)])
+def test_labels_match_brute_force(spark, eps, group, monkeypatch):
+    monkeypatch.setattr(cells, "GROUP_CELLS", group)
     sets = {"1": blobs(1), "2": blobs(2, copies=300)}
     scaled = frame(spark, sets)
     points = dbscan.cluster_points(scaled, eps, 10)
@@ -79,8 +80,19 @@ def test_mixed_cells_link_clusters(spark):
         assert got["cluster_label"].tolist() == brute_force(x, eps, 10)[1].tolist()
 
 
-def test_components_of_paths_and_stars(spark, monkeypatch):
-    monkeypatch.setattr(components, "SMALL_LINKS", 0)
+def test_no_group_of_the_block_join_is_full(spark, monkeypatch):
+    """Nine tenths of the cells share one block; no group meets more than the stated number of comparisons."""
+    monkeypatch.setattr(cells, "GROUP_CELLS", 50)
+    rows = [(1, 0 if i % 10 else i, i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k int, block int, cell long")
+    left, right, keys = cells.split_full_keys(df, df, ["k", "block"])
+    sizes = left.groupBy(*keys).agg(F.count("*").alias("l")).join(right.groupBy(*keys).agg(F.count("*").alias("r")), keys)
+    assert sizes.agg(F.max(F.col("l") * F.col("r"))).first()[0] <= (2 * 50) ** 2
+    met = left.withColumnRenamed("cell", "a").join(right.withColumnRenamed("cell", "b"), keys)
+    assert met.count() == met.select("a", "b").distinct().count() == 1351 ** 2 + 149
+
+
+def test_components_of_paths_and_stars(spark):
     path = [(i, i + 1) for i in range(0, 40)]
     star = [(100, i) for i in range(101, 140)]
     nodes = spark.createDataFrame([(i,) for i in [*range(41), *range(100, 140), 500]], "node long")
