@@ -45,9 +45,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse.llm.arrays import lower_ascii, mix, span_hashes, window_hashes, words
-from plantpulse.llm.components import components
 from plantpulse.llm.exchange import NO_ID, low_bits, texts_by_group, unpack, unpacked_texts
 from plantpulse.llm.tables import power_of_two, text_bytes
+from plantpulse.operators.components import components
 from plantpulse.session import stage_table
 
 #: Words of a shingle; similarity as a fraction.

@@ -12,7 +12,8 @@ from llm_cases import DATA, ODD
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from plantpulse.llm import bpe, components, exact_dedup, exchange, packing, partenum, window_dedup
+from plantpulse.llm import bpe, exact_dedup, exchange, packing, partenum, window_dedup
+from plantpulse.operators.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -357,6 +358,6 @@ def test_signatures_meet_for_all_similar_sets():
 def test_components(spark):
     links = [(1, 2), (2, 3), (10, 11), (12, 11), (20, 20), (5, 4), (2, 1)] + [(100 + k, 101 + k) for k in range(60)]
     df = spark.createDataFrame(links, "a long, b long")
-    got = {r["node"]: r["component"] for r in components.components(df).collect()}
+    got = {r["node"]: r["component"] for r in components(df).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 10: 10, 11: 10, 12: 10, 4: 4, 5: 4} | {100 + k: 100 for k in range(61)}
-    assert components.components(df.where(F.lit(False))).count() == 0
+    assert components(df.where(F.lit(False))).count() == 0
