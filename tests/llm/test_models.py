@@ -322,7 +322,7 @@ def test_pseudonyms_query(spark, odd, none):
     for r in rows:
         assert (r["text"], [tuple(f) for f in r["found"]]) == pii.replaced(source[r["doc_id"]])
         assert r["n_values"] == len(r["found"])
-    assert sum(r["n_values"] for r in rows) > 20
+    assert {"email", "card", "ip", "phone"} <= {f["kind"] for r in rows for f in r["found"]}
     same = pii.pseudonymised(odd)
     assert same.columns == odd.columns and sorted(map(str, same.collect())) == sorted(map(str, odd.collect()))
     assert pii.pseudonyms(none).count() == 0
