@@ -197,9 +197,9 @@ def answer(sent: DataFrame, bits: int) -> DataFrame:
 
 
 CHOSEN = pa.struct([("band", pa.int32()), ("lone", pa.list_(pa.int32())), ("signatures", pa.list_(pa.int64())),
-                    ("places", pa.list_(pa.int32()))])
+                    ("places", pa.list_(pa.int32())), ("numbers", pa.list_(pa.int64()))])
 SETS = ("doc_id long, n long, d1 long, d2 long, "
-        "chosen array<struct<band:int,lone:array<int>,signatures:array<long>,places:array<int>>>, "
+        "chosen array<struct<band:int,lone:array<int>,signatures:array<long>,places:array<int>,numbers:array<long>>>, "
         "prints array<long>, hashes binary")
 
 
@@ -213,7 +213,7 @@ def prints(hashes: np.ndarray) -> np.ndarray:
 
 def choose(texts: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
     """One row per text: size and digest of its set; where a link is possible, the set and per band its chosen
-    signatures, rarest first, with their partitions, and the partitions that no other set shares."""
+    signatures, rarest first, with their partitions and numbers, and the partitions that no other set shares."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, data, at = unpacked_texts(left)
@@ -237,7 +237,8 @@ def choose(texts: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
             own = int(owner[e])
             chosen[own] = [*(chosen[own] or []), {
                 "band": int(level[e]), "lone": (place[a:b][lone] % (64 * MARK_WORDS)).astype(np.int32),
-                "signatures": found[a:b][rank].view(np.int64), "places": place[a:b][rank].astype(np.int32)}]
+                "signatures": found[a:b][rank].view(np.int64), "places": place[a:b][rank].astype(np.int32),
+                "numbers": number[a:b][rank]}]
         size = np.diff(where)
         digest = []
         for values in (hashes, mix(hashes ^ np.uint64(0x5851F42D4C957F2D))):
@@ -341,16 +342,19 @@ def one_each(now: DataFrame, turn: int) -> DataFrame:
 def open_entries(now: DataFrame) -> DataFrame:
     """Entries of the signatures whose sets are in several components.
 
-    Of signatures that the same sets have, the first in order stands for all: where two
-    sets meet first is never left out.
+    Of signatures that the same sets have, the first in the order of `choose` stands for
+    all: where two sets meet first is never left out. The number belongs to that order, as
+    it counts sets that have a signature but did not choose it.
     """
     apart = now.groupBy("signature").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"),
+        F.min("number").alias("number"),
         F.bit_xor(F.xxhash64("doc_id")).alias("who"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("who_else"))
     # Signatures are ordered as unsigned numbers; flipping the sign bit orders them as signed ones.
-    first = F.min(F.col("signature").bitwiseXOR(F.lit(-(1 << 63)))).bitwiseXOR(F.lit(-(1 << 63))).alias("signature")
-    once = apart.where("low < high").groupBy("members", "who", "who_else").agg(first)
-    return now.join(once.select("signature"), "signature", "left_semi")
+    order = F.struct("number", F.col("signature").bitwiseXOR(F.lit(-(1 << 63))).alias("unsigned"))
+    once = apart.where("low < high").groupBy("members", "who", "who_else").agg(F.min(order).alias("first"))
+    once = once.select(F.col("first.unsigned").bitwiseXOR(F.lit(-(1 << 63))).alias("signature"))
+    return now.join(once, "signature", "left_semi")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -371,7 +375,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
                        .join(member.where("doc_id <> class").select("doc_id").distinct(), "doc_id", "left_anti")
                        .select("doc_id", "n", "chosen", "prints", "hashes"))
     bands = sets.select("doc_id", "n", "prints", F.explode("chosen").alias("c")).select("doc_id", "n", "prints", "c.*")
-    entry = bands.select("doc_id", "band", F.explode("signatures").alias("signature"))
+    entry = bands.select("doc_id", "band", F.explode(F.arrays_zip("signatures", "numbers")).alias("s")).select(
+        "doc_id", "band", F.col("s.signatures").alias("signature"), F.col("s.numbers").alias("number"))
     several = entry.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("signature")
     entry = stage_table(entry.join(several, "signature"))
 

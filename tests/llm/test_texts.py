@@ -326,6 +326,29 @@ def test_near_groups(spark, seed, monkeypatch):
     assert sorted(tuple(r) for r in partenum.near_groups(df).collect()) == near_groups(rows)
 
 
+def phrases_that_recur(groups):
+    """Linked pairs whose phrases recur in unrelated texts, with other candidates before and between the two."""
+    rng, made = random.Random(groups), iter(range(10 ** 9))
+    own = lambda n: [f"w{next(made)}" for _ in range(n)]
+    rows = []
+    for g in range(groups):
+        text = own(30)
+        other = text[:27] + own(3)
+        first, second = own(25) + other[23:28], own(25) + other[25:30]
+        unrelated = [text[:rng.randint(8, 27)] for _ in range(12)] + [t[:29] for t in (first, second) for _ in range(8)]
+        rows += [(100 * g + k, t) for k, t in enumerate([first, text, second, other, *[t + own(60 - len(t)) for t in unrelated]])]
+    return [(i, " ".join(t)) for i, t in rows]
+
+
+def test_near_groups_with_phrases_that_recur(spark):
+    """The first signature of two sets depends on texts that are no candidates."""
+    rows = phrases_that_recur(20)
+    want = near_groups(rows)
+    assert sum(i != c for i, _, c in want) == 20
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in partenum.near_groups(df).collect()) == want
+
+
 def test_near_groups_odd(odd, none):
     assert sorted(tuple(r) for r in partenum.near_groups(odd).collect()) == near_groups(ODD)
     kept = {r["doc_id"] for r in partenum.keep_one(odd).collect()}
