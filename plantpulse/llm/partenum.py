@@ -234,9 +234,10 @@ def choose(texts: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
             a, b = begin[e], begin[e + 1]
             rank = np.lexsort((found[a:b], number[a:b]))
             lone, rank = rank[:single[e]], rank[single[e]:differ[e] + 1]
-            own = int(owner[e])
+            # A shared signature without a partition marks none.
+            own, alone = int(owner[e]), place[a:b][lone]
             chosen[own] = [*(chosen[own] or []), {
-                "band": int(level[e]), "lone": (place[a:b][lone] % (64 * MARK_WORDS)).astype(np.int32),
+                "band": int(level[e]), "lone": (alone[alone >= 0] % (64 * MARK_WORDS)).astype(np.int32),
                 "signatures": found[a:b][rank].view(np.int64), "places": place[a:b][rank].astype(np.int32),
                 "numbers": number[a:b][rank]}]
         size = np.diff(where)
@@ -308,7 +309,7 @@ def marked(bands: DataFrame, opened: DataFrame) -> DataFrame:
                 marks = np.zeros((len(places) + 1, 64 * MARK_WORDS), np.uint8)
                 later = np.flatnonzero(places >= 0)
                 marks[later + 1, places[later]] = 1
-                marks[0, [x for x in r["lone"] if x >= 0]] = 1
+                marks[0, r["lone"]] = 1
                 words = np.packbits(np.maximum.accumulate(marks)[keep], axis=1, bitorder="little").view("<i8")
                 count = len(keep)
                 yield pa.RecordBatch.from_arrays(
@@ -344,15 +345,16 @@ def open_entries(now: DataFrame) -> DataFrame:
 
     Of signatures that the same sets have, the first in the order of `choose` stands for
     all: where two sets meet first is never left out. The number belongs to that order, as
-    it counts sets that have a signature but did not choose it.
+    it counts sets that have a signature but did not choose it. An id that has several
+    sets does not tell which of them is meant, so its signatures all stay.
     """
     apart = now.groupBy("signature").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"),
-        F.min("number").alias("number"),
+        F.min("number").alias("number"), F.max(F.when(F.col("again"), F.col("signature"))).alias("own"),
         F.bit_xor(F.xxhash64("doc_id")).alias("who"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("who_else"))
     # Signatures are ordered as unsigned numbers; flipping the sign bit orders them as signed ones.
     order = F.struct("number", F.col("signature").bitwiseXOR(F.lit(-(1 << 63))).alias("unsigned"))
-    once = apart.where("low < high").groupBy("members", "who", "who_else").agg(F.min(order).alias("first"))
+    once = apart.where("low < high").groupBy("members", "who", "who_else", "own").agg(F.min(order).alias("first"))
     once = once.select(F.col("first.unsigned").bitwiseXOR(F.lit(-(1 << 63))).alias("signature"))
     return now.join(once, "signature", "left_semi")
 
@@ -370,13 +372,21 @@ def near_groups(docs: DataFrame) -> DataFrame:
     classes = rows.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("class"), F.count(F.lit(1)).alias("copies"))
     classes = classes.where("copies > 1").drop("copies")
     known = rows.select("doc_id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left")
-    member = stage_table(known.select("doc_id", "n", F.coalesce("class", "doc_id").alias("class")))
+    other = F.col("doc_id") != F.col("class")
+    member = stage_table(known.withColumn("class", F.coalesce("class", "doc_id")).select(
+        "doc_id", "n", "class", F.when(other, F.col("d1")).alias("d1"), F.when(other, F.col("d2")).alias("d2")))
+    # Ids that occur with different texts; all rows of one belong together.
+    twice = stage_table(rows.groupBy("doc_id").agg(F.min("d1").alias("low"), F.max("d1").alias("high"))
+                        .where("low < high").select("doc_id"))
     sets = stage_table(rows.where(F.col("chosen").isNotNull())
-                       .join(member.where("doc_id <> class").select("doc_id").distinct(), "doc_id", "left_anti")
-                       .select("doc_id", "n", "chosen", "prints", "hashes"))
-    bands = sets.select("doc_id", "n", "prints", F.explode("chosen").alias("c")).select("doc_id", "n", "prints", "c.*")
-    entry = bands.select("doc_id", "band", F.explode(F.arrays_zip("signatures", "numbers")).alias("s")).select(
-        "doc_id", "band", F.col("s.signatures").alias("signature"), F.col("s.numbers").alias("number"))
+                       .join(member.where("doc_id <> class").select("doc_id", "d1", "d2").distinct(),
+                             ["doc_id", "d1", "d2"], "left_anti")
+                       .join(twice.withColumn("again", F.lit(True)), "doc_id", "left")
+                       .select("doc_id", "n", "again", "chosen", "prints", "hashes"))
+    bands = sets.select("doc_id", "n", "again", "prints", F.explode("chosen").alias("c")).select(
+        "doc_id", "n", "again", "prints", "c.*")
+    entry = bands.select("doc_id", "band", "again", F.explode(F.arrays_zip("signatures", "numbers")).alias("s")).select(
+        "doc_id", "band", "again", F.col("s.signatures").alias("signature"), F.col("s.numbers").alias("number"))
     several = entry.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("signature")
     entry = stage_table(entry.join(several, "signature"))
 
@@ -399,7 +409,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
                                 & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
     pair = pair.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
     more = linked(stage_table(pair), sets)
-    found = components(links.union(more.select("a", "b")))
+    mine = member.join(twice.where(F.col("doc_id") != NO_ID), "doc_id").select("doc_id", F.col("class").alias("a"))
+    same = mine.join(mine.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").select("a", "b")
+    found = components(links.union(more.select("a", "b")).union(same))
 
     out = member.join(found.withColumnRenamed("node", "class"), "class", "left")
     real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))

@@ -349,6 +349,15 @@ def test_near_groups_with_phrases_that_recur(spark):
     assert sorted(tuple(r) for r in partenum.near_groups(df).collect()) == want
 
 
+def test_near_groups_of_repeated_ids(spark):
+    """An id with two texts keeps the links of both; its rows get one component."""
+    a, b, c = ([f"{name}{k}" for k in range(40)] for name in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, b[:39] + ["x"]), (9, c), (8, c[:39] + ["y"]), (3, ["z"] * 9)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in partenum.near_groups(df).collect()}
+    assert got == {(1, 1), (5, 1), (7, 1), (9, 8), (8, 8), (3, 3)}
+
+
 def test_near_groups_odd(odd, none):
     assert sorted(tuple(r) for r in partenum.near_groups(odd).collect()) == near_groups(ODD)
     kept = {r["doc_id"] for r in partenum.keep_one(odd).collect()}
