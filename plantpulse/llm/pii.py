@@ -39,13 +39,19 @@ LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 EMAIL = re.compile(r"(?<![\w.+%-])([A-Za-z0-9][A-Za-z0-9._%+-]*)@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
 # These begin with a set of characters, so that the scan skips to those.
-NUMBER = re.compile(
-    r"(?:\+1[ .-]?\(?|1[ .-]\(?)?(?P<area>\d{3})(?:\)[ .-]?|[ .-])(?P<exchange>\d{3})[ .-](?P<line>\d{4})(?!\w)"
-    r"|(?P<iso>\d{4}-\d{2}-\d{2})(?![\w-])"
-    r"|(?P<dated>\d{1,2}(?P<sep>[./-])\d{1,2}(?P=sep)\d{4})(?![\w-])"
-    r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
-    r"|(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?!\w|\.\d)"
-    r"|(?P<card>\d(?:[ -]?\d){12,18})(?![\w-])")
+FORMATS = [
+    r"(?:\+1[ .-]?\(?|1[ .-]\(?)?(?P<area>\d{3})(?:\)[ .-]?|[ .-])(?P<exchange>\d{3})[ .-](?P<line>\d{4})(?!\w)",
+    r"(?P<iso>\d{4}-\d{2}-\d{2})(?![\w-])",
+    r"(?P<dated>\d{1,2}(?P<sep>[./-])\d{1,2}(?P=sep)\d{4})(?![\w-])",
+    r"(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])",
+    r"(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?!\w|\.\d)",
+    r"(?P<card>\d(?:[ -]?\d){12,18})(?![\w-])"]
+NUMBER = re.compile("|".join(FORMATS))
+# For a number that is not valid as `NUMBER` reads it: each format, and cards of each length before another group.
+OTHERS = [re.compile(f) for f in FORMATS] + [
+    re.compile(rf"(?P<card>\d(?:[ -]?\d){{{k}}})(?!\w|-(?!\d))") for k in range(17, 11, -1)]
+# Cards are written in groups of three digits or more, but for the last.
+CARD_GROUPS = re.compile(r"(?:\d{3,}[ -])*\d+")
 NUMBER_START = re.compile(r"[+0-9]")
 IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 ACCESS = re.compile(r"(?<!\w)(?:AKIA|ASIA)([A-Z0-9]{16})(?!\w)")
@@ -197,10 +203,10 @@ def number(m: re.Match, key: bytes) -> tuple[str, str] | None:
     """Kind and pseudonym of a match of `NUMBER`; none if it is not valid."""
     value = m.group()
     if m.start() and (m.string[m.start() - 1].isalnum() or m.string[m.start() - 1] in "_.-" or
-                      (m.string[m.start() - 1] == "+" and not m["area"])):
+                      (m.string[m.start() - 1] == "+" and not m.groupdict().get("area"))):
         return None
-    kind, out = None, None
-    if m["area"]:
+    kind, out, shape = None, None, m.groupdict().get
+    if shape("area"):
         digits = m["area"] + m["exchange"] + m["line"]
         fits = lambda d: d[0] > "1" and d[3] > "1"
         if fits(digits):
@@ -208,10 +214,10 @@ def number(m: re.Match, key: bytes) -> tuple[str, str] | None:
             # A leading country code is no part of the number.
             head = m.start("area") - m.start()
             out = value[:head] + refill(value[head:], out)
-    elif m["iso"]:
+    elif shape("iso"):
         y, mo, d = map(int, value.split("-"))
         kind, out = "date", date(value, (y, mo, d), datetime.date.isoformat, key)
-    elif m["dated"]:
+    elif shape("dated"):
         sep = m["sep"]
         a, b, y = value.split(sep)
         pad_a, pad_b = len(a) == 2, len(b) == 2
@@ -223,10 +229,10 @@ def number(m: re.Match, key: bytes) -> tuple[str, str] | None:
             return f"{one:0{1 + pad_a}d}{sep}{two:0{1 + pad_b}d}{sep}{x.year:04d}"
 
         kind, out = "date", date(value, parts, render, key)
-    elif m["ssn"]:
+    elif shape("ssn"):
         if ssn_valid(value):
             kind, out = "ssn", spell(value, [DIGITS if c != "-" else "" for c in value], key, "ssn", ssn_valid)
-    elif m["ip"]:
+    elif shape("ip"):
         if octets_valid(value):
             kind, out = "ip", spell(value, [DIGITS if c != "." else "" for c in value], key, "ip", octets_valid)
     else:
@@ -234,6 +240,27 @@ def number(m: re.Match, key: bytes) -> tuple[str, str] | None:
     return (kind, out) if out else None
 
 
+def number_at(text: str, begin: int, failed: int, key: bytes) -> tuple[tuple[str, str] | None, int]:
+    """Kind and pseudonym of the number that begins here, if one is valid, and its end; else the end of the longest.
+
+    Digits up to `failed` belong to a longer number that was not valid. What is found in
+    such a number, or is a part of one, is a card only if its groups are those of cards.
+    """
+    m = NUMBER.match(text, begin)
+    if not m:
+        return None, begin
+    first = m
+    if begin >= failed or not m.groupdict()["card"] or CARD_GROUPS.fullmatch(m.group()):
+        if got := number(m, key):
+            return got, m.end()
+    for other in OTHERS:
+        m = other.match(text, begin)
+        if m and m.span() != first.span() and ("card" not in m.groupdict() or CARD_GROUPS.fullmatch(m.group())):
+            if got := number(m, key):
+                return got, m.end()
+    return None, first.end()
+
+
 def replaced(text: str, key: bytes = DEFAULT_KEY) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and kind, begin and end of each (characters; lengths stay)."""
     found: list[tuple[int, int, str, str]] = []
@@ -255,14 +282,15 @@ def replaced(text: str, key: bytes = DEFAULT_KEY) -> tuple[str, list[tuple[str,
         inside = m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_")
         if not inside and (fresh := iban(m.group(), key)):
             note("iban", *m.span(), fresh)
-    at = 0
+    at = failed = 0
     while begin := NUMBER_START.search(text, at):
-        m = NUMBER.match(text, begin.start())
-        got = number(m, key) if m else None
+        got, end = number_at(text, begin.start(), failed, key)
         if got:
-            note(got[0], *m.span(), got[1])
-        # Past the match, or past this run of digits.
-        at = m.end() if m else begin.end()
+            note(got[0], begin.start(), end, got[1])
+        else:
+            failed = max(failed, end)
+        # Past the value, or past this run of digits: a value may begin within a number that is not valid.
+        at = end if got else begin.end()
         while not got and at < len(text) and text[at - 1] in DIGITS and text[at] in DIGITS:
             at += 1
     if not found:

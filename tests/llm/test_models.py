@@ -305,6 +305,23 @@ def test_invalid_values_stay(text):
     assert pii.replaced(text) == (text, [])
 
 
+@pytest.mark.parametrize("before,kind,value,after", [
+    ("", "card", "4111 1111 1111 1111", " 123"), ("", "card", "4111 1111 1111 1111", " 12/27"),
+    ("", "card", "4111-1111-1111-1111", "-123"), ("2 ", "card", "4111111111111111", ""),
+    ("1234 ", "card", "4111 1111 1111 1111", ""), ("12 ", "card", "4111 1111 1111 1111", " 123"),
+    ("10234 ", "date", "2023-11-05", ""), ("1234 ", "ssn", "123-45-6789", ""), ("2024 ", "phone", "415-555-0123", ""),
+    ("2023-02-30 ", "card", "4111 1111 1111 1111", ""), ("4111 1111 1111 1112 ", "phone", "415-555-0123", "")])
+def test_values_beside_numbers_are_replaced(before, kind, value, after):
+    out, spans = pii.replaced(before + value + after)
+    assert spans == [(kind, len(before), len(before + value))]
+    assert out.startswith(before) and out.endswith(after) and value not in out and len(out) == len(before + value + after)
+
+
+def test_lists_of_small_numbers_are_no_cards():
+    text = " ".join(str(10 + k * 37 % 90) for k in range(400))
+    assert len(pii.replaced(text)[1]) <= 10
+
+
 def test_pseudonyms_are_one_to_one():
     days = [(datetime.date(1999, 1, 1) + datetime.timedelta(k)).isoformat() for k in range(2000)]
     assert len({pii.replaced(d)[0] for d in days}) == 2000
