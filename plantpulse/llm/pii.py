@@ -209,8 +209,10 @@ def number(m: re.Match, key: bytes) -> tuple[str, str] | None:
     if shape("area"):
         digits = m["area"] + m["exchange"] + m["line"]
         fits = lambda d: d[0] > "1" and d[3] > "1"
-        if fits(digits):
-            kind, out = "phone", spell(digits, [DIGITS] * 10, key, "phone", fits)
+        # After "+1 (" the shape alone tells a telephone number; those outside the plan stay outside.
+        if fits(digits) or re.match(r"\+1[ .-]?\(", value):
+            of = ("phone", fits) if fits(digits) else ("phone-shape", lambda d: not fits(d))
+            kind, out = "phone", spell(digits, [DIGITS] * 10, key, *of)
             # A leading country code is no part of the number.
             head = m.start("area") - m.start()
             out = value[:head] + refill(value[head:], out)

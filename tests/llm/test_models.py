@@ -317,6 +317,15 @@ def test_values_beside_numbers_are_replaced(before, kind, value, after):
     assert out.startswith(before) and out.endswith(after) and value not in out and len(out) == len(before + value + after)
 
 
+def test_phones_outside_the_plan():
+    """With "+1 (" the shape tells a telephone number; pseudonyms of valid ones and of others never meet."""
+    numbers = [f"+1 ({area}) {exchange}-7713" for area in ("017", "117", "217", "317") for exchange in ("055", "155", "255", "555")]
+    out = [pii.replaced(f"call {n} now") for n in numbers]
+    assert all([s[0] for s in spans] == ["phone"] and n not in text for n, (text, spans) in zip(numbers, out, strict=True))
+    assert len({text for text, _ in out}) == len(numbers)
+    assert pii.replaced("017) 555-7713") == ("017) 555-7713", [])
+
+
 def test_lists_of_small_numbers_are_no_cards():
     text = " ".join(str(10 + k * 37 % 90) for k in range(400))
     assert len(pii.replaced(text)[1]) <= 10
