@@ -76,36 +76,36 @@ def _(spark, d):
 
 def _uneven_files(spark, d):
     """Bronze files of every kind: machine 1 lacks columns, 2 has 70 columns in another
-    order, 3 an index column without a name, 4 breaks off, and one bears no known name."""
+    order, 3 an index column without a name, 4 breaks off, and one bears no known name.
+    Each is a folder of as many part files as the rows have partitions."""
     folder = scratch(spark)
     bronze = events_adapter.bronze(spark, d)
 
     def put(name, rows, **options):
-        rows.coalesce(1).write.options(header=True, **options).csv(f"{folder}/{name}")
+        rows.write.options(header=True, **options).csv(f"{folder}/{name}")
 
     bronze_csv.write_sensors(bronze.filter("machine_id > 4"), folder)
     put("machine_1_targetcycle30.csv", bronze.filter("machine_id = 1").select("timestamp", "failure"))
     put("machine_2_targetcycle60.csv", bronze.filter("machine_id = 2").select(
         *[F.lit(str(i)).alias(f"more_{i}") for i in range(61)], *reversed(C.BUSINESS)))
-    third = bronze.filter("machine_id = 3").select(F.col("row_id").alias("index"), *C.BUSINESS)
-    lines = third.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in third.columns]).alias("value"))
-    header = spark.createDataFrame([("," + ",".join(C.BUSINESS),)], "value string")
-    header.unionByName(lines).coalesce(1).write.text(f"{folder}/Machine_3_TargetCycle10.csv")
-    put("machine_4_targetcycle30.csv", bronze.filter("machine_id = 4").select(*C.BUSINESS), compression="gzip")
-    _cut_files(spark, f"{folder}/machine_4_targetcycle30.csv")
+    put("Machine_3_TargetCycle10.csv", bronze.filter("machine_id = 3").select(F.col("row_id").alias(""), *C.BUSINESS), emptyValue="")
+    whole = f"{scratch(spark)}/whole"
+    bronze.filter("machine_id = 4").select(*C.BUSINESS).write.options(header=True, compression="gzip").csv(whole)
+    _cut_files(spark, whole, f"{folder}/machine_4_targetcycle30.csv")
     put("notes.csv", bronze.select("timestamp").limit(1))
     return folder
 
 
-def _cut_files(spark, folder):
-    """Leave the first half of each part file, as a broken transfer does."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop
-    parts = spark.read.format("binaryFile").load(folder).select("path", "content").collect()
-    for part in parts:
+def _cut_files(spark, whole, folder):
+    """The first half of each part file, as a broken transfer leaves it; bytes are copied in blocks."""
+    apache = spark.sparkContext._jvm.org.apache
+    hadoop, settings = apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    for part in spark.read.format("binaryFile").load(whole).select("path", "length").collect():
         path = hadoop.fs.Path(part["path"])
-        stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
-        stream.write(bytes(part["content"][:len(part["content"]) // 2]))
-        stream.close()
+        files = path.getFileSystem(settings)
+        half = files.create(hadoop.fs.Path(folder, path.getName()), True)
+        first = apache.commons.io.input.BoundedInputStream(files.open(path), part["length"] // 2)
+        hadoop.io.IOUtils.copyBytes(first, half, 65536, True)
 
 
 @query("S04_bad_files_isolated", check(["bronze"], f"""SELECT {_K}, count(*) AS n, count(rpm) AS with_rpm, sum(voltage) AS voltage,
@@ -125,7 +125,7 @@ def _(spark, d):
     """The files left out, with their reasons."""
     rejected = bronze_csv.rejected_files(spark, _uneven_files(spark, d))
     return rejected.select(F.regexp_extract("file", r"([^/=]+\.csv)/", 1).alias("name"), "reason",
-                           F.size("missing").alias("n_missing"))
+                           F.size("missing").alias("n_missing")).distinct()
 
 
 @query("S05_union_by_name", check(["bronze", "raw_int"], """SELECT machine_id, kind, count(*) AS n, count(rpm) AS with_rpm,
@@ -225,7 +225,7 @@ def _(spark, d):
     files = bronze_csv.inspect_files(spark, _uneven_files(spark, d)).filter("kind = 'sensors'")
     machine = bronze_csv.name_part(F.col("file"), bronze_csv.SENSOR_NAME, 1).alias("machine_id")
     parts = [files.select(machine, F.lit(check).alias("check"), F.explode(check).alias("column")) for check in ("missing", "extra")]
-    return parts[0].unionByName(parts[1])
+    return parts[0].unionByName(parts[1]).distinct()
 
 
 def _report_sql():

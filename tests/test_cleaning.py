@@ -242,3 +242,28 @@ def test_repair_is_blind_to_partitioning(spark):
     a = failure_repair.repair_failure(hourly.complete_hours(base)).orderBy("timestamp").collect()
     b = failure_repair.repair_failure(hourly.complete_hours(base.repartition(5))).orderBy("timestamp").collect()
     assert a == b
+
+
+def test_uneven_files_are_written_in_parts(spark, monkeypatch):
+    """No file of a machine holds all its rows, and broken ones are found as values and as streams."""
+    from plantpulse.registry import etl
+    from plantpulse.sources import bronze_csv, events_adapter
+    given = events_adapter.bronze
+    monkeypatch.setattr(events_adapter, "bronze", lambda *a: given(*a).repartition(3, "row_id"))
+    folder = etl._uneven_files(spark, "/root/testdata/sf0.01")
+    found = []
+    for size in (bronze_csv.HELD_BYTES, 0):
+        monkeypatch.setattr(bronze_csv, "HELD_BYTES", size)
+        rows = [(r["file"], r["reason"]) for r in bronze_csv.inspect_files(spark, folder).collect()]
+        found.append(sorted(rows, key=str))
+    reasons = {k: [r for f, r in found[0] if f"machine_{k}_targetcycle" in f.lower()] for k in (1, 2, 3, 4)}
+    assert reasons == {1: ["missing columns"] * 3, 2: [None] * 3, 3: [None] * 3, 4: ["unreadable"] * 3}
+    assert found[0] == found[1]
+
+
+def test_whole_compressed_files_are_read_as_streams(spark, tmp_path, monkeypatch):
+    from plantpulse.sources import bronze_csv
+    rows = spark.range(1000).select(*[F.col("id").cast("string").alias(c) for c in C.BUSINESS])
+    rows.coalesce(1).write.option("header", True).option("compression", "gzip").csv(str(tmp_path / "machine_1_targetcycle30.csv"))
+    monkeypatch.setattr(bronze_csv, "HELD_BYTES", 0)
+    assert [r["reason"] for r in bronze_csv.inspect_files(spark, str(tmp_path)).collect()] == [None]
