@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantpulse.llm import ann, bpe, exact_dedup, langid, packing, page_text, partenum, pii, quality, window_dedup
+from plantpulse.llm import (ann, bpe, exact_dedup, langid, packing, page_text, partenum, pii, quality, window_dedup,
+                            winnowing)
 from plantpulse.llm.tables import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -56,8 +57,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ALL = (op1_best_fit_packing, op2_language_id, op3_jaccard_join, op4_html_extraction, op5_substring_dedup, op6_bpe,
-       op7_pii, op8_nearest_neighbours, op9_exact_dedup, op10_quality)
+       op7_pii, op8_nearest_neighbours, op9_exact_dedup, op10_quality, op11_decontamination)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -66,4 +71,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_jaccard_join": partenum.ORACLE_SQL, "op5_substring_dedup": window_dedup.ORACLE_SQL,
-            "op9_exact_dedup": exact_dedup.ORACLE_SQL}
+            "op9_exact_dedup": exact_dedup.ORACLE_SQL, "op11_decontamination": winnowing.ORACLE_SQL}
