@@ -109,7 +109,12 @@ def staged_mark() -> int:
 
 def drop_staged(spark: SparkSession, since: int = 0) -> None:
     """Delete the tables staged since a mark, once the results made of them are written."""
-    for name in _STAGED[since:]:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for at in range(since, len(_STAGED)):
+        drop_one(spark, at)
     del _STAGED[since:]
+
+
+def drop_one(spark: SparkSession, mark: int) -> None:
+    """Delete the one table that was staged right after a mark, when nothing reads it any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED[mark])
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
