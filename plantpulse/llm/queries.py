@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantpulse.llm import (ann, bpe, exact_dedup, langid, packing, page_text, partenum, pii, quality, vector_codes,
-                            window_dedup, winnowing)
+from plantpulse.llm import (ann, bpe, exact_dedup, langid, packing, page_text, partenum, pii, quality, turn_repair,
+                            vector_codes, window_dedup, winnowing)
 from plantpulse.llm.tables import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -65,8 +65,13 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.digests(table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.digests(table(spark, sf_dir, "conversations"))
+
+
 ALL = (op1_best_fit_packing, op2_language_id, op3_jaccard_join, op4_html_extraction, op5_substring_dedup, op6_bpe,
-       op7_pii, op8_nearest_neighbours, op9_exact_dedup, op10_quality, op11_decontamination, op12_vector_codes)
+       op7_pii, op8_nearest_neighbours, op9_exact_dedup, op10_quality, op11_decontamination, op12_vector_codes,
+       op13_conversation_repair)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -76,4 +81,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {"op3_jaccard_join": partenum.ORACLE_SQL, "op5_substring_dedup": window_dedup.ORACLE_SQL,
             "op9_exact_dedup": exact_dedup.ORACLE_SQL, "op11_decontamination": winnowing.ORACLE_SQL,
-            "op12_vector_codes": vector_codes.ORACLE_SQL}
+            "op12_vector_codes": vector_codes.ORACLE_SQL, "op13_conversation_repair": turn_repair.ORACLE_SQL}
