@@ -6,38 +6,38 @@ one row: its weight and the bounding box of its points. Boxes tell for most cell
 pairs that all points are within eps (`near`) or that none are (dropped); only
 the rest (`mixed`) is looked at point by point. Copies of a point are one point
 with a weight, so the work follows the occupied cells, not the row count.
+
+Which cells are compared at all is found in a balanced tree of boxes over the
+cells of each model (`boxtree`): pairs of nodes whose boxes are within eps open
+into pairs of their children, down to the cells. Crowded cells are cut by the
+same tree, over their points. Joins are by node, so no key holds more rows than
+the children of one node times the nodes near it, for one model as for many.
 """
 
 from __future__ import annotations
 
 import math
 from functools import reduce
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..session import stage_table
+from .boxtree import grow, level
 from .scaling import KEY, POSITION
 
 Z = [f"z_{c}" for c in C.FEATURES]
 DIMENSIONS = len(Z)
 # A hair below eps / sqrt(d), so rounding cannot push a diagonal above eps.
 SIDE_FACTOR = (1.0 - 1e-9) / math.sqrt(DIMENSIONS)
-# Boxes within eps differ by at most ceil(sqrt(d)) cells per dimension; a block
-# of that many cells makes them equal or adjacent blocks.
-BLOCK_CELLS = math.ceil(math.sqrt(DIMENSIONS))
-BLOCK_DIMENSIONS = 3
-# A key of the block join meets at most the square of this many rows per group;
-# fuller keys are cut on both sides.
-GROUP_CELLS = 2000
-BLOCKS = [f"block_{i}" for i in range(DIMENSIONS)]
-# Cells up to this many distinct points are compared point by point; larger ones
-# are cut SPLIT-fold per dimension and step, down to 1e-7 of a cell.
+# Box tests use centre and half width, which keeps the generated code small. The
+# margin sends rounding cases to the point-by-point test, which is exact.
+MARGIN = 1e-12
+# Cells of a leaf in the tree of cells: two leaves meet in at most the square of it, a
+# fraction of a second. Points of a leaf in the tree of a cell's points.
+LEAF_CELLS = 1024
 LEAF_POINTS = 512
-SPLIT = 4
-MAX_DEPTH = 12
 
 
 def unique_points(scaled: DataFrame) -> DataFrame:
@@ -50,19 +50,13 @@ def _coordinate(z: str, eps: float) -> Column:
 
 
 def with_cell(points: DataFrame, eps: float) -> DataFrame:
-    """Add the cell name and the block numbers of each dimension."""
-    return points.withColumns({
-        "cell": F.concat_ws("_", *[_coordinate(z, eps).cast("string") for z in Z]),
-        **{f"block_{i}": F.floor(_coordinate(z, eps) / BLOCK_CELLS) for i, z in enumerate(Z)},
-    })
+    """Add the cell name."""
+    return points.withColumn("cell", F.concat_ws("_", *[_coordinate(z, eps).cast("string") for z in Z]))
 
 
 def cell_table(points: DataFrame) -> DataFrame:
     return points.groupBy(KEY, "cell").agg(
-        F.sum("weight").alias("weight"), F.count("*").alias("n_points"),
-        F.min(POSITION).alias(POSITION),
-        *[F.first(f"block_{i}").alias(f"block_{i}") for i in range(DIMENSIONS)],
-        *box_columns())
+        F.sum("weight").alias("weight"), F.count("*").alias("n_points"), F.min(POSITION).alias(POSITION), *box_columns())
 
 
 def box_columns() -> list[Column]:
@@ -74,25 +68,14 @@ def box_columns() -> list[Column]:
 BOX = [f"{p}_{z}" for z in Z for p in ("mid", "half")]
 
 
-def block_dimensions(cells: DataFrame, k: int = BLOCK_DIMENSIONS) -> list[int]:
-    """The dimensions with most blocks (cycle_ratio repeats cycle_duration).
-
-    Any choice is exact, since boxes within eps are within eps per dimension;
-    spread only decides how many pairs are ruled out by the equi-join.
-    """
-    usable = range(DIMENSIONS - 1)
-    spread = cells.agg(*[F.approx_count_distinct(f"block_{i}").alias(str(i)) for i in usable]).first()
-    return sorted(usable, key=lambda i: (-spread[str(i)], i))[:k]
-
-
-def spread_blocks(df: DataFrame, dims: list[int]) -> DataFrame:
-    """Copy rows to their block and the adjacent ones in the chosen dimensions."""
-    offsets = F.array(*[
-        F.struct(*[F.lit(o).alias(f"o{i}") for i, o in zip(dims, step, strict=True)])
-        for step in product((-1, 0, 1), repeat=len(dims))])
-    moved = df.withColumn("step", F.explode(offsets))
-    return moved.withColumns({
-        f"block_{i}": F.col(f"block_{i}") + F.col(f"step.o{i}") for i in dims}).drop("step")
+def around(boxes: list[str] = BOX) -> list[Column]:
+    """The box around a group of boxes."""
+    out = []
+    for mid, half in zip(boxes[::2], boxes[1::2], strict=True):
+        low, high = F.min(F.col(mid) - F.col(half)), F.max(F.col(mid) + F.col(half))
+        # A hair wider, so that rounding leaves no member outside.
+        out += [((low + high) / 2.0).alias(mid), ((high - low) / 2.0 * (1 + MARGIN) + MARGIN).alias(half)]
+    return out
 
 
 def place(points: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
@@ -105,8 +88,7 @@ def place(points: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
     cells = stage_table(cell_table(named).withColumnRenamed("cell", "cell_name")
                         .withColumn("cell", F.monotonically_increasing_id()))
     ids = cells.select(KEY, F.col("cell_name"), F.col("cell").alias("cell_id"))
-    blocks = [f"block_{i}" for i in range(DIMENSIONS)]
-    placed = (named.withColumnRenamed("cell", "cell_name").drop(*blocks)
+    placed = (named.withColumnRenamed("cell", "cell_name")
               .join(ids, [KEY, "cell_name"]).drop("cell_name").withColumnRenamed("cell_id", "cell"))
     return stage_table(placed), cells.drop("cell_name")
 
@@ -115,11 +97,6 @@ def _sum(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts)
 
 
-# Box tests use centre and half width, which keeps the generated code small. The
-# margin sends rounding cases to the point-by-point test, which is exact.
-MARGIN = 1e-12
-
-
 def _apart(a: str, b: str, z: str) -> Column:
     return F.abs(F.col(f"{a}.mid_{z}") - F.col(f"{b}.mid_{z}"))
 
@@ -159,32 +136,25 @@ def point_gap(p: str, q: str) -> Column:
     return _sum([g * g for g in gaps])
 
 
-def split_full_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides with columns `cut_l` and `cut_r` that cut full keys of a join into a grid.
-
-    A key with n rows on a side has ceil(n / GROUP_CELLS) parts there; each row lies in
-    one part of its side and is copied to all parts of the other, so the same pairs
-    meet, in groups of bounded size. The table of parts has one row per key.
-    """
-    def parts_of(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.ceil(F.count("*") / GROUP_CELLS).alias(name))
-
-    parts = stage_table(parts_of(left, "n_l").join(parts_of(right, "n_r"), keys))
-
-    def cut(df: DataFrame, own: str, other: str, n_own: str, n_other: str) -> DataFrame:
-        row = F.xxhash64(*[c for c in df.columns if c not in keys])
-        return df.join(parts, keys).withColumns({
-            own: F.pmod(row, F.col(n_own)),
-            other: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n_other) - 1))}).drop("n_l", "n_r")
-
-    return (cut(left, "cut_l", "cut_r", "n_l", "n_r"), cut(right, "cut_r", "cut_l", "n_r", "n_l"),
-            [*keys, "cut_l", "cut_r"])
+def tasks_for(df: DataFrame) -> int:
+    """Few bytes but many comparisons: joins of boxes are sized by cores, not by bytes."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
 
 
-def beside(a: str, b: str, dims: list[int]) -> Column:
-    """Blocks equal or adjacent in the dimensions that the join leaves out: a test of whole numbers first."""
-    return reduce(lambda x, y: x & y, [
-        F.abs(F.col(f"{a}.block_{i}") - F.col(f"{b}.block_{i}")) <= 1 for i in range(DIMENSIONS) if i not in dims])
+def touching_leaves(cells: DataFrame, keys: list[str], depth: int, eps: float) -> DataFrame:
+    """Unordered pairs (left <= right) of leaves of the tree of cells whose boxes may touch."""
+    pairs = cells.select(*keys).distinct().withColumns({"left": F.lit(""), "right": F.lit("")})
+    for k in range(1, depth + 1):
+        nodes = level(cells, keys, k, around())
+        a, b = nodes.alias("a"), nodes.alias("b")
+        same_a = reduce(lambda x, y: x & y, [F.col(f"p.{c}") == F.col(f"a.{c}") for c in keys])
+        same_b = reduce(lambda x, y: x & y, [F.col(f"p.{c}") == F.col(f"b.{c}") for c in keys])
+        pairs = (pairs.alias("p").join(a, same_a & (F.col("p.left") == F.col("a.parent")))
+                 .join(b, same_b & (F.col("p.right") == F.col("b.parent")) & (F.col("a.path") <= F.col("b.path"))
+                       & may_touch("a", "b", eps * eps))
+                 .select(*[F.col(f"p.{c}") for c in keys], F.col("a.path").alias("left"), F.col("b.path").alias("right")))
+    return pairs
 
 
 def cell_pairs(cells: DataFrame, eps: float) -> DataFrame:
@@ -192,37 +162,21 @@ def cell_pairs(cells: DataFrame, eps: float) -> DataFrame:
 
     `near` says that all their points are within eps of each other.
     """
-    dims = block_dimensions(cells)
-    slim = cells.select(KEY, "cell", *BLOCKS, *BOX)
-    left, right, keys = split_full_keys(spread_blocks(slim, dims), slim, [KEY, *[f"block_{i}" for i in dims]])
-    spark = cells.sparkSession
-    # Few bytes but many comparisons: size the join by cores, not by bytes.
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    a, b = left.repartition(tasks, *keys).alias("a"), right.alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys]
-    limit = eps * eps
-    found = (a.join(b, reduce(lambda x, y: x & y, same) & (F.col("a.cell") < F.col("b.cell")) & beside("a", "b", dims)
-                    & may_touch("a", "b", limit))
-             .select(F.col("a.cell").alias("a"), F.col("b.cell").alias("b"),
-                     all_within("a", "b", limit).alias("near")))
+    found = met_cells(cells, eps).filter(may_touch("a", "b", eps * eps)).select(
+        F.col("a.cell").alias("a"), F.col("b.cell").alias("b"), all_within("a", "b", eps * eps).alias("near"))
     swapped = found.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
                                              )).alias("s"), "near")
     return swapped.select("s.a", "s.b", "near")
 
 
-def part_name(eps: float, depth: int) -> Column:
-    """Name of the part of its cell a point lies in, SPLIT**depth per dimension."""
-    if depth == 0:
-        return F.lit("")
-    side = eps * SIDE_FACTOR / SPLIT ** depth
-    return F.concat_ws("_", *[F.floor(F.col(z) / side).cast("string") for z in Z])
-
-
-def parts(points: DataFrame, keys: list[str], eps: float, depth: int, value: Column | None = None) -> DataFrame:
-    """Box, size and value of every part of the cells at one depth."""
-    extra = [] if value is None else [value.alias("value")]
-    return points.groupBy(*keys, part_name(eps, depth - 1).alias("parent"), part_name(eps, depth).alias("part")).agg(
-        F.count("*").alias("n_points"), *box_columns(), *extra)
+def met_cells(cells: DataFrame, eps: float) -> DataFrame:
+    """Each pair of cells of touching leaves once, as `a` and `b`."""
+    tree = grow(cells.select(KEY, "cell", *BOX), [KEY], [f"mid_{z}" for z in Z], LEAF_CELLS)
+    pairs = touching_leaves(tree.rows, [KEY], tree.depth, eps)
+    first = (pairs.alias("p").join(tree.rows.alias("a"), (F.col(f"p.{KEY}") == F.col(f"a.{KEY}")) & (F.col("p.left") == F.col("a.leaf")))
+             .select("a.*", F.col("p.right").alias("other")).repartition(tasks_for(cells), KEY, "other"))
+    return first.alias("a").join(tree.rows.alias("b"), (F.col(f"a.{KEY}") == F.col(f"b.{KEY}")) & (F.col("a.other") == F.col("b.leaf"))
+                                 & ((F.col("a.leaf") < F.col("a.other")) | (F.col("a.cell") < F.col("b.cell"))))
 
 
 def point_hits(points: DataFrame, pairs: DataFrame, cells: DataFrame, targets: DataFrame,
@@ -231,41 +185,29 @@ def point_hits(points: DataFrame, pairs: DataFrame, cells: DataFrame, targets: D
 
     `cells` and `targets` carry a `value`. For each point of cell a and pair
     (a, b): when the box of b lies within eps as a whole, one row with the value
-    of b; when it is out of reach, none. Otherwise a small cell is compared
-    point by point, and a cell of many points is cut into parts that are tested
-    the same way, so a crowded cell never meets a point as a list of rows.
+    of b; when it is out of reach, none. Otherwise the nodes of the tree over the
+    points of b are tested the same way, level by level, and only in leaves that
+    the limit cuts through are points compared.
     """
     limit = eps * eps
     looking = (points.alias("p").join(pairs.alias("b"), F.col("p.cell") == F.col("b.a"))
-               .select(*[F.col(f"p.{c}") for c in ["pid", *Z]],
-                       F.col("p.cell").alias("from_cell"), F.col("b.b").alias("cell")))
+               .select(*[F.col(f"p.{c}") for c in ["pid", *Z]], F.col("p.cell").alias("from_cell"), F.col("b.b").alias("cell"),
+                       F.lit("").alias("part")))
     out = ["pid", "from_cell", F.col("cell").alias("to_cell"), "value"]
-
-    def test(near: DataFrame) -> DataFrame:
-        kept = near.select("p.*", "b.value", "b.n_points", F.col("b.part").alias("part"),
-                           point_box_gap("p", "b").alias("gap"), point_box_reach("p", "b").alias("reach"))
-        return kept.filter(F.col("gap") <= limit)
-
-    seen = test(looking.alias("p").join(cells.withColumn("part", F.lit("")).alias("b"),
-                                        F.col("p.cell") == F.col("b.cell")))
-    crowded = (cells.agg(F.max("n_points")).first()[0] or 0) > LEAF_POINTS
+    tree = grow(targets.select("cell", *Z, "value"), ["cell"], Z, LEAF_POINTS)
+    boxes = cells.select("cell", *BOX, "value", F.lit("").alias("path"), F.lit("").alias("parent"))
     found = []
-    for depth in range(MAX_DEPTH + 1):
-        found.append(seen.filter(F.col("reach") <= limit).select(*out))
-        edge = seen.filter(F.col("reach") > limit).drop("value", "gap", "reach")
-        last = not crowded or depth == MAX_DEPTH
-        small = edge if last else edge.filter(F.col("n_points") <= LEAF_POINTS)
-        named = targets.withColumn("part", part_name(eps, depth))
-        found.append(small.alias("p").join(
-            named.alias("b"), (F.col("p.cell") == F.col("b.cell")) & (F.col("p.part") == F.col("b.part")))
-            .filter(point_gap("p", "b") <= limit).select("p.*", "b.value").select(*out))
-        if last:
-            break
-        big = stage_table(edge.filter(F.col("n_points") > LEAF_POINTS).withColumnRenamed("part", "parent").drop("n_points"))
-        if big.isEmpty():
-            break
-        deeper = parts(targets, ["cell"], eps, depth + 1, combine("value"))
-        seen = test(big.alias("p").join(
-            deeper.alias("b"), (F.col("p.cell") == F.col("b.cell")) & (F.col("p.parent") == F.col("b.parent")))
-            ).drop("parent")
+    for k in range(tree.depth + 1):
+        if k:
+            boxes = level(tree.rows, ["cell"], k, [*box_columns(), combine("value").alias("value")])
+        kept = looking.alias("p").join(boxes.alias("b"), (F.col("p.cell") == F.col("b.cell")) & (F.col("p.part") == F.col("b.parent"))).select(
+            *[F.col(f"p.{c}") for c in looking.columns if c != "part"], F.col("b.path").alias("part"), "b.value",
+            point_box_gap("p", "b").alias("gap"), point_box_reach("p", "b").alias("reach")).filter(F.col("gap") <= limit)
+        found.append(kept.filter(F.col("reach") <= limit).select(*out))
+        looking = kept.filter(F.col("reach") > limit).drop("value", "gap", "reach")
+        if tree.depth:
+            looking = stage_table(looking)
+    found.append(looking.alias("p").join(
+        tree.rows.alias("b"), (F.col("p.cell") == F.col("b.cell")) & (F.col("p.part") == F.col("b.leaf")))
+        .filter(point_gap("p", "b") <= limit).select("p.*", "b.value").select(*out))
     return reduce(DataFrame.unionByName, found)

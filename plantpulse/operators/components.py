@@ -30,6 +30,15 @@ def _hook(edges: DataFrame, larger: bool) -> DataFrame:
     return out.where("u > v").distinct()
 
 
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node either has links to it only, or one link to a node that has such only."""
+    sides = edges.select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))).alias("s")).select("s.*")
+    seen = sides.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return seen.filter((F.col("out") > 1) | (F.col("out") + F.col("into") > 1)).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and component (its smallest node) of every node of `links`, columns a and b (long).
 
@@ -37,13 +46,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = stage_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                         .where("u > v").distinct())
-    before = None
-    while True:
-        # Stars stay as they are: the links repeat once every node hangs on its root.
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before, edges = now, stage_table(_hook(_hook(edges, larger=True), larger=False))
+    while not _only_stars(edges):
+        edges = stage_table(_hook(_hook(edges, larger=True), larger=False))
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalars as S
 from ..session import stage_table
-from .cells import (BLOCKS, BOX, LEAF_POINTS, MAX_DEPTH, Z, beside, block_dimensions, cell_table, part_name, parts,
-                    point_box_gap, point_box_reach, point_gap, split_full_keys, spread_blocks, with_cell)
+from .boxtree import grow, level
+from .cells import BOX, Z, around, box_columns, point_box_gap, point_gap
 from .scaling import KEY, POSITION, standardise
 
+# Reference points of a leaf of the index.
+LEAF_REFERENCES = 64
+# Stored reference points lie in shelves of about this many rows; a join reads only the shelves it needs.
+SHELF_ROWS = 1_000_000
+REPRESENTATIVE = [f"rep_{z}" for z in Z]
 READING = ["machine_id", "target_cycle", *C.SENSORS]
 _LIMITS = {
     "machine_id": (C.MACHINE_ID_MIN, None),
@@ -67,20 +73,56 @@ def choose_model(readings: DataFrame, models: DataFrame) -> DataFrame:
             .withColumn(KEY, F.coalesce("own_key", F.lit(C.GLOBAL_MODEL))).drop("own_key"))
 
 
-def score(readings: DataFrame, scaler: DataFrame, reference: DataFrame, eps: float = C.EPS,
-          threshold: float = C.ALERT_THRESHOLD) -> DataFrame:
+@dataclass(frozen=True)
+class ReferenceIndex:
+    """Reference points by leaf, and the boxes of all levels of the tree above them.
+
+    A node has the box of its points and one of the points, which bounds how far the
+    nearest point of the node can be. Both tables are stored with the model, the points
+    in `shelves` folders by leaf.
+    """
+
+    points: DataFrame
+    nodes: DataFrame
+    depth: int
+    shelves: int = 1
+
+
+def shelf(shelves: int, path: str) -> Column:
+    """The folder of a leaf's points."""
+    return F.pmod(F.xxhash64(KEY, path), F.lit(shelves)).cast("int")
+
+
+def index_points(reference: DataFrame) -> ReferenceIndex:
+    """The tree over the reference points of every model."""
+    tree = grow(reference.select(KEY, *Z, "weight", POSITION, "cluster_label"), [KEY], Z, LEAF_REFERENCES)
+    points = stage_table(tree.rows)
+    one = F.min_by(F.struct(*[F.col(z).alias(r) for z, r in zip(Z, REPRESENTATIVE, strict=True)]), POSITION)
+    leaves = stage_table(level(points, [KEY], tree.depth, [*box_columns(), one.alias("one"), F.min(POSITION).alias(POSITION)]).select(
+        KEY, F.col("path").alias("leaf"), *BOX, "one.*", POSITION))
+    above = F.min_by(F.struct(*REPRESENTATIVE), POSITION)
+    levels = [level(leaves, [KEY], k, [*around(), above.alias("one")]).select(
+        KEY, F.lit(k).alias("level"), "parent", "path", *BOX, "one.*") for k in range(1, tree.depth + 1)]
+    nodes = reduce(DataFrame.unionByName, levels) if levels else leaves.limit(0).select(
+        KEY, F.lit(0).alias("level"), F.lit("").alias("parent"), F.lit("").alias("path"), *BOX, *REPRESENTATIVE)
+    return ReferenceIndex(points, stage_table(nodes), tree.depth)
+
+
+def score(readings: DataFrame, scaler: DataFrame, reference: DataFrame | ReferenceIndex, eps: float = C.EPS,
+          threshold: float = C.ALERT_THRESHOLD, known: bool = True) -> DataFrame:
     """Add cluster label, score and alert columns to every reading.
 
     The nearest reference point decides when it is within eps; beyond eps the
     answer is always noise with score 1, so only points within eps are sought.
-    Equal readings are scored once. A reading meets the boxes of nearby cells
-    first; only cells that can still hold its nearest point are opened.
+    Equal readings are scored once. `known` readings may equal reference points:
+    those are joined first, which reads all reference points. For new readings
+    only the leaves near them are read; the results are the same.
     """
+    index = reference if isinstance(reference, ReferenceIndex) else index_points(reference)
     rated = readings.withColumn("cycle_ratio", S.cycle_ratio(F.col("cycle_duration"), F.col("target_cycle")))
     placed = standardise(choose_model(rated, scaler), scaler)
-    unique = with_cell(placed.select(KEY, *Z).distinct(), eps)
-    nearest = _nearest(unique, reference, eps)
-    answered = placed.join(nearest, [KEY, *Z], "left")
+    found = nearest(placed.select(KEY, *Z).distinct(), index, eps, known)
+    answered = placed.join(found, [KEY, *Z], "left")
     label = F.coalesce("near_label", F.lit(C.NOISE))
     points = F.coalesce(F.least(F.sqrt("near_gap") / eps, F.lit(1.0)), F.lit(1.0))
     out = answered.withColumns({"cluster_label": label, "anomaly_score": points})
@@ -90,51 +132,53 @@ def score(readings: DataFrame, scaler: DataFrame, reference: DataFrame, eps: flo
             .drop(*Z, "near_label", "near_gap", "cycle_ratio"))
 
 
-def _nearest(unique: DataFrame, reference: DataFrame, eps: float) -> DataFrame:
-    """Nearest reference point within eps of each distinct reading.
+def nearest(unique: DataFrame, index: ReferenceIndex, eps: float, known: bool = True) -> DataFrame:
+    """Nearest reference point within eps of each distinct reading, with its squared distance.
 
-    Boxes give a bound: no box is opened whose gap exceeds the smallest reach
-    seen for the reading. Crowded cells are cut into parts and tested again.
+    A `known` reading that equals a reference point has its answer from an equality join.
+    The others go down the tree: a node is opened while its box is no farther than the best
+    bound, which starts at eps and falls to the distance of the nearest representative
+    met so far. Nothing is written and the reference is not aggregated.
     """
-    limit = eps * eps
-    asked = stage_table(unique.withColumn("rid", F.monotonically_increasing_id()))
-    points = stage_table(with_cell(reference.select(KEY, *Z, "weight", POSITION, "cluster_label"), eps))
-    cells = stage_table(cell_table(points))
-    dims = block_dimensions(cells)
-    boxes = spread_blocks(cells.select(KEY, "cell", "n_points", F.lit("").alias("part"), *BLOCKS, *BOX), dims)
-    asking, boxes, keys = split_full_keys(asked, boxes, [KEY, *[f"block_{i}" for i in dims]])
-
-    def test(near: DataFrame) -> DataFrame:
-        """Rows whose box may hold the nearest point of their reading. Only ids
-        travel to the bound; the few rows left fetch their coordinates again."""
-        kept = near.select("p.rid", F.col("b.cell").alias("cell"), "b.part", "b.n_points",
-                           point_box_gap("p", "b").alias("gap"), point_box_reach("p", "b").alias("reach"))
-        bound = F.min("reach").over(Window.partitionBy("rid"))
-        left = (kept.filter(F.col("gap") <= limit).withColumn("bound", bound)
-                .filter(F.col("gap") <= F.col("bound")).drop("gap", "reach", "bound"))
-        return left.join(asked.select("rid", KEY, *Z), "rid")
-
-    def same(columns: list[str]):
-        return reduce(lambda x, y: x & y, [F.col(f"p.{c}") == F.col(f"b.{c}") for c in columns])
-
-    opened = test(asking.alias("p").join(boxes.alias("b"), same(keys) & beside("p", "b", dims)))
-    crowded = (cells.agg(F.max("n_points")).first()[0] or 0) > LEAF_POINTS
-    found = []
-    for depth in range(MAX_DEPTH + 1):
-        last = not crowded or depth == MAX_DEPTH
-        small = opened if last else opened.filter(F.col("n_points") <= LEAF_POINTS)
-        named = points.withColumn("part", part_name(eps, depth))
-        found.append(small.alias("p").join(named.alias("b"), same([KEY, "cell", "part"]))
-                     .select("p.rid", point_gap("p", "b").alias("g"), f"b.{POSITION}",
-                             F.col("b.cluster_label").alias("label")))
-        if last:
-            break
-        big = stage_table(opened.filter(F.col("n_points") > LEAF_POINTS).withColumnRenamed("part", "parent"))
-        if big.isEmpty():
-            break
-        opened = test(big.alias("p").join(parts(points, [KEY, "cell"], eps, depth + 1).alias("b"),
-                                          same([KEY, "cell", "parent"])))
-    met = reduce(DataFrame.unionByName, found).filter(F.col("g") <= limit)
-    nearest = met.groupBy("rid").agg(
+    opened = opened_leaves(unique, index, eps, known).withColumn("shelf", shelf(index.shelves, "path"))
+    points = index.points if "shelf" in index.points.columns else index.points.withColumn("shelf", shelf(index.shelves, "leaf"))
+    met = opened.alias("p").join(points.alias("b"), _same("p", "b", {"shelf": "shelf", KEY: KEY, "path": "leaf"})).select(
+        *[F.col(f"p.{c}") for c in (KEY, *Z)], "p.bound", point_gap("p", "b").alias("g"), f"b.{POSITION}",
+        F.col("b.cluster_label").alias("label"))
+    best = met.filter(F.col("g") <= F.col("bound")).groupBy(KEY, *Z).agg(
         F.min("g").alias("near_gap"), F.min_by("label", F.struct("g", POSITION)).alias("near_label"))
-    return asked.join(nearest, "rid").select(KEY, *Z, "near_gap", "near_label")
+    if not known:
+        return best
+    same = _equal(unique, index).filter(F.col("cluster_label").isNotNull()).select(
+        KEY, *Z, F.lit(0.0).alias("near_gap"), F.col("cluster_label").alias("near_label"))
+    return same.unionByName(best)
+
+
+def _equal(unique: DataFrame, index: ReferenceIndex) -> DataFrame:
+    return unique.join(index.points.select(KEY, *Z, "cluster_label"), [KEY, *Z], "left")
+
+
+def opened_leaves(unique: DataFrame, index: ReferenceIndex, eps: float, known: bool = True) -> DataFrame:
+    """Leaves (`path`) that may hold the nearest point of a reading, with the `bound` found; none for a reading
+    that is `known` to equal a point."""
+    rest = _equal(unique, index).filter(F.col("cluster_label").isNull()) if known else unique
+    out = rest.select(KEY, *Z, F.lit("").alias("path"), F.lit(eps * eps).alias("bound"))
+    for k in range(1, index.depth + 1):
+        out = _opened(out, index.nodes.filter(F.col("level") == k))
+    return out
+
+
+def _same(a: str, b: str, columns: dict[str, str]):
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}") == F.col(f"{b}.{d}") for c, d in columns.items()])
+
+
+def _opened(open_nodes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Children of the open nodes that may hold the nearest point of their reading."""
+    gap = reduce(lambda x, y: x + y, [(F.col(f"p.{z}") - F.col(f"b.rep_{z}")) * (F.col(f"p.{z}") - F.col(f"b.rep_{z}")) for z in Z])
+    kept = open_nodes.alias("p").join(nodes.alias("b"), _same("p", "b", {KEY: KEY, "path": "parent"})).select(
+        *[F.col(f"p.{c}") for c in (KEY, *Z)], F.col("b.path").alias("path"), "p.bound",
+        point_box_gap("p", "b").alias("gap"), gap.alias("known"))
+    kept = kept.filter(F.col("gap") <= F.col("bound"))
+    # A hair above, so that rounding cannot shut the point itself out.
+    bound = F.least(F.col("bound"), F.min("known").over(Window.partitionBy(KEY, *Z)) * (1 + 1e-9))
+    return kept.withColumn("bound", bound).filter(F.col("gap") <= F.col("bound")).drop("gap", "known")

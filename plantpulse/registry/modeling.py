@@ -233,6 +233,21 @@ def _(spark, d):
     return scoring.choose_model(_readings(spark, d), scaler).select("row_id", KEY)
 
 
+_FALLBACK = [*_steps("all", least=330), _READ_STEP,
+             ("qz", f"""SELECT row_id, f.model_key, {each('({c} - mean_{c}) / scale_{c} AS z_{c}', C.FEATURES)}
+    FROM (SELECT r.*, coalesce(o.model_key, 'global') AS chosen FROM reads r LEFT JOIN fit o ON o.model_key = CAST(r.machine_id AS VARCHAR)) r
+    JOIN fit f ON f.model_key = r.chosen"""), _REF, _HITS, _SCORED]
+
+
+@query("J09_fallback_scores", check(["sens"], f"""SELECT row_id, q.model_key, cluster_label, anomaly_score,
+    cluster_label = -1 AS alert FROM scored JOIN qz q USING (row_id)""", ["anomaly_score"], _FALLBACK))
+def _(spark, d):
+    """All readings scored, those of machines with too few rows by the global model."""
+    m = training.train(stored_sensors(spark, d), min_samples=330, models="all")
+    scored = scoring.score(_readings(spark, d), m.scaler, m.reference)
+    return scored.select("row_id", KEY, "cluster_label", "anomaly_score", "alert")
+
+
 def _odd(spark, d):
     """Sensor rows pushed out of bounds here and there."""
     far = F.when(F.col("row_id") % 10 == 0, 30.0).otherwise(1.0)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.scalars import version_stamp
-from ..operators.scaling import KEY, POSITION
+from ..operators import scoring
+from ..operators.scaling import KEY
 from ..plans.training import Model
 
 VERSION = "run_ts"
@@ -69,28 +70,50 @@ def save_csv(df: DataFrame, path: str) -> None:
 
 
 def save_model(model: Model, root: str, version: str, source: str = "") -> None:
-    """Persist scaler, reference points and one metadata row per model.
+    """Persist scaler, the index of the reference points and one metadata row per model.
 
-    The metadata table is written last; readers pick versions from it, so a
-    half-written version is never used.
+    The tree is grown once, here: boxes by level, points by shelf and leaf, so that a
+    batch of readings opens only the leaves near it. The metadata table is written last;
+    readers pick versions from it, so a half-written version is never used.
     """
     write_layer(model.scaler, root, "scaler_stats", version)
-    write_layer(model.reference.select(KEY, *[f"z_{c}" for c in C.FEATURES], "weight", POSITION,
-                                       "cluster_label"), root, "reference_points", version)
+    index = scoring.index_points(model.reference)
+    shelves = max(1, -(-index.points.count() // scoring.SHELF_ROWS))
+    placed = index.points.withColumns({"shelves": F.lit(shelves), "shelf": scoring.shelf(shelves, "leaf")})
+    # One file a shelf or more, its leaves in order, so that statistics rule row groups out.
+    ordered = placed.repartitionByRange("shelf", KEY, "leaf").sortWithinPartitions("shelf", KEY, "leaf")
+    _write_folders(ordered, root, "reference_points", version, ["shelves", "shelf"])
+    _write_folders(index.nodes, root, "reference_nodes", version, ["level"])
     runs = model.summary.select(
         "*", F.lit(model.eps).alias("eps"), F.lit(model.min_samples).alias("min_samples"),
         F.lit(",".join(C.FEATURES)).alias("features"), F.lit(source).alias("source_dataset"))
     write_layer(runs, root, "training_runs", version)
 
 
+def _write_folders(df: DataFrame, root: str, layer: str, version: str, by: list[str]) -> None:
+    df.write.mode("overwrite").partitionBy(*by).parquet(f"{root}/{layer}/{VERSION}={version}")
+
+
+def _folder_values(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """Values of a partition column, from the folder list alone."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{name}=")]
+
+
 def load_model(spark: SparkSession, root: str, version: str | None = None
-               ) -> tuple[str, DataFrame, DataFrame] | None:
-    """Version, scaler and reference points of the newest complete model."""
+               ) -> tuple[str, DataFrame, scoring.ReferenceIndex] | None:
+    """Version, scaler and reference index of the newest complete model; reads folder lists and footers only."""
     version = version or latest_version(spark, root, "training_runs")
     if version is None:
         return None
-    return (version, *[spark.read.parquet(f"{root}/{t}/{VERSION}={version}")
-                       for t in ("scaler_stats", "reference_points")])
+    where = {t: f"{root}/{t}/{VERSION}={version}" for t in ("scaler_stats", "reference_points", "reference_nodes")}
+    depth = max(_folder_values(spark, where["reference_nodes"], "level"), default=0)
+    nodes = spark.read.parquet(where["reference_nodes"]) if depth else None
+    shelves = _folder_values(spark, where["reference_points"], "shelves")[0]
+    index = scoring.ReferenceIndex(spark.read.parquet(where["reference_points"]), nodes, depth, shelves)
+    return version, spark.read.parquet(where["scaler_stats"]), index
 
 
 def registry_status(spark: SparkSession, root: str) -> DataFrame:

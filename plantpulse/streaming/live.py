@@ -17,7 +17,8 @@ def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, models: st
     """Clamp, shape, validate and score one batch; store sensors and predictions.
 
     The newest model is looked up per batch, so a retrained one takes over at
-    the next batch. Outputs are keyed by stream and batch id: a repeated batch
+    the next batch. Its reference is a stored tree; a batch opens the leaves near its
+    readings and neither writes nor aggregates reference points. Outputs are keyed by stream and batch id: a repeated batch
     replaces itself. Rows that fail validation go to a quarantine table. Without
     a model the batch fails, so it is not committed and comes again.
     """
@@ -31,7 +32,7 @@ def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, models: st
     readings = scoring.to_readings(records, extra=["timestamp"])
     good, bad = scoring.valid_readings(readings)
     serving.append_batch(bad, out, "quarantine", str(batch_id), stream)
-    scored = scoring.score(good, scaler, reference, eps, threshold).withColumnRenamed("timestamp", "recorded_at")
+    scored = scoring.score(good, scaler, reference, eps, threshold, known=False).withColumnRenamed("timestamp", "recorded_at")
     serving.append_batch(serving.prediction_rows(scored, version), out, "predictions", str(batch_id), stream)
 
 

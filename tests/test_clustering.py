@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantpulse import constants as C
-from plantpulse.operators import cells, components, dbscan, scaling, scoring
+from plantpulse.operators import boxtree, cells, components, dbscan, scaling, scoring
 from plantpulse.operators.scaling import KEY
 
 
@@ -53,9 +53,9 @@ def frame(spark, sets):
     return df.withColumn("pos", F.col("n").cast("decimal(38,0)")).repartition(5)
 
 
-@pytest.mark.parametrize("eps,group", [(0.6, 2000), (1.2, 2000), (2.5, 2000), (1.2, 7)])
-def test_labels_match_brute_force(spark, eps, group, monkeypatch):
-    monkeypatch.setattr(cells, "GROUP_CELLS", group)
+@pytest.mark.parametrize("eps,leaf", [(0.6, 64), (1.2, 64), (2.5, 64), (1.2, 12)])
+def test_labels_match_brute_force(spark, eps, leaf, monkeypatch):
+    monkeypatch.setattr(cells, "LEAF_CELLS", leaf)
     sets = {"1": blobs(1), "2": blobs(2, copies=300)}
     scaled = frame(spark, sets)
     points = dbscan.cluster_points(scaled, eps, 10)
@@ -80,16 +80,69 @@ def test_mixed_cells_link_clusters(spark):
         assert got["cluster_label"].tolist() == brute_force(x, eps, 10)[1].tolist()
 
 
-def test_no_group_of_the_block_join_is_full(spark, monkeypatch):
-    """Nine tenths of the cells share one block; no group meets more than the stated number of comparisons."""
-    monkeypatch.setattr(cells, "GROUP_CELLS", 50)
-    rows = [(1, 0 if i % 10 else i, i) for i in range(1500)]
-    df = spark.createDataFrame(rows, "k int, block int, cell long")
-    left, right, keys = cells.split_full_keys(df, df, ["k", "block"])
-    sizes = left.groupBy(*keys).agg(F.count("*").alias("l")).join(right.groupBy(*keys).agg(F.count("*").alias("r")), keys)
-    assert sizes.agg(F.max(F.col("l") * F.col("r"))).first()[0] <= (2 * 50) ** 2
-    met = left.withColumnRenamed("cell", "a").join(right.withColumnRenamed("cell", "b"), keys)
-    assert met.count() == met.select("a", "b").distinct().count() == 1351 ** 2 + 149
+def grown(spark, x, capacity, keys=("m",)):
+    rows = pd.DataFrame(np.asarray(x, float), columns=["x", "y"])
+    rows.insert(0, "key", [keys[i % len(keys)] for i in range(len(rows))])
+    rows["n"] = np.arange(len(rows))
+    return boxtree.grow(spark.createDataFrame(rows).repartition(3), ["key"], ["x", "y"], capacity)
+
+
+def test_leaves_hold_a_stated_number_of_rows(spark):
+    """Even, lopsided and repeated coordinates, for groups of one row as for large ones."""
+    rng = np.random.default_rng(8)
+    far = np.concatenate([rng.normal(size=(700, 2)), 10.0 ** rng.uniform(0, 15, (60, 2)), np.full((40, 2), 3.5)])
+    far[:300, 1] = 0.0
+    tree = grown(spark, far, 16, ["a"] * 30 + ["b"])
+    sizes = tree.rows.groupBy("key", "leaf").agg(F.count("*").alias("n"), F.countDistinct("x", "y").alias("points")).toPandas()
+    assert sizes["n"].sum() == 800 and tree.rows.select("n").distinct().count() == 800
+    assert (sizes[sizes["points"] > 1]["n"] <= 16).all() and (sizes["points"] == 1).any()
+    assert len(sizes) < 800 / 2
+    assert grown(spark, far[:10], 16).depth == 0
+    assert grown(spark, np.ones((50, 2)), 16).depth == 0
+    none = tree.rows.drop("leaf").filter("false")
+    assert boxtree.grow(none, ["key"], ["x", "y"], 16).rows.count() == 0
+
+
+def test_levels_nest(spark):
+    rng = np.random.default_rng(9)
+    tree = grown(spark, rng.normal(size=(900, 2)), 5)
+    assert tree.depth >= 2
+    for k in range(1, tree.depth + 1):
+        nodes = boxtree.level(tree.rows, ["key"], k, [F.count("*").alias("n")]).toPandas()
+        above = boxtree.level(tree.rows, ["key"], k - 1, [F.count("*").alias("n")]).toPandas()
+        assert nodes["n"].sum() == 900
+        assert nodes.groupby("parent")["n"].sum().to_dict() == above.set_index("path")["n"].to_dict()
+        assert nodes.groupby("parent").size().max() <= 64
+
+
+def test_every_pair_of_near_cells_is_met_once(spark, monkeypatch):
+    monkeypatch.setattr(cells, "LEAF_CELLS", 4)
+    scaled = frame(spark, {"1": blobs(1), "2": blobs(2)})
+    points, table = cells.place(dbscan.unique_points(scaled), 1.2)
+    met = cells.cell_pairs(table, 1.2).toPandas()
+    assert not met.duplicated(["a", "b"]).any()
+    p = points.toPandas()
+    have = set(zip(met["a"], met["b"], strict=True))
+    for key, x in p.groupby(KEY):
+        z, cell = x[cells.Z].to_numpy(), x["cell"].to_numpy()
+        near = ((z[:, None] - z[None]) ** 2).sum(-1) <= 1.2 ** 2
+        assert {(a, b) for i, j in zip(*np.nonzero(near), strict=True) for a, b in [(cell[i], cell[j])] if a != b} <= have
+
+
+def test_work_of_scoring_is_bounded(spark):
+    """Readings meet few nodes and points: fewer than a twentieth of all pairs, with and without equal points."""
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(4000, 8)) * [3, 2, 1, 1, .3, .2, .1, .1]
+    reference = frame(spark, {"m": x}).withColumns({"weight": F.lit(1), "cluster_label": F.lit(0)}).drop("n")
+    index = scoring.index_points(reference)
+    q = np.concatenate([x[:500] + rng.normal(size=(500, 8)) * .05, x[:300]])
+    asked = frame(spark, {"m": q}).select(KEY, *cells.Z)
+    found = scoring.nearest(asked, index, 1.0)
+    assert found.count() == 800
+    met = scoring.opened_leaves(asked, index, 1.0)
+    sizes = index.points.groupBy(KEY, F.col("leaf").alias("path")).agg(F.count("*").alias("n"))
+    assert met.join(sizes, [KEY, "path"]).agg(F.sum("n")).first()[0] < 0.05 * 500 * 4000
+    assert index.nodes.count() < 4000 / 8
 
 
 def test_components_of_paths_and_stars(spark):
@@ -159,7 +212,7 @@ def crowd(seed, n=500):
 @pytest.mark.parametrize("eps", [0.75, 0.95])
 def test_crowded_cells_are_cut_into_parts(spark, monkeypatch, eps):
     monkeypatch.setattr(cells, "LEAF_POINTS", 4)
-    monkeypatch.setattr(scoring, "LEAF_POINTS", 4)
+    monkeypatch.setattr(scoring, "LEAF_REFERENCES", 4)
     x = crowd(11)
     scaled = frame(spark, {"m": x})
     points = dbscan.cluster_points(scaled, eps, 10)
@@ -169,8 +222,8 @@ def test_crowded_cells_are_cut_into_parts(spark, monkeypatch, eps):
     assert got["cluster_label"].tolist() == labels.tolist()
     rng = np.random.default_rng(12)
     q = rng.uniform(-1, 3.5, (80, 8)) * [1, 1, 1, .1, 0, 0, 0, .3]
-    asked = cells.with_cell(frame(spark, {"m": q}), eps)
-    near = scoring._nearest(asked, dbscan.reference_points(points), eps).toPandas()
+    asked = frame(spark, {"m": np.concatenate([q, x[:20]])}).select(KEY, *cells.Z).distinct()
+    near = scoring.nearest(asked, scoring.index_points(dbscan.reference_points(points)), eps).toPandas()
     have = {tuple(np.round(r[cells.Z].astype(float), 9)): (r["near_gap"], r["near_label"]) for _, r in near.iterrows()}
     keep = labels != -1
     for row in q:
