@@ -7,10 +7,11 @@ graph of cells, never of rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions.running import running_sum
 from ..session import stage_table
 from .cells import Z, box_columns, cell_pairs, place, point_hits, unique_points
 from .components import connected_components
@@ -73,9 +74,10 @@ def core_clusters(core: DataFrame, pairs: DataFrame, eps: float) -> DataFrame:
     second = connected_components(first.select(F.col("component").alias("node")).distinct(), _links(touching))
     clusters = (names.withColumnRenamed("component", "node").join(second, "node")
                 .select("cell", "component").join(boxes, "cell"))
-    order = Window.partitionBy(KEY).orderBy("first_row")
-    numbered = (clusters.groupBy(KEY, "component").agg(F.min("first_row").alias("first_row"))
-                .select("component", (F.row_number().over(order) - 1).cast("int").alias("cluster")))
+    firsts = clusters.groupBy(KEY, "component").agg(F.min("first_row").alias("first_row"))
+    # A model may have any number of clusters.
+    numbered = running_sum(firsts, [KEY], ["first_row"], F.lit(1), "earlier").select(
+        "component", F.col("earlier").cast("int").alias("cluster"))
     return clusters.join(numbered, "component").drop("component")
 
 

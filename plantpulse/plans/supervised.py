@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..operators.interventions import hours_to_next
+from ..session import stage_table
+from . import evaluation
 
 # The twenty model inputs in order.
 INPUTS = [
@@ -52,34 +54,23 @@ def _assemble() -> VectorAssembler:
     return VectorAssembler(inputCols=INPUTS, outputCol="features", handleInvalid="error")
 
 
-def failure_classifier(train: DataFrame, test: DataFrame, trees: int = 20) -> DataFrame:
-    """Failed or not: accuracy, F1 of the failed class and ROC-AUC over all test rows."""
+def failure_predictions(train: DataFrame, test: DataFrame, trees: int = 20) -> DataFrame:
+    """Failed or not, of all test rows: label, prediction and the forest's share of votes as score. Stored."""
     train, test = fill_inputs(train, test)
     label = (F.col("failure") > 0).cast("double").alias("label")
     forest = RandomForestClassifier(numTrees=trees, seed=SEED)
     model = Pipeline(stages=[_assemble(), forest]).fit(train.select("*", label))
-    scored = model.transform(test.select("*", label))
-    counts = scored.agg(
-        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
-        (2.0 * F.count_if((F.col("label") == 1) & (F.col("prediction") == 1))
-         / F.nullif(F.count_if(F.col("label") == 1) + F.count_if(F.col("prediction") == 1), F.lit(0))).alias("f1"),
-        F.count("*").alias("n_test"), F.count_if(F.col("label") == 1).alias("n_failed"))
-    auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored)
-    return counts.withColumn("roc_auc", F.lit(auc))
-
-
-def macro_f1(scored: DataFrame) -> DataFrame:
-    """Unweighted mean F1 over the classes seen in labels or predictions."""
-    sides = scored.select(F.explode(F.array(
-        F.struct(F.col("label").alias("c"), F.lit(1).alias("truth"),
-                 (F.col("label") == F.col("prediction")).cast("int").alias("hit")),
-        F.struct(F.col("prediction").alias("c"), F.lit(0).alias("truth"), F.lit(0).alias("hit")))).alias("s"))
-    per_class = sides.groupBy("s.c").agg(F.sum("s.hit").alias("hits"), F.count("*").alias("both"))
-    return per_class.agg(F.avg(2.0 * F.col("hits") / F.col("both")).alias("macro_f1"))
+    return stage_table(model.transform(test.select("*", label)).select(
+        "machine_id", "timestamp", "label", "prediction", vector_to_array("probability")[1].alias("score")))
 
 
-def type_classifier(train: DataFrame, test: DataFrame, trees: int = 20) -> DataFrame:
-    """none / Breakage / Overheat: accuracy and macro F1 over all test rows.
+def failure_classifier(train: DataFrame, test: DataFrame, trees: int = 20) -> DataFrame:
+    """Counts, accuracy, precision, recall and F1 of the failed class, and ROC-AUC over all test rows."""
+    return evaluation.binary(failure_predictions(train, test, trees))
+
+
+def type_predictions(train: DataFrame, test: DataFrame, trees: int = 20) -> DataFrame:
+    """none / Breakage / Overheat, of all test rows. Stored.
 
     A class the training rows lack has an index of its own and counts as missed.
     """
@@ -87,20 +78,27 @@ def type_classifier(train: DataFrame, test: DataFrame, trees: int = 20) -> DataF
     indexer = StringIndexer(inputCol="failure_type", outputCol="label", handleInvalid="keep")
     forest = RandomForestClassifier(numTrees=trees, seed=SEED)
     scored = Pipeline(stages=[indexer, _assemble(), forest]).fit(train).transform(test)
-    accuracy = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(scored)
-    commonest = scored.groupBy("label").agg(F.count("*").alias("n")).agg(
-        F.max("n").alias("n_commonest"), F.sum("n").alias("n_test"), F.count("*").alias("n_classes")).first().asDict()
-    return macro_f1(scored).withColumns({"accuracy": F.lit(accuracy)} | {c: F.lit(v) for c, v in commonest.items()})
+    return stage_table(scored.select("machine_id", "timestamp", "failure_type", "label", "prediction"))
 
 
-def remaining_hours_regressor(train: DataFrame, test: DataFrame, rounds: int = 10) -> DataFrame:
-    """Hours to the next intervention: mean absolute error."""
+def type_classifier(train: DataFrame, test: DataFrame, trees: int = 20) -> DataFrame:
+    """Accuracy and macro F1 over all test rows."""
+    return evaluation.several(type_predictions(train, test, trees))
+
+
+def remaining_hours_predictions(train: DataFrame, test: DataFrame, rounds: int = 10) -> DataFrame:
+    """Hours to the next intervention, of all test rows that have one; and the mean of the training rows. Stored."""
     known = F.col("hours_to_next_intervention").isNotNull()
     trees = GBTRegressor(labelCol="hours_to_next_intervention", maxIter=rounds, seed=SEED)
     train, test = fill_inputs(train.filter(known), test.filter(known))
     model = Pipeline(stages=[_assemble(), trees]).fit(train)
-    scored = model.transform(test)
-    error = RegressionEvaluator(labelCol="hours_to_next_intervention", metricName="mae").evaluate(scored)
     usual = train.agg(F.avg("hours_to_next_intervention")).first()[0]
-    gap = F.abs(F.col("hours_to_next_intervention") - F.lit(usual))
-    return scored.agg(F.count("*").alias("n_test"), F.avg(gap).alias("mae_of_mean")).withColumn("mae", F.lit(error))
+    return stage_table(model.transform(test).select(
+        "machine_id", "timestamp", F.col("hours_to_next_intervention").alias("label"), "prediction", F.lit(usual).alias("usual")))
+
+
+def remaining_hours_regressor(train: DataFrame, test: DataFrame, rounds: int = 10) -> DataFrame:
+    """Mean absolute error of the model and of the training mean."""
+    scored = remaining_hours_predictions(train, test, rounds)
+    return scored.agg(F.count("*").alias("n_test"), F.avg(F.abs(F.col("label") - F.col("prediction"))).alias("mae"),
+                      F.avg(F.abs(F.col("label") - F.col("usual"))).alias("mae_of_mean"))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalars as S
 from ..operators import dbscan, scaling, scoring
 from ..operators.scaling import KEY
-from ..plans import batch, supervised, training
+from ..plans import batch, evaluation, supervised, training
 from ..session import stage_table
 from ..sources import bronze_csv, events_adapter, layers
 from .base import check, each, query
@@ -391,6 +391,73 @@ def _(spark, d):
     return out.select("n_test", (F.col("mae") <= 1.25 * F.col("mae_of_mean")).alias("bounded"))
 
 
+@query("ML01_metrics")
+def _(spark, d):
+    """The values themselves; a forest cannot be written in SQL, the measures can (ML01_rule_metrics)."""
+    return supervised.failure_classifier(*supervised.split(_labelled_gold(spark, d)))
+
+
+@query("ML02_class_metrics")
+def _(spark, d):
+    """F1 of each failure type, and the mean over the types."""
+    scored = supervised.type_predictions(*supervised.split(_labelled_gold(spark, d)))
+    each_class = evaluation.classes(scored)
+    mean = F.avg("f1").over(Window.partitionBy(F.lit(1)))
+    return each_class.withColumn("macro_f1", mean)
+
+
+@query("ML03_machine_errors")
+def _(spark, d):
+    """Mean absolute error per machine."""
+    return evaluation.errors(supervised.remaining_hours_predictions(*supervised.split(_labelled_gold(spark, d))), ["machine_id"])
+
+
+# Rules of thumb over the sensor rows: what a model has to beat, with measures that SQL can check.
+_SLOW, _HOT, _USUAL_HOURS = 100, 62, 100
+_RULED = ("ruled", f"""SELECT CAST(failure > 0 AS INTEGER) AS label, CAST(coalesce(rpm < {_SLOW}, false) AS INTEGER) AS prediction,
+    -rpm AS score, failure AS kind, CASE WHEN rpm < {_SLOW} THEN 1 WHEN temperature_C > {_HOT} THEN 2 ELSE 0 END AS said
+    FROM sens WHERE failure IS NOT NULL""")
+
+
+def _ruled(spark, d):
+    rows = stored_sensors(spark, d).filter(F.col("failure").isNotNull())
+    slow = F.coalesce(F.col("rpm") < _SLOW, F.lit(False))
+    return rows.select((F.col("failure") > 0).cast("int").alias("label"), slow.cast("int").alias("prediction"), (-F.col("rpm")).alias("score"),
+                       F.col("failure").alias("kind"), F.when(slow, 1).when(F.col("temperature_C") > _HOT, 2).otherwise(0).alias("said"))
+
+
+@query("ML01_rule_metrics", check(["sens"], """SELECT count(*) AS n_test, count(*) FILTER (label = 1) AS n_failed,
+    avg(CAST(label = prediction AS INTEGER)) AS accuracy,
+    count(*) FILTER (label = 1 AND prediction = 1) / count(*) FILTER (prediction = 1) AS precision,
+    count(*) FILTER (label = 1 AND prediction = 1) / count(*) FILTER (label = 1) AS recall,
+    2e0 * count(*) FILTER (label = 1 AND prediction = 1) / (count(*) FILTER (label = 1) + count(*) FILTER (prediction = 1)) AS f1,
+    (SELECT avg(CASE WHEN a.score > b.score THEN 1e0 WHEN a.score = b.score THEN 5e-1 ELSE 0 END)
+     FROM ruled a JOIN ruled b ON a.label = 1 AND b.label = 0 AND a.score IS NOT NULL AND b.score IS NOT NULL) AS roc_auc FROM ruled""",
+    ["accuracy", "precision", "recall", "f1", "roc_auc"], [_RULED]))
+def _(spark, d):
+    """Failed when the machine stands almost still: all measures of ML01, checked pair by pair."""
+    return evaluation.binary(_ruled(spark, d))
+
+
+@query("ML02_rule_metrics", check(["sens"], """SELECT sum(l) AS n_test, count(*) FILTER (l > 0) AS n_classes, max(l) AS n_commonest,
+    sum(h) / sum(l) AS accuracy, avg(2e0 * h / (l + p)) AS macro_f1 FROM (SELECT c, count(*) FILTER (kind = c) AS l,
+    count(*) FILTER (said = c) AS p, count(*) FILTER (kind = c AND said = c) AS h
+    FROM ruled, (SELECT kind AS c FROM ruled UNION SELECT said FROM ruled) GROUP BY c)""", ["accuracy", "macro_f1"], [_RULED]))
+def _(spark, d):
+    """Three kinds told by speed and heat: accuracy and macro F1."""
+    return evaluation.several(_ruled(spark, d).select(F.col("kind").alias("label"), F.col("said").alias("prediction")))
+
+
+@query("ML03_rule_errors", check(["sens", "interv"], f"""SELECT machine_id, count(*) AS n_test, avg(abs(h - {_USUAL_HOURS})) AS mae FROM (
+    SELECT s.machine_id, s.row_id, min(epoch_us(i.ts) - epoch_us(s.timestamp)) / 3.6e9 AS h FROM sens s JOIN interv i
+    ON i.machine_id = s.machine_id AND i.ts >= s.timestamp GROUP BY ALL) GROUP BY machine_id""", ["mae"]))
+def _(spark, d):
+    """The same number of hours for every row: mean absolute error per machine."""
+    rows = supervised.label_remaining_hours(events_adapter.sensor_data(spark, d), events_adapter.interventions(spark, d))
+    return evaluation.errors(rows.select("machine_id", F.col("hours_to_next_intervention").alias("label"),
+                                         F.lit(float(_USUAL_HOURS)).alias("prediction")), ["machine_id"])
+
+
 @query("ML04_remaining_hours_label", check(["sens", "interv"], """SELECT s.row_id,
     min(epoch_us(i.ts) - epoch_us(s.timestamp)) / 3.6e9 AS hours_to_next_intervention FROM sens s LEFT JOIN interv i
     ON i.machine_id = s.machine_id AND i.ts >= s.timestamp GROUP BY 1""", ["hours_to_next_intervention"]))
