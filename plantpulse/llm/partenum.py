@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantpulse.llm.arrays import lower_ascii, mix, span_hashes, window_hashes, words
+from plantpulse.llm.arrays import chunks, lower_ascii, mix, span_hashes, window_hashes, words
 from plantpulse.llm.exchange import NO_ID, low_bits, texts_by_group, unpack, unpacked_texts
 from plantpulse.llm.tables import power_of_two, text_bytes
 from plantpulse.operators.components import components
@@ -260,7 +260,8 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     names = pairs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # A pair brings two whole sets, so pairs are taken by the bytes of the first.
+        for batch in chunks(batches, "x"):
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantpulse.llm.arrays import chunks
 from plantpulse.llm.tables import for_python
 
 #: Only for tests and the given tables; a real corpus gets its own secret.
@@ -334,7 +335,7 @@ def pseudonymised(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chunks(batches):
             texts = [None if t is None else replaced(t, key)[0] for t in batch.column(place).to_pylist()]
             columns = list(batch.columns)
             columns[place] = pa.array(texts, columns[place].type)

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantpulse.llm.arrays import split_bytes, texts_of
+from plantpulse.llm.arrays import chunks, split_bytes, texts_of
 from plantpulse.llm.tables import for_python
 
 #: Rows per label for each of the two fits; bytes of a block; bytes of a dictionary; compression level.
@@ -181,7 +181,8 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFram
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # Some texts at a time: what goes back is a copy.
+        for batch in chunks(batches):
             x = np.array([model.ratios(t) for t in split_bytes(*texts_of(batch.column("text")))]).reshape(-1, 3)
             yield batch.filter(pa.array(model.score(x) >= threshold))
 
