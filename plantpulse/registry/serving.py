@@ -250,24 +250,24 @@ simple("F17_json_rows", ["pred"], """SELECT event_id, '{"machine_id":' || machin
 _REPLAY_COLS = ["row_id", *C.SENSOR_TABLE]
 
 
-@query("ST01_replay_by_time", check(["sens"], "SELECT count(DISTINCT hour) AS ticks, count(*) AS n, true AS in_order FROM ticked", extra=[_TICKED]))
+_DAILY = ("daily", """SELECT *, date_trunc('day', "timestamp")::TIMESTAMP AS day FROM sens""")
+
+
+@query("ST01_replay_by_time", check(["sens"], """SELECT day AS "timestamp", dense_rank() OVER (ORDER BY day) - 1 AS batch, count(*) AS n,
+    sum(row_id) AS ids FROM daily GROUP BY day""", extra=[_DAILY]))
 def _(spark, d):
-    """All ticks come through in order, 100 per batch."""
+    """Ticks of one day each, handed out one per batch; the stream is stopped half way and goes on from its checkpoint."""
     root = scratch(spark)
-    ticks = replay.ticks_by_time(_hourly_ticks(spark, d)).select(*_REPLAY_COLS, replay.TICK)
+    rows = _sens(spark, d).withColumn("timestamp", F.date_trunc("day", "timestamp"))
+    ticks = replay.stored_ticks(replay.ticks_by_time(rows).select("row_id", "timestamp", replay.TICK))
 
-    def drain():
-        stream = spark.readStream.schema(ticks.schema).parquet(f"{root}/ticks")
-        windows.run_batches(stream, f"{root}/out", f"{root}/state")
+    def handle(tick, number):
+        tick.withColumn("batch", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(f"{root}/out/b={number}")
 
-    replay.replay(ticks, f"{root}/ticks", drain, 100)
-    out = spark.read.parquet(f"{root}/out")
-    per_batch = out.groupBy("b").agg(F.min("tick").alias("lo"), F.max("tick").alias("hi"))
-    # One row per batch.
-    follows = F.col("lo") > F.lag("hi", 1, -1).over(Window.orderBy("b"))
-    order = per_batch.withColumn("ok", follows).agg(F.every("ok").alias("in_order"))
-    totals = out.agg(F.count_distinct("tick").alias("ticks"), F.count("*").alias("n"))
-    return totals.withColumn("in_order", F.lit(order.first()[0]))
+    replay.paced(ticks, handle, f"{root}/state", last=10)
+    replay.paced(ticks, handle, f"{root}/state")
+    out = spark.read.parquet(f"{root}/out").drop("b")
+    return out.groupBy("timestamp", "batch").agg(F.count("*").alias("n"), F.sum("row_id").alias("ids"))
 
 
 simple("ST02_replay_by_rows", ["sens"], """SELECT row_id, (row_number() OVER (ORDER BY "timestamp", machine_id, target_cycle, row_id) - 1) // 7 AS tick FROM sens""",
@@ -360,11 +360,11 @@ def _unordered(spark, d, files=8):
 
 
 def _streamed_windows(spark, d, length, slide=None):
+    """Eight unordered batches, combined by threes."""
     root = scratch(spark)
     stream, _ = _unordered(spark, d)
-    rows = events_adapter.predictions_of(stream)
-    windows.run_batches(rows, f"{root}/out", f"{root}/state", lambda b: windows.window_parts(b, length, slide))
-    return windows.merged(spark.read.parquet(f"{root}/out"))
+    windows.run_windows(events_adapter.predictions_of(stream), f"{root}/out", f"{root}/state", length, slide, fan=3)
+    return windows.read_windows(spark, f"{root}/out", fan=3)
 
 
 _AGG = """count(*) AS n_points, count(*) FILTER (anomaly) AS n_anomalies,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
@@ -60,14 +61,59 @@ def warm_up(df: DataFrame, as_of, n: int = 60, stride_seconds: float = 5.0) -> D
     return last_ticks(df, n).withColumn("timestamp", as_of - back).drop("ticks_back")
 
 
+def stored_ticks(ticks: DataFrame) -> DataFrame:
+    """The ticks in order of their number, so that file statistics lead to the rows of one; a tick may span files."""
+    order = [TICK, *[c for c in ("machine_id", "timestamp", "row_id") if c in ticks.columns]]
+    return stage_table(ticks.repartitionByRange(*order).sortWithinPartitions(TICK))
+
+
+def paced(ticks: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, interval: str = "0 seconds",
+          last: int | None = None) -> int:
+    """Hand out stored ticks one per micro-batch, every `interval`, up to tick `last`; returns the ticks done so far.
+
+    A built-in source counts 0, 1, 2, .. with its offset in the checkpoint; the rows of the
+    tick of that number are read by a filter on the stored table. Nothing is written to feed
+    the stream. Stopped or failed, it goes on at the first tick that was not committed, and
+    `handle` may see a tick again, under the same number.
+    """
+    spark = ticks.sparkSession
+    top = ticks.agg(F.max(TICK)).first()[0]
+    if top is None:
+        return 0
+    end = top if last is None else min(last, top)
+    done = threading.Event()
+
+    def batch(numbers: DataFrame, batch_id: int) -> None:
+        for row in numbers.select("value").collect():  # one row
+            if row["value"] <= end:
+                handle(ticks.filter(F.col(TICK) == row["value"]), row["value"])
+            else:
+                done.set()
+                if end < top:
+                    # There is such a tick: it must not be committed, so that the next run takes it up.
+                    raise StopAtEnd(row["value"])
+
+    source = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
+    query = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
+    while query.isActive and not done.wait(0.05):
+        pass
+    query.stop()
+    if not done.is_set():
+        query.awaitTermination()  # raises what stopped it
+    return end + 1
+
+
+class StopAtEnd(Exception):
+    """Raised in a batch beyond the last tick, to leave it uncommitted."""
+
+
 def replay(ticks: DataFrame, folder: str, drain: Callable[[], None], ticks_per_batch: int = 1) -> int:
     """Append the ticks in order, `ticks_per_batch` at a time, and let the consumer drain each batch.
 
     Ticks are staged in order of their number, so a batch reads only its part of the
     table; a tick may span many files and tasks. Returns the number of batches.
     """
-    order = [TICK, *[c for c in ("machine_id", "timestamp", "row_id") if c in ticks.columns]]
-    staged = stage_table(ticks.repartitionByRange(*order).sortWithinPartitions(TICK))
+    staged = stored_ticks(ticks)
     last = staged.agg(F.max(TICK)).first()[0]
     starts = range(0, -1 if last is None else last + 1, ticks_per_batch)
     for start in starts:
