@@ -5,11 +5,13 @@ from datetime import datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from plantpulse.functions import slices
+from plantpulse.functions.running import running_sum
 from plantpulse.operators import features, interventions
-from plantpulse.plans import monitoring
-from plantpulse.streaming import replay
+from plantpulse.plans import evaluation, monitoring
+from plantpulse.streaming import parts, replay, windows
 
 
 @pytest.fixture
@@ -130,3 +132,93 @@ def test_ticks(spark):
     by_time = replay.ticks_by_time(df).groupBy("tick").agg({"timestamp": "max"}).orderBy("tick").toPandas()
     assert by_time["tick"].tolist() == list(range(len(by_time)))
     assert by_time["max(timestamp)"].is_monotonic_increasing
+
+
+def test_parts_stay_few_and_keep_every_batch(spark, tmp_path):
+    """Late, repeated and empty batches; a reader meets at most fan - 1 parts of each level."""
+    def combine(df):
+        return df.groupBy("k").agg(F.sum("n").alias("n"))
+
+    table = parts.PartTable(spark, str(tmp_path / "t"), combine, fan=3)
+    want = {}
+    for i in range(30):
+        rows = [] if i % 7 == 3 else [(i % 4, i), (0, 1)]
+        df = spark.createDataFrame(rows, "k int, n long").coalesce(1)
+        for _ in range(2 if i in (8, 17, 26, 20) else 1):  # a batch that comes again, also one that combines
+            table.store(df, i)
+        for k, n in rows:
+            want[k] = want.get(k, 0) + n
+        assert len(table.parts()) <= 2 * 4
+        if i % 5 == 4 or i in (8, 26):
+            assert {r.k: r.n for r in combine(table.read()).collect()} == want
+    # 30 = 1010 in base 3.
+    assert [p.split("/")[-2] for p in table.parts()] == ["level=03", "level=01"]
+    kept = sum(1 for _ in (tmp_path / "t").glob("level=*/chunk=*"))
+    assert kept <= 4 * 3 * 2
+
+
+def test_a_part_counts_once_it_is_complete(spark, tmp_path):
+    table = parts.PartTable(spark, str(tmp_path / "t"), lambda df: df.groupBy("k").agg(F.sum("n").alias("n")), fan=2)
+    for i in range(4):
+        table.store(spark.createDataFrame([(1, 1)], "k int, n long"), i)
+    top = tmp_path / "t" / "level=02" / "chunk=000000000000" / "_SUCCESS"
+    assert len(table.parts()) == 1 and table.read().agg(F.sum("n")).first()[0] == 4
+    top.unlink()
+    assert len(table.parts()) == 2 and table.read().agg(F.sum("n")).first()[0] == 4
+
+
+def test_paced_replay_goes_on_where_it_stopped(spark, tmp_path):
+    times = [datetime(2026, 1, 1) + timedelta(hours=7 * i) for i in range(9)]
+    rows = [(m, t, 10 * i + m) for i, t in enumerate(times) for m in range(1 + i % 3)]
+    df = spark.createDataFrame(rows, "machine_id int, timestamp timestamp, row_id int")
+    ticks = replay.stored_ticks(replay.ticks_by_time(df))
+    seen = []
+
+    def handle(tick, number):
+        if number == 6 and not any(n == 6 for n, _ in seen):
+            seen.append((6, None))
+            raise OSError("sink is away")
+        seen.append((number, sorted(r.row_id for r in tick.collect())))
+
+    state = str(tmp_path / "state")
+    assert replay.paced(ticks, handle, state, last=3) == 4
+    with pytest.raises(Exception, match="sink is away"):
+        replay.paced(ticks, handle, state)
+    assert replay.paced(ticks, handle, state) == 9
+    done = [s for s in seen if s[1] is not None]
+    assert done == [(i, [10 * i + m for m in range(1 + i % 3)]) for i in range(9)]
+    assert replay.paced(ticks.filter("false"), handle, str(tmp_path / "none")) == 0
+
+
+def test_running_sums_cross_partitions(spark):
+    rng = np.random.default_rng(4)
+    df = pd.DataFrame({"k": np.where(rng.random(3000) < .9, "hot", rng.choice(list("abc"), 3000)), "o": rng.permutation(3000),
+                       "v": rng.integers(0, 9, 3000)})
+    got = running_sum(spark.createDataFrame(df).repartition(6), ["k"], ["o"], F.col("v"), "before").toPandas().sort_values("o")
+    df = df.sort_values("o")
+    assert got["before"].tolist() == (df.groupby("k")["v"].cumsum() - df["v"]).tolist()
+    whole = running_sum(spark.createDataFrame(df), [], ["o"], F.lit(1), "nth").agg(F.max("nth"), F.count_distinct("nth")).first()
+    assert tuple(whole) == (2999, 3000)
+
+
+def test_measures_of_predictions(spark):
+    rng = np.random.default_rng(6)
+    label = rng.integers(0, 2, 400)
+    score = np.round(label * .3 + rng.normal(0, .5, 400), 1)
+    rows = [(int(a), int(b > .2), float(b)) for a, b in zip(label, score)] + [(1, 0, None), (None, 1, .5), (0, None, .5)]
+    got = evaluation.binary(spark.createDataFrame(rows, "label int, prediction int, score double")).first()
+    said = np.append(score > .2, False)
+    true = np.append(label == 1, True)
+    hit = (said & true).sum()
+    gap = score[label == 1][:, None] - score[label == 0][None, :]
+    assert (got.n_test, got.n_failed) == (401, true.sum())
+    assert got.accuracy == pytest.approx((said == true).mean())
+    assert got.f1 == pytest.approx(2 * hit / (said.sum() + true.sum()))
+    assert (got.precision, got.recall) == (pytest.approx(hit / said.sum()), pytest.approx(hit / true.sum()))
+    assert got.roc_auc == pytest.approx(((gap > 0) + .5 * (gap == 0)).mean())
+    one = evaluation.binary(spark.createDataFrame([(0, 0, 1.0)], "label int, prediction int, score double")).first()
+    assert (one.f1, one.roc_auc, one.accuracy) == (None, None, 1.0)
+    three = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b"), ("c", "a"), ("a", "d")], "label string, prediction string")
+    found = evaluation.several(three).first()
+    assert (found.n_test, found.n_classes, found.accuracy) == (5, 3, pytest.approx(.4))
+    assert found.macro_f1 == pytest.approx((2 / 5 + 2 / 3 + 0 + 0) / 4)
