@@ -280,13 +280,15 @@ def near_size(n: Column, m: Column) -> Column:
 
 
 def may_link(a: str, b: str) -> Column:
-    """Whether sizes, the partitions before the shared signature, and the prints leave room for a link."""
+    """Whether sizes, the partitions before the shared signature, and the prints leave room for a link, and the
+    signature is the first that the two share: so each pair is met once."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     marks = [F.bit_count(F.col(f"{a}.mark_{k}").bitwiseOR(F.col(f"{b}.mark_{k}"))) for k in range(MARK_WORDS)]
     differ = [_differing(F.col(f"{a}.print_{k}").bitwiseXOR(F.col(f"{b}.print_{k}"))) for k in range(PRINT_WORDS)]
     room = (n + m) * (WHOLE - SHARE)
     return (near_size(n, m) & (sum(marks[1:], marks[0]) * (WHOLE + SHARE) <= room)
-            & (sum(differ[1:], differ[0]) * (WHOLE + SHARE) <= room))
+            & (sum(differ[1:], differ[0]) * (WHOLE + SHARE) <= room)
+            & ~F.arrays_overlap(f"{a}.earlier", f"{b}.earlier"))
 
 
 def _differing(x: Column) -> Column:
@@ -297,7 +299,8 @@ def _differing(x: Column) -> Column:
 
 
 def marked(bands: DataFrame, opened: DataFrame) -> DataFrame:
-    """Open entries with the size of their set and marks of the partitions whose signatures come before."""
+    """Open entries with the size of their set, marks of the partitions whose signatures come before, and the open
+    signatures among these: the first that two sets share is always open."""
     names = ["signature", "doc_id", "component", "n", *[f"mark_{k}" for k in range(MARK_WORDS)],
              *[f"print_{k}" for k in range(PRINT_WORDS)]]
 
@@ -317,13 +320,15 @@ def marked(bands: DataFrame, opened: DataFrame) -> DataFrame:
                     [pa.array([r["signatures"][k] for k in keep], pa.int64()), *(
                         pa.array(np.full(count, r[c], np.int64)) for c in ("doc_id", "component", "n")),
                      *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(MARK_WORDS)),
-                     *(pa.array(np.full(count, x, np.int64)) for x in r["prints"])], names)
+                     *(pa.array(np.full(count, x, np.int64)) for x in r["prints"]),
+                     pa.array([[r["signatures"][k] for k in keep[:i]] for i in range(count)], pa.list_(pa.int64()))],
+                    [*names, "earlier"])
 
     mine = opened.groupBy("doc_id", "band").agg(F.first("component").alias("component"),
                                                 F.collect_list("signature").alias("open"))
     rows = bands.join(mine, ["doc_id", "band"]).select(
         "doc_id", "n", "component", "lone", "signatures", "places", "prints", "open")
-    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", earlier array<long>")
 
 
 def placed(entry: DataFrame, labels: DataFrame | None) -> DataFrame:
