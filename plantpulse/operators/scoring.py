@@ -16,7 +16,7 @@ from .cells import BOX, Z, around, box_columns, point_box_gap, point_gap
 from .scaling import KEY, POSITION, standardise
 
 # Reference points of a leaf of the index.
-LEAF_REFERENCES = 64
+LEAF_REFERENCES = 32
 # Stored reference points lie in shelves of about this many rows; a join reads only the shelves it needs.
 SHELF_ROWS = 1_000_000
 REPRESENTATIVE = [f"rep_{z}" for z in Z]
