@@ -1,5 +1,7 @@
 """Clustering and scoring against a quadratic numpy version."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -234,3 +236,26 @@ def test_crowded_cells_are_cut_into_parts(spark, monkeypatch, eps):
             assert hit == (pytest.approx(d.min()), labels[keep][d.argmin()])
         else:
             assert hit is None
+
+
+def test_joins_of_boxes_are_compiled(spark):
+    """The JVM compiles no method of more than 8000 bytes; a join in such a method would be interpreted."""
+    scaled = frame(spark, {"1": blobs(1)})
+    points, table = cells.place(dbscan.unique_points(scaled), 1.2)
+    index = scoring.index_points(points.withColumn("cluster_label", F.lit(0)))
+    pairs = cells.cell_pairs(table, 1.2)
+    hits = cells.point_hits(points, pairs, table.withColumn("value", F.lit(1)), points.withColumn("value", F.lit(1)), 1.2)
+    near = scoring.nearest(points.select(KEY, *cells.Z), index, 1.2)
+    sizes = []
+    # Adaptive plans have no code before they run.
+    for conf in ({"adaptive.enabled": "false"}, {"adaptive.enabled": "false", "autoBroadcastJoinThreshold": "-1"}):
+        for key, value in conf.items():
+            spark.conf.set(f"spark.sql.{key}", value)
+        try:
+            for df in (pairs, hits, near):
+                text = spark._jvm.PythonSQLUtils.explainString(df.select("*")._jdf.queryExecution(), "codegen")
+                sizes.append(max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)))
+        finally:
+            for key in conf:
+                spark.conf.unset(f"spark.sql.{key}")
+    assert max(sizes) <= 8000, sizes
