@@ -207,6 +207,14 @@ def test_blocks_of_a_page():
     assert text_of("<article>a<p title='x > y'>b</p><!-- never closed") == "a b"
 
 
+@pytest.mark.parametrize("page", [
+    '<div class="layout no-sidebar"><article>a b</article></div>', '<article class="post comments-open">a b</article>',
+    '<main class="with-header">a b</main>', '<div id="has-cookie-notice"><main>a b</main></div>',
+    '<article>a b<div class="ad-box">x</div><div class="post-comments">y</div><p class="hidden">z</p></article>'])
+def test_names_of_states_mark_nothing(page):
+    assert text_of(page) == "a b"
+
+
 def test_given_pages(spark):
     import html
     pages = spark.read.parquet(f"{DATA.replace('0.001', '0.01')}/pages.parquet")
