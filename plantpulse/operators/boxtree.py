@@ -38,7 +38,6 @@ class Tree:
     """Rows with the name of their `leaf`, and the number of levels below the root."""
 
     rows: DataFrame
-    keys: tuple[str, ...]
     depth: int
 
 
@@ -85,7 +84,7 @@ def grow(rows: DataFrame, keys: list[str], coordinates: list[str], capacity: int
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    return Tree(out, tuple(keys), depth)
+    return Tree(out, depth)
 
 
 def node(k: int, path: str = "leaf") -> Column:

@@ -11,7 +11,7 @@ from plantpulse.functions import slices
 from plantpulse.functions.running import running_sum
 from plantpulse.operators import features, interventions
 from plantpulse.plans import evaluation, monitoring
-from plantpulse.streaming import parts, replay, windows
+from plantpulse.streaming import parts, replay
 
 
 @pytest.fixture
