@@ -29,8 +29,6 @@ columns, whatever their names, are not read.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
