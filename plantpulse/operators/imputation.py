@@ -4,42 +4,86 @@ A missing value becomes the median of the usable values among rows i-2, i-1,
 i+1, i+2. Values imputed earlier count as neighbours, so the rule runs forward
 through a gap. Two original values in a row end that dependence: missing cells
 at most two rows apart form an island, and islands are independent.
+
+Islands are spread over tasks, and each is read in order as a stream: from cell to
+cell only the last two values are kept, so a sensor that never reports costs no row
+longer than one cell and no array per island.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.slices import SLICE, carry_in, grid_halo, home_rows, hour_index
+from ..session import ship_package
 
-# Cells folded per inner step: keeps appending linear in the island's length.
-FOLD_BLOCK = 512
+KNOWN = ["p1", "p2", "n1", "n2"]
+MARKS = ["null1", "null2", "own"]
+
+
+def _medians(near: np.ndarray) -> np.ndarray:
+    """Median of each row's numbers; NaN stands for none."""
+    ranked = np.sort(near, axis=1)  # NaN last
+    n = (~np.isnan(near)).sum(axis=1)
+    row = np.arange(len(near))
+    return (ranked[row, np.maximum(n - 1, 0) // 2] + ranked[row, np.minimum(n // 2, 3)]) / 2
+
+
+def _median(values: list[float]) -> float:
+    near = sorted(v for v in values if v == v)
+    n = len(near)
+    return (near[(n - 1) // 2] + near[n // 2]) / 2 if n else np.nan
+
+
+def fold(known: np.ndarray, null1: np.ndarray, null2: np.ndarray, own: np.ndarray,
+         state: tuple[float, float]) -> tuple[np.ndarray, tuple[float, float]]:
+    """Values of cells in order, and the state behind them.
+
+    `known` holds the original neighbours (columns as KNOWN, NaN for none). The state is
+    the usable values of the last two missing cells. Only cells next to a missing one read
+    it. Inside a gap, where nothing else is near, a cell is the mean of the state, and once
+    both values agree, or both are none, so do all cells up to the gap's far side: those are
+    filled at once.
+    """
+    values = _medians(known)
+    chained = np.flatnonzero(null1 | null2)
+    # Cells that have nothing near but the state, and the first later cell that is not such.
+    bare = null1 & null2 & own & np.isnan(known).all(axis=1)
+    far = np.flatnonzero(~bare)
+    beyond = np.append(far, len(bare))[np.searchsorted(far, np.arange(len(bare)))] if len(bare) else far
+    # Two places before the first cell, for the state.
+    usable = np.concatenate([[state[1], state[0]], np.where(own, values, np.nan)])
+    filled = 0
+    for i in chained.tolist():
+        if i < filled:
+            continue
+        x1, x2 = usable[i + 1], usable[i]
+        if bare[i] and (x1 == x2 or (x1 != x1 and x2 != x2)):
+            filled = int(beyond[i])
+            values[i:filled] = usable[i + 2:filled + 2] = x1
+            continue
+        p1, p2, n1, n2 = known[i]
+        values[i] = _median([x1 if null1[i] else p1, (x2 if null1[i] else x1) if null2[i] else p2, n1, n2])
+        usable[i + 2] = values[i] if own[i] else np.nan
+    return values, (float(usable[-1]), float(usable[-2]))
 
-_MEDIAN = """
-  transform(array(array_sort(array_compact(array({values})))),
-    m -> case when size(m) = 0 then cast(null as double)
-              else (get(m, cast((size(m) - 1) / 2 as int)) + get(m, cast(size(m) / 2 as int))) / 2 end)[0]
-"""
 
-# State: x1, x2 = usable imputed values of the previous two missing cells.
-_FOLD = """
-  aggregate(sequence(0, cast((size(cells) - 1) / {block} as int)),
-    named_struct('x1', cast(null as double), 'x2', cast(null as double),
-                 'done', cast(array() as array<array<double>>)),
-    (outer_state, b) -> transform(array(aggregate(
-        slice(cells, b * {block} + 1, {block}),
-        named_struct('x1', outer_state.x1, 'x2', outer_state.x2, 'out', cast(array() as array<double>)),
-        (s, c) -> transform(array({median}),
-            v -> named_struct('x1', case when c.own then v end, 'x2', s.x1,
-                              'out', array_append(s.out, v)))[0])),
-      r -> named_struct('x1', r.x1, 'x2', r.x2, 'done', array_append(outer_state.done, r.out)))[0],
-    f -> flatten(f.done))
-""".format(block=FOLD_BLOCK, median=_MEDIAN.format(values="""
-    case when c.null1 then s.x1 else c.p1 end,
-    case when not c.null2 then c.p2 when c.null1 then s.x2 else s.x1 end,
-    c.n1, c.n2"""))
+def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells in order, each with its value. The first cell of an island reads no state."""
+    state = (np.nan, np.nan)
+    for batch in batches:
+        known = np.stack([batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in KNOWN], axis=1)
+        marks = [batch.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in MARKS]
+        values, state = fold(known, *marks, state)
+        kept = [*C.SERIES, "sensor", "timestamp"]
+        yield pa.RecordBatch.from_arrays(
+            [*[batch.column(c) for c in kept], pa.array(values, pa.float64(), from_pandas=True)], [*kept, "value"])
 
 
 def _missing_cells(rows: DataFrame) -> DataFrame:
@@ -56,7 +100,7 @@ def _missing_cells(rows: DataFrame) -> DataFrame:
             F.coalesce(F.lag(gone, 1).over(w), F.lit(False)).alias("null1"),
             F.coalesce(F.lag(gone, 2).over(w), F.lit(False)).alias("null2"),
             F.lead(usable, 1).over(w).alias("n1"), F.lead(usable, 2).over(w).alias("n2"),
-            (F.col("is_outlier") == 0).alias("own")))
+            F.coalesce(F.col("is_outlier") == 0, F.lit(False)).alias("own")))
     seen = home_rows(halo.withColumns(entries))
     cells = F.array_compact(F.array(*[F.col(n) for n in entries]))
     return seen.select(*C.SERIES, SLICE, "timestamp", hour_index(F.col("timestamp")).alias("pos"),
@@ -80,16 +124,15 @@ def _with_island(cells: DataFrame) -> DataFrame:
 def impute(rows: DataFrame) -> DataFrame:
     """Fill missing sensor values; adds `nan_filled` and `nan_open` name arrays.
 
-    An island is at most the hours of one series, and timestamps are limited to
-    the nanosecond span, so its array is bounded. Islands spread over tasks.
+    Islands are dealt by their first cell, so a machine with many gaps is many tasks.
     """
+    ship_package(rows.sparkSession)
     cells = _with_island(_missing_cells(rows))
-    fields = ["pos", "timestamp", "p1", "p2", "null1", "null2", "n1", "n2", "own"]
-    islands = (cells.groupBy(*C.SERIES, "sensor", "island")
-               .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("cells")))
-    filled = (islands.select(*C.SERIES, "sensor", F.explode(F.arrays_zip(
-        F.col("cells.timestamp").alias("timestamp"), F.expr(_FOLD).alias("value"))).alias("r"))
-        .select(*C.SERIES, "sensor", "r.timestamp", "r.value"))
+    order = [*C.SERIES, "sensor", "island"]
+    kept = cells.select(*C.SERIES, "sensor", "timestamp").schema.fields
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", value double"
+    filled = (cells.repartition(*order).sortWithinPartitions(*order, "pos")
+              .select(*C.SERIES, "sensor", "timestamp", *KNOWN, *MARKS).mapInArrow(_stream, schema))
     per_row = filled.groupBy(*C.SERIES, "timestamp").agg(*[
         F.max(F.when(F.col("sensor") == c, F.col("value"))).alias(f"fill_{c}") for c in C.SENSORS])
     joined = rows.join(per_row, [*C.SERIES, "timestamp"], "left")

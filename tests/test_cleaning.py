@@ -4,6 +4,7 @@ import random
 import statistics
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -267,3 +268,45 @@ def test_whole_compressed_files_are_read_as_streams(spark, tmp_path, monkeypatch
     rows.coalesce(1).write.option("header", True).option("compression", "gzip").csv(str(tmp_path / "machine_1_targetcycle30.csv"))
     monkeypatch.setattr(bronze_csv, "HELD_BYTES", 0)
     assert [r["reason"] for r in bronze_csv.inspect_files(spark, str(tmp_path)).collect()] == [None]
+
+
+def test_gaps_are_filled_alike_in_any_batches(spark):
+    """The state goes from batch to batch; a long gap ends in one value, as the plain loop has it."""
+    rnd = random.Random(12)
+    for n, gap in ((1, 1.0), (700, 1.0), (3000, 0.5), (3000, 0.97)):
+        values = [None if rnd.random() < gap else rnd.uniform(-9, 9) for _ in range(n)]
+        if n > 3:
+            values[200:650] = [None] * 450
+            values[196:200], values[650:652] = [1.0, None, 3.0, -7.5], [4.0, 5.0]
+        outlier = [rnd.random() < 0.05 for _ in range(n)]
+        usable = [np.nan if v is None or o else v for v, o in zip(values, outlier, strict=True)]
+        at = [i for i in range(n) if values[i] is None]
+        pick = lambda i: usable[i] if 0 <= i < n else np.nan
+        gone = lambda i: 0 <= i < n and values[i] is None
+        known = np.array([[pick(i - 1), pick(i - 2), pick(i + 1), pick(i + 2)] for i in at])
+        marks = [np.array([f(i) for i in at], bool) for f in (
+            lambda i: gone(i - 1), lambda i: gone(i - 2), lambda i: not outlier[i])]  # noqa: B023
+        expected = sequential_fill(values, outlier)
+        for size in (1, 7, n):
+            state, got = (np.nan, np.nan), []
+            for a in range(0, len(at), size):
+                part, state = imputation.fold(known[a:a + size], *[m[a:a + size] for m in marks], state)
+                got += part.tolist()
+            assert [None if v != v else v for v in got] == [expected[i] for i in at]
+
+
+def test_a_sensor_that_never_reports_makes_no_long_row(spark):
+    """150 000 empty hours between two readings: values as the plain loop, and no array in the plan."""
+    hours = spark.range(150_000).select(
+        F.lit(1).alias("machine_id"), F.lit(30).alias("target_cycle"),
+        F.timestamp_seconds(F.col("id") * 3600).alias("timestamp"), F.lit(0).alias("is_outlier"),
+        *[F.when(F.col("id").isin(0, 1, 149_999), F.col("id") % 7 * 1.5 + k).alias(c) for k, c in enumerate(C.SENSORS)])
+    done = imputation.impute(hours)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "MapInArrow" in plan
+    got = done.groupBy().agg(*[F.count(c).alias(c) for c in C.SENSORS], F.count_distinct("rpm").alias("values")).first()
+    assert [got[c] for c in C.SENSORS] == [150_000] * len(C.SENSORS) and 3 < got["values"] < 80
+    first = [r["rpm"] for r in done.orderBy("timestamp").select("rpm").limit(500).collect()]
+    k = C.SENSORS.index("rpm")
+    expected = sequential_fill([float(k), 1.5 + k] + [None] * 500, [False] * 502)
+    assert first == expected[:500]
