@@ -14,9 +14,10 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -28,10 +29,21 @@ SENSOR_NAME = r"(?i)machine_(\d{1,9})_targetcycle(\d{1,9})\.csv(?:/[^/]+)?$"
 INTERVENTION_NAME = r"(?i)intervention_data_machine(\d{1,9})\.csv(?:/[^/]+)?$"
 INTERVENTION_COLUMNS = ["timestamp", "failure_type", "temperature", "rpm", "vibration", "pressure"]
 
-#: Compressed files up to this many bytes are held as one value to see whether they are whole.
-HELD_BYTES = 64_000_000
+# The reader's options under which .gz files come as their bytes; builds that
+# bundle the file system's classes call the second by another name.
+PACKED_BYTES = {
+    "lineSep": "\n",
+    "io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec",
+    "io.compress.passthrough.extension": ".gz",
+    "org.apache.hadoop.shaded.io.compress.passthrough.extension": ".gz",
+}
 
-FOUND = "file string, kind string, header string, missing array<string>, extra array<string>, reason string"
+FOUND = ("file string, kind string, header string, length long, missing array<string>, extra array<string>, "
+         "reason string")
+#: Bytes of a block's unit in row numbers; Spark cuts files in much larger splits.
+BLOCK_UNIT = 65536
+#: Bits of a row number, and those that must be left for the rows of one task.
+ROW_BITS, TASK_ROW_BITS = 62, 24
 
 
 def name_part(path: Column, pattern: str, group: int) -> Column:
@@ -50,39 +62,52 @@ def column_names(header: str) -> list[str]:
     return [c if c and c not in cells[:i] else f"_unnamed_{i}" for i, c in enumerate(cells)]
 
 
-def _whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whether compressed files end where their format says."""
+class _Unpacking:
+    """Whether the bytes of a compressed file, given piece by piece, end where their format says."""
+
+    def __init__(self) -> None:
+        self.seen, self.broken = 0, False
+        self.member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+
+    def add(self, data: bytes) -> None:
+        self.seen += len(data)
+        try:
+            while data and not self.broken:
+                if self.member.eof:  # another archive follows
+                    self.member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+                self.member.decompress(data, 1 << 20)
+                data = self.member.unused_data if self.member.eof else self.member.unconsumed_tail
+        except zlib.error:
+            self.broken = True
+
+    def whole(self, size: int) -> bool:
+        # The scan takes a last line break away.
+        self.add(b"\n" * (size - self.seen))
+        return self.member.eof and not self.broken
+
+
+def _torn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The compressed files that break off. Rows are the pieces of one file after another, cut at line breaks."""
+    name, size, state = None, 0, _Unpacking()
+
+    def ended() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([True])], ["file", "torn"])
+
     for batch in batches:
-        out = []
-        for content in batch["content"]:
-            data, whole = bytes(content), True
-            try:
-                while data and whole:
-                    unpack = zlib.decompressobj(zlib.MAX_WBITS | 16)
-                    while data and not unpack.eof:
-                        unpack.decompress(data, 1 << 20)
-                        more = unpack.unconsumed_tail
-                        if not more and not unpack.eof:
-                            break
-                        data = more
-                    whole = unpack.eof
-                    data = unpack.unused_data
-            except zlib.error:
-                whole = False
-            out.append(whole)
-        yield pd.DataFrame({"file": batch["file"], "whole": out})
-
-
-def _torn(spark: SparkSession, path: str) -> bool:
-    """Whether a compressed file breaks off; a task reads it as a stream."""
-    try:
-        spark.read.option("ignoreCorruptFiles", False).text(path).count()
-    except (Py4JJavaError, PySparkException) as error:
-        # The failure of a task comes without conversion. A file that is gone has another condition.
-        if "[FAILED_READ_FILE.NO_HINT]" not in str(error):
-            raise
-        return True
-    return False
+        files, sizes, pieces = (batch.column(c) for c in ("file", "size", "piece"))
+        runs = pc.run_end_encode(files)
+        begin = 0
+        for file, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
+            if file != name:
+                if name is not None and not state.whole(size):
+                    yield ended()
+                name, size, state = file, sizes[begin].as_py(), _Unpacking()
+            elif state.seen:
+                state.add(b"\n")
+            state.add(b"\n".join(pieces.slice(begin, end - begin).to_pylist()))
+            begin = end
+    if name is not None and not state.whole(size):
+        yield ended()
 
 
 def inspect_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,12 +129,10 @@ def inspect_files(spark: SparkSession, folder: str) -> DataFrame:
     path = F.col("_metadata.file_path").alias("file")
     # Scans skip files without a byte; the index knows them.
     files = spark.createDataFrame([(n,) for n in names], "file string").join(listed.select(path, "length"), "file", "left")
-    packed = listed.filter(F.col("path").rlike(r"(?i)\.gz$"))
-    held = packed.filter(F.col("length") <= HELD_BYTES).select(path, "content")
-    torn = held.mapInPandas(_whole, "file string, whole boolean").filter("NOT whole").select("file", F.lit(True).alias("torn"))
-    large = packed.filter(F.col("length") > HELD_BYTES).select("path", path).collect()
-    broken = [(r["file"], True) for r in large if _torn(spark, r["path"])]
-    torn = torn.unionByName(spark.createDataFrame(broken, "file string, torn boolean"))
+    # One scan of the files as they are: a task reads each file in order, holding one batch of pieces.
+    pieces = spark.read.options(**PACKED_BYTES).text(_globs(folder)).filter(F.col("_metadata.file_name").rlike(r"(?i)\.gz$"))
+    torn = pieces.select(path, F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("piece")
+                         ).mapInArrow(_torn, "file string, torn boolean")
     # The first line lies in the first block; a block is read by one task in order.
     lines = text.filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
     first = lines.select(path, F.monotonically_increasing_id().alias("nth"),
@@ -130,8 +153,8 @@ def inspect_files(spark: SparkSession, folder: str) -> DataFrame:
                 extra = [c for c in names if c not in needed and not c.startswith("_unnamed_")]
                 reason = ("unknown name" if r.kind is None else "empty" if not r.length > 0 else
                           "unreadable" if r.torn is True or not names else "missing columns" if missing else None)
-                out.append((r.file, r.kind, r.header, missing, extra, reason))
-            yield pd.DataFrame(out, columns=["file", "kind", "header", "missing", "extra", "reason"])
+                out.append((r.file, r.kind, r.header, r.length, missing, extra, reason))
+            yield pd.DataFrame(out, columns=["file", "kind", "header", "length", "missing", "extra", "reason"])
 
     return stage_table(rows.select("file", "kind", "header", "torn", "length").mapInPandas(compare, FOUND))
 
@@ -140,24 +163,37 @@ def _read(spark: SparkSession, files: DataFrame, kind: str, columns: list[str],
     """All rows of the usable files as text, with file and a stable row order.
 
     One scan per layout. The paths of a scan are held by the driver, as every file
-    index is. The order is (block start, position in the task): a block is read by one
-    task in order, so numbers are stable under retries.
+    index is. The order is (file of its series by name, block start, position in the
+    task): a block is read by one task in order, so numbers are stable under retries, and
+    unique within a series. The first two take the bits that the file table asks for.
     """
     good = files.filter(F.col("reason").isNull() & (F.col("kind") == kind))
     layouts = good.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    block = F.floor(F.col("_metadata.file_block_start") / 65536)
-    order = F.shiftleft(block, 33) + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    series = F.struct(*[name_part(F.col("file"), SENSOR_NAME if kind == "sensors" else INTERVENTION_NAME, g)
+                        for g in range(1, 3 if kind == "sensors" else 2)])
+    numbered = good.select("file", "length", (F.row_number().over(Window.partitionBy(series).orderBy("file")) - 1)
+                           .cast("long").alias("nth"))
+    most = numbered.agg(F.max("nth").alias("nth"), F.max("length").alias("length")).first()
+    block_bits = ((most["length"] or 0) // BLOCK_UNIT).bit_length()
+    row_bits = ROW_BITS - block_bits - (most["nth"] or 0).bit_length()
+    if row_bits < TASK_ROW_BITS:
+        raise ValueError(f"rows of {(most['nth'] or 0) + 1} files of up to {most['length']} bytes cannot be numbered")
+    block = F.floor(F.col("_metadata.file_block_start") / BLOCK_UNIT)
+    position = F.shiftleft(block, row_bits) + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << min(row_bits, 33)) - 1))
     scans = []
     for layout in layouts:
         names = column_names(layout["header"])
         schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
         rows = (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multiline)
                 .csv(layout["files"]))
-        scans.append(rows.select(F.col("_metadata.file_path").alias("file"), order.alias("row_id"),
+        scans.append(rows.select(F.col("_metadata.file_path").alias("file"), position.alias("position"),
                                  *[F.col(f"`{c}`") for c in columns]))
     if not scans:
         return spark.createDataFrame([], "file string, row_id long, " + ", ".join(f"{c} string" for c in columns))
-    return reduce(DataFrame.unionByName, scans)
+    rows = reduce(DataFrame.unionByName, scans).join(numbered.select("file", "nth"), "file", "left")
+    # A number of zero for the first file leaves the order of a lone file to its blocks.
+    row_id = F.shiftleft(F.coalesce("nth", F.lit(0).cast("long")), row_bits + block_bits) + F.col("position")
+    return rows.select("file", row_id.alias("row_id"), *columns)
 
 
 def read_sensors(spark: SparkSession, folder: str, files: DataFrame | None = None, multiline: bool = False) -> DataFrame:

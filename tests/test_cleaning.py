@@ -246,28 +246,59 @@ def test_repair_is_blind_to_partitioning(spark):
 
 
 def test_uneven_files_are_written_in_parts(spark, monkeypatch):
-    """No file of a machine holds all its rows, and broken ones are found as values and as streams."""
+    """No file of a machine holds all its rows, and broken ones are found."""
     from plantpulse.registry import etl
     from plantpulse.sources import bronze_csv, events_adapter
     given = events_adapter.bronze
     monkeypatch.setattr(events_adapter, "bronze", lambda *a: given(*a).repartition(3, "row_id"))
     folder = etl._uneven_files(spark, "/root/testdata/sf0.01")
-    found = []
-    for size in (bronze_csv.HELD_BYTES, 0):
-        monkeypatch.setattr(bronze_csv, "HELD_BYTES", size)
-        rows = [(r["file"], r["reason"]) for r in bronze_csv.inspect_files(spark, folder).collect()]
-        found.append(sorted(rows, key=str))
-    reasons = {k: [r for f, r in found[0] if f"machine_{k}_targetcycle" in f.lower()] for k in (1, 2, 3, 4)}
+    found = [(r["file"], r["reason"]) for r in bronze_csv.inspect_files(spark, folder).collect()]
+    reasons = {k: [r for f, r in found if f"machine_{k}_targetcycle" in f.lower()] for k in (1, 2, 3, 4)}
     assert reasons == {1: ["missing columns"] * 3, 2: [None] * 3, 3: [None] * 3, 4: ["unreadable"] * 3}
-    assert found[0] == found[1]
 
 
-def test_whole_compressed_files_are_read_as_streams(spark, tmp_path, monkeypatch):
+def test_compressed_files_are_checked_piece_by_piece(spark, tmp_path):
+    """Cut anywhere, in the trailer too; several archives in one file; small batches."""
+    import gzip
+
+    from plantpulse.sources import bronze_csv
+    header = ",".join(C.BUSINESS).encode() + b"\n"
+    rnd = random.Random(3)
+    body = gzip.compress(header + b"".join(b"%d,1,2,3,4,5,6,7,0\n" % rnd.getrandbits(60) for _ in range(20_000)))
+    line = body.index(b"\n", len(body) // 2)
+    cases = {1: body, 2: body + gzip.compress(b"1\n") + body, 3: body[:-1], 4: body[:-9], 5: body[:line], 6: body[:line + 1],
+             7: body + body[:-3], 8: body + b"\n", 9: body[:1]}
+    for k, content in cases.items():
+        (tmp_path / f"machine_{k}_targetcycle1.csv").mkdir()
+        (tmp_path / f"machine_{k}_targetcycle1.csv" / "part-0.csv.gz").write_bytes(content)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        rows = bronze_csv.inspect_files(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    usable = sorted(int(r["file"].split("machine_")[1].split("_")[0]) for r in rows if r["reason"] is None)
+    assert len(rows) == 9 and usable == [1, 2]
+
+
+def test_rows_of_part_files_are_numbered_apart(spark, tmp_path):
+    """Part files of one series, in several blocks each: numbers are unique and in the order of files and lines."""
     from plantpulse.sources import bronze_csv
-    rows = spark.range(1000).select(*[F.col("id").cast("string").alias(c) for c in C.BUSINESS])
-    rows.coalesce(1).write.option("header", True).option("compression", "gzip").csv(str(tmp_path / "machine_1_targetcycle30.csv"))
-    monkeypatch.setattr(bronze_csv, "HELD_BYTES", 0)
-    assert [r["reason"] for r in bronze_csv.inspect_files(spark, str(tmp_path)).collect()] == [None]
+    header = ",".join(C.BUSINESS) + "\n"
+    folder = tmp_path / "machine_1_targetcycle30.csv"
+    folder.mkdir()
+    for part in range(3):
+        lines = [f"{part * 20_000 + k},1,2,3,4,5,6,7,0\n" for k in range(20_000)]
+        (folder / f"part-{part}.csv").write_text(header + "".join(lines))
+    (tmp_path / "machine_2_targetcycle30.csv").write_text(header + "7,1,2,3,4,5,6,7,0\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "131072")
+    try:
+        rows = bronze_csv.read_sensors(spark, str(tmp_path))
+        got = [(r["row_id"], int(r["timestamp"])) for r in rows.filter("machine_id = 1").orderBy("row_id").collect()]
+        assert rows.filter("machine_id = 2").count() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len({i for i, _ in got}) == 60_000 and [n for _, n in got] == list(range(60_000))
 
 
 def test_gaps_are_filled_alike_in_any_batches(spark):
