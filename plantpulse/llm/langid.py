@@ -3,13 +3,17 @@
 From a bounded sample of labelled text a suffix automaton is built per language: it reads
 exactly the substrings of the sample. A text is parsed greedily into the longest phrases
 that a language's sample holds; when the automaton cannot read on, a phrase ends and the
-next begins. Phrases times log2 of the sample size, per symbol, estimate the cross entropy;
-the language with the least wins, ties to the first by name.
+next begins. Phrases times log2 of the longest sample, per symbol, estimate the cross entropy;
+the language with the least wins, ties to the first by name. Samples are cut to the length of
+the shortest, though not below `LEAST_SYMBOLS`, and a phrase has one price in all languages: a
+language with little text reads short phrases and wins only where the others read shorter ones.
 
 Symbols: letters in lower case, any run of other characters as one blank. The commonest
-symbols of the samples get numbers; the rest share one that no sample holds. Texts are
-parsed in blocks of `BLOCK` symbols, all blocks of a batch in step, so a block's end also
-ends a phrase, for all languages alike.
+letters of the samples, each language weighing alike, have numbers; the others are spelled by
+their rank with a fixed count of sixteen digits, so scripts of many letters lose none. A letter
+that no sample holds is a phrase of its own everywhere. Texts are parsed in blocks of `BLOCK`
+symbols, all blocks of a batch in step, so that a batch holds one very long text as well as
+many short ones; a block's end also ends a phrase, for all languages alike.
 
 Bounds (parameters): `SAMPLE_SYMBOLS` symbols per language, from `SAMPLE_ROWS` rows taken
 in the order of a hash of the id, one piece of `PIECE` characters of each, at a place given
@@ -35,8 +39,10 @@ from pyspark.sql import functions as F
 
 from plantpulse.llm.tables import for_python
 
-#: Rows and symbols of a language's sample, characters taken of a row, symbols of a block, distinct symbols.
-SAMPLE_ROWS, SAMPLE_SYMBOLS, PIECE, BLOCK, ALPHABET = 400, 60_000, 400, 1024, 62
+#: Rows and symbols of a language's sample, characters taken of a row, symbols of a block.
+SAMPLE_ROWS, SAMPLE_SYMBOLS, PIECE, BLOCK = 400, 60_000, 400, 1024
+#: Samples are not cut below this many symbols; letters with a number of their own; digits for the others.
+LEAST_SYMBOLS, COMMON, DIGITS = 20_000, 46, 16
 #: Characters that are handled at once.
 CHUNK_CHARS = 2_000_000
 BLANK = 0
@@ -111,21 +117,32 @@ class Automata:
 
     def __init__(self, samples: dict[str, str]):
         self.names = sorted(samples)
-        found = Counter()
-        parts = {}
-        for name in self.names:
-            parts[name], _ = symbols([samples[name]])
-            found.update(parts[name].tolist())
-        common = [s for s, _ in sorted(found.items(), key=lambda kv: (-kv[1], kv[0])) if s != 0][:ALPHABET]
-        self.width = len(common) + 2
+        parts = {name: symbols([samples[name]])[0] for name in self.names}
+        share = Counter()
+        for part in parts.values():
+            for symbol, n in Counter(part.tolist()).items():
+                share[symbol] += n / len(part)
+        letters = [s for s, _ in sorted(share.items(), key=lambda kv: (-kv[1], kv[0])) if s != 0]
+        common, rare = letters[:COMMON], letters[COMMON:]
+        self.places = 0
+        while DIGITS ** self.places < len(rare) or (rare and not self.places):
+            self.places += 1
+        self.first_digit = len(common) + 1
+        # Blank, letters, digits if any letter needs them, and the code of letters that no sample holds.
+        self.width = self.first_digit + (DIGITS if rare else 0) + 1
         self.code = np.full(0x110000, self.width - 1, np.uint8)
         self.code[0] = BLANK
         for k, s in enumerate(common):
             self.code[s] = k + 1
+        self.rank = np.full(0x110000 if rare else 0, -1, np.int32)
+        self.rank[rare] = np.arange(len(rare)) if rare else 0
         self.tables, self.bits = [], []
+        coded = {name: self.coded(part, np.array([0, len(part)]))[0][:SAMPLE_SYMBOLS] for name, part in parts.items()}
+        length = max([LEAST_SYMBOLS, min(map(len, coded.values()), default=0)])
+        coded = {name: seq[:length] for name, seq in coded.items()}
+        price = np.log2(max([2, *map(len, coded.values())]))
         for name in self.names:
-            seq = self.code[parts[name]][:SAMPLE_SYMBOLS]
-            seq = seq[seq < self.width - 1]
+            seq = coded[name]
             table = suffix_automaton(seq.tolist(), self.width)
             # A symbol that the sample lacks is a phrase of its own: a last state that reads nothing.
             root = np.where(table[0] >= 0, table[0], len(table)) * self.width
@@ -133,11 +150,27 @@ class Automata:
             ends[:-1][table >= 0] = table[table >= 0] * self.width
             ends[0] = root
             self.tables.append(ends.ravel())
-            self.bits.append(np.log2(max(2, len(seq))))
+            self.bits.append(price)
+
+    def coded(self, folded: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of all symbols, and where each text begins among them."""
+        codes = self.code[folded]
+        rank = self.rank[folded] if len(self.rank) else np.full(1, -1)
+        if not (rank >= 0).any():
+            return codes, at
+        size = np.where(rank >= 0, self.places, 1)
+        ends = np.concatenate([[0], np.cumsum(size)])
+        out = np.repeat(codes, size)
+        spelled = np.flatnonzero(rank >= 0)
+        for place in range(self.places):
+            digit = rank[spelled] // DIGITS ** (self.places - 1 - place) % DIGITS
+            out[ends[spelled] + place] = self.first_digit + digit
+        return out, ends[at]
 
     def entropies(self, folded: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Estimated cross entropy of each text [text, language], in bits per symbol."""
-        coded = self.code[folded]
+        letters = np.diff(at)
+        coded, at = self.coded(folded, at)
         size = np.diff(at)
         per = -(-size // BLOCK)
         owner = np.repeat(np.arange(len(size)), per)
@@ -159,7 +192,7 @@ class Automata:
                 np.bitwise_xor(to, ended, out=s[:n])
         for k, count in enumerate(phrases):
             out[:, k] = np.bincount(owner, count, len(size)) * self.bits[k]
-        return out / np.maximum(size, 1)[:, None]
+        return out / np.maximum(letters, 1)[:, None]
 
 
 def automata(samples: dict[str, str]) -> Automata:

@@ -80,6 +80,55 @@ def test_language_of_odd_texts(spark, odd, none):
     assert langid.learn(docs.where("false")) == {}
 
 
+def words_of(rng, letters, n):
+    """`n` invented words of a fixed vocabulary."""
+    vocabulary = ["".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(300)]
+    return [" ".join(rng.choices(vocabulary, k=n // 10)) for _ in range(10)], vocabulary
+
+
+def test_a_stray_label_wins_nothing():
+    rng = random.Random(5)
+    (english, own), (german, other) = words_of(rng, "abcdefghij", 9000), words_of(rng, "efghijklmnop", 9000)
+    for stray in ("ab", "e", "ghij efgh"):
+        model = langid.Automata({"en": " ".join(english), "de": " ".join(german), "xx": stray})
+        for k, name in ((own, "en"), (other, "de")):
+            texts = [" ".join(rng.choices(k, k=n)) for n in (3, 8, 60, 900)]
+            best = model.entropies(*langid.symbols(texts)).argmin(axis=1)
+            assert [model.names[b] for b in best] == [name] * 4
+
+
+def test_samples_of_uneven_length():
+    rng = random.Random(6)
+    (large, own), (small, other) = words_of(rng, "abcdefghijkl", 9000), words_of(rng, "efghijklmnop", 400)
+    model = langid.Automata({"large": " ".join(large), "small": " ".join(small)})
+    for k, name in ((own, "large"), (other, "small")):
+        texts = [" ".join(rng.choices(k, k=40)) for _ in range(50)]
+        best = model.entropies(*langid.symbols(texts)).argmin(axis=1)
+        assert sum(model.names[b] == name for b in best) >= 48
+
+
+def test_scripts_of_many_letters(spark):
+    """Two languages of 1500 ideographs, one Cyrillic, two Latin: no letter falls out."""
+    rng = random.Random(7)
+    han = [chr(0x4E00 + k) for k in range(2000)]
+    scripts = {"zh": han[:1500], "ja": han[500:] + [chr(0x3042 + k) for k in range(40)],
+               "ru": [chr(0x430 + k) for k in range(32)], "en": list("abcdefghijklmnop"), "de": list("efghijklmnopqrst\u00e4\u00f6")}
+    vocabulary = {k: ["".join(rng.choices(v, k=rng.randint(1, 6))) for _ in range(800)] for k, v in scripts.items()}
+    text = lambda k, n: " ".join(rng.choices(vocabulary[k], k=n))
+    rows = [(i, text(k, 60), k) for i, k in enumerate(sorted(scripts) * 120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = langid.learn(docs)
+    model = langid.Automata(samples)
+    assert model.width <= 64 and model.places == 3
+    got = langid.predicted(docs, samples).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(got) > 60 and sum(r["lang_pred"] == r["lang"] for r in got) >= 0.97 * len(got)
+    # Codes differ for all letters, and the counts are those of the plain parse of the codes.
+    letters = np.array([ord(c) for c in sorted(set("".join(map("".join, scripts.values()))))], np.uint32)
+    spelled = {tuple(model.coded(letters[k:k + 1], np.array([0, 1]))[0]) for k in range(len(letters))}
+    unread = {tuple([model.width - 1])}
+    assert len(spelled - unread) + sum(model.code[c] == model.width - 1 and model.rank[c] < 0 for c in letters) == len(letters)
+
+
 # Quality
 
 def test_quality_on_held_out_labels(spark):
