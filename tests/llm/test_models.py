@@ -176,14 +176,48 @@ def exact_nearest(vectors, ids, query, k):
     return np.lexsort((ids, -score))[:k], score
 
 
-@pytest.mark.parametrize("kind", ["given", "clusters"])
+def vectors_of(kind):
+    """Clusters; clusters of uneven norms; one dense group beside few longer vectors."""
+    rng = np.random.default_rng(1)
+    if kind == "dense":
+        same = rng.standard_normal(32)
+        x = np.concatenate([same + 1e-3 * rng.standard_normal((3800, 32)), 1.5 * (same + 0.5 * rng.standard_normal((200, 32)))])
+        return x[rng.permutation(len(x))]
+    x = rng.standard_normal((40, 32))[rng.integers(0, 40, 4000)] + 0.4 * rng.standard_normal((4000, 32))
+    return x * np.exp(0.7 * rng.standard_normal((4000, 1))) if kind == "uneven" else x
+
+
+@pytest.mark.parametrize("kind", ["clusters", "uneven", "dense"])
+def test_queries_meet_few_rows(kind):
+    x = vectors_of(kind)
+    partition = ann.learn(x[:3000])
+    part = partition.part(x)
+    held = np.bincount(part, minlength=len(partition.rows.bias))
+    probes = partition.probes(x[3000:], held, np.full(1000, 21))
+    near = ann.highest(x[3000:], np.concatenate([x[3000:], x[:3000]]), 20)
+    part = np.concatenate([part[3000:], part[:3000]])
+    assert np.mean([np.isin(part[n], p).mean() for n, p in zip(near, probes, strict=True)]) >= 0.9
+    assert np.mean([held[p].sum() for p in probes]) <= 0.1 * len(x)
+
+
+def test_lists_are_full_where_rows_suffice(spark):
+    """Small parts, and an id that many rows share."""
+    rng = np.random.default_rng(2)
+    x = vectors_of("clusters")[:700]
+    ids = [k if k > 150 else 20 for k in range(700)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    got = ann.nearest(df, F.col("vec_id").isin(20, 400, 640), k=int(rng.integers(180, 200))).groupBy("query_id").count().collect()
+    counts = {r["query_id"]: r["count"] for r in got}
+    assert set(counts) == {20, 400, 640} and counts[400] == counts[640] and counts[20] == 151 * counts[400]
+    assert 180 <= counts[400] < 200
+
+
+@pytest.mark.parametrize("kind", ["given", "clusters", "uneven", "dense"])
 def test_recall(spark, kind, monkeypatch):
     if kind == "given":
         table = spark.read.parquet(f"{DATA.replace('0.001', '0.1')}/embeddings.parquet")
     else:
-        rng = np.random.default_rng(1)
-        centers = rng.standard_normal((40, 32))
-        x = centers[rng.integers(0, 40, 3000)] + 0.4 * rng.standard_normal((3000, 32))
+        x = vectors_of(kind)
         table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
         monkeypatch.setattr(ann, "BLOCK_ROWS", 100)
         monkeypatch.setattr(ann, "BLOCK_QUERIES", 10)
@@ -219,6 +253,8 @@ def test_odd_vectors(spark):
     got = [tuple(r) for r in ann.nearest(df, F.col("vec_id") % 20 == 0).orderBy("rank").collect()]
     assert got == [(20, 1, 1, 1.0), (20, 2, 2, 1.0), (20, 3, 2, 1.0), (20, 4, 3, 0.0)]
     assert ann.nearest(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
+    twice = df.union(df.where("vec_id = 20"))
+    assert [tuple(r) for r in ann.nearest(twice, F.col("vec_id") % 20 == 0).orderBy("rank").collect()] == got
 
 
 def test_many_equal_vectors(spark, monkeypatch):
