@@ -2,14 +2,14 @@
 
 A machine may hold a large share of all rows, so no window is partitioned by a
 machine alone. Time is cut into slices and windows run per (key, slice). On an
-hourly lattice a slice holds SLICE_HOURS rows; elsewhere `pick_width` narrows
-the slices until the fullest one holds at most SLICE_ROWS rows. What a window
-must see beyond its slice is brought to it:
+hourly lattice a slice holds SLICE_HOURS rows; elsewhere `slice_widths` gives each key
+the widest slices that hold at most SLICE_ROWS rows, so a dense machine narrows its own
+only. What a window must see beyond its slice is brought to it:
 
 * `grid_halo` copies the few rows next to a slice edge of an hourly lattice;
 * `row_halo` does the same by row count when rows are not on one lattice;
-* `carry_in` gives each slice the last known value of all earlier slices, from a
-  table of one row per slice.
+* `carry_in` gives each slice the last known value of all earlier slices, or the first
+  of all later ones, from a table of one row per slice.
 """
 
 from __future__ import annotations
@@ -19,11 +19,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage_table
+
 SLICE_HOURS = 1024
 SLICE_SECONDS = 3600 * SLICE_HOURS
 SLICE_ROWS = 2_000_000
 SLICE = "slice_id"
 HOME = "home_slice"
+WIDTH = "slice_seconds"
+# Widths of slices in seconds; each divides the one before. A series holds few rows per instant.
+WIDTHS = [*(SLICE_SECONDS >> k for k in range(15)), 75, 25, 5, 1]
 
 
 def hour_index(ts: Column) -> Column:
@@ -34,20 +39,31 @@ def slice_of(ts: Column, seconds: int = SLICE_SECONDS) -> Column:
     return F.floor(F.unix_seconds(ts) / seconds)
 
 
-def pick_width(df: DataFrame, keys: Sequence[str], ts: str = "timestamp",
-               limit: int | None = None) -> int:
-    """Slice width in seconds that keeps every (key, slice) within `limit` rows.
+def slice_widths(df: DataFrame, keys: Sequence[str], ts: str = "timestamp", limit: int | None = None) -> DataFrame:
+    """The keys whose slices must be narrower than SLICE_SECONDS, with their width.
 
-    Each try is a partial aggregate over the key and time columns. One second is
-    the finest cut: a series holds few rows per instant.
+    A partial aggregate over the key and time columns finds the keys that exceed the limit;
+    only their rows are counted per second, and all widths are tried on those counts at once.
+    The table has one row per such key.
     """
-    limit, seconds = limit or SLICE_ROWS, SLICE_SECONDS
-    while True:
-        fullest = (df.groupBy(*keys, slice_of(F.col(ts), seconds).alias(SLICE)).agg(F.count("*").alias("n"))
-                   .agg(F.max("n")).first()[0] or 0)
-        if fullest <= limit or seconds == 1:
-            return seconds
-        seconds = max(1, seconds * limit // (2 * fullest))
+    limit = limit or SLICE_ROWS
+    narrow = df.select(*keys, F.col(ts).alias("_at")).filter("_at IS NOT NULL")
+    full = (narrow.groupBy(*keys, slice_of(F.col("_at"))).agg(F.count("*").alias("n"))
+            .groupBy(*keys).agg(F.max("n").alias("n")).filter(F.col("n") > limit).select(*keys))
+    counts = (narrow.join(stage_table(full), list(keys), "left_semi")
+              .groupBy(*keys, F.unix_seconds("_at").alias("second")).agg(F.count("*").alias("n")))
+    tried = counts.select(*keys, "second", "n", F.explode(F.array(*[F.lit(w).cast("long") for w in WIDTHS[1:]])).alias(WIDTH))
+    fullest = (tried.groupBy(*keys, WIDTH, F.floor(F.col("second") / F.col(WIDTH))).agg(F.sum("n").alias("n"))
+               .groupBy(*keys, WIDTH).agg(F.max("n").alias("n")))
+    fits = F.max(F.when(F.col("n") <= limit, F.col(WIDTH)))
+    return stage_table(fullest.groupBy(*keys).agg(F.coalesce(fits, F.lit(WIDTHS[-1]).cast("long")).alias(WIDTH)))
+
+
+def sliced(df: DataFrame, widths: DataFrame, keys: Sequence[str], ts: str = "timestamp") -> DataFrame:
+    """Rows with their slice, as wide as `slice_widths` has it for their key."""
+    wide = df.join(widths, list(keys), "left")
+    seconds = F.coalesce(WIDTH, F.lit(SLICE_SECONDS).cast("long"))
+    return wide.withColumn(SLICE, F.floor(F.unix_seconds(ts) / seconds)).drop(WIDTH)
 
 
 def grid_halo(df: DataFrame, before: int, after: int, ts: str = "timestamp") -> DataFrame:
@@ -67,7 +83,7 @@ def home_rows(df: DataFrame) -> DataFrame:
 
 
 def row_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int,
-             ts: str = "timestamp", seconds: int = SLICE_SECONDS) -> DataFrame:
+             widths: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Copy to each slice the `before` rows that precede it, wherever they lie.
 
     A row that is r-th from the end of its slice is needed by a later slice when
@@ -75,7 +91,7 @@ def row_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: i
     the directory is non-empty, so at most `before` later slices need a row.
     """
     keys = list(keys)
-    base = df.withColumn(SLICE, slice_of(F.col(ts), seconds)).withColumn(HOME, F.col(SLICE))
+    base = sliced(df, widths, keys, ts).withColumn(HOME, F.col(SLICE))
     ahead = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(1, before)
     directory = (base.groupBy(*keys, SLICE).agg(F.count("*").alias("n"))
                  .withColumn("later", F.collect_list(F.struct(SLICE, "n")).over(ahead))
@@ -93,14 +109,14 @@ def row_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: i
 
 
 def carry_in(per_slice: DataFrame, wanted: DataFrame, keys: Sequence[str],
-             value: str) -> DataFrame:
-    """Last non-null `value` of all earlier slices, for each wanted (key, slice).
+             value: str, later: bool = False) -> DataFrame:
+    """Last non-null `value` of all earlier slices, for each wanted (key, slice); or the first of all later ones.
 
     Both inputs hold at most one row per (key, slice).
     """
-    earlier = (Window.partitionBy(*keys).orderBy(SLICE)
-               .rowsBetween(Window.unboundedPreceding, -1))
+    beyond = (Window.partitionBy(*keys).orderBy(F.col(SLICE).desc() if later else F.col(SLICE))
+              .rowsBetween(Window.unboundedPreceding, -1))
     both = (wanted.select(*keys, SLICE, F.lit(True).alias("wanted"))
             .join(per_slice.select(*keys, SLICE, value), [*keys, SLICE], "full"))
-    return (both.withColumn(value, F.last(value, ignorenulls=True).over(earlier))
+    return (both.withColumn(value, F.last(value, ignorenulls=True).over(beyond))
             .filter("wanted").drop("wanted"))

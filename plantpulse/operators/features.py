@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalars as S
-from ..functions.slices import SLICE, home_rows, pick_width, row_halo
+from ..functions.slices import SLICE, home_rows, row_halo, slice_widths
 
 ORDER = ["timestamp", "target_cycle"]
 
@@ -25,7 +25,7 @@ def rolling_features(silver: DataFrame, rows: int = C.ROLLING_ROWS) -> DataFrame
         columns[f"{c}_roll_mean_{rows}"] = F.avg(c).over(span)
         columns[f"{c}_roll_std_{rows}"] = F.coalesce(F.stddev_samp(c).over(span), F.lit(0.0))
         columns[f"{c}_delta"] = F.coalesce(F.col(c) - F.lag(c).over(w), F.lit(0.0))
-    sliced = row_halo(silver, ["machine_id"], ORDER, rows - 1, seconds=pick_width(silver, ["machine_id"]))
+    sliced = row_halo(silver, ["machine_id"], ORDER, rows - 1, slice_widths(silver, ["machine_id"]))
     return home_rows(sliced.withColumns(columns)).drop(SLICE)
 
 

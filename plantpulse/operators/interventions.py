@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalars as S
-from ..functions.slices import SLICE, carry_in, pick_width, slice_of
+from ..functions.slices import SLICE, carry_in, sliced, slice_widths
 
 MEASURES = ["temperature", "rpm", "vibration", "pressure"]
 
@@ -31,40 +31,38 @@ def _per_instant(interventions: DataFrame) -> DataFrame:
         F.min_by("failure_type", "row_id").alias("first_type"))
 
 
-def slice_width(sensors: DataFrame, interventions: DataFrame) -> int:
-    """Slice width in seconds that suits both sides."""
+def common_widths(sensors: DataFrame, interventions: DataFrame) -> DataFrame:
+    """Slice widths per machine that suit both sides."""
     both = sensors.select("machine_id", "timestamp").unionByName(interventions.select("machine_id", "timestamp"))
-    return pick_width(both, ["machine_id"])
+    return slice_widths(both, ["machine_id"])
 
 
 def attach_interventions(sensors: DataFrame, interventions: DataFrame,
-                         tolerance_hours: float = C.ASOF_TOLERANCE_HOURS, seconds: int | None = None) -> DataFrame:
+                         tolerance_hours: float = C.ASOF_TOLERANCE_HOURS, widths: DataFrame | None = None) -> DataFrame:
     """Add `hours_since_last_intervention` and `near_type` to sensor rows.
 
     Both sides are cut into time slices per machine and merged by order, so no
-    row pairs are formed. A slice also receives the last earlier instant of its
-    machine (from a table of one row per slice) and the instants within the
-    tolerance of its edges. `near_type` is the type of the nearest instant
-    within the tolerance; at equal distance the earlier one wins.
+    row pairs are formed. A slice also receives the last earlier and the first
+    later instant of its machine, from a table of one row per slice. `near_type`
+    is the type of the nearest instant within the tolerance; at equal distance
+    the earlier one wins.
     """
     keys = ["machine_id"]
-    right = _per_instant(interventions)
-    seconds = seconds or slice_width(sensors, interventions)
-    left = sensors.withColumn(SLICE, slice_of(F.col("timestamp"), seconds))
-    tolerance = F.expr(f"INTERVAL {int(tolerance_hours * 3600)} SECONDS")
-    first, last = (slice_of(t, seconds) for t in (F.col("at") - tolerance, F.col("at") + tolerance))
-    nearby = right.select(*right.columns, F.explode(F.sequence(first, last)).alias(SLICE))
-    per_slice = right.groupBy(*keys, slice_of(F.col("at"), seconds).alias(SLICE)).agg(F.max("at").alias("carried"))
+    widths = common_widths(sensors, interventions) if widths is None else widths
+    left = sliced(sensors, widths, keys)
+    right = sliced(_per_instant(interventions), widths, keys, "at")
+    instant = F.struct("at", "last_type", "first_type")
+    per_slice = right.groupBy(*keys, SLICE).agg(F.max(instant).alias("latest"), F.min(instant).alias("earliest"))
     wanted = left.select(*keys, SLICE).distinct()
-    carried = carry_in(per_slice, wanted, keys, "carried").filter("carried IS NOT NULL")
-    events = nearby.unionByName(
-        carried.withColumnRenamed("carried", "at"), allowMissingColumns=True)
+    events = right.select(*keys, SLICE, "at", "last_type", "first_type")
+    for value, later in (("latest", False), ("earliest", True)):
+        carried = carry_in(per_slice, wanted, keys, value, later).filter(F.col(value).isNotNull())
+        events = events.unionByName(carried.select(*keys, SLICE, f"{value}.*"))
     merged = (left.withColumn("is_row", F.lit(1))
               .unionByName(events.withColumn("is_row", F.lit(0)), allowMissingColumns=True)
               .withColumn("instant", F.coalesce("timestamp", "at")))
-    event = F.when(F.col("is_row") == 0, F.struct("at", "last_type", "first_type"))
-    # A carried instant has no type; its copy within the tolerance comes after it.
-    back = Window.partitionBy(*keys, SLICE).orderBy("instant", "is_row", F.col("last_type").asc_nulls_first())
+    event = F.when(F.col("is_row") == 0, instant)
+    back = Window.partitionBy(*keys, SLICE).orderBy("instant", "is_row")
     ahead = Window.partitionBy(*keys, SLICE).orderBy(F.col("instant").desc(), "is_row")
     seen = (merged.withColumn("prev", F.last(event, ignorenulls=True).over(back))
             .withColumn("next", F.last(event, ignorenulls=True).over(ahead))
@@ -83,18 +81,14 @@ def attach_interventions(sensors: DataFrame, interventions: DataFrame,
 
 
 def hours_to_next(sensors: DataFrame, interventions: DataFrame) -> DataFrame:
-    """Hours to the next intervention (as-of forward); null when none follows.
-
-    The mirror of the backward join: time is negated, the rest is the same.
-    """
+    """Hours to the next intervention (as-of forward); null when none follows."""
     keys = ["machine_id"]
-    right = interventions.select("machine_id", F.col("timestamp").alias("at")).distinct()
-    seconds = slice_width(sensors, interventions)
-    left = sensors.withColumn(SLICE, -slice_of(F.col("timestamp"), seconds))
-    per_slice = right.groupBy(*keys, (-slice_of(F.col("at"), seconds)).alias(SLICE)).agg(F.min("at").alias("carried"))
-    carried = carry_in(per_slice, left.select(*keys, SLICE).distinct(), keys, "carried")
-    events = (right.withColumn(SLICE, -slice_of(F.col("at"), seconds))
-              .unionByName(carried.filter("carried IS NOT NULL").withColumnRenamed("carried", "at")))
+    widths = common_widths(sensors, interventions)
+    right = sliced(interventions.select("machine_id", F.col("timestamp").alias("at")).distinct(), widths, keys, "at")
+    left = sliced(sensors, widths, keys)
+    per_slice = right.groupBy(*keys, SLICE).agg(F.min("at").alias("carried"))
+    carried = carry_in(per_slice, left.select(*keys, SLICE).distinct(), keys, "carried", later=True)
+    events = right.unionByName(carried.filter("carried IS NOT NULL").withColumnRenamed("carried", "at"))
     merged = (left.withColumn("is_row", F.lit(1))
               .unionByName(events.withColumn("is_row", F.lit(0)), allowMissingColumns=True)
               .withColumn("instant", F.coalesce("timestamp", "at")))

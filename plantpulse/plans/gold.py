@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..operators.features import derived_features, rolling_features
-from ..operators.interventions import attach_interventions, slice_width
+from ..operators.interventions import attach_interventions, common_widths
 
 
 def gold(silver: DataFrame, interventions: DataFrame | None = None) -> DataFrame:
@@ -19,7 +19,7 @@ def gold(silver: DataFrame, interventions: DataFrame | None = None) -> DataFrame
     # Widths are chosen on the stored rows, not on the features computed from them.
     if interventions is None:
         return df.withColumn("hours_since_last_intervention", F.lit(C.NO_INTERVENTION_HOURS))
-    near = attach_interventions(df, interventions, seconds=slice_width(silver, interventions))
+    near = attach_interventions(df, interventions, widths=common_widths(silver, interventions))
     return near.withColumn("failure_type", F.coalesce("near_type", "failure_type")).drop("near_type")
 
 

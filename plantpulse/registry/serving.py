@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalars as S
-from ..functions.slices import SLICE, pick_width, slice_of
+from ..functions.slices import SLICE, slice_widths, sliced
 from ..operators import scoring
 from ..plans import metrics
 from ..plans import monitoring as M
@@ -113,7 +113,7 @@ def _ordered(spark, d):
     """Rank in time order per machine, counted over slices."""
     keys = ["machine_id"]
     sensors = _sens(spark, d)
-    rows = sensors.withColumn(SLICE, slice_of(F.col("timestamp"), pick_width(sensors, keys)))
+    rows = sliced(sensors, slice_widths(sensors, keys), keys)
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy(*keys, SLICE).agg(F.count("*").alias("n"))
     offsets = sizes.select(*keys, SLICE, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))

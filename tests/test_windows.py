@@ -117,10 +117,25 @@ def test_lead_time_counts(spark):
     assert got == {"anomalies followed": (1, 3), "interventions preceded": (1, 2)}
 
 
-def test_width_follows_the_densest_slice(spark, monkeypatch):
+def test_widths_follow_the_densest_slice_of_each_machine(spark):
+    """One hot machine narrows its own slices only; each width is the widest that fits."""
     df = to_spark(spark, sensors())
-    assert slices.pick_width(df, ["machine_id"]) == slices.SLICE_SECONDS
-    assert slices.pick_width(df, ["machine_id"], limit=40) <= 40
+    assert slices.slice_widths(df, ["machine_id"]).count() == 0
+    start = datetime(2026, 1, 1)
+    rows = [(7, start + timedelta(seconds=20 * k)) for k in range(3000)] + [(8, start + timedelta(hours=k)) for k in range(500)]
+    rows += [(9, start)] * 700 + [(10, None)] * 900
+    mixed = spark.createDataFrame(rows, "machine_id int, timestamp timestamp")
+    widths = slices.slice_widths(mixed, ["machine_id"], limit=600)
+    got = {r["machine_id"]: r[slices.WIDTH] for r in widths.collect()}
+    assert set(got) == {7, 9} and got[9] == 1
+    counts = lambda w: mixed.filter("machine_id = 7").groupBy(
+        F.floor(F.unix_seconds("timestamp") / w)).count().agg(F.max("count")).first()[0]
+    wider = slices.WIDTHS[slices.WIDTHS.index(got[7]) - 1]
+    assert counts(got[7]) <= 600 < counts(wider)
+    assert all(a % b == 0 for a, b in zip(slices.WIDTHS, slices.WIDTHS[1:], strict=False))
+    cut = slices.sliced(mixed, widths, ["machine_id"])
+    assert cut.count() == mixed.count() and cut.columns == [*mixed.columns, slices.SLICE]
+    assert cut.filter("machine_id = 8").select(slices.SLICE).distinct().count() <= 2
 
 
 def test_ticks(spark):
