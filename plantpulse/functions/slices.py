@@ -44,13 +44,14 @@ def slice_widths(df: DataFrame, keys: Sequence[str], ts: str = "timestamp", limi
 
     A partial aggregate over the key and time columns finds the keys that exceed the limit;
     only their rows are counted per second, and all widths are tried on those counts at once.
-    The table has one row per such key.
+    Each such key has more than `limit` rows, so there are at most rows / limit of them: few
+    enough to broadcast. The table has one row per such key.
     """
     limit = limit or SLICE_ROWS
     narrow = df.select(*keys, F.col(ts).alias("_at")).filter("_at IS NOT NULL")
     full = (narrow.groupBy(*keys, slice_of(F.col("_at"))).agg(F.count("*").alias("n"))
             .groupBy(*keys).agg(F.max("n").alias("n")).filter(F.col("n") > limit).select(*keys))
-    counts = (narrow.join(stage_table(full), list(keys), "left_semi")
+    counts = (narrow.join(F.broadcast(full), list(keys), "left_semi")
               .groupBy(*keys, F.unix_seconds("_at").alias("second")).agg(F.count("*").alias("n")))
     tried = counts.select(*keys, "second", "n", F.explode(F.array(*[F.lit(w).cast("long") for w in WIDTHS[1:]])).alias(WIDTH))
     fullest = (tried.groupBy(*keys, WIDTH, F.floor(F.col("second") / F.col(WIDTH))).agg(F.sum("n").alias("n"))
