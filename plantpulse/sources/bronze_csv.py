@@ -222,15 +222,24 @@ def rejected_files(spark: SparkSession, folder: str, files: DataFrame | None = N
     return files.filter(F.col("reason").isNotNull()).select("file", "reason", "missing")
 
 
+def _write_files(rows: DataFrame, folder: str) -> None:
+    """Rows with `file` to one CSV folder per name, in the order they came.
+
+    Rows are ranged by (file, order) before they are written: a file lies in neighbouring
+    tasks only, so there are at most as many part files as names and tasks together, not one
+    per name and task, and the rows of a large file are spread over tasks.
+    """
+    ranged = rows.withColumn("_nth", F.monotonically_increasing_id()).repartitionByRange("file", "_nth")
+    ranged.sortWithinPartitions("file", "_nth").drop("_nth").write.mode("append").partitionBy("file").option("header", True).csv(folder)
+
+
 def write_sensors(df: DataFrame, folder: str) -> None:
-    """Bronze rows to CSV folders named like the files, one task per few files."""
+    """Bronze rows to CSV folders named like the files."""
     name = F.concat(F.lit("machine_"), F.col("machine_id").cast("string"), F.lit("_targetcycle"),
                     F.col("target_cycle").cast("string"), F.lit(".csv"))
-    (df.select(name.alias("file"), *C.BUSINESS).write.mode("append").partitionBy("file")
-     .option("header", True).csv(folder))
+    _write_files(df.select(name.alias("file"), *C.BUSINESS), folder)
 
 
 def write_interventions(df: DataFrame, folder: str) -> None:
     name = F.concat(F.lit("intervention_data_machine"), F.col("machine_id").cast("string"), F.lit(".csv"))
-    (df.select(name.alias("file"), *INTERVENTION_COLUMNS).write.mode("append").partitionBy("file")
-     .option("header", True).csv(folder))
+    _write_files(df.select(name.alias("file"), *INTERVENTION_COLUMNS), folder)

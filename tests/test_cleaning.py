@@ -257,6 +257,21 @@ def test_uneven_files_are_written_in_parts(spark, monkeypatch):
     assert reasons == {1: ["missing columns"] * 3, 2: [None] * 3, 3: [None] * 3, 4: ["unreadable"] * 3}
 
 
+def test_bronze_files_do_not_multiply_by_tasks(spark, tmp_path):
+    """Rows of all machines in every task: about one file a machine, rows in the order they came."""
+    from plantpulse.sources import bronze_csv
+    rows = spark.range(0, 3000, 1, 20).select(
+        (F.col("id") % 30 + 1).alias("machine_id"), F.lit(10).alias("target_cycle"), F.col("id").cast("string").alias("timestamp"),
+        *[F.lit("1").alias(c) for c in C.BUSINESS if c != "timestamp"])
+    bronze_csv.write_sensors(rows, str(tmp_path))
+    assert len(list(tmp_path.glob("*/*.csv"))) <= 30 + 20
+    back = bronze_csv.read_sensors(spark, str(tmp_path)).orderBy("row_id").collect()
+    assert len(back) == 3000
+    for k in range(1, 31):
+        times = [int(r["timestamp"]) for r in back if r["machine_id"] == k]
+        assert times == list(range(k - 1, 3000, 30))
+
+
 def test_compressed_files_are_checked_piece_by_piece(spark, tmp_path):
     """Cut anywhere, in the trailer too; several archives in one file; small batches."""
     import gzip
