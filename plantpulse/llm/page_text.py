@@ -6,12 +6,15 @@ comments, ...), or neither. Pages of a host are put in the order of their URL pa
 page is paired with the neighbour whose path shares the longest beginning. The text lines
 of both are aligned by their longest common subsequence.
 
-Lines of zone "neither" that the pair shares are template and are deleted. Where a page
-marks no article at all, what remains of that zone is its text; where it does, the article
-is, and shared lines inside stay: articles quote and repeat each other, and copies of one
-article on a host share every line, so differences alone would delete true text (and menus and
-footers that differ from page to page would stay). Two pages that share all such lines are
-copies and decide nothing.
+Lines that the pair shares are candidates for template. Where a page marks no article at all,
+they are deleted from zone "neither" and what remains is its text; two pages that share all
+such lines are copies and decide nothing. Where a page marks an article, that is its text
+without the shared lines that are template of the host: articles quote and repeat each other, and
+copies of one article on a host share most lines, so the pair alone would delete true text. A
+shared line inside an article goes if the pair shares fewer than half of the article's lines
+(else it is a copy or another state of one article) and if the line stands in the articles of more
+than half of the host's pages, which must be HOST_PAGES or more. Lines of articles are compared by
+64-bit hashes.
 
 Names of a state, such as `no-sidebar`, `with-header` or `comments-open`, mark nothing: they stand
 on elements around or on the article.
@@ -68,6 +71,8 @@ _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _PART = re.compile(r"[^a-z0-9]+")
 
 NEITHER, ARTICLE, OUTSIDE = 0, 1, 2
+#: Pages with an article that a host must have before a line of theirs can be its template.
+HOST_PAGES = 4
 
 
 def is_mark(name: str) -> bool:
@@ -234,7 +239,7 @@ def _shared_column(a: Column, b: Column) -> Column:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, path; `article`, the text of marked articles (null if there is none); `lines`, the others."""
+    """page_id, url, host, path; `article`, the lines of marked articles (null if there are none); `lines`, the others."""
     host, path = url_parts(F.col("url"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html")).withColumns({"host": host, "path": path})
@@ -246,14 +251,14 @@ def parsed(pages: DataFrame) -> DataFrame:
             for page in batch.column("html").to_pylist():
                 found = blocks(page or "")
                 inside = [line for zone, line in found if zone == ARTICLE]
-                articles.append(" ".join(inside) if inside else None)
+                articles.append(inside or None)
                 lines.append([line for zone, line in found if zone == NEITHER])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(articles, pa.string()), pa.array(lines, pa.list_(pa.string()))],
+                [*(batch.column(c) for c in kept), pa.array(articles, pa.list_(pa.string())), pa.array(lines, pa.list_(pa.string()))],
                 [*kept, "article", "lines"])
 
     return for_python(rows).select(*kept, "html").mapInArrow(
-        run, "page_id long, url string, host string, path string, article string, lines array<string>")
+        run, "page_id long, url string, host string, path string, article array<string>, lines array<string>")
 
 
 def own_lines(lines: pd.Series, other: pd.Series) -> pd.Series:
@@ -266,12 +271,47 @@ def own_lines(lines: pd.Series, other: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+def shared_places(mine: pd.Series, other: pd.Series) -> pd.Series:
+    """Places of the lines that an article shares, in order, with its pair; none if those are half of it or more."""
+    out = []
+    for a, b in zip(mine, other, strict=True):
+        shared = common_lines(list(a), list(b))
+        out.append(sorted(shared) if 2 * len(shared) < len(a) else [])
+    return pd.Series(out)
+
+
+def template_lines(articles: DataFrame, mates: DataFrame) -> DataFrame:
+    """row and `template`: place and mark of the article lines that are template; only rows that have some.
+
+    `articles` has row, host and `marks`, the hashes of the article's lines.
+    """
+    articles = articles.where("host is not null and host <> ''")
+    other = articles.join(mates.select(F.col("mate").alias("row")).distinct(), "row", "left_semi").groupBy(
+        F.col("row").alias("mate")).agg(F.first("marks").alias("other"))
+    places = F.pandas_udf(shared_places, "array<int>")
+    shared = articles.join(mates, "row").join(other, "mate").select("row", "host", "marks", places("marks", "other").alias("places"))
+    candidates = shared.select("row", "host", F.explode("places").alias("place"), "marks").select(
+        "row", "host", "place", F.get("marks", F.col("place")).alias("mark"))
+    pages = articles.select("host", "row", F.array_distinct("marks").alias("marks")).distinct()
+    sizes = pages.groupBy("host").agg(F.count_distinct("row").alias("n_pages")).where(F.col("n_pages") >= HOST_PAGES)
+    common = (pages.select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(F.count("*").alias("n"))
+              .join(sizes, "host").where(2 * F.col("n") > F.col("n_pages")).select("host", "mark"))
+    return candidates.join(common, ["host", "mark"]).groupBy("row").agg(F.collect_set(F.struct("place", "mark")).alias("template"))
+
+
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row."""
-    rows = stage_table(parsed(pages).withColumn("row", F.xxhash64("page_id", "url")))
+    rows = stage_table(parsed(pages).withColumns({
+        "row": F.xxhash64("page_id", "url"), "marks": F.transform("article", lambda line: F.xxhash64(line))}))
     keys = rows.where("host is not null and host <> ''").select("host", "path", "row").distinct()
-    mates = neighbours(keys)
-    marked = rows.where("article is not null").select("page_id", "url", F.col("article").alias("text"))
+    mates = stage_table(neighbours(keys))
+    # Few pages have such lines: stored, they are of known size, and the texts need not travel to meet them.
+    template = stage_table(template_lines(rows.where("article is not null").select("row", "host", "marks"), mates))
+    # A row is meant by its hash, a line by its place and hash.
+    kept = F.filter("article", lambda line, k: ~F.exists(
+        F.coalesce("template", F.array().cast("array<struct<place:int,mark:long>>")), lambda t: (t["place"] == k) & (t["mark"] == F.xxhash64(line))))
+    marked = rows.where("article is not null").join(template, "row", "left").select(
+        "page_id", "url", F.concat_ws(" ", kept).alias("text"))
     unmarked = rows.where("article is null").select("row", "page_id", "url", "lines")
     paired = unmarked.join(mates, "row", "left")
     other = (rows.join(paired.select(F.col("mate").alias("row")).distinct(), "row", "left_semi")

@@ -333,6 +333,28 @@ def test_shared_lines_of_the_nearest_page_go(spark):
     assert len(twice) == 18 and {r["page_id"]: r["text"] for r in twice} == got
 
 
+def test_template_inside_articles_goes(spark):
+    """A line in most articles of a host that the nearest page shares; quotes, copies and lines of small hosts stay."""
+    def page(*lines):
+        return "<nav>Menu</nav><article>" + "".join(f"<p>{x}</p>" for x in lines) + "</article>"
+
+    rows = [(k, f"http://h.org/{k}", page("Back to list", f"Story {k}", f"more {k}", "Print this")) for k in range(6)]
+    rows += [(k, f"http://q.org/{k}", page(f"Story {k}", f"more {k}", "a quote" if k in (11, 12) else "own %d" % k)) for k in range(10, 16)]
+    rows += [(k, f"http://c.org/{k}", page("One", "two", f"changed {k}")) for k in range(20, 26)]
+    rows += [(k, f"http://s.org/{k}", page("Back", f"Story {k}", f"more {k}")) for k in range(30, 33)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in page_text.extracted(df).collect()}
+    # Half of the lines are shared on h.org: a page needs one line more than its frame.
+    assert got[0] == "Back to list Story 0 more 0 Print this"
+    longer = [(k, u, h.replace("</article>", f"<p>end {k}</p></article>")) for k, u, h in rows]
+    df = spark.createDataFrame(longer, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in page_text.extracted(df.union(df)).collect()}
+    for k in range(6):
+        assert got[k] == f"Story {k} more {k} end {k}"
+    assert got[11] == "Story 11 more 11 a quote end 11" and got[20] == "One two changed 20 end 20"
+    assert got[30] == "Back Story 30 more 30 end 30" and len(got) == len(rows)
+
+
 def test_neighbours_across_partitions(spark):
     rng = random.Random(6)
     rows = [("h", f"/{rng.choice('abc')}/{rng.choice('abc')}/{k}", k) for k in range(120)] + [("g", "/x", 500)]
