@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..operators import dbscan, scaling
+from ..operators import dbscan, scaling, scoring
 from ..operators.scaling import KEY
 from ..session import stage_table
 
@@ -26,6 +27,11 @@ class Model:
     def reference(self) -> DataFrame:
         return dbscan.reference_points(self.points)
 
+    @cached_property
+    def index(self) -> scoring.ReferenceIndex:
+        """The tree over the reference points, grown once for all that score with the model or store it."""
+        return scoring.index_points(self.reference)
+
     @property
     def summary(self) -> DataFrame:
         return dbscan.model_summary(self.points)

@@ -221,7 +221,7 @@ def _readings(spark, d):
 def _(spark, d):
     """Nearest reference point within eps, per machine model."""
     m = model(spark, d)
-    scored = scoring.score(_readings(spark, d), m.scaler, m.reference)
+    scored = scoring.score(_readings(spark, d), m.scaler, m.index)
     return scored.select("row_id", "cluster_label", "anomaly_score", "alert", "alert_level")
 
 
@@ -244,7 +244,7 @@ _FALLBACK = [*_steps("all", least=330), _READ_STEP,
 def _(spark, d):
     """All readings scored, those of machines with too few rows by the global model."""
     m = training.train(stored_sensors(spark, d), min_samples=330, models="all")
-    scored = scoring.score(_readings(spark, d), m.scaler, m.reference)
+    scored = scoring.score(_readings(spark, d), m.scaler, m.index)
     return scored.select("row_id", KEY, "cluster_label", "anomaly_score", "alert")
 
 

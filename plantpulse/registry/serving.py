@@ -302,7 +302,7 @@ def _(spark, d):
     rows = replay.warm_up(_hourly_ticks(spark, d), F.lit(NOW).cast("timestamp"))
     good, _ = scoring.valid_readings(scoring.to_readings(rows, extra=["row_id"]))
     trained = model(spark, d)
-    return scoring.score(good, trained.scaler, trained.reference).select("row_id", "cluster_label", "anomaly_score")
+    return scoring.score(good, trained.scaler, trained.index).select("row_id", "cluster_label", "anomaly_score")
 
 
 simple("ST05_warm_up", ["sens"], f"""SELECT row_id, TIMESTAMP '{NOW}' - CAST(back * 5 AS INTEGER) * INTERVAL 1 SECOND AS "timestamp" FROM ticked WHERE back < 60""",

@@ -72,12 +72,12 @@ def save_csv(df: DataFrame, path: str) -> None:
 def save_model(model: Model, root: str, version: str, source: str = "") -> None:
     """Persist scaler, the index of the reference points and one metadata row per model.
 
-    The tree is grown once, here: boxes by level, points by shelf and leaf, so that a
+    The tree is grown once per model: boxes by level, points by shelf and leaf, so that a
     batch of readings opens only the leaves near it. The metadata table is written last;
     readers pick versions from it, so a half-written version is never used.
     """
     write_layer(model.scaler, root, "scaler_stats", version)
-    index = scoring.index_points(model.reference)
+    index = model.index
     shelves = max(1, -(-index.points.count() // scoring.SHELF_ROWS))
     placed = index.points.withColumns({"shelves": F.lit(shelves), "shelf": scoring.shelf(shelves, "leaf")})
     # One file a shelf or more, its leaves in order, so that statistics rule row groups out.

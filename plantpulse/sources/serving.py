@@ -75,12 +75,14 @@ def prediction_rows(df: DataFrame, model_version: str) -> DataFrame:
             .select(*C.PREDICTION_TABLE))
 
 
-def append_batch(df: DataFrame, root: str, table: str, batch: str, stream: str = "job") -> None:
-    """Append one batch of a stream; repeating the same batch replaces it.
+def append_batch(df: DataFrame, root: str, table: str, batch: str, stream: str = "job") -> DataFrame:
+    """Append one batch of a stream and give it back as stored; repeating the same batch replaces it.
 
     Batch ids start at 0 in every stream, so the stream is part of the key.
     """
-    df.write.mode("overwrite").parquet(f"{root}/{table}/stream={stream}/batch={batch}")
+    path = f"{root}/{table}/stream={stream}/batch={batch}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stream_name(spark: SparkSession) -> str:

@@ -27,8 +27,8 @@ def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, models: st
         raise RuntimeError(f"no model under {models}; batch {batch_id} waits")
     version, scaler, reference = model
     stream = stream or serving.stream_name(spark)
-    records = scoring.sensor_records(batch, stamp)
-    serving.append_batch(records, out, "sensor_data", str(batch_id), stream)
+    # What a batch is made of is worked out once: the stored records are validated and scored.
+    records = serving.append_batch(scoring.sensor_records(batch, stamp), out, "sensor_data", str(batch_id), stream)
     readings = scoring.to_readings(records, extra=["timestamp"])
     good, bad = scoring.valid_readings(readings)
     serving.append_batch(bad, out, "quarantine", str(batch_id), stream)

@@ -196,5 +196,15 @@ def test_batch_job_from_files_to_scores(spark, sf, tmp_path):
     live.score_batch(spark, gold, 0, f"{root}/models", f"{root}/live", stream="s")
     scored = serving.read_table(spark, f"{root}/live", "predictions")
     assert scored.count() == gold.count()
+    # A batch is worked out once; what is stored is scored.
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    live.score_batch(spark, gold.mapInPandas(count, gold.schema), 1, f"{root}/models", f"{root}/counted", stream="s")
+    assert seen.value == gold.count()
     # Trained on the same rows: noise in training is noise in scoring.
     assert scored.filter("anomaly_score = 0 AND anomaly").count() == 0
