@@ -131,6 +131,15 @@ def test_every_pair_of_near_cells_is_met_once(spark, monkeypatch):
         assert {(a, b) for i, j in zip(*np.nonzero(near), strict=True) for a, b in [(cell[i], cell[j])] if a != b} <= have
 
 
+def test_the_tree_of_a_model_is_grown_once(spark, monkeypatch):
+    from plantpulse.plans import training
+    grown_from = []
+    monkeypatch.setattr(scoring, "index_points", lambda reference: grown_from.append(reference) or len(grown_from))
+    points = frame(spark, {"1": blobs(4)}).withColumns({"weight": F.lit(1), "cluster_label": F.lit(0)})
+    model = training.Model(points, points, 1.2, 3)
+    assert model.index == model.index == 1
+
+
 def test_work_of_scoring_is_bounded(spark):
     """Readings meet few nodes and points: fewer than a twentieth of all pairs, with and without equal points."""
     rng = np.random.default_rng(10)
