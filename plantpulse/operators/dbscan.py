@@ -1,12 +1,16 @@
 """Density clustering per model, exact, on grid cells.
 
-Weights count copies, so the core test counts rows. Core points of one cell are
+Weights count copies, so the core test counts rows. Most models have few points: those of
+at most LEAF_MODEL distinct ones are a leaf each, settled by one task without a stored pair
+(`leaf_fit`). The points of all others fall into cells. Core points of one cell are
 within eps of each other and share a cluster, so clusters are components of a
 graph of cells, never of rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +19,12 @@ from ..functions.running import running_sum
 from ..session import stage_table
 from .cells import Z, box_columns, cell_pairs, place, point_hits, unique_points
 from .components import connected_components
+from .leaf_fit import fit_leaves
 from .scaling import KEY, POSITION
 
+# Distinct points of a model that is one leaf: some 16 MB of distances told at a time.
+LEAF_MODEL = 4096
+
 
 def core_flags(points: DataFrame, cells: DataFrame, pairs: DataFrame, eps: float,
                min_samples: int) -> DataFrame:
@@ -96,17 +104,49 @@ def border_labels(points: DataFrame, clusters: DataFrame, pairs: DataFrame, eps:
         F.min("cluster").alias("border_cluster"))
 
 
-def core_and_pairs(scaled: DataFrame, eps: float = C.EPS, min_samples: int = C.MIN_SAMPLES
-                   ) -> tuple[DataFrame, DataFrame]:
+def _leaves_and_rest(scaled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct points of models that are one leaf, and of the others; both in one stored table.
+
+    Points with a missing or unbounded coordinate have no distances; their models go with the others.
+    """
+    points = stage_table(unique_points(scaled))
+    total = reduce(lambda a, b: a + b, [F.abs(z) for z in Z])
+    # There are at most points / LEAF_MODEL models of more points, beside those with odd ones.
+    large = points.groupBy(KEY).agg(F.count("*").alias("n_points"), F.bool_and(
+        F.coalesce(total < float("inf"), F.lit(False))).alias("plain")).filter(
+            (F.col("n_points") > LEAF_MODEL) | ~F.col("plain")).select(KEY)
+    large = stage_table(large)
+    return points.join(large, KEY, "left_anti"), points.join(large, KEY, "left_semi")
+
+
+def _core_and_pairs(points: DataFrame, eps: float, min_samples: int) -> tuple[DataFrame, DataFrame]:
     """Distinct points with `is_core`, and the cell pairs."""
-    points, cells = place(unique_points(scaled), eps)
+    points, cells = place(points, eps)
     pairs = stage_table(cell_pairs(cells, eps))
     return stage_table(core_flags(points, cells, pairs, eps, min_samples)), pairs
 
 
+def core_points(scaled: DataFrame, eps: float = C.EPS, min_samples: int = C.MIN_SAMPLES) -> DataFrame:
+    """Distinct points per model with `is_core`."""
+    leaves, rest = _leaves_and_rest(scaled)
+    flagged = fit_leaves(leaves, Z, eps, min_samples).select(KEY, *Z, "is_core")
+    if rest.isEmpty():
+        return flagged
+    return flagged.unionByName(_core_and_pairs(rest, eps, min_samples)[0].select(*flagged.columns))
+
+
 def cluster_points(scaled: DataFrame, eps: float = C.EPS, min_samples: int = C.MIN_SAMPLES) -> DataFrame:
     """Distinct points per model with weight, `is_core` and `cluster_label`."""
-    flagged, pairs = core_and_pairs(scaled, eps, min_samples)
+    leaves, rest = _leaves_and_rest(scaled)
+    fitted = fit_leaves(leaves, Z, eps, min_samples)
+    if rest.isEmpty():
+        return fitted
+    return fitted.unionByName(_cluster_cells(rest, eps, min_samples))
+
+
+def _cluster_cells(points: DataFrame, eps: float, min_samples: int) -> DataFrame:
+    """Add `is_core` and `cluster_label` to the points of models of any size."""
+    flagged, pairs = _core_and_pairs(points, eps, min_samples)
     clusters = stage_table(core_clusters(flagged.filter("is_core"), pairs, eps))
     border = border_labels(flagged, clusters, pairs, eps)
     return (flagged.join(clusters.select("cell", "cluster"), "cell", "left")

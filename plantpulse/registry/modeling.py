@@ -155,8 +155,7 @@ _LABELLED = check(["sens"], """SELECT l.model_key, s."timestamp", CAST(is_core A
 def _(spark, d):
     """Rows with at least min_samples rows within eps, per machine."""
     scaled = stage_table(_scaled(spark, d))
-    points, _ = dbscan.core_and_pairs(scaled)
-    return scaled.join(points.select(KEY, *dbscan.Z, "is_core"), [KEY, *dbscan.Z]).select(
+    return scaled.join(dbscan.core_points(scaled), [KEY, *dbscan.Z]).select(
         KEY, "timestamp", F.col("is_core").cast("int").alias("is_core"))
 
 
