@@ -115,14 +115,22 @@ def score(readings: DataFrame, scaler: DataFrame, reference: DataFrame | Referen
     The nearest reference point decides when it is within eps; beyond eps the
     answer is always noise with score 1, so only points within eps are sought.
     Equal readings are scored once. `known` readings may equal reference points:
-    those are joined first, which reads all reference points. For new readings
-    only the leaves near them are read; the results are the same.
+    those are answered by one join with all reference points, stored, and only the others are
+    sought and joined again. For new readings nothing is written and only the leaves near them
+    are read; the results are the same.
     """
     index = reference if isinstance(reference, ReferenceIndex) else index_points(reference)
     rated = readings.withColumn("cycle_ratio", S.cycle_ratio(F.col("cycle_duration"), F.col("target_cycle")))
     placed = standardise(choose_model(rated, scaler), scaler)
-    found = nearest(placed.select(KEY, *Z).distinct(), index, eps, known)
-    answered = placed.join(found, [KEY, *Z], "left")
+    rest = placed
+    if known:
+        placed = stage_table(placed.join(index.points.select(KEY, *Z, F.col("cluster_label").alias("near_label")), [KEY, *Z], "left"))
+        rest = placed.filter("near_label IS NULL").drop("near_label")
+    found = nearest(rest.select(KEY, *Z).distinct(), index, eps, known=False)
+    answered = rest.join(found, [KEY, *Z], "left")
+    if known:
+        same = placed.filter("near_label IS NOT NULL").withColumn("near_gap", F.lit(0.0))
+        answered = same.select(*answered.columns).unionByName(answered)
     label = F.coalesce("near_label", F.lit(C.NOISE))
     points = F.coalesce(F.least(F.sqrt("near_gap") / eps, F.lit(1.0)), F.lit(1.0))
     out = answered.withColumns({"cluster_label": label, "anomaly_score": points})

@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 from test_clustering import blobs, brute_force, frame
 
-from plantpulse.operators import cells, dbscan
+from plantpulse import constants as C
+from plantpulse.operators import cells, dbscan, scoring
 from plantpulse.operators.scaling import KEY
+from plantpulse.plans import training
 
 
 def labels_of(spark, sets, eps):
@@ -45,3 +47,19 @@ def test_odd_coordinates_go_with_the_cells(spark):
     x[3, 2] = np.nan
     points = dbscan._leaves_and_rest(frame(spark, {"a": x, "b": blobs(7)[:60]}))
     assert [p.select(KEY).distinct().collect()[0][0] for p in points] == ["b", "a"]
+
+
+def test_known_readings_are_joined_with_the_reference_once(spark, monkeypatch):
+    """Readings that equal a reference point are answered by that join and are not sought again."""
+    rows = spark.range(60).select(
+        F.lit(1).alias("machine_id"), F.lit(30).alias("target_cycle"), F.timestamp_seconds(F.col("id") * 3600).alias("timestamp"),
+        *[(10.0 + F.col("id") % (3 + i)).alias(c) for i, c in enumerate(C.SENSORS)])
+    model = training.train(rows, models="machines")
+    asked, seek = [], scoring.nearest
+    monkeypatch.setattr(scoring, "nearest", lambda unique, *a, **k: asked.append(unique) or seek(unique, *a, **k))
+    odd = rows.limit(2).withColumn("rpm", F.col("rpm") + 0.01).unionByName(rows).withColumn("n", F.monotonically_increasing_id())
+    shown = ["n", "cluster_label", "anomaly_score", "alert_level"]
+    once, other = (scoring.score(odd, model.scaler, model.index, known=k).select(*shown).orderBy("n").collect() for k in (True, False))
+    assert once == other and len(once) == 62
+    reference = model.reference.count()
+    assert asked[0].count() == asked[1].count() - reference
