@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,11 +12,14 @@ from .. import constants as C
 from ..functions import scalars as S
 from ..session import stage_table
 from .boxtree import grow, level
-from .cells import BOX, Z, around, box_columns, point_box_gap, point_gap
+from .cells import BOX, Z, around, box_columns, point_box_gap, point_gap, tasks_for
+from .leaf_fit import nearest_of_leaf
 from .scaling import KEY, POSITION, standardise
 
 # Reference points of a leaf of the index.
 LEAF_REFERENCES = 32
+# Distinct reference points of a model without a tree: its readings meet them all, in one task.
+WHOLE_MODEL = 1024
 # Stored reference points lie in shelves of about this many rows; a join reads only the shelves it needs.
 SHELF_ROWS = 1_000_000
 REPRESENTATIVE = [f"rep_{z}" for z in Z]
@@ -78,7 +81,8 @@ class ReferenceIndex:
     """Reference points by leaf, and the boxes of all levels of the tree above them.
 
     A node has the box of its points and one of the points, which bounds how far the
-    nearest point of the node can be. Both tables are stored with the model, the points
+    nearest point of the node can be. `models` tells which models are `whole`: those have so few
+    points that they are one leaf without nodes. The tables are stored with the model, the points
     in `shelves` folders by leaf.
     """
 
@@ -86,6 +90,7 @@ class ReferenceIndex:
     nodes: DataFrame
     depth: int
     shelves: int = 1
+    models: DataFrame | None = None
 
 
 def shelf(shelves: int, path: str) -> Column:
@@ -94,18 +99,28 @@ def shelf(shelves: int, path: str) -> Column:
 
 
 def index_points(reference: DataFrame) -> ReferenceIndex:
-    """The tree over the reference points of every model."""
-    tree = grow(reference.select(KEY, *Z, "weight", POSITION, "cluster_label"), [KEY], Z, LEAF_REFERENCES)
-    points = stage_table(tree.rows)
+    """The tree over the reference points of every model that is too large to be one leaf.
+
+    Points with a missing or unbounded coordinate have no distances; their models are in the tree.
+    """
+    rows = reference.select(KEY, *Z, "weight", POSITION, "cluster_label")
+    plain = F.coalesce(reduce(lambda a, b: a + b, [F.abs(z) for z in Z]) < float("inf"), F.lit(False))
+    models = stage_table(rows.groupBy(KEY).agg(F.count("*").alias("n"), F.bool_and(plain).alias("plain")).select(
+        KEY, ((F.col("n") <= WHOLE_MODEL) & F.col("plain")).alias("whole")))
+    tree = grow(rows.join(models.filter("NOT whole"), KEY, "left_semi"), [KEY], Z, LEAF_REFERENCES)
+    points = stage_table(rows.join(models.filter("whole"), KEY, "left_semi").withColumn("leaf", F.lit("")).unionByName(tree.rows))
+    if not tree.depth:
+        nodes = rows.limit(0).select(KEY, F.lit(0).alias("level"), F.lit("").alias("parent"), F.lit("").alias("path"),
+                                     *[F.lit(0.0).alias(c) for c in (*BOX, *REPRESENTATIVE)])
+        return ReferenceIndex(points, stage_table(nodes), 0, models=models)
+    tall = points.join(models.filter("NOT whole"), KEY, "left_semi")
     one = F.min_by(F.struct(*[F.col(z).alias(r) for z, r in zip(Z, REPRESENTATIVE, strict=True)]), POSITION)
-    leaves = stage_table(level(points, [KEY], tree.depth, [*box_columns(), one.alias("one"), F.min(POSITION).alias(POSITION)]).select(
+    leaves = stage_table(level(tall, [KEY], tree.depth, [*box_columns(), one.alias("one"), F.min(POSITION).alias(POSITION)]).select(
         KEY, F.col("path").alias("leaf"), *BOX, "one.*", POSITION))
     above = F.min_by(F.struct(*REPRESENTATIVE), POSITION)
     levels = [level(leaves, [KEY], k, [*around(), above.alias("one")]).select(
         KEY, F.lit(k).alias("level"), "parent", "path", *BOX, "one.*") for k in range(1, tree.depth + 1)]
-    nodes = reduce(DataFrame.unionByName, levels) if levels else leaves.limit(0).select(
-        KEY, F.lit(0).alias("level"), F.lit("").alias("parent"), F.lit("").alias("path"), *BOX, *REPRESENTATIVE)
-    return ReferenceIndex(points, stage_table(nodes), tree.depth)
+    return ReferenceIndex(points, stage_table(reduce(DataFrame.unionByName, levels)), tree.depth, models=models)
 
 
 def score(readings: DataFrame, scaler: DataFrame, reference: DataFrame | ReferenceIndex, eps: float = C.EPS,
@@ -143,11 +158,34 @@ def score(readings: DataFrame, scaler: DataFrame, reference: DataFrame | Referen
 def nearest(unique: DataFrame, index: ReferenceIndex, eps: float, known: bool = True) -> DataFrame:
     """Nearest reference point within eps of each distinct reading, with its squared distance.
 
-    A `known` reading that equals a reference point has its answer from an equality join.
-    The others go down the tree: a node is opened while its box is no farther than the best
+    Readings of a `whole` model meet all its points in one task, as a stream behind them (`leaf_fit`).
+    Of the others, a `known` reading that equals a reference point has its answer from an equality join;
+    the rest go down the tree: a node is opened while its box is no farther than the best
     bound, which starts at eps and falls to the distance of the nearest representative
     met so far. Nothing is written and the reference is not aggregated.
     """
+    if index.models is None:
+        return _nearest_in_tree(unique, index, eps, known)
+    tall = index.models.filter("NOT whole").select(KEY)
+    asked = unique.select(KEY, *Z).join(index.models, KEY)
+    found = _nearest_of_whole(asked.filter("whole").select(KEY, *Z), index, eps)
+    if tall.isEmpty():
+        return found
+    in_tree = replace(index, points=index.points.join(tall, KEY, "left_semi"))
+    return found.unionByName(_nearest_in_tree(asked.filter("NOT whole").select(KEY, *Z), in_tree, eps, known))
+
+
+def _nearest_of_whole(unique: DataFrame, index: ReferenceIndex, eps: float) -> DataFrame:
+    """One exchange: the points of a model first, its readings behind them."""
+    whole = index.models.filter("whole").select(KEY)
+    points = index.points.join(whole, KEY, "left_semi").select(
+        KEY, *Z, POSITION, F.col("cluster_label").alias("near_label"), F.lit(False).alias("asks"))
+    rows = points.unionByName(unique.withColumn("asks", F.lit(True)), allowMissingColumns=True)
+    ordered = rows.repartition(tasks_for(rows), KEY).sortWithinPartitions(KEY, "asks", POSITION, *Z)
+    return nearest_of_leaf(ordered, Z, eps)
+
+
+def _nearest_in_tree(unique: DataFrame, index: ReferenceIndex, eps: float, known: bool) -> DataFrame:
     opened = opened_leaves(unique, index, eps, known).withColumn("shelf", shelf(index.shelves, "path"))
     points = index.points if "shelf" in index.points.columns else index.points.withColumn("shelf", shelf(index.shelves, "leaf"))
     met = opened.alias("p").join(points.alias("b"), _same("p", "b", {"shelf": "shelf", KEY: KEY, "path": "leaf"})).select(

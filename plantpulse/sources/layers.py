@@ -84,6 +84,7 @@ def save_model(model: Model, root: str, version: str, source: str = "") -> None:
     ordered = placed.repartitionByRange("shelf", KEY, "leaf").sortWithinPartitions("shelf", KEY, "leaf")
     _write_folders(ordered, root, "reference_points", version, ["shelves", "shelf"])
     _write_folders(index.nodes, root, "reference_nodes", version, ["level"])
+    write_layer(index.models, root, "reference_models", version)
     runs = model.summary.select(
         "*", F.lit(model.eps).alias("eps"), F.lit(model.min_samples).alias("min_samples"),
         F.lit(",".join(C.FEATURES)).alias("features"), F.lit(source).alias("source_dataset"))
@@ -112,7 +113,8 @@ def load_model(spark: SparkSession, root: str, version: str | None = None
     depth = max(_folder_values(spark, where["reference_nodes"], "level"), default=0)
     nodes = spark.read.parquet(where["reference_nodes"]) if depth else None
     shelves = _folder_values(spark, where["reference_points"], "shelves")[0]
-    index = scoring.ReferenceIndex(spark.read.parquet(where["reference_points"]), nodes, depth, shelves)
+    models = read_version(spark, root, "reference_models", version)
+    index = scoring.ReferenceIndex(spark.read.parquet(where["reference_points"]), nodes, depth, shelves, models)
     return version, spark.read.parquet(where["scaler_stats"]), index
 
 

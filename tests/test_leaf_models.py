@@ -63,3 +63,34 @@ def test_known_readings_are_joined_with_the_reference_once(spark, monkeypatch):
     assert once == other and len(once) == 62
     reference = model.reference.count()
     assert asked[0].count() == asked[1].count() - reference
+
+
+def test_whole_models_and_trees_score_alike(spark, monkeypatch):
+    """Models of few points have no nodes: their tree and its windows took an exchange or more a level."""
+    sets = {str(k): blobs(k)[:40 + 50 * k] for k in range(3)} | {"hot": blobs(5, copies=300)}
+    points = dbscan.cluster_points(frame(spark, sets), 1.2, 10)
+    rng = np.random.default_rng(3)
+    near = {k: np.concatenate([x[rng.integers(0, len(x), 700)] + rng.normal(size=(700, 8)) * .2, x[:9]]) for k, x in sets.items()}
+    asked = frame(spark, near | {"gone": blobs(9)[:5]}).select(KEY, *cells.Z).distinct()
+    got, depths = [], []
+    monkeypatch.setattr(scoring, "LEAF_REFERENCES", 16)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        for limit in (10 ** 6, 60, 0):
+            monkeypatch.setattr(scoring, "WHOLE_MODEL", limit)
+            index = scoring.index_points(dbscan.reference_points(points))
+            depths.append(index.depth)
+            got.append(scoring.nearest(asked, index, 1.2).select(KEY, *cells.Z, "near_gap", "near_label").orderBy(KEY, *cells.Z).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert depths[0] == 0 and min(depths[1:]) > 0
+    assert got[0] == got[1] == got[2] and len(got[0]) > 1500
+
+
+def test_odd_references_stay_in_the_tree(spark):
+    x = blobs(6)[:60]
+    x[3, 2] = np.nan
+    reference = frame(spark, {"a": x, "b": blobs(7)[:60]}).withColumns({"weight": F.lit(1), "cluster_label": F.lit(0)})
+    index = scoring.index_points(reference)
+    assert sorted(tuple(r) for r in index.models.collect()) == [("a", False), ("b", True)]
+    assert scoring.nearest(reference.select(KEY, *cells.Z).distinct(), index, 1.2).count() == 120
