@@ -38,22 +38,25 @@ def common_widths(sensors: DataFrame, interventions: DataFrame) -> DataFrame:
 
 
 def attach_interventions(sensors: DataFrame, interventions: DataFrame,
-                         tolerance_hours: float = C.ASOF_TOLERANCE_HOURS, widths: DataFrame | None = None) -> DataFrame:
+                         tolerance_hours: float = C.ASOF_TOLERANCE_HOURS, widths: DataFrame | None = None,
+                         instants: DataFrame | None = None) -> DataFrame:
     """Add `hours_since_last_intervention` and `near_type` to sensor rows.
 
     Both sides are cut into time slices per machine and merged by order, so no
     row pairs are formed. A slice also receives the last earlier and the first
     later instant of its machine, from a table of one row per slice. `near_type`
     is the type of the nearest instant within the tolerance; at equal distance
-    the earlier one wins.
+    the earlier one wins. `instants` are rows of the same machines and times that cost
+    less to read: the slices are told from them, so that `sensors` are computed once.
     """
     keys = ["machine_id"]
-    widths = common_widths(sensors, interventions) if widths is None else widths
+    instants = sensors if instants is None else instants
+    widths = common_widths(instants, interventions) if widths is None else widths
     left = sliced(sensors, widths, keys)
     right = sliced(_per_instant(interventions), widths, keys, "at")
     instant = F.struct("at", "last_type", "first_type")
     per_slice = right.groupBy(*keys, SLICE).agg(F.max(instant).alias("latest"), F.min(instant).alias("earliest"))
-    wanted = left.select(*keys, SLICE).distinct()
+    wanted = _slices(instants, widths, keys)
     events = right.select(*keys, SLICE, "at", "last_type", "first_type")
     for value, later in (("latest", False), ("earliest", True)):
         carried = carry_in(per_slice, wanted, keys, value, later).filter(F.col(value).isNotNull())
@@ -80,14 +83,22 @@ def attach_interventions(sensors: DataFrame, interventions: DataFrame,
     }).drop("prev", "next", "is_row", "instant", "at", "last_type", "first_type", SLICE)
 
 
-def hours_to_next(sensors: DataFrame, interventions: DataFrame) -> DataFrame:
-    """Hours to the next intervention (as-of forward); null when none follows."""
+def _slices(instants: DataFrame, widths: DataFrame, keys: list[str]) -> DataFrame:
+    return sliced(instants.select(*keys, "timestamp"), widths, keys).select(*keys, SLICE).distinct()
+
+
+def hours_to_next(sensors: DataFrame, interventions: DataFrame, instants: DataFrame | None = None) -> DataFrame:
+    """Hours to the next intervention (as-of forward); null when none follows.
+
+    `instants` are as in `attach_interventions`.
+    """
     keys = ["machine_id"]
-    widths = common_widths(sensors, interventions)
+    instants = sensors if instants is None else instants
+    widths = common_widths(instants, interventions)
     right = sliced(interventions.select("machine_id", F.col("timestamp").alias("at")).distinct(), widths, keys, "at")
     left = sliced(sensors, widths, keys)
     per_slice = right.groupBy(*keys, SLICE).agg(F.min("at").alias("carried"))
-    carried = carry_in(per_slice, left.select(*keys, SLICE).distinct(), keys, "carried", later=True)
+    carried = carry_in(per_slice, _slices(instants, widths, keys), keys, "carried", later=True)
     events = right.unionByName(carried.filter("carried IS NOT NULL").withColumnRenamed("carried", "at"))
     merged = (left.withColumn("is_row", F.lit(1))
               .unionByName(events.withColumn("is_row", F.lit(0)), allowMissingColumns=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import medians
 from ..functions import scalars as S
+from ..session import stage_table
 from .validation import require_columns
 
 KEY = "model_key"
@@ -53,7 +54,8 @@ def row_position(machine, ts, cycle):
 def model_rows(matrix: DataFrame, min_samples: int = C.MIN_SAMPLES) -> DataFrame:
     """Rows per model: one per machine with enough rows, plus one global.
 
-    The sizes of the machines come from a partial aggregate; machines below
+    The sizes of the machines come from a partial aggregate and are stored, so that few
+    machines join without a shuffle of the rows; machines below
     twice `min_samples` train no own model but stay in the global one.
     """
     base = matrix.select(
@@ -61,7 +63,7 @@ def model_rows(matrix: DataFrame, min_samples: int = C.MIN_SAMPLES) -> DataFrame
         row_position(F.col("machine_id"), F.col("timestamp"), F.col("target_cycle")).alias(POSITION))
     enough = (base.groupBy("machine_id").agg(F.count("*").alias("n"))
               .filter(F.col("n") >= 2 * min_samples).select("machine_id"))
-    own = base.join(enough, "machine_id", "left_semi").withColumn(KEY, F.col("machine_id").cast("string"))
+    own = base.join(stage_table(enough), "machine_id", "left_semi").withColumn(KEY, F.col("machine_id").cast("string"))
     return own.unionByName(base.withColumn(KEY, F.lit(C.GLOBAL_MODEL)))
 
 

@@ -24,17 +24,22 @@ INPUTS = [
 SEED = 42
 
 
-def label_remaining_hours(gold: DataFrame, interventions: DataFrame) -> DataFrame:
-    """Remaining useful life: hours to the machine's next intervention."""
-    return hours_to_next(gold, interventions)
+def label_remaining_hours(gold: DataFrame, interventions: DataFrame, instants: DataFrame | None = None) -> DataFrame:
+    """Remaining useful life: hours to the machine's next intervention. `instants`, the silver rows,
+    have the machines and times of `gold`."""
+    return hours_to_next(gold, interventions, instants)
 
 
 def split(df: DataFrame, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Earlier `share` of each machine's time span for training, the rest for
-    testing, so no test row precedes a training row of its machine."""
+    testing, so no test row precedes a training row of its machine.
+
+    The spans are stored, one row per machine: a small table joins without a shuffle of the rows,
+    which a model reads several times.
+    """
     spans = df.groupBy("machine_id").agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
     cut = F.unix_seconds("first") + share * (F.unix_seconds("last") - F.unix_seconds("first"))
-    marked = df.join(spans.select("machine_id", cut.alias("cut")), "machine_id")
+    marked = df.join(stage_table(spans.select("machine_id", cut.alias("cut"))), "machine_id")
     early = F.unix_seconds("timestamp") <= F.col("cut")
     return marked.filter(early).drop("cut"), marked.filter(~early).drop("cut")
 

@@ -13,7 +13,7 @@ from ..plans import batch, evaluation, supervised, training
 from ..session import stage_table
 from ..sources import bronze_csv, events_adapter, layers
 from .base import check, each, query
-from .etl import _GOLD_SQL, _GOLD_STEPS, _gold, scratch
+from .etl import _GOLD_SQL, _GOLD_STEPS, _silver_and_gold, scratch
 
 _F = ", ".join(C.FEATURES)
 _LIMIT = C.EPS ** 2
@@ -356,7 +356,8 @@ def _labelled_gold(spark, d):
     key = _state(spark, d)
     if key not in _LABELLED_GOLD:
         log = events_adapter.interventions(spark, d)
-        _LABELLED_GOLD[key] = stage_table(supervised.label_remaining_hours(_gold(spark, d), log))
+        silver, gold = _silver_and_gold(spark, d)
+        _LABELLED_GOLD[key] = stage_table(supervised.label_remaining_hours(gold, log, instants=silver))
     return _LABELLED_GOLD[key]
 
 

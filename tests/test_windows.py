@@ -7,10 +7,12 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from plantpulse import constants as C
 from plantpulse.functions import slices
 from plantpulse.functions.running import running_sum
 from plantpulse.operators import features, interventions
 from plantpulse.plans import evaluation, monitoring
+from plantpulse.session import stage_table
 from plantpulse.streaming import parts, replay
 
 
@@ -237,3 +239,38 @@ def test_measures_of_predictions(spark):
     found = evaluation.several(three).first()
     assert (found.n_test, found.n_classes, found.accuracy) == (5, 3, pytest.approx(.4))
     assert found.macro_f1 == pytest.approx((2 / 5 + 2 / 3 + 0 + 0) / 4)
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_small_tables_of_machines_move_no_rows(spark):
+    """Spans, newest instants and sizes of machines are stored: by their estimated size alone they were
+    not broadcast on larger tables, and every pass of a model shuffled all rows."""
+    from plantpulse.operators import scaling
+    from plantpulse.plans import gold, supervised
+    rows = stage_table(to_spark(spark, sensors()).withColumn("cycle_duration", F.lit(1.0)).withColumns(
+        {c: F.lit(1.0) for c in C.SENSORS if c not in C.ROLLED + ["cycle_duration"]}))
+    # More than a table of three machines, less than what is estimated for one that was not stored.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5000")
+    try:
+        train, test = supervised.split(rows)
+        assert shuffles(train) == shuffles(test) == 0
+        assert train.count() + test.count() == rows.count()
+        assert shuffles(scaling.model_rows(rows.withColumn("cycle_ratio", F.lit(1.0)))) == 0
+        last = gold.latest_per_machine(rows, instants=rows)
+        assert shuffles(last) == 1
+        assert sorted(r["row_id"] for r in last.collect()) == sorted(
+            sensors().sort_values(["machine_id", "timestamp", "target_cycle"]).groupby("machine_id").tail(1)["row_id"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_are_computed_once_for_their_slices(spark, narrow):
+    """Slices are told from the stored rows: the same results, and the features are not computed for them."""
+    df, events = sensors(), log()
+    rows, entries = to_spark(spark, df), log_frame(spark, events)
+    for attach in (interventions.attach_interventions, interventions.hours_to_next):
+        plain, told = (attach(rows, entries, **more).orderBy("row_id").collect() for more in ({}, {"instants": rows.select("machine_id", "timestamp")}))
+        assert plain == told
