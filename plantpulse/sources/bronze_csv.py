@@ -228,8 +228,10 @@ def _write_files(rows: DataFrame, folder: str) -> None:
     Rows are ranged by (file, order) before they are written: a file lies in neighbouring
     tasks only, so there are at most as many part files as names and tasks together, not one
     per name and task, and the rows of a large file are spread over tasks.
+    The number of tasks is given, as many small files have few bytes and would be written by one task.
     """
-    ranged = rows.withColumn("_nth", F.monotonically_increasing_id()).repartitionByRange("file", "_nth")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.withColumn("_nth", F.monotonically_increasing_id()).repartitionByRange(tasks, "file", "_nth")
     ranged.sortWithinPartitions("file", "_nth").drop("_nth").write.mode("append").partitionBy("file").option("header", True).csv(folder)
 
 

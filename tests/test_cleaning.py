@@ -272,6 +272,19 @@ def test_bronze_files_do_not_multiply_by_tasks(spark, tmp_path):
         assert times == list(range(k - 1, 3000, 30))
 
 
+def test_many_small_files_are_written_by_several_tasks(spark, tmp_path):
+    """Few bytes, many names: the writing is still spread over tasks, and no row is lost."""
+    from plantpulse.sources import bronze_csv
+    rows = spark.range(200).selectExpr("cast(id % 40 as int) AS machine_id", *[f"cast(id as string) AS {c}"
+                                       for c in bronze_csv.INTERVENTION_COLUMNS])
+    bronze_csv.write_interventions(rows, str(tmp_path))
+    tasks = {f.name.split("-")[1] for f in tmp_path.glob("*/part-*.csv")}
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    back = bronze_csv.read_interventions(spark, str(tmp_path))
+    assert back.select("machine_id", "rpm").exceptAll(rows.select("machine_id", "rpm")).count() == 0
+    assert back.count() == 200
+
+
 def test_compressed_files_are_checked_piece_by_piece(spark, tmp_path):
     """Cut anywhere, in the trailer too; several archives in one file; small batches."""
     import gzip
