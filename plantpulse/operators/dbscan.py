@@ -44,9 +44,11 @@ def core_flags(points: DataFrame, cells: DataFrame, pairs: DataFrame, eps: float
         tagged.filter(F.col("sure") < min_samples), pairs.filter("NOT near"),
         cells.withColumn("value", F.col("weight")), points.withColumn("value", F.col("weight")), eps)
     extra = hits.groupBy("pid").agg(F.sum("value").alias("extra"))
-    return (tagged.join(extra, "pid", "left")
-            .withColumn("is_core", F.col("sure") + F.coalesce("extra", F.lit(0)) >= min_samples)
-            .drop("sure", "extra"))
+    # Points that their cells settle are not joined with what others saw.
+    settled = tagged.filter(F.col("sure") >= min_samples).drop("sure").withColumn("is_core", F.lit(True))
+    looked = (tagged.filter(F.col("sure") < min_samples).join(extra, "pid", "left")
+              .withColumn("is_core", F.col("sure") + F.coalesce("extra", F.lit(0)) >= min_samples))
+    return settled.unionByName(looked.select(*settled.columns))
 
 
 def _core_cells(core: DataFrame) -> DataFrame:
@@ -149,11 +151,11 @@ def _cluster_cells(points: DataFrame, eps: float, min_samples: int) -> DataFrame
     flagged, pairs = _core_and_pairs(points, eps, min_samples)
     clusters = stage_table(core_clusters(flagged.filter("is_core"), pairs, eps))
     border = border_labels(flagged, clusters, pairs, eps)
-    return (flagged.join(clusters.select("cell", "cluster"), "cell", "left")
-            .join(border, "pid", "left")
-            .withColumn("cluster_label", F.when(F.col("is_core"), F.col("cluster"))
-                        .otherwise(F.coalesce("border_cluster", F.lit(C.NOISE))))
-            .drop("cluster", "border_cluster", "cell", "pid"))
+    # A point has its label from its cell or from the border, so it is exchanged for one of them only.
+    core = flagged.filter("is_core").join(clusters.select("cell", F.col("cluster").alias("cluster_label")), "cell", "left")
+    other = flagged.filter("NOT is_core").join(border, "pid", "left").withColumn(
+        "cluster_label", F.coalesce("border_cluster", F.lit(C.NOISE)))
+    return core.drop("cell", "pid").unionByName(other.drop("border_cluster", "cell", "pid"))
 
 
 def label_rows(scaled: DataFrame, points: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_clustering import blobs, brute_force, frame
 
 from plantpulse import constants as C
-from plantpulse.operators import cells, dbscan, scoring
+from plantpulse.operators import boxtree, cells, dbscan, scoring
 from plantpulse.operators.scaling import KEY
 from plantpulse.plans import training
 
@@ -94,3 +94,26 @@ def test_odd_references_stay_in_the_tree(spark):
     index = scoring.index_points(reference)
     assert sorted(tuple(r) for r in index.models.collect()) == [("a", False), ("b", True)]
     assert scoring.nearest(reference.select(KEY, *cells.Z).distinct(), index, 1.2).count() == 120
+
+
+@pytest.mark.parametrize("limit", [0, 300, 10 ** 6])
+def test_small_nodes_are_cut_by_one_task(spark, monkeypatch, limit):
+    """Rounds over many small nodes shuffled an aggregate of every coordinate for nearly each row."""
+    rounds, cut = [], boxtree._cuts
+    monkeypatch.setattr(boxtree, "_cuts", lambda *a: rounds.append(a) or cut(*a))
+    monkeypatch.setattr(boxtree, "TASK_ROWS", limit)
+    x = np.concatenate([blobs(8) for _ in range(4)] + [np.repeat(blobs(9)[:1], 400, 0)])
+    odd = blobs(3)[:34]
+    odd[5, 1] = np.nan
+    tree = boxtree.grow(frame(spark, {"a": x, "b": blobs(2)[:20], "odd": odd}), [KEY], cells.Z, 32)
+    sizes = tree.rows.groupBy(KEY, "leaf").agg(F.count("*").alias("n"), F.countDistinct(*cells.Z).alias("d")).collect()
+    assert sum(r["n"] for r in sizes) == len(x) + 20 + 34
+    assert all(r["n"] <= 32 or r["d"] == 1 for r in sizes if r[KEY] != "odd")
+    assert max(len(r["leaf"]) for r in sizes) == tree.depth * boxtree.PART
+    whole = boxtree.grow(frame(spark, {"a": x}), [KEY], cells.Z, 32)
+    if limit == 10 ** 6:
+        # The odd group alone is cut in rounds.
+        assert all(a[3].select(KEY).distinct().collect()[0][0] == "odd" for a in rounds)
+    else:
+        assert rounds
+    assert whole.rows.count() == len(x)
