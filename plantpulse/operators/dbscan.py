@@ -93,16 +93,21 @@ def core_clusters(core: DataFrame, pairs: DataFrame, eps: float) -> DataFrame:
 
 def border_labels(points: DataFrame, clusters: DataFrame, pairs: DataFrame, eps: float) -> DataFrame:
     """Smallest cluster among the core points within eps of each non-core point."""
-    named = clusters.select(F.col("cell").alias("b"), "cluster")
+    named = clusters.select("cell", "cluster")
     border = points.filter("NOT is_core")
-    own = border.join(named.withColumnRenamed("b", "cell"), "cell").select("pid", "cluster")
-    near = (border.select("pid", F.col("cell").alias("a"))
-            .join(pairs.filter("near"), "a").join(named, "b").select("pid", "cluster"))
+    # What the own cell and the near cells tell is the same for all points of a cell.
+    near = pairs.filter("near").join(named.withColumnRenamed("cell", "b"), "b").select(F.col("a").alias("cell"), "cluster")
+    told = near.unionByName(named).groupBy("cell").agg(F.min("cluster").alias("cluster"))
+    sure = border.join(told, "cell").select("pid", "cluster")
     targets = points.filter("is_core").join(
         clusters.select("cell", F.col("cluster").alias("value")), "cell")
-    mixed = point_hits(border, pairs.filter("NOT near"), clusters.withColumn("value", F.col("cluster")), targets,
+    # Only cells that can lower what is told already are looked into.
+    lower = (pairs.filter("NOT near").join(named.select(F.col("cell").alias("b"), F.col("cluster").alias("there")), "b")
+             .join(told.select(F.col("cell").alias("a"), F.col("cluster").alias("known")), "a", "left")
+             .filter("known IS NULL OR there < known").select("a", "b"))
+    mixed = point_hits(border, lower, clusters.withColumn("value", F.col("cluster")), targets,
                        eps, F.max).select("pid", F.col("value").alias("cluster"))
-    return own.unionByName(near).unionByName(mixed).groupBy("pid").agg(
+    return sure.unionByName(mixed).groupBy("pid").agg(
         F.min("cluster").alias("border_cluster"))
 
 

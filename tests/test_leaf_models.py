@@ -96,7 +96,7 @@ def test_odd_references_stay_in_the_tree(spark):
     assert scoring.nearest(reference.select(KEY, *cells.Z).distinct(), index, 1.2).count() == 120
 
 
-@pytest.mark.parametrize("limit", [0, 300, 10 ** 6])
+@pytest.mark.parametrize("limit", [300, 10 ** 6])
 def test_small_nodes_are_cut_by_one_task(spark, monkeypatch, limit):
     """Rounds over many small nodes shuffled an aggregate of every coordinate for nearly each row."""
     rounds, cut = [], boxtree._cuts
@@ -117,3 +117,14 @@ def test_small_nodes_are_cut_by_one_task(spark, monkeypatch, limit):
     else:
         assert rounds
     assert whole.rows.count() == len(x)
+
+
+def test_border_points_look_only_where_a_label_may_fall(spark, monkeypatch):
+    """Points whose cell meets the first cluster were exchanged with all their mixed cells for nothing."""
+    seen, hits = [], dbscan.point_hits
+    monkeypatch.setattr(dbscan, "LEAF_MODEL", 0)
+    monkeypatch.setattr(dbscan, "point_hits", lambda *a: seen.append(a) or hits(*a))
+    dbscan.cluster_points(frame(spark, {"1": blobs(1)}), 1.2, 10)
+    _, pairs, clusters, *_ = seen[-1]
+    first = clusters.filter("cluster = 0").select(F.col("cell").alias("a"))
+    assert not first.isEmpty() and pairs.join(first, "a", "left_semi").isEmpty()
