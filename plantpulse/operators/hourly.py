@@ -11,6 +11,7 @@ from .conflicts import CELL
 
 # Hours handed to one row before the second explode.
 STRETCH_HOURS = SLICE_HOURS
+HOUR_MICROS = 3_600_000_000
 
 
 def grid(cells: DataFrame) -> DataFrame:
@@ -42,5 +43,12 @@ def complete_hours(cells: DataFrame) -> DataFrame:
 
 
 def off_grid(cells: DataFrame) -> DataFrame:
-    """Cells the grid drops, kept for quarantine."""
-    return cells.join(grid(cells), CELL, "left_anti")
+    """Cells the grid drops, kept for quarantine.
+
+    The grid holds the instants that are whole hours after the first one of their series, so
+    it is not made: cells meet one row per series. Cells of a series without a name are on no grid.
+    """
+    first = cells.groupBy(*C.SERIES).agg(F.min("timestamp").alias("first"))
+    since = F.unix_micros("timestamp") - F.unix_micros("first")
+    kept = cells.join(first, C.SERIES, "left").filter(~F.coalesce(since % HOUR_MICROS == 0, F.lit(False)))
+    return kept.select(*cells.columns)

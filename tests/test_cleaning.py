@@ -99,6 +99,20 @@ def test_grid_is_anchored_at_the_first_row(spark):
     assert [str(r["timestamp"])[11:16] for r in hourly.off_grid(cells).collect()] == ["01:00"]
 
 
+def test_off_grid_cells_are_found_without_the_grid(spark):
+    stamps = [(1, "2000-01-01 00:30:00"), (1, "2000-01-01 01:30:00"), (1, "2000-01-01 01:30:00.000001"), (1, "2030-06-01 00:30:00"),
+              (1, "2030-06-01 01:00:00"), (1, "2030-06-01 01:00:00"), (2, "1965-01-01 00:00:00"), (2, "1964-12-31 22:59:59"),
+              (None, "2026-01-01 00:00:00"), (2, None)]
+    cells = spark.createDataFrame([(m, 30, t, i) for i, (m, t) in enumerate(stamps)],
+                                  "machine_id int, target_cycle int, timestamp string, row_id int").withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    found = hourly.off_grid(cells)
+    # The grid of a few cells may hold any number of hours, which a join would take for few and broadcast.
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    lost = cells.join(hourly.grid(cells), [*C.SERIES, "timestamp"], "left_anti")
+    assert sorted(map(str, found.collect())) == sorted(map(str, lost.select(*cells.columns).collect()))
+    assert sorted(r["row_id"] for r in found.collect()) == [2, 4, 5, 6, 8, 9]
+
+
 @pytest.mark.parametrize("codes,expected,flag", [
     ([0, None, 0], 0, "FAILURE_NAN_CORRECTED"),
     ([None, 1], 0, "UNCERTAIN_FAILURE_NAN|UNCERTAIN_FAILURE_DEFAULTED_TO_ZERO"),
