@@ -13,6 +13,8 @@ from ..session import use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# What the steps of one query share. Every query starts without it and does its whole job itself.
+KEPT: list[dict] = []
 
 # Shown digits of derived doubles; decisions are taken on unrounded values.
 DIGITS = 6
@@ -35,9 +37,16 @@ def finish(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def forget() -> None:
+    """Drop what the steps of the last query shared."""
+    for kept in KEPT:
+        kept.clear()
+
+
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            forget()
             return finish(fn(use_utc(spark), sf_dir))
 
         run.__name__, run.__doc__ = name, fn.__doc__

@@ -3,6 +3,7 @@
 import gzip
 import pathlib
 import re
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from plantpulse.functions import scalars as S
 from plantpulse.operators import scoring
-from plantpulse.plans import metrics
+from plantpulse.plans import metrics, training
 from plantpulse.sources import bronze_csv, events_adapter, layers, serving
 from plantpulse.streaming import live, windows
 
@@ -208,3 +209,18 @@ def test_batch_job_from_files_to_scores(spark, sf, tmp_path):
     assert seen.value == gold.count()
     # Trained on the same rows: noise in training is noise in scoring.
     assert scored.filter("anomaly_score = 0 AND anomaly").count() == 0
+
+
+def test_run_metadata_trains_every_model_itself(spark, tmp_path, monkeypatch):
+    rows = [(i, datetime(2024, 1, 1) + timedelta(hours=i), 10 * (i % 2), "view" if i % 9 else "error", float(i % 5), '{"k": %d}' % (i % 4))
+            for i in range(80)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    trained = []
+    whole = training.train
+    monkeypatch.setattr(training, "train", lambda gold, **given: trained.append(gold.count()) or whole(gold, **given))
+    entry.queries()["A12_model_summary"](spark, str(tmp_path)).collect()
+    runs = entry.queries()["S13_run_metadata"](spark, str(tmp_path)).collect()
+    assert trained == [80, 80]  # the second one does not take the models of the first
+    assert {r["model_key"]: r["n_train"] for r in runs} == {"1": 40, "2": 40, "global": 80}
+    assert "global" in entry.oracle_sql()["S13_run_metadata"].split("fitrows", 1)[1].split("fit AS", 1)[0]
