@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..session import stage_table
-from .boxtree import grow, level
+from .boxtree import Tree, grow, level
 from .scaling import KEY, POSITION
 
 Z = [f"z_{c}" for c in C.FEATURES]
@@ -171,12 +171,28 @@ def cell_pairs(cells: DataFrame, eps: float) -> DataFrame:
 
 def met_cells(cells: DataFrame, eps: float) -> DataFrame:
     """Each pair of cells of touching leaves once, as `a` and `b`."""
-    tree = grow(cells.select(KEY, "cell", *BOX), [KEY], [f"mid_{z}" for z in Z], LEAF_CELLS)
+    tree = cell_tree(cells)
     pairs = touching_leaves(tree.rows, [KEY], tree.depth, eps)
-    first = (pairs.alias("p").join(tree.rows.alias("a"), (F.col(f"p.{KEY}") == F.col(f"a.{KEY}")) & (F.col("p.left") == F.col("a.leaf")))
-             .select("a.*", F.col("p.right").alias("other")).repartition(tasks_for(cells), KEY, "other"))
-    return first.alias("a").join(tree.rows.alias("b"), (F.col(f"a.{KEY}") == F.col(f"b.{KEY}")) & (F.col("a.other") == F.col("b.leaf"))
-                                 & ((F.col("a.leaf") < F.col("a.other")) | (F.col("a.cell") < F.col("b.cell"))))
+    return met_by(tree.rows, tree.rows, pairs).filter((F.col("a.leaf") < F.col("a.other")) | (F.col("a.cell") < F.col("b.cell")))
+
+
+def cell_tree(cells: DataFrame) -> Tree:
+    return grow(cells.select(KEY, "cell", "weight", *BOX), [KEY], [f"mid_{z}" for z in Z], LEAF_CELLS)
+
+
+def met_in_leaf(asking: DataFrame, rows: DataFrame) -> DataFrame:
+    """Each cell of `asking`, as `a`, with the other cells of its leaf, as `b`."""
+    spread = asking.repartition(tasks_for(rows), KEY, "leaf")
+    return spread.alias("a").join(rows.alias("b"), (F.col(f"a.{KEY}") == F.col(f"b.{KEY}")) & (F.col("a.leaf") == F.col("b.leaf"))
+                                  & (F.col("a.cell") != F.col("b.cell")))
+
+
+def met_by(asking: DataFrame, rows: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Each cell of `asking`, as `a`, with the other cells of the leaves (`right`) that are paired with its own (`left`), as `b`."""
+    first = (leaves.alias("p").join(asking.alias("a"), (F.col(f"p.{KEY}") == F.col(f"a.{KEY}")) & (F.col("p.left") == F.col("a.leaf")))
+             .select("a.*", F.col("p.right").alias("other")).repartition(tasks_for(rows), KEY, "other"))
+    return first.alias("a").join(rows.alias("b"), (F.col(f"a.{KEY}") == F.col(f"b.{KEY}")) & (F.col("a.other") == F.col("b.leaf"))
+                                 & (F.col("a.cell") != F.col("b.cell")))
 
 
 def point_hits(points: DataFrame, pairs: DataFrame, cells: DataFrame, targets: DataFrame,
