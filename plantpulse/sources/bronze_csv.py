@@ -11,6 +11,7 @@ import csv
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import pandas as pd
@@ -38,6 +39,7 @@ PACKED_BYTES = {
     "org.apache.hadoop.shaded.io.compress.passthrough.extension": ".gz",
 }
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 FOUND = ("file string, kind string, header string, length long, missing array<string>, extra array<string>, "
          "reason string")
 #: Bytes of a block's unit in row numbers; Spark cuts files in much larger splits.
@@ -51,6 +53,17 @@ def name_part(path: Column, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(path, pattern, group), F.lit("")).cast("int")
 
 
+@contextmanager
+def _listing(spark: SparkSession) -> Iterator[None]:
+    """Paths are listed by a few tasks for each core: by default each of many paths gets a task of its own."""
+    before = spark.conf.get(LISTING_TASKS)
+    spark.conf.set(LISTING_TASKS, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
+
+
 def _globs(folder: str) -> list[str]:
     """One level: archived copies in other folders are no input."""
     return [f"{folder}/*.[cC][sS][vV]"]
@@ -118,8 +131,10 @@ def inspect_files(spark: SparkSession, folder: str) -> DataFrame:
     """
     ship_package(spark)
     try:
-        listed = spark.read.format("binaryFile").load(_globs(folder))
-        text = spark.read.option("ignoreCorruptFiles", True).text(_globs(folder))
+        with _listing(spark):
+            listed = spark.read.format("binaryFile").load(_globs(folder))
+            text = spark.read.option("ignoreCorruptFiles", True).text(_globs(folder))
+            pieces = spark.read.options(**PACKED_BYTES).text(_globs(folder)).filter(F.col("_metadata.file_name").rlike(r"(?i)\.gz$"))
         # The index writes an empty authority as three slashes, the scan as one.
         names = [re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):///", r"\1:/", n) for n in text.inputFiles()]
     except AnalysisException as missing:
@@ -129,8 +144,7 @@ def inspect_files(spark: SparkSession, folder: str) -> DataFrame:
     path = F.col("_metadata.file_path").alias("file")
     # Scans skip files without a byte; the index knows them.
     files = spark.createDataFrame([(n,) for n in names], "file string").join(listed.select(path, "length"), "file", "left")
-    # One scan of the files as they are: a task reads each file in order, holding one batch of pieces.
-    pieces = spark.read.options(**PACKED_BYTES).text(_globs(folder)).filter(F.col("_metadata.file_name").rlike(r"(?i)\.gz$"))
+    # `pieces` is one scan of the files as they are: a task reads each file in order, holding one batch of pieces.
     torn = pieces.select(path, F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("piece")
                          ).mapInArrow(_torn, "file string, torn boolean")
     # The first line lies in the first block; a block is read by one task in order.
@@ -184,8 +198,9 @@ def _read(spark: SparkSession, files: DataFrame, kind: str, columns: list[str],
     for layout in layouts:
         names = column_names(layout["header"])
         schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
-        rows = (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multiline)
-                .csv(layout["files"]))
+        with _listing(spark):
+            rows = (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multiline)
+                    .csv(layout["files"]))
         scans.append(rows.select(F.col("_metadata.file_path").alias("file"), position.alias("position"),
                                  *[F.col(f"`{c}`") for c in columns]))
     if not scans:

@@ -224,3 +224,20 @@ def test_run_metadata_trains_every_model_itself(spark, tmp_path, monkeypatch):
     assert trained == [80, 80]  # the second one does not take the models of the first
     assert {r["model_key"]: r["n_train"] for r in runs} == {"1": 40, "2": 40, "global": 80}
     assert "global" in entry.oracle_sql()["S13_run_metadata"].split("fitrows", 1)[1].split("fit AS", 1)[0]
+
+
+def test_files_are_listed_by_a_few_tasks(spark, tmp_path):
+    """Every path had a task of its own in each of five listings."""
+    names = "timestamp,consumption_kWh,temperature_C,vibration,pressure,cycle_duration,rpm,voltage,failure"
+    for machine in range(1, 101):
+        (tmp_path / f"machine_{machine}_targetcycle1.csv").write_text(names + "\n2026-01-01 00:00:00,1,2,3,4,5,6,7,0\n")
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        rows = bronze_csv.read_sensors(spark, str(tmp_path))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(bronze_csv.LISTING_TASKS) == "10000"
+    assert rows.count() == 100
